@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,16 @@ def list_files(files: DataFrame) -> DataFrame:
     ).orderBy("file_name")
 
 
+def by_suffix(files: DataFrame, suffixes: list[str]) -> DataFrame:
+    """Files with one of the suffixes. On a file scan the condition is on file metadata, so Spark skips the bytes of
+    all other files."""
+    try:
+        name = files["_metadata.file_name"]
+    except AnalysisException:
+        name = fx.file_name(F.col("path"))
+    return files.filter(fx.suffix(name).isin(suffixes))
+
+
 def drop_empty_files(files: DataFrame) -> DataFrame:
     """Without files of 0 bytes; the condition reaches the file scan."""
     return files.filter(F.col("length") > 0)
