@@ -6,10 +6,12 @@ column expression on that row, and nothing is shuffled: files parse in parallel
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookflow.functions.text import is_blank, map_last_wins, strip
+from bookflow.functions.text import let, map_last_wins, strip
 from bookflow.options import DEFAULTS, Options
 
 # --- fixed values -------------------------------------------------------------------------------------
@@ -73,17 +75,17 @@ def decode_with_fallback(content: Column, decoder: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, f"^{BOM}", ""), "\r\n?", "\n")
 
 
-def _occurrences(text: Column, char: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+def _occurrences(text: Column, char: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, char, F.lit("")))
 
 
-def _first_max(scores: list[Column], floor: int) -> Column:
+def _best(score: Callable[[Column], Column], floor: int) -> Column:
     """The delimiter with the highest score of at least ``floor``, the first listed on a tie, else null."""
-    best = F.greatest(*scores)
-    choice = F.when(best < floor, F.lit(None).cast("string"))
-    for delimiter, score in zip(DELIMITERS, scores):
-        choice = choice.when(score == best, F.lit(delimiter))
-    return choice
+    listed = F.array(*[F.lit(d) for d in DELIMITERS])
+    scored = F.transform(
+        listed, lambda d, i: F.struct(score(d).cast("int").alias("score"), (-i).alias("place"), d.alias("delimiter"))
+    )
+    return let(F.array_max(scored), lambda best: F.when(best["score"] >= floor, best["delimiter"]))
 
 
 def _beside_quotes(sample: Column) -> Column:
@@ -93,32 +95,34 @@ def _beside_quotes(sample: Column) -> Column:
         (r"""(?s)(?:^|\n)(["']).*?\1([^\w\n"'])""", 2),
         (r"""(?sm)([^\w\n"'])( ?)(["']).*?\3(?:$|\n)""", 1),
     ]
-    found = F.lit(None).cast("array<string>")
-    for pattern, group in patterns:
-        hits = F.regexp_extract_all(sample, F.lit(pattern), group)
-        found = F.coalesce(found, F.when(F.size(hits) > 0, hits))
-
-    def hits_of(delimiter: str) -> Column:
-        return F.size(F.filter(found, lambda char: char == delimiter))
-
-    return F.when(sample.rlike("[\"']"), _first_max([hits_of(d) for d in DELIMITERS], 1))
+    found = F.coalesce(
+        *[
+            let(F.regexp_extract_all(sample, F.lit(p), group), lambda hits: F.when(F.size(hits) > 0, hits))
+            for p, group in patterns
+        ]
+    )
+    most = let(found, lambda hits: _best(lambda d: F.size(F.filter(hits, lambda char: char == d)), 1))
+    return F.when(sample.contains('"') | sample.contains("'"), most)
 
 
 def _by_regularity(lines: Column) -> Column:
     """The delimiter whose count per line is most regular, null when none is regular enough."""
 
-    def score(delimiter: str) -> Column:
+    def score(delimiter: Column) -> Column:
         # 100 x (lines with the usual count - other lines) / lines, for a usual count above 0.
-        counts = F.transform(lines, lambda line: _occurrences(line, delimiter))
-        usual = F.array_max(
-            F.transform(
-                F.array_distinct(F.filter(counts, lambda c: c > 0)),
-                lambda v: F.size(F.filter(counts, lambda c: c == v)),
+        def usual(counts: Column) -> Column:
+            return F.array_max(
+                F.transform(
+                    F.array_distinct(F.filter(counts, lambda c: c > 0)),
+                    lambda v: F.size(F.filter(counts, lambda c: c == v)),
+                )
             )
-        )
-        return F.coalesce(F.floor(100 * (2 * usual - F.size(lines)) / F.size(lines)), F.lit(0))
 
-    return F.when(F.size(lines) > 0, _first_max([score(d) for d in DELIMITERS], 90))
+        n = F.size(lines)
+        regular = let(F.transform(lines, lambda line: _occurrences(line, delimiter)), usual)
+        return F.coalesce(F.floor(100 * (2 * regular - n) / n), F.lit(0))
+
+    return F.when(F.size(lines) > 0, _best(score, 90))
 
 
 def detect_delimiter(text: Column, options: Options = DEFAULTS) -> Column:
@@ -127,16 +131,20 @@ def detect_delimiter(text: Column, options: Options = DEFAULTS) -> Column:
     In turn: the delimiter beside quoted fields; the one occurring equally often on the lines of the sample (the
     first ten, then all); the most frequent one in the first lines; comma.
     """
-    sample = F.substring(text, 1, options.delimiter_sample_chars)
-    lines = F.filter(F.split(sample, "\n"), lambda line: line != "")
-    head = F.array_join(F.slice(F.split(sample, "\n"), 1, options.delimiter_fallback_lines), "\n")
-    return F.coalesce(
-        _beside_quotes(sample),
-        _by_regularity(F.slice(lines, 1, 10)),
-        _by_regularity(lines),
-        _first_max([_occurrences(head, d) for d in DELIMITERS], 1),
-        F.lit(","),
-    )
+
+    def decide(sample: Column) -> Column:
+        every_line = F.split(sample, "\n")
+        head = F.array_join(F.slice(every_line, 1, options.delimiter_fallback_lines), "\n")
+        regular = let(
+            F.filter(every_line, lambda line: line != ""),
+            lambda lines: F.coalesce(
+                let(F.slice(lines, 1, 10), _by_regularity), F.when(F.size(lines) > 10, _by_regularity(lines))
+            ),
+        )
+        frequent = let(head, lambda top: _best(lambda d: _occurrences(top, d), 1))
+        return F.coalesce(_beside_quotes(sample), regular, frequent, F.lit(","))
+
+    return let(F.substring(text, 1, options.delimiter_sample_chars), decide)
 
 
 def _per_delimiter(delimiter: Column, pattern: str) -> Column:
@@ -173,7 +181,7 @@ def split_fields(record: Column, delimiter: Column) -> Column:
     for d in DELIMITERS[:3]:
         plain = plain.when(delimiter == d, F.split(record, d))
     fields = F.when(record.contains('"'), quoted).otherwise(plain)
-    return F.transform(fields, lambda field: _unquote(F.ltrim(field)))
+    return F.transform(F.transform(fields, F.ltrim), _unquote)
 
 
 def _last_places(headers: Column) -> Column:
@@ -207,13 +215,16 @@ def parse_delimited(files: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     )
 
     def record(line: Column, position: Column) -> Column:
-        fields = split_fields(line, F.col("delimiter"))
-        return F.struct(
-            (position + 2).alias("source_record_number"),
-            F.transform("places", lambda place: strip(F.get(fields, place))).alias("values"),
-            F.when(line == "", F.array().cast("array<string>"))
-            .otherwise(F.slice(fields, F.size("headers") + 1, F.size(fields)))
-            .alias("overflow"),
+        width = F.size("headers")
+        return let(
+            split_fields(line, F.col("delimiter")),
+            lambda fields: F.struct(
+                (position + 2).alias("source_record_number"),
+                F.transform("places", lambda place: strip(F.get(fields, place))).alias("values"),
+                F.when(line == "", F.array().cast("array<string>"))
+                .otherwise(F.slice(fields, width + 1, F.size(fields)))
+                .alias("overflow"),
+            ),
         )
 
     parsed = split.withColumn(
@@ -233,13 +244,13 @@ def parse_delimited(files: DataFrame, options: Options = DEFAULTS) -> DataFrame:
 
 
 def is_blank_row(record: Column) -> Column:
-    """Every value is null or blank and there is no overflow."""
-    return F.forall(record["values"], is_blank) & (F.size(record["overflow"]) == 0)
+    """Every (stripped) value is null or empty and there is no overflow."""
+    return F.forall(record["values"], lambda v: v.isNull() | (v == "")) & (F.size(record["overflow"]) == 0)
 
 
 def is_summary_row(record: Column) -> Column:
-    """The first value that is not blank is a word for totals."""
-    first = F.get(F.filter(record["values"], lambda v: ~is_blank(v)), F.lit(0))
+    """The first (stripped) value that is not empty is a word for totals."""
+    first = F.get(F.filter(record["values"], lambda v: v != ""), F.lit(0))
     return F.coalesce(F.lower(first).isin(SUMMARY_WORDS), F.lit(False))
 
 
