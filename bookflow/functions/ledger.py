@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bookflow.functions.text import is_blank, normalize_name, strip
-from bookflow.functions.values import mask_pii, normalize_tx_type, parse_amount
+from bookflow.functions.values import mask_pii, normalize_tx_type
 from bookflow.options import DEFAULTS, Options
 
 # Date spellings read, in order: (method name, shape, Spark pattern). Day before month, as in the sample ledgers.
@@ -154,34 +154,44 @@ def clean_description(text: Column) -> Column:
     return F.substring(strip(F.regexp_replace(text, r"(?U)\s+", " ")), 1, 1000)
 
 
-def categorize(vendor: Column, description: Column, tx_type: Column, account_code: Column) -> Column:
-    """struct(category, subcategory, tax_category, confidence, method).
+# Every verdict a row can get: (category, subcategory, tax category, confidence, method).
+VERDICTS = [
+    *[(category, subcategory, tax, 0.9, "rule_based") for category, subcategory, tax, _ in CATEGORY_RULES],
+    *[(category, None, None, 0.8, "account_code_map") for _, category, _ in ACCOUNT_GROUPS],
+    *[(category, None, tax, 0.7, "tx_type_map") for _, category, tax in TX_TYPE_CATEGORIES],
+]
 
-    In turn: words of vendor or description (rule_based, 0.9), account code (account_code_map, 0.8), transaction
-    type (tx_type_map, 0.7). Nothing found gives nulls.
-    """
 
-    def verdict(category, subcategory, tax, confidence, method) -> Column:
-        return F.struct(
-            F.lit(category).alias("category"), F.lit(subcategory).cast("string").alias("subcategory"),
-            F.lit(tax).cast("string").alias("tax_category"), F.lit(confidence).cast("float").alias("confidence"),
-            F.lit(method).alias("method"),
-        )
+def category_rule(vendor: Column, description: Column, tx_type: Column, account_code: Column) -> Column:
+    """Number of the verdict (1-based place in ``VERDICTS``) of a row, null when nothing applies.
 
+    In turn: words of vendor or description, account code, transaction type.
+    """
     words = F.lower(F.concat_ws(" ", vendor, description))
-    chain = F.when(F.lit(False), verdict("", "", "", 0.0, ""))
-    for category, subcategory, tax, pattern in CATEGORY_RULES:
-        chain = chain.when(words.rlike(rf"\b({pattern})"), verdict(category, subcategory, tax, 0.9, "rule_based"))
-    for digit, category, _ in ACCOUNT_GROUPS:
-        chain = chain.when(
-            account_code.rlike(rf"^{digit}\d"), verdict(category, None, None, 0.8, "account_code_map")
-        )
     standard = normalize_tx_type(tx_type)
-    for kind, category, tax in TX_TYPE_CATEGORIES:
-        chain = chain.when(standard == kind, verdict(category, None, tax, 0.7, "tx_type_map"))
+    conditions = [
+        *[words.rlike(rf"\b({pattern})") for *_, pattern in CATEGORY_RULES],
+        *[account_code.rlike(rf"^{digit}\d") for digit, _, _ in ACCOUNT_GROUPS],
+        *[standard == kind for kind, _, _ in TX_TYPE_CATEGORIES],
+    ]
+    chain = F.when(F.lit(False), F.lit(0))
+    for place, condition in enumerate(conditions, start=1):
+        chain = chain.when(condition, F.lit(place))
     return chain
 
 
+def categorize(rule: Column) -> Column:
+    """struct(category, subcategory, tax_category, confidence, method) of a ``category_rule`` number."""
+    names = ["category", "subcategory", "tax_category", "confidence", "method"]
+    types = ["string", "string", "string", "float", "string"]
+    return F.struct(
+        *[
+            F.get(F.array(*[F.lit(v[i]).cast(kind) for v in VERDICTS]), rule - 1).alias(name)
+            for i, (name, kind) in enumerate(zip(names, types))
+        ]
+    )
+
+
 def account_group(account_code: Column) -> Column:
     """asset, liability, equity, revenue, expense or other, by the first digit of the code."""
     chain = F.when(F.lit(False), F.lit(""))
@@ -212,8 +222,3 @@ def narrative_text(day: Column, currency: Column, net: Column, vendor: Column, c
         F.lit("On "), F.date_format(day, "d MMMM yyyy"), F.lit(", "), currency, F.lit(" "), money_text(F.abs(net)),
         verb, F.coalesce(vendor, F.lit("an unnamed party")), F.lit(" — "), F.coalesce(category, F.lit("Uncategorised")),
     )
-
-
-def amount_of(text: Column) -> Column:
-    """Number of an amount text, without its warning."""
-    return parse_amount(text)["value"]

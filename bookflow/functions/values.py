@@ -61,57 +61,66 @@ def null_values(text: Column) -> Column:
     return F.when(~bare.isin(NULL_TEXTS), bare)
 
 
-def parse_amount(text: Column, header: Column | None = None, options: Options = DEFAULTS) -> Column:
-    """struct(value double, warning) of an amount text.
+def amount_number(bare: Column) -> Column:
+    """Double of a stripped amount text, null when it is no number.
 
-    Reads a leading PKR / Rs / Rs. / Rupee(s), thousands commas and (5000) for -5000. Text that is no number
-    gives null and a warning, more than ``options.large_amount`` gives the number and a warning. Python's
-    extra float spellings (1_000, inf, nan) count as no number.
+    Reads a leading PKR / Rs / Rs. / Rupee(s), thousands commas and (5000) for -5000. Python's extra float spellings
+    (1_000, inf, nan) count as no number.
     """
-    header = F.lit("amount") if header is None else header
-    stripped = null_values(text)
-    bare = F.regexp_replace(F.regexp_replace(stripped, CURRENCY_LABEL, ""), ",", "")
-    signed = F.when(
-        bare.startswith("(") & bare.endswith(")"),
-        F.concat(F.lit("-"), F.substring(bare, F.lit(2), F.length(bare) - 2)),
-    ).otherwise(bare)
-    number = to_number(strip(signed))
-    warning = (
-        F.when(stripped.isNull(), F.lit(None))
-        .when(
-            number.isNull(),
-            F.concat(F.lit("Could not parse amount '"), stripped, F.lit("' in '"), header,
-                     F.lit("' — value will be null")),
-        )
-        .when(
-            F.abs(number) > options.large_amount,
-            F.concat(F.lit("Very large amount in '"), header, F.lit("': "), F.format_number(number, 2),
-                     F.lit(" — please verify")),
-        )
+    digits = F.regexp_replace(F.regexp_replace(bare, CURRENCY_LABEL, ""), ",", "")
+    return to_number(strip(F.regexp_replace(digits, r"(?s)^\((.*)\)$", "-$1")))
+
+
+def amount_warning(bare: Column, number: Column, header: Column, options: Options = DEFAULTS) -> Column:
+    """Warning about a text that is no number or an amount above ``options.large_amount``."""
+    unread = F.concat(
+        F.lit("Could not parse amount '"), bare, F.lit("' in '"), header, F.lit("' — value will be null")
+    )
+    large = F.concat(
+        F.lit("Very large amount in '"), header, F.lit("': "), F.format_number(number, 2), F.lit(" — please verify")
     )
-    return outcome(number, warning)
+    return F.when(bare.isNotNull() & number.isNull(), unread).when(F.abs(number) > options.large_amount, large)
+
+
+def rate_number(bare: Column) -> Column:
+    """Double of a stripped percentage text, null when it is no number."""
+    return to_number(strip(F.regexp_replace(bare, "%", "")))
+
+
+def rate_warning(bare: Column, number: Column) -> Column:
+    """Warning about a text that is no number or a rate outside 0-100."""
+    shown = F.concat(F.lit("Tax rate '"), bare)
+    return F.when(bare.isNotNull() & number.isNull(), F.concat(shown, F.lit("' is not numeric"))).when(
+        ~number.between(0, 100), F.concat(shown, F.lit("' out of range (0–100)"))
+    )
+
+
+def parse_amount(text: Column, header: Column, options: Options = DEFAULTS) -> Column:
+    """struct(value double, warning) of an amount text."""
+    bare = null_values(text)
+    number = amount_number(bare)
+    return outcome(number, amount_warning(bare, number, header, options))
 
 
 def parse_tax_rate(text: Column) -> Column:
-    """struct(value double, warning) of a percentage; outside 0-100 or no number gives null and a warning."""
+    """struct(value double, warning) of a percentage; outside 0-100 the value is null."""
     bare = null_values(text)
-    number = to_number(strip(F.regexp_replace(bare, "%", "")))
-    shown = F.concat(F.lit("Tax rate '"), bare)
-    warning = (
-        F.when(bare.isNull(), F.lit(None))
-        .when(number.isNull(), F.concat(shown, F.lit("' is not numeric")))
-        .when(~number.between(0, 100), F.concat(shown, F.lit("' out of range (0–100)")))
+    number = rate_number(bare)
+    return outcome(F.when(number.between(0, 100), number), rate_warning(bare, number))
+
+
+def truncation_warning(bare: Column, header: Column, options: Options = DEFAULTS) -> Column:
+    """Warning about a text above ``options.max_text`` characters."""
+    limit = options.max_text
+    return F.when(
+        F.length(bare) > limit, F.concat(F.lit(f"Value truncated to {limit} chars in '"), header, F.lit("'"))
     )
-    return outcome(F.when(number.between(0, 100), number), warning)
 
 
 def truncate_text(text: Column, header: Column, options: Options = DEFAULTS) -> Column:
     """struct(value, warning): text cut to ``options.max_text`` characters."""
-    bare, limit = null_values(text), options.max_text
-    warning = F.when(
-        F.length(bare) > limit, F.concat(F.lit(f"Value truncated to {limit} chars in '"), header, F.lit("'"))
-    )
-    return outcome(F.substring(bare, 1, limit), warning)
+    bare = null_values(text)
+    return outcome(F.substring(bare, 1, options.max_text), truncation_warning(bare, header, options))
 
 
 def date_passthrough(text: Column) -> Column:
@@ -119,17 +128,6 @@ def date_passthrough(text: Column) -> Column:
     return outcome(null_values(text), F.lit(None).cast("string"))
 
 
-def clean_field(field: str, text: Column, header: Column, options: Options = DEFAULTS) -> Column:
-    """struct(value, warning) of the rule for one standard field; value is double for amounts and rates."""
-    if field in AMOUNT_FIELDS:
-        return parse_amount(text, header, options)
-    if field == "tax_rate":
-        return parse_tax_rate(text)
-    if field in CAPPED_FIELDS:
-        return truncate_text(text, header, options)
-    return date_passthrough(text)
-
-
 def neutralize_cell(text: Column) -> Column:
     """Cell text with formulas marked and dangerous content replaced; other cells come back untouched."""
     bare = strip(text)

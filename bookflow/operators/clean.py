@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bookflow.functions import ledger as lx
 from bookflow.functions.keys import uuid_of
-from bookflow.functions.values import normalize_tx_type
+from bookflow.functions.values import mask_pii, normalize_tx_type
 from bookflow.options import DEFAULTS, Options
 from bookflow.plans.joins import attach_totals, lookup_join
 
@@ -28,13 +28,18 @@ def standardize(rows: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     ``rows``: bronze_id, source_software, source_type, mapping_confidence, warnings and the standard fields. One
     narrow projection, no shuffle.
     """
-    staged = (
-        rows.withColumn("_date", lx.parse_date(F.col("transaction_date")))
-        .withColumn("_money", lx.split_amount(F.col("amount_debit"), F.col("amount_credit"), F.col("net_amount")))
-        .withColumn("_pii", lx.detect_and_mask_pii({c: F.col(c) for c in PII_COLUMNS}))
-    )
-    day, money, pii = F.col("_date.date"), F.col("_money"), F.col("_pii")
-    spoken = F.concat_ws(" ", pii["vendor"], pii["description"])
+    date = lx.parse_date(F.col("transaction_date"))
+    money = lx.split_amount(F.col("amount_debit"), F.col("amount_credit"), F.col("net_amount"))
+    masked = {c: mask_pii(F.col(c)) for c in PII_COLUMNS}
+    # Plain columns first: each is worked out once, however often the next projection uses it.
+    staged = rows.select(
+        "*",
+        date["date"].alias("_day"), date["method"].alias("_day_method"),
+        money["amount_debit"].alias("_debit"), money["amount_credit"].alias("_credit"),
+        money["method"].alias("_money_method"),
+        *[text.alias(f"_{c}") for c, text in masked.items()],
+    ).withColumn("_pii", F.array_compact(F.array(*[F.when(F.col(f"_{c}") != F.col(c), F.lit(c)) for c in PII_COLUMNS])))
+    day, found = F.col("_day"), F.size("_pii") > 0
     kept = [c for c in ("file_hash", "source_row_number", "due_date", "tax_amount", "tax_rate") if c in rows.columns]
     columns = [
         uuid_of(F.lit("silver"), "bronze_id").alias("silver_id"),
@@ -42,22 +47,22 @@ def standardize(rows: DataFrame, options: Options = DEFAULTS) -> DataFrame:
         day.alias("transaction_date"),
         lx.year_month(day).alias("year_month"),
         lx.fiscal_year(day, options).alias("fiscal_year"),
-        money["amount_debit"].alias("amount_debit"),
-        money["amount_credit"].alias("amount_credit"),
-        lx.net_amount(money["amount_debit"], money["amount_credit"]).alias("net_amount"),
+        F.col("_debit").alias("amount_debit"),
+        F.col("_credit").alias("amount_credit"),
+        lx.net_amount(F.col("_debit"), F.col("_credit")).alias("net_amount"),
         F.coalesce("currency", F.lit(options.currency)).alias("currency"),
-        pii["vendor"].alias("vendor_raw"),
-        F.substring(pii["description"], 1, 1000).alias("description_raw"),
+        F.col("_vendor").alias("vendor_raw"),
+        F.substring("_description", 1, 1000).alias("description_raw"),
         F.col("account_code"),
         F.when(F.col("tx_type").isNotNull(), normalize_tx_type(F.col("tx_type"))).alias("tx_type"),
-        pii["reference_number"].alias("reference_number"),
+        F.col("_reference_number").alias("reference_number"),
         F.coalesce("mapping_confidence", F.lit(1.0).cast("float")).alias("normalisation_confidence"),
-        F.col("_date.method").alias("date_parse_method"),
-        money["method"].alias("amount_parse_method"),
-        F.coalesce(pii["detected"], F.lit(False)).alias("pii_detected"),
-        F.coalesce(pii["masked"], F.lit(False)).alias("pii_masked"),
-        pii["fields"].alias("pii_fields_masked"),
-        lx.detect_language(spoken).alias("language_detected"),
+        F.col("_day_method").alias("date_parse_method"),
+        F.col("_money_method").alias("amount_parse_method"),
+        found.alias("pii_detected"),
+        found.alias("pii_masked"),
+        F.when(found, F.to_json("_pii")).alias("pii_fields_masked"),
+        lx.detect_language(F.concat_ws(" ", "_vendor", "_description")).alias("language_detected"),
         F.col("transaction_date").alias("_date_text"),
         F.exists("warnings", lambda w: w.contains("amount '")).alias("_amount_warned"),
         *[F.col(c) for c in kept],

@@ -36,10 +36,9 @@ def curate(silver: DataFrame, prior: DataFrame | None = None, options: Options =
     sound = silver.filter(
         ~F.col("is_duplicate") & (F.col("quality_score") >= F.lit(options.quality_gate).cast("float"))
     )
-    verdict = lx.categorize(F.col("vendor_raw"), F.col("description_raw"), F.col("tx_type"), F.col("account_code"))
-    staged = tax_enrich(
-        sound.withColumn("_c", verdict).withColumn("tax_category", F.col("_c.tax_category"))
-    )
+    rule = lx.category_rule(F.col("vendor_raw"), F.col("description_raw"), F.col("tx_type"), F.col("account_code"))
+    verdict = sound.withColumn("_rule", rule).withColumn("_c", lx.categorize(F.col("_rule")))
+    staged = tax_enrich(verdict.withColumn("tax_category", F.col("_c.tax_category")))
     category, net = F.col("_c.category"), F.col("net_amount")
     accounts = lx.double_entry(category, net)
     gold = staged.select(
@@ -147,7 +146,7 @@ def ranked_vendors(gold: DataFrame, n: int = 5) -> DataFrame:
     vendors = gold.filter(F.col("vendor_normalised").isNotNull())
     per = _by_period(daily_totals(vendors, ["vendor_normalised"]), ["vendor_normalised"])
     amount = (F.col("total_debits") + F.col("total_credits")).cast(lx.MONEY)
-    order = Window.partitionBy("period_type", "period_key").orderBy(F.desc("amount"), "vendor_normalised")
+    order = Window.partitionBy("period_type", "period_key").orderBy(F.desc("amount"), "vendor")
     return (
         per.select("period_type", "period_key", F.col("vendor_normalised").alias("vendor"), amount.alias("amount"))
         .withColumn("rank", F.row_number().over(order))

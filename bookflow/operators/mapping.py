@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from bookflow.dictionary import STANDARD_FIELDS
 from bookflow.functions.keys import uuid_of
-from bookflow.functions.values import clean_field, is_reserved, rename_reserved
+from bookflow.functions.values import (
+    AMOUNT_FIELDS, CAPPED_FIELDS, amount_number, amount_warning, is_reserved, null_values, rate_number, rate_warning,
+    rename_reserved, truncation_warning,
+)
 from bookflow.options import DEFAULTS, Options
 from bookflow.plans.joins import lookup_join
 
@@ -61,18 +64,41 @@ def apply_mapping(rows: DataFrame, records: DataFrame, options: Options = DEFAUL
     ``rows`` has layout_id, source_row_number and raw. Amounts and rates are doubles, the rest text.
     """
     joined = lookup_join(rows, records, ["layout_id"], ["file_hash", "source_row_number"], options)
-    sources = F.col("sources")
-    fields = {}
-    for field in STANDARD_FIELDS:
-        header = sources[field]
-        fields[field] = clean_field(field, F.try_element_at("raw", header), header, options)
-    cleaned = joined.withColumns({f"_{name}": value for name, value in fields.items()})
+    numeric = [*AMOUNT_FIELDS, "tax_rate"]
+
+    # Three projections: each text and each number is worked out once and then used by value and warning.
+    texts = joined.withColumns(
+        {f"_t_{f}": null_values(F.try_element_at("raw", F.col(f"sources.{f}"))) for f in STANDARD_FIELDS}
+    )
+    numbers = texts.withColumns(
+        {
+            f"_n_{f}": rate_number(F.col(f"_t_{f}")) if f == "tax_rate" else amount_number(F.col(f"_t_{f}"))
+            for f in numeric
+        }
+    )
+
+    def value(field: str) -> Column:
+        text, number = F.col(f"_t_{field}"), F.col(f"_n_{field}") if field in numeric else None
+        if field == "tax_rate":
+            return F.when(number.between(0, 100), number)
+        if field in AMOUNT_FIELDS:
+            return number
+        return F.substring(text, 1, options.max_text) if field in CAPPED_FIELDS else text
+
+    def warning(field: str) -> Column | None:
+        text, header = F.col(f"_t_{field}"), F.col(f"sources.{field}")
+        if field == "tax_rate":
+            return rate_warning(text, F.col(f"_n_{field}"))
+        if field in AMOUNT_FIELDS:
+            return amount_warning(text, F.col(f"_n_{field}"), header, options)
+        return truncation_warning(text, header, options) if field in CAPPED_FIELDS else None
+
+    warnings = [w for w in map(warning, STANDARD_FIELDS) if w is not None]
     spare = F.map_filter("raw", lambda key, _: ~F.coalesce(F.array_contains("mapped_headers", key), F.lit(False)))
-    return cleaned.select(
+    return numbers.select(
         *rows.columns,
         "mapping_confidence",
-        *[F.col(f"_{name}.value").alias(name) for name in STANDARD_FIELDS],
+        *[value(field).alias(field) for field in STANDARD_FIELDS],
         F.transform_keys(spare, lambda key, _: F.concat(F.lit("_raw_"), key)).alias("extras"),
-        F.array_compact(F.array(*[F.col(f"_{name}.warning") for name in STANDARD_FIELDS])).alias("warnings"),
+        F.array_compact(F.array(*warnings)).alias("warnings"),
     )
-

@@ -91,8 +91,8 @@ def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(key % 4 == 2, grouped(c))
             .otherwise(ungrouped(c)).alias("amount_text"),
             F.when(F.col("o_custkey") % 10 == 0, "Shell Clifton")
-            .otherwise(F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))).alias("vendor"),
-            F.concat("o_orderpriority", F.lit(" order "), key.cast("string")).alias("memo"),
+            .otherwise(F.concat(F.lit("Customer C"), F.col("o_custkey").cast("string"))).alias("vendor"),
+            F.concat("o_orderpriority", F.lit(" order K"), key.cast("string")).alias("memo"),
         )
     )
 
@@ -109,8 +109,8 @@ order_texts AS (
          WHEN o_orderkey % 4 = 1 THEN 'Rs. ' || {sql_ungrouped('cents')}
          WHEN o_orderkey % 4 = 2 THEN {sql_grouped('cents')}
          ELSE {sql_ungrouped('cents')} END AS amount_text,
-    CASE WHEN o_custkey % 10 = 0 THEN 'Shell Clifton' ELSE 'Customer ' || o_custkey END AS vendor,
-    o_orderpriority || ' order ' || o_orderkey AS memo,
+    CASE WHEN o_custkey % 10 = 0 THEN 'Shell Clifton' ELSE 'Customer C' || o_custkey END AS vendor,
+    o_orderpriority || ' order K' || o_orderkey AS memo,
     CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 THEN NULL ELSE cents / 100.0 END AS amount,
     CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE day END AS good_day
   FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, CAST(o_orderdate AS DATE) AS day FROM orders)
@@ -200,7 +200,7 @@ def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(out, zero).otherwise(money).cast("decimal(18,2)").alias("amount_credit"),
         F.when(out, -money).otherwise(money).cast("decimal(18,2)").alias("net_amount"),
         F.lit("PKR").alias("currency"),
-        F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("vendor_raw"),
+        F.concat(F.lit("Trader "), F.col("l_suppkey").cast("string")).alias("vendor_raw"),
         pick(words, F.col("l_partkey") % 7).alias("description_raw"),
         F.concat((F.col("l_partkey") % 8).cast("string"), F.lit("010")).alias("account_code"),
         pick(kinds, F.col("l_orderkey") % 9).alias("tx_type"),
@@ -217,7 +217,7 @@ clean_lines AS (
     CASE WHEN l_linenumber % 2 = 1 THEN cents ELSE 0 END AS debit_cents,
     CASE WHEN l_linenumber % 2 = 1 THEN 0 ELSE cents END AS credit_cents,
     CASE WHEN l_linenumber % 2 = 1 THEN -cents ELSE cents END AS net_cents,
-    'Supplier ' || l_suppkey AS vendor_raw,
+    'Trader ' || l_suppkey AS vendor_raw,
     ['Shell petrol', 'PTCL internet', 'Office rent', 'Legal advisory', 'Misc items', 'Sui gas bill', 'Freight cargo'][l_partkey % 7 + 1] AS description_raw,
     (l_partkey % 8) || '010' AS account_code,
     ['Payment', 'Rcpt', 'JV', 'Sale', 'Bill', 'TRF', 'Wages', 'Contra', ''][l_orderkey % 9 + 1] AS tx_type,
