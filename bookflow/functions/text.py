@@ -17,7 +17,13 @@ WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-NON_ASCII = r"[^\x00-\x7F]"
+# Characters that can make a text differ from its NFC: all marks, the letters with a canonical decomposition that NFC
+# does not restore, and Hangul jamo. Text without any of them is its own NFC.
+COMPOSABLE = (
+    r"[\p{M}\u0374\u037E\u0387\u0958-\u095F\u09DC-\u09DF\u0A33-\u0A36\u0A59-\u0A5E\u0B5C\u0B5D\u0F43-\u0F69"
+    r"\u1100-\u11FF\u1F71-\u1FFD\u2000\u2001\u2126-\u212B\u2329\u232A\u2ADC\uF900-\uFAFF\uFB1D-\uFB4F"
+    r"\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1D}\x{11000}-\x{11FFF}\x{16D00}-\x{16DFF}]"
+)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -51,15 +57,15 @@ def _nfc_array(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def nfc(text: Column) -> Column:
-    """Unicode NFC. Spark has no such function; ASCII text (its own NFC) travels to Python as null."""
-    return F.coalesce(_nfc(F.when(text.rlike(NON_ASCII), text)), text)
+    """Unicode NFC. Spark has no such function; text that is its own NFC travels to Python as null."""
+    return F.coalesce(_nfc(F.when(text.rlike(COMPOSABLE), text)), text)
 
 
 def normalize_unicode(rows: DataFrame, column: str = "raw") -> DataFrame:
-    """NFC on every key and value of a string-map column; only maps holding non-ASCII text travel to Python."""
+    """NFC on every key and value of a string-map column; only maps with something to compose travel to Python."""
     raw, texts = F.col(column), F.col("_texts")
     both = F.concat(F.map_keys(raw), F.map_values(raw))
-    composed = rows.withColumn("_texts", _nfc_array(F.when(F.to_json(raw).rlike(NON_ASCII), both)))
+    composed = rows.withColumn("_texts", _nfc_array(F.when(F.array_join(both, " ").rlike(COMPOSABLE), both)))
     width = F.size(raw)
     normal = map_last_wins(F.slice(texts, F.lit(1), width), F.slice(texts, width + 1, width))
     return composed.withColumn(column, F.when(texts.isNull(), raw).otherwise(normal)).drop("_texts")

@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bookflow.dictionary import RESERVED_NAMES, tx_type_rows
-from bookflow.functions.text import strip
+from bookflow.functions.text import WHITESPACE, strip
 from bookflow.options import DEFAULTS, Options
 
 # --- fixed values -------------------------------------------------------------------------------------
-FORMULA_PREFIX = r"^[=+\-@]"
+FORMULA_PREFIX = "[=+\\-@]"
 FORMULA_MARK = "FORMULA_REMOVED:"
 DANGEROUS = r"(?i)<script|javascript:|data:text|HYPERLINK|=CMD\(|=SHELL\(|=EXEC\(|\.\./|\x00"
 DANGEROUS_MARK = "DANGEROUS_CONTENT_REMOVED"
@@ -130,10 +130,10 @@ def date_passthrough(text: Column) -> Column:
 
 def neutralize_cell(text: Column) -> Column:
     """Cell text with formulas marked and dangerous content replaced; other cells come back untouched."""
-    bare = strip(text)
+    formula = f"^[{WHITESPACE}]*{FORMULA_PREFIX}"
     return (
-        F.when(bare.rlike(FORMULA_PREFIX), F.concat(F.lit(FORMULA_MARK), bare))
-        .when(bare.rlike(DANGEROUS), F.lit(DANGEROUS_MARK))
+        F.when(text.rlike(formula), F.concat(F.lit(FORMULA_MARK), strip(text)))
+        .when(text.rlike(DANGEROUS), F.lit(DANGEROUS_MARK))
         .otherwise(text)
     )
 
@@ -159,8 +159,10 @@ def rename_reserved(name: Column) -> Column:
 
 
 def rename_reserved_keys(raw: Column) -> Column:
-    """``rename_reserved`` on every key of a string map."""
-    return F.transform_keys(raw, lambda key, _: rename_reserved(key))
+    """``rename_reserved`` on every key of a string map; maps without a reserved key are passed through."""
+    return F.when(
+        F.exists(F.map_keys(raw), is_reserved), F.transform_keys(raw, lambda key, _: rename_reserved(key))
+    ).otherwise(raw)
 
 
 def normalize_tx_type(text: Column) -> Column:

@@ -12,7 +12,7 @@ from bookflow.functions import ledger as lx
 from bookflow.functions.keys import uuid_of
 from bookflow.functions.values import mask_pii, normalize_tx_type
 from bookflow.options import DEFAULTS, Options
-from bookflow.plans.joins import attach_totals, lookup_join
+from bookflow.plans.joins import attach_totals, salted_lookup
 
 # Weights of the completeness score.
 QUALITY_WEIGHTS = {
@@ -135,12 +135,12 @@ def mark_duplicates(silver: DataFrame, options: Options = DEFAULTS) -> DataFrame
 
 
 def survivors(silver: DataFrame) -> DataFrame:
-    """Duplicates joined to the row that survives them."""
+    """Duplicates joined to the row that survives them; one survivor may have any share of the copies."""
     kept = silver.filter(~F.col("is_duplicate")).select(
         F.col("silver_id").alias("duplicate_of"), F.col("bronze_id").alias("survivor_bronze_id")
     )
     copies = silver.filter(F.col("is_duplicate")).select("silver_id", "bronze_id", "duplicate_of")
-    return lookup_join(copies, kept, ["duplicate_of"], ["silver_id"])
+    return salted_lookup(copies, kept, ["duplicate_of"], ["silver_id"])
 
 
 def advance_status(raw: DataFrame, silver: DataFrame, quarantined: DataFrame) -> DataFrame:

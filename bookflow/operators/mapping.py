@@ -27,9 +27,12 @@ def layout_id(source_software: str = "source_software", headers: str = "headers"
 
 
 def layout_columns(layouts: DataFrame) -> DataFrame:
-    """One row per layout and header with its position; reserved names are renamed, which ``original`` remembers."""
+    """One row per layout and header with its position; reserved names are renamed, which ``original`` remembers.
+
+    ``layouts``: layout_id, source_software, headers and ``files``, the number of files with that layout.
+    """
     return (
-        layouts.select("layout_id", "source_software", F.posexplode("headers").alias("position", "original"))
+        layouts.select("layout_id", "source_software", "files", F.posexplode("headers").alias("position", "original"))
         .withColumn("column", rename_reserved(F.col("original")))
         .withColumn("renamed", is_reserved(F.col("original")))
     )

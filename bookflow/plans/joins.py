@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookflow.options import DEFAULTS, Options
-from bookflow.plans.session import materialize
 
 
 def fits_broadcast(df: DataFrame, options: Options = DEFAULTS) -> bool:
@@ -54,14 +53,25 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a relation with unique ``keys``: broadcast when measured small, else shuffled and salted.
 
+    ``right`` is computed for the measurement and again for the join; pass it materialized when that is costly.
     ``salt_by`` names columns that tell the left rows of one key apart (a row id).
     """
-    right = materialize(right)
-    left, right = _keyed(left, keys), _keyed(right, keys).drop(*keys)
     if fits_broadcast(right, options):
-        return left.join(F.broadcast(right), "_key", "left").drop("_key")
-    counts = left.groupBy("_key").agg(F.count("*").alias("_n"))
-    return _salted(left, right, counts, salt_by or [c for c in left.columns if c != "_key"], options)
+        return _keyed(left, keys).join(F.broadcast(_keyed(right, keys).drop(*keys)), "_key", "left").drop("_key")
+    return salted_lookup(left, right, keys, salt_by, options)
+
+
+def salted_lookup(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    salt_by: list[str] | None = None,
+    options: Options = DEFAULTS,
+) -> DataFrame:
+    """Left join to a large relation with unique ``keys`` while some keys may be hot on the left."""
+    keyed = _keyed(left, keys)
+    counts = keyed.groupBy("_key").agg(F.count("*").alias("_n"))
+    return _salted(keyed, _keyed(right, keys).drop(*keys), counts, salt_by or left.columns, options)
 
 
 def attach_totals(

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from bookflow.functions import files as fx
 from bookflow.functions.text import map_last_wins, normalize_unicode
 from bookflow.functions.values import neutralize_row, neutralized_count, rename_reserved_keys
+from bookflow.operators.clean import mark_duplicates, quarantine, standardize
+from bookflow.operators.curate import curate, period_summary
 from bookflow.operators.mapping import apply_mapping, attach_mapping, layout_columns, layout_id, layout_records
 from bookflow.operators.matching import map_columns, mapping_summary, triage
 from bookflow.operators.memory import apply_suggestions, load_memory, save_memory
 from bookflow.options import DEFAULTS, Options
 from bookflow.plans.joins import lookup_join
 from bookflow.plans.session import materialize
+from bookflow.tables import Ledger, audit_event
 
 
 @dataclass
@@ -70,12 +73,13 @@ def map_batch(
         F.first("source_software").alias("source_software"), F.first("headers").alias("headers"),
         F.count("*").alias("files"),
     )
-    columns = materialize(layout_columns(layouts).join(layouts.select("layout_id", "files"), "layout_id"))
+    columns = layout_columns(layouts)
     reusable = None if memory is None else load_memory(memory, options)
-    mapped = attach_mapping(columns, map_columns(columns, reusable, options).drop("renamed_to"), options)
+    known = materialize(map_columns(columns, reusable, options).drop("renamed_to"))
+    mapped = attach_mapping(columns, known, options)
     if suggestions is not None:
         mapped = apply_suggestions(mapped, suggestions, ["layout_id"], options)
-    mapped = materialize(triage(mapped, options))
+    mapped = triage(mapped, options)
 
     eligible = rows.withColumn("layout_id", layout_id())
     failed = facts.filter(F.col("error").isNotNull()).select("file_hash")
@@ -152,3 +156,61 @@ def _results(facts: DataFrame, mapped: DataFrame, suggestions: DataFrame | None,
 def _object(entries: str, key: str, value: str) -> Column:
     """Map of a list of structs; the last of equal keys wins."""
     return map_last_wins(F.transform(entries, lambda e: e[key]), F.transform(entries, lambda e: e[value]))
+
+
+@dataclass
+class RefinedBatch:
+    """The clean and curated rows of a batch with everything set aside on the way."""
+
+    mapped: MappedBatch
+    silver: DataFrame
+    quarantined: DataFrame
+    gold: DataFrame
+
+
+def refine(
+    rows: DataFrame,
+    memory: DataFrame | None = None,
+    suggestions: DataFrame | None = None,
+    prior: DataFrame | None = None,
+    options: Options = DEFAULTS,
+) -> RefinedBatch:
+    """Raw rows to curated transactions.
+
+    ``rows`` as for ``map_batch``, with bronze_id and source_type. Mapped and standardised rows are written down once:
+    the duplicate check reads them twice and must not map them again. ``prior`` (silver_id, gold_version) numbers
+    reprocessed rows.
+    """
+    mapped = map_batch(rows, memory, suggestions, options=options)
+    standard = materialize(standardize(mapped.rows, options))
+    sound, quarantined = quarantine(standard)
+    silver = materialize(mark_duplicates(sound, options))
+    return RefinedBatch(mapped, silver, quarantined, curate(silver, prior, options))
+
+
+def store(ledger: Ledger, batch: RefinedBatch, load_id: str, options: Options = DEFAULTS) -> None:
+    """Append a refined batch to the clean, quarantine, curated and audit tables and version the mapping memory."""
+    ledger.append(batch.silver, "silver_transactions", load_id)
+    ledger.append(batch.quarantined, "silver_quarantine", load_id)
+    ledger.append(batch.gold, "gold_transactions", load_id)
+    if batch.mapped.memory is not None:
+        ledger.append(batch.mapped.memory, "bronze_schema_mappings", load_id)
+    results = batch.mapped.results
+    mapped_columns = F.size(F.from_json("column_mapping", "map<string,string>"))
+    events = results.select(
+        *audit_event(
+            "schema_mapping_complete", "silver", F.when(F.col("success"), "success").otherwise("failure"),
+            F.format_string(
+                "%s: %s mapped, %s need review, coverage=%s%%, llm_used=%s", "source_software", mapped_columns,
+                F.size("needs_user_review"), F.round(F.col("coverage") * 100).cast("int"), "llm_used",
+            ),
+            mapped_columns,
+            F.col("batch_id"),
+        )
+    )
+    ledger.audit(events, f"{load_id}-mapping")
+
+
+def summarize(ledger: Ledger, load_id: str, options: Options = DEFAULTS) -> None:
+    """Write the period summaries of all curated rows as a new version."""
+    ledger.append(period_summary(ledger.read_curated(), options=options), "gold_period_summaries", load_id)

@@ -181,7 +181,7 @@ def split_fields(record: Column, delimiter: Column) -> Column:
     for d in DELIMITERS[:3]:
         plain = plain.when(delimiter == d, F.split(record, d))
     fields = F.when(record.contains('"'), quoted).otherwise(plain)
-    return F.transform(F.transform(fields, F.ltrim), _unquote)
+    return F.transform(F.transform(fields, lambda field: F.ltrim(field)), _unquote)
 
 
 def _last_places(headers: Column) -> Column:

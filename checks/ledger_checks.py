@@ -8,7 +8,7 @@ from bookflow import contracts as ct
 from bookflow.functions import ledger as lx
 from bookflow.operators import clean, curate
 from bookflow.options import Options
-from bookflow.plans.refine import map_batch
+from bookflow.plans.refine import map_batch, refine
 from checks.data import (
     SQL_CLEAN, SQL_MAPPED, as_cents, clean_lines, pick, raw_rows,
 )
@@ -485,9 +485,7 @@ once AS (SELECT *, v IS NOT NULL AND sid <> min(sid) OVER (PARTITION BY good_day
     CAST(count(*) AS INTEGER) AS n FROM once WHERE NOT copy GROUP BY 2""",
 )
 def _(spark, sf_dir):
-    sound, _ = clean.quarantine(standardized(spark, sf_dir))
-    gold = curate.curate(clean.mark_duplicates(sound))
-    totals = curate.period_totals(gold).filter("period_type = 'monthly'")
+    totals = curate.period_totals(refine(raw_rows(spark, sf_dir)).gold).filter("period_type = 'monthly'")
     return totals.select(
         "period_type", "period_key", as_cents("total_debits").alias("debits"), as_cents("total_credits").alias("credits"),
         F.col("transaction_count").alias("n"),
