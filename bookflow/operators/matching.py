@@ -60,6 +60,13 @@ def prepare(columns: DataFrame) -> DataFrame:
     return columns.withColumn("column_ci", F.lower(strip(name))).withColumn("plain", normalize_name(name))
 
 
+def _by_header(headers: DataFrame) -> DataFrame:
+    """Headers hashed by name. Everything up to the best entry per header then stays in place, and the few headers keep
+    all cores busy, where adaptive execution would gather them in one task."""
+    partitions = int(headers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return headers.repartition(partitions, "column")
+
+
 def _matched(target: Column, confidence: Column, method: str) -> list[Column]:
     return [
         target.alias("standard_field"), confidence.alias("confidence"), F.lit(method).alias("match_method"),
@@ -160,7 +167,7 @@ def _top(scored: DataFrame) -> DataFrame:
 
 def match_fuzzy(columns: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """Headers whose bigram similarity times the entry's confidence reaches ``options.suggest``."""
-    best = _similar(prepare(columns.select("column").distinct()), options)
+    best = _similar(_by_header(prepare(columns.select("column").distinct())), options)
     return best.select("column", *_fuzzy_match())
 
 
@@ -174,7 +181,7 @@ def _fuzzy_match() -> list[Column]:
 
 def match_substring(columns: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """Headers that contain an entry or stand inside one, scored by the length ratio, from ``options.reject`` on."""
-    best = _containing(prepare(columns.select("column").distinct()), options)
+    best = _containing(_by_header(prepare(columns.select("column").distinct())), options)
     return best.select(
         "column", *_matched(F.col("target"), round_half_even(F.col("score"), 3), "substring_match")
     )
@@ -224,11 +231,9 @@ def map_columns(columns: DataFrame, memory: DataFrame | None = None, options: Op
             ),
         )
     )
-    still_open = (
-        looked_up.filter(F.col("found").isNull() & ~F.col("is_reserved"))
-        .select("column", "column_ci", "plain")
-        .distinct()
-    )
+    still_open = _by_header(
+        looked_up.filter(F.col("found").isNull() & ~F.col("is_reserved")).select("column", "column_ci", "plain")
+    ).distinct()
 
     def scored(best: DataFrame, name: str, method: Column) -> DataFrame:
         value = answer(F.col("target"), round_half_even(F.col("score"), 3), method)

@@ -53,3 +53,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores; an input that has them already is left alone.
+
+    Small tables come in one or two files, which would keep most cores idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
