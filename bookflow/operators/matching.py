@@ -2,7 +2,9 @@
 
 Every function works on distinct headers. The dictionary has 487 rows whatever the data, so its lookup forms are
 always broadcast. Similarity and substring matching look candidates up by shared bigrams and trigrams: an equi-join
-that finds exactly the pairs a comparison of every header with every entry would score above zero.
+that finds exactly the pairs a comparison of every header with every entry would score above zero. The n-grams are
+exploded in the outer form: the inner one lets the optimizer move "has n-grams", and with it the whole normalisation,
+below the step that makes headers distinct.
 """
 
 from __future__ import annotations
@@ -106,29 +108,31 @@ def match_normalized(columns: DataFrame, options: Options = DEFAULTS) -> DataFra
 
 def _similar(prepared: DataFrame, options: Options) -> DataFrame:
     spark = prepared.sparkSession
+    best = _best_entries(5)
     entries = spark.createDataFrame(
         [
-            (gram, len(_char_grams(plain, 2)), r[0], r[3], r[6], r[7])
-            for plain, r in _best_entries(5).items()
+            (gram, len(_char_grams(plain, 2)), r[0], r[7])
+            for plain, r in best.items()
             for gram in _char_grams(plain, 2)
         ],
-        "gram string, entry_grams int, " + _ENTRY,
+        "gram string, entry_grams int, ord int, base double",
     )
+    names = spark.createDataFrame([(r[0], r[3], r[6]) for r in best.values()], "ord int, header string, target string")
     wanted = (
         prepared.select("column", grams(F.col("plain"), 2).alias("gs"))
-        .select("column", F.size("gs").alias("column_grams"), F.explode("gs").alias("gram"))
+        .select("column", F.size("gs").alias("column_grams"), F.explode_outer("gs").alias("gram"))
     )
     # A pair of sets can be no more alike than the smaller is to the larger.
     ceiling = F.least("column_grams", "entry_grams") / F.greatest("column_grams", "entry_grams")
     shared = (
         wanted.join(F.broadcast(entries), "gram")
         .filter(ceiling * F.col("base") >= options.suggest)
-        .groupBy("column", "column_grams", "entry_grams", "ord", "header", "target", "base")
+        .groupBy("column", "ord", "column_grams", "entry_grams", "base")
         .agg(F.count("*").alias("both"))
     )
     either = F.col("column_grams") + F.col("entry_grams") - F.col("both")
     scored = shared.withColumn("score", F.col("both") / either * F.col("base"))
-    return _top(scored.filter(F.col("score") >= options.suggest))
+    return _top(scored.filter(F.col("score") >= options.suggest).join(F.broadcast(names), "ord"))
 
 
 def _containing(prepared: DataFrame, options: Options) -> DataFrame:
@@ -144,7 +148,7 @@ def _containing(prepared: DataFrame, options: Options) -> DataFrame:
     inside, outside = F.length("known"), F.length("column_ci")
     # An entry inside the header: its first trigram is one of the header's trigrams.
     longer = (
-        names.withColumn("gram", F.explode(grams(F.col("column_ci"), 3)))
+        names.withColumn("gram", F.explode_outer(grams(F.col("column_ci"), 3)))
         .join(entries(lambda k: [k[:3]]), "gram")
         .filter(F.col("column_ci").contains(F.col("known")))
         .withColumn("score", inside / outside * F.col("base") * F.lit(0.80))
