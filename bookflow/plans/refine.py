@@ -16,7 +16,7 @@ from bookflow.operators.mapping import apply_mapping, attach_mapping, layout_col
 from bookflow.operators.matching import map_columns, mapping_summary, triage
 from bookflow.operators.memory import apply_suggestions, load_memory, save_memory
 from bookflow.options import DEFAULTS, Options
-from bookflow.plans.joins import lookup_join
+from bookflow.plans.joins import fits_broadcast, lookup_join
 from bookflow.plans.session import materialize
 from bookflow.tables import Ledger, audit_event
 
@@ -83,6 +83,7 @@ def map_batch(
 
     eligible = rows.withColumn("layout_id", layout_id())
     failed = facts.filter(F.col("error").isNotNull()).select("file_hash")
+    failed = F.broadcast(failed) if fits_broadcast(failed, options) else failed
     eligible = eligible.join(failed, "file_hash", "left_anti")
     cleaned = apply_mapping(secure_rows(eligible), layout_records(mapped), options)
 

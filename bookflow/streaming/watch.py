@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,9 @@ def watch(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         here = Ledger(batch.sparkSession, ledger.root)
-        results = ingest(here, batch, f"stream-{batch_id:012d}", options=options)
+        # The query id lives in the checkpoint: the same after a restart, another for a new checkpoint.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        results = ingest(here, batch, f"{query_id}-{batch_id:012d}", options=options)
         if on_result is not None:
             on_result(results)
 
@@ -76,4 +79,4 @@ def stop(ledger: Ledger, query: StreamingQuery) -> None:
 
 def _note(ledger: Ledger, operation: str, message: str) -> None:
     event = ledger.spark.range(1).select(*audit_event(operation, "bronze", "success", F.lit(message)))
-    ledger.audit(event.withColumn("logged_at", F.current_timestamp()), operation)
+    ledger.audit(event.withColumn("logged_at", F.current_timestamp()), f"{operation}-{uuid.uuid4().hex}")

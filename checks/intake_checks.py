@@ -237,7 +237,7 @@ def _(spark, sf_dir):
     query.awaitTermination()
     kept = spark.read.parquet(out).select("file_path")
     lines = spark.read.option("header", True).csv(folder).withColumn("file_path", F.col("_metadata.file_path"))
-    return lines.join(F.broadcast(kept), "file_path", "left_semi").agg(F.count("*").alias("rows"))
+    return lines.join(kept, "file_path", "left_semi").agg(F.count("*").alias("rows"))
 
 
 # --- delimited files ------------------------------------------------------------------------------------

@@ -324,7 +324,7 @@ def _(spark, sf_dir):
     suggestions = order_suggestions(spark, sf_dir)
     columns = suggestions.select("layout_id", F.lit("unknown").alias("source_software"), F.explode("columns").alias("column"))
     mapped = matching.map_columns(columns)
-    each = columns.join(F.broadcast(mapped), ["source_software", "column"])
+    each = mapping.attach_mapping(columns.withColumn("position", F.lit(0)), mapped).drop("position")
     applied = memory.apply_suggestions(each, memory.validate_suggestions(suggestions), ["layout_id"])
     return applied.select("layout_id", "column", "standard_field", "confidence", "match_method")
 

@@ -144,6 +144,15 @@ def test_only_named_suffixes_are_read(spark, vault):
     files = landing.scan_files(spark, str(vault))
     names = {r[0].rsplit("/", 1)[1] for r in landing.by_suffix(files, [".csv"]).select("path").collect()}
     assert names == {"a.csv", "copy.csv", "empty.csv", "hbl_statement.csv"}
+    # Reading any file above the limit fails, so this passes only because the workbooks are never opened.
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 200)
+    try:
+        files = landing.scan_files(spark, str(vault))
+        assert landing.by_suffix(files, [".csv"]).selectExpr("sum(length(content))").first()[0] > 0
+        with pytest.raises(Exception, match="(?i)length"):
+            landing.by_suffix(files, [".xlsx"]).selectExpr("sum(length(content))").first()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
 def test_stream_restart(spark, vault, tmp_path):
@@ -164,3 +173,9 @@ def test_stream_restart(spark, vault, tmp_path):
     (vault / "new.csv").write_bytes(b"Date,Amount\n1,2\n")
     run()
     assert ledger.read("bronze_transactions").count() == 5 and seen[1:] == [1]
+    notes = ledger.sql("SELECT operation, count(*) FROM pipeline_audit_log WHERE operation LIKE 'watcher%' GROUP BY 1")
+    assert {tuple(r) for r in notes.collect()} == {("watcher_started", 3), ("watcher_stopped", 3)}
+    # A new checkpoint starts over without touching what earlier watchers stored.
+    query = watch(ledger, str(vault), str(tmp_path / "ck2"))
+    query.awaitTermination()
+    assert ledger.read("bronze_transactions").count() == 5
