@@ -413,7 +413,7 @@ def _(spark, sf_dir):
 
 @check(
     "vs_prior_period",
-    f"WITH {SQL_PERIODS} SELECT period_type, period_key, CAST(CAST(pct AS FLOAT) AS DOUBLE) AS pct FROM moved",
+    f"WITH {SQL_PERIODS} SELECT period_type, period_key, CAST(CAST(pct AS FLOAT) AS DOUBLE) + 0.0 AS pct FROM moved",
 )
 def _(spark, sf_dir):
     totals = curate.vs_prior_period(curate.period_totals(gold_lines(spark, sf_dir)))
