@@ -190,7 +190,10 @@ def refine(
 
 
 def store(ledger: Ledger, batch: RefinedBatch, load_id: str, options: Options = DEFAULTS) -> None:
-    """Append a refined batch to the clean, quarantine, curated and audit tables and version the mapping memory."""
+    """Append a refined batch to the clean, quarantine, curated and audit tables and version the mapping memory.
+
+    Give ``refine`` the memory of ``ledger.version("bronze_schema_mappings", before=load_id)``.
+    """
     ledger.append(batch.silver, "silver_transactions", load_id)
     ledger.append(batch.quarantined, "silver_quarantine", load_id)
     ledger.append(batch.gold, "gold_transactions", load_id)

@@ -24,6 +24,10 @@ PARTITIONED = {
     "silver_transactions": "year_month", "gold_transactions": "year_month", "gold_period_summaries": "period_type",
 }
 
+# Tables of which every load is a whole new version, and the load id of a newly made table, which sorts first.
+VERSIONED = ["bronze_schema_mappings", "gold_period_summaries"]
+CREATED = "0-created"
+
 # --- fixed values: the six tables counted by table_stats, and the operations written to the audit log --
 COUNTED = [t for t in ct.TABLES if t != "bronze_schema_mappings"]
 AUDIT_OPERATIONS = """
@@ -60,7 +64,7 @@ class Ledger:
         for table in ct.TABLES:
             if not self._exists(table):
                 empty = self.spark.createDataFrame([], ct.CONTRACTS[table].schema)
-                self.append(empty, table, "created")
+                self.append(empty, table, CREATED)
         missing = self.missing_tables()
         if missing:
             raise RuntimeError(f"Schema verification failed. Missing tables: {missing}")
@@ -71,8 +75,20 @@ class Ledger:
         return [t for t in ct.TABLES if not self._exists(t)]
 
     def read(self, table: str) -> DataFrame:
-        """A table with its generated columns and ``load_id``."""
-        return ct.with_computed(self._stored(table), ct.CONTRACTS[table])
+        """A table with its generated columns and ``load_id``; of a versioned table the newest version."""
+        stored = self.version(table) if table in VERSIONED else self._stored(table)
+        return ct.with_computed(stored, ct.CONTRACTS[table])
+
+    def version(self, table: str, before: str | None = None) -> DataFrame:
+        """The newest version of a table that is rewritten as a whole, or the newest one ``before`` a load.
+
+        Load ids of such tables must sort by time. A load that is run again takes the version before itself, so it
+        counts nothing twice. The condition on the partition column prunes every other version.
+        """
+        stored = self._stored(table)
+        older = stored if before is None else stored.filter(F.col("load_id") < before)
+        newest = older.agg(F.max("load_id")).first()[0] or CREATED
+        return stored.filter(F.col("load_id") == newest)
 
     def register_views(self) -> None:
         """Temp views named like the tables."""
@@ -103,11 +119,6 @@ class Ledger:
         else:
             ready.write.mode("overwrite").parquet(folder)
 
-    def latest(self, table: str) -> DataFrame:
-        """The highest ``load_id`` of a versioned table. The partition filter prunes every other version."""
-        newest = self.read(table).filter(F.col("load_id") != "created").agg(F.max("load_id")).first()[0]
-        return self.read(table).filter(F.col("load_id") == newest).drop("load_id")
-
     def audit(self, events: DataFrame, load_id: str) -> None:
         """Append audit events; a failing write is logged, never raised."""
         try:
