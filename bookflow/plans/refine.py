@@ -39,11 +39,11 @@ def secure_rows(rows: DataFrame, column: str = "raw") -> DataFrame:
 
 
 def file_facts(rows: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """Per file: its layout, row count, neutralised cells and the verdict of the two size gates in ``error``."""
-    facts = rows.groupBy("file_hash").agg(
-        F.first("batch_id").alias("batch_id"),
-        F.first("source_software").alias("source_software"),
-        F.first("headers").alias("headers"),
+    """Per file: its layout, row count, neutralised cells and the verdict of the two size gates in ``error``.
+
+    What is the same in all rows of a file is grouped by, so that only numbers are aggregated, by hash and map-side.
+    """
+    facts = rows.groupBy("file_hash", "batch_id", "source_software", "headers").agg(
         F.max("file_size_bytes").alias("file_size_bytes"),
         F.count("*").alias("row_count"),
         F.sum(neutralized_count(F.col("raw"))).alias("formula_count"),
@@ -69,10 +69,7 @@ def map_batch(
     """
     facts = materialize(file_facts(rows, options))
     passed = facts.filter(F.col("error").isNull())
-    layouts = passed.groupBy("layout_id").agg(
-        F.first("source_software").alias("source_software"), F.first("headers").alias("headers"),
-        F.count("*").alias("files"),
-    )
+    layouts = passed.groupBy("layout_id", "source_software", "headers").agg(F.count("*").alias("files"))
     columns = layout_columns(layouts)
     reusable = None if memory is None else load_memory(memory, options)
     known = materialize(map_columns(columns, reusable, options).drop("renamed_to"))
