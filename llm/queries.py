@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from llm import mixing  # noqa: F401
+from llm import mixing, quality, tokenfile, warc  # noqa: F401
 from llm.registry import ORACLES, QUERIES  # noqa: F401
