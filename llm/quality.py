@@ -19,7 +19,7 @@ FAMILIES = 2 + len(BYTE_LENGTHS)
 SYMBOLS = b"#*$%&|<>"
 #: Fixed thresholds: below the first a text is rejected, from the second on it is good; between them it is kept and
 #: marked 'unsure'.
-REJECT_BELOW, GOOD_FROM = 0.5, 0.8
+REJECT_BELOW, GOOD_FROM = 0.7, 0.9
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -103,24 +103,25 @@ def _sparse(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys).astype(np.int32), np.concatenate(shares).astype(np.float32)
 
 
-def _fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: np.ndarray, steps: int = 150):
-    """Logistic regression by Adam over all rows; features are scaled to unit root mean square first."""
+def _fit(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: np.ndarray, steps: int = 120):
+    """Logistic regression by Adam over all rows; ``weight`` sums to 1. Features are divided by their root mean square
+    plus 0.01, which leaves n-grams that few texts have without a say."""
     y = np.array([r[0] for r in rows], float)
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
     used, column = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
     value = np.concatenate([r[2] for r in rows]).astype(float)
-    scale = np.sqrt(np.bincount(column, value * value, len(used)) / len(rows)) + 1e-4
+    scale = np.sqrt(np.bincount(column, value * value, len(used)) / len(rows)) + 0.01
     value = value / scale[column]
     w, b = np.zeros(len(used)), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
         z = np.bincount(row, value * w[column], len(rows)) + b
         d = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y)
-        g, gb = np.bincount(column, value * d[row], len(used)) + 1e-3 * w, d.sum()
+        g, gb = np.bincount(column, value * d[row], len(used)) + 1e-4 * w, d.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         k, l = 1 - 0.9**t, 1 - 0.99**t
-        w = w - 0.02 * (m / k) / (np.sqrt(v / l) + 1e-8)
-        b = b - 0.02 * (mb / k) / (np.sqrt(vb / l) + 1e-8)
+        w = w - 0.005 * (m / k) / (np.sqrt(v / l) + 1e-6)
+        b = b - 0.005 * (mb / k) / (np.sqrt(vb / l) + 1e-6)
     weights = np.zeros(FAMILIES << BITS, np.float32)
     weights[used] = w / scale
     return weights.reshape(FAMILIES, -1), float(b)
@@ -197,7 +198,7 @@ def train_quality(
         return None
     train = [p for p, h in zip(parsed, held) if not h]
     ty = np.array([p[0] for p in train])
-    weights, bias = _fit(train, np.where(ty == 1, 0.5 / max(1, (ty == 1).sum()), 0.5 / max(1, (ty == 0).sum())) * len(train) / 100)
+    weights, bias = _fit(train, np.where(ty == 1, 0.5 / max(1, (ty == 1).sum()), 0.5 / max(1, (ty == 0).sum())))
     flat, judged = weights.reshape(-1), [p for p, h in zip(parsed, held) if h] or train
     scores = np.array([bias + float(flat[k] @ s) for _, k, s in judged])
     jy = np.array([p[0] for p in judged])
