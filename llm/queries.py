@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from llm import embeddings, mixing, quality, tokenfile, warc  # noqa: F401
+from llm import embeddings, jaccard, lines, mixing, quality, tokenfile, warc  # noqa: F401
 from llm.registry import ORACLES, QUERIES  # noqa: F401
