@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,13 +110,7 @@ def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
     return np.unique(windows(hashes, n))
 
 
-def batches(rows: Iterable, size: int):
-    """Lists of at most ``size`` rows."""
-    out = []
-    for row in rows:
-        out.append(row)
-        if len(out) == size:
-            yield out
-            out = []
-    if out:
-        yield out
+def small_batches(batch, rows: int):
+    """An Arrow batch in slices, so that what a task makes of it stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)

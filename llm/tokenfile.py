@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.common import new_folder, table, written
+from llm.common import new_folder, small_batches, table, written
 from llm.files import create, reading
 from llm.registry import query
 from llm.tokens import END, default_vocabulary, encoder
@@ -107,17 +107,18 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
     """
     path = vocabulary or default_vocabulary()
 
-    def write(rows):
+    def write(batches):
         own = encoder(path)
         held, out = None, None
         try:
-            for batch in rows:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if out is None:
-                        held = create(folder, ".tok.zst")
-                        name, stream = held.__enter__()
-                        out = FrameWriter(stream)
-                    out.add(doc_id, own.encode(text) + END)
+            for batch in batches:
+                if out is None:
+                    held = create(folder, ".tok.zst")
+                    name, stream = held.__enter__()
+                    out = FrameWriter(stream)
+                for rows in small_batches(batch, 256):
+                    for doc_id, ids in zip(rows.column(0).to_pylist(), own.encode_all(rows.column(1).to_pylist())):
+                        out.add(doc_id, ids + END)
             if out is not None:
                 out.close()
         finally:

@@ -20,54 +20,67 @@ LONGEST = 48
 END = b"\0\0\0\0"
 
 
-class _Pieces(dict):
-    def __init__(self, make, bound: int):
-        super().__init__()
-        self.make, self.bound = make, bound
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.make(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= self.bound:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
 class WordEncoder:
     """Ids of whole texts as little-endian uint32 bytes, equal to encode(text, add_special_tokens=False).
 
     A byte-level BPE with the usual pattern never joins text across a space that starts a word (" word": a space,
     then no white space): whatever white space stands before that space is a token run of its own, and the space
-    goes with the word. So a text is cut at those spaces, each piece is encoded by the tokenizer and kept in a
-    bounded cache. Texts that hold the string of an added token, and tokenizers of any other kind, are encoded as a
+    goes with the word. So texts are cut at those spaces; the pieces not met before are encoded together, as one
+    text, and cut apart by their offsets. The caches hold ``bound`` pieces each; when the newer is full it becomes
+    the older. Texts that hold the string of an added token, and tokenizers of any other kind, are encoded as a
     whole. A lone surrogate is read as '?'.
     """
 
-    def __init__(self, path: str, bound: int = 800_000):
+    def __init__(self, path: str, bound: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         kind = str(self.tokenizer.pre_tokenizer)
-        self.cuts = kind.startswith("ByteLevel") and "add_prefix_space=False" in kind and "use_regex=True" in kind and not self.tokenizer.normalizer
-        self.words = _Pieces(lambda word: self._whole(" " + word), bound)
+        plain = "add_prefix_space=False" in kind and "use_regex=True" in kind
+        self.cuts = kind.startswith("ByteLevel") and plain and not self.tokenizer.normalizer and not self.tokenizer.post_processor
+        self.words, self.older, self.bound = {}, {}, bound
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        try:
-            if not self.cuts or any(a in text for a in self.added):
-                return self._whole(text)
-            pieces = START.split(text) if LOOSE.search(text) else text.split(" ")
-            if not pieces[0]:  # the text starts with a space
-                return b"".join(map(self.words.__getitem__, pieces[1:]))
-            return self._whole(pieces[0]) + b"".join(map(self.words.__getitem__, pieces[1:]))
-        except UnicodeEncodeError:
-            return self.encode(text.encode("utf-8", "replace").decode())
+    def _learn(self, words: list[str]) -> None:
+        """Encodes words, each after a space."""
+        starts = np.cumsum([0] + [len(w) + 1 for w in words])
+        found = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
+        ids, offsets = np.array(found.ids, "<u4").tobytes(), np.array([o[0] for o in found.offsets])
+        cuts = (4 * np.searchsorted(offsets, starts)).tolist()
+        self.words.update((w, ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """The text cut at spaces that start a word; None if it must stay whole."""
+        if not self.cuts or any(a in text for a in self.added):
+            return None
+        return START.split(text) if LOOSE.search(text) else text.split(" ")
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        texts = [t.encode("utf-8", "replace").decode() if t else "" for t in texts]
+        out = []
+        for at in range(0, len(texts), 64):
+            cut = [self._pieces(t) for t in texts[at : at + 64]]
+            wanted = set().union(*(p[1:] for p in cut if p))
+            new = []
+            for word in wanted - self.words.keys():
+                if (ids := self.older.get(word)) is None:
+                    new.append(word)
+                else:
+                    self.words[word] = ids
+            if new:
+                self._learn(new)
+            for text, pieces in zip(texts[at : at + 64], cut):
+                if pieces is None:
+                    out.append(self._whole(text))
+                else:
+                    out.append((self._whole(pieces[0]) if pieces[0] else b"") + b"".join(map(self.words.__getitem__, pieces[1:])))
+            if len(self.words) > self.bound:
+                self.older = {w: ids for w, ids in self.words.items() if len(w) <= LONGEST}
+                self.words = {}
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
