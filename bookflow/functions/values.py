@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bookflow.dictionary import RESERVED_NAMES, tx_type_rows
-from bookflow.functions.text import WHITESPACE, strip
+from bookflow.functions.text import WHITESPACE, map_last_wins, strip
 from bookflow.options import DEFAULTS, Options
 
 # --- fixed values -------------------------------------------------------------------------------------
@@ -159,10 +159,12 @@ def rename_reserved(name: Column) -> Column:
 
 
 def rename_reserved_keys(raw: Column) -> Column:
-    """``rename_reserved`` on every key of a string map; maps without a reserved key are passed through."""
-    return F.when(
-        F.exists(F.map_keys(raw), is_reserved), F.transform_keys(raw, lambda key, _: rename_reserved(key))
-    ).otherwise(raw)
+    """``rename_reserved`` on every key of a string map; maps without a reserved key are passed through.
+
+    A file may hold a renamed key already; of two cells that end up under one key the later one stays.
+    """
+    renamed = map_last_wins(F.transform(F.map_keys(raw), rename_reserved), F.map_values(raw))
+    return F.when(F.exists(F.map_keys(raw), is_reserved), renamed).otherwise(raw)
 
 
 def normalize_tx_type(text: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookflow.functions.text import is_blank, strip
+from bookflow.functions.text import is_blank, map_last_wins, strip
 from bookflow.functions.values import looks_like_date
 from bookflow.options import DEFAULTS, Options
 
@@ -132,7 +132,7 @@ def cells_to_rows(data: DataFrame, headers: DataFrame) -> DataFrame:
         .filter(F.exists("vs", lambda v: ~is_blank(v) & ~strip(v).isin(BLANK_ROW_TEXTS)))
         .select(
             "file_hash", number.cast("int").alias("source_row_number"), (F.col("row_idx") + 1).alias("sheet_row"),
-            "headers", F.map_from_arrays("headers", "vs").alias("raw"),
+            "headers", map_last_wins(F.col("headers"), F.col("vs")).alias("raw"),
         )
     )
 
