@@ -11,42 +11,103 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import StructField
 
 from bookflow.options import DEFAULTS, Options
 from bookflow.plans.joins import attach_totals, salted_lookup
 from bookflow.plans.session import materialize
 
 # --- fixed values: enumerations -----------------------------------------------------------------------
-SOURCE_TYPES = "xlsx csv pdf api_quickbooks api_xero api_tally api_odoo json manual".split()
-SOURCE_SYSTEMS = """
-manual_excel ledgermax quickbooks_desktop quickbooks_online tally xero odoo erpnext sage moneypex bank_pdf_hbl
-bank_pdf_ubl bank_pdf_alfalah bank_pdf_meezan bank_pdf_nbp bank_pdf_generic unknown
-""".split()
-PROCESSING_STATUSES = "pending processing normalised quarantined error".split()
-LANGUAGES = "en ur mixed".split()
-QUARANTINE_REASONS = """
-quality_too_low date_parse_failed amount_parse_failed missing_required_field suspected_duplicate pii_unresolvable
-encoding_error
-""".split()
-CATEGORY_METHODS = "rule_based embedding tx_type_map account_code_map user_confirmed".split()
-PERIOD_TYPES = "daily weekly monthly".split()
-LAYERS = "bronze silver gold bridge".split()
-STATUSES = "success failure warning".split()
-REVIEW_ACTIONS = "approve reject edit".split()
-
-# Column types: s text, i integer, f 32-bit float, m money, d date, t timestamp, b boolean.
-_TYPES = {
-    "s": T.StringType(), "i": T.IntegerType(), "f": T.FloatType(), "m": T.DecimalType(18, 2), "d": T.DateType(),
-    "t": T.TimestampType(), "b": T.BooleanType(),
-}
+SOURCE_TYPES = [
+    "xlsx",
+    "csv",
+    "pdf",
+    "api_quickbooks",
+    "api_xero",
+    "api_tally",
+    "api_odoo",
+    "json",
+    "manual",
+]
+SOURCE_SYSTEMS = [
+    "manual_excel",
+    "ledgermax",
+    "quickbooks_desktop",
+    "quickbooks_online",
+    "tally",
+    "xero",
+    "odoo",
+    "erpnext",
+    "sage",
+    "moneypex",
+    "bank_pdf_hbl",
+    "bank_pdf_ubl",
+    "bank_pdf_alfalah",
+    "bank_pdf_meezan",
+    "bank_pdf_nbp",
+    "bank_pdf_generic",
+    "unknown",
+]
+PROCESSING_STATUSES = [
+    "pending",
+    "processing",
+    "normalised",
+    "quarantined",
+    "error",
+]
+LANGUAGES = [
+    "en",
+    "ur",
+    "mixed",
+]
+QUARANTINE_REASONS = [
+    "quality_too_low",
+    "date_parse_failed",
+    "amount_parse_failed",
+    "missing_required_field",
+    "suspected_duplicate",
+    "pii_unresolvable",
+    "encoding_error",
+]
+CATEGORY_METHODS = [
+    "rule_based",
+    "embedding",
+    "tx_type_map",
+    "account_code_map",
+    "user_confirmed",
+]
+PERIOD_TYPES = [
+    "daily",
+    "weekly",
+    "monthly",
+]
+LAYERS = [
+    "bronze",
+    "silver",
+    "gold",
+    "bridge",
+]
+STATUSES = [
+    "success",
+    "failure",
+    "warning",
+]
+REVIEW_ACTIONS = [
+    "approve",
+    "reject",
+    "edit",
+]
+
+TEXT, INTEGER, FLOAT, MONEY = T.StringType(), T.IntegerType(), T.FloatType(), T.DecimalType(18, 2)
+DATE, TIMESTAMP, BOOLEAN = T.DateType(), T.TimestampType(), T.BooleanType()
 
 
 @dataclass(frozen=True)
 class Contract:
-    """Columns ("name:type", ! marks NOT NULL), enumerations, unique keys, defaults and other checks."""
+    """Columns (not nullable: NOT NULL), enumerations, unique keys, defaults and other checks."""
 
     name: str
-    columns: str
+    columns: tuple[StructField, ...]
     enums: dict[str, list[str]] = field(default_factory=dict)
     unique: tuple[tuple[str, ...], ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
@@ -55,24 +116,34 @@ class Contract:
 
     @property
     def schema(self) -> T.StructType:
-        fields = []
-        for part in self.columns.split():
-            name, kind = part.rstrip("!").split(":")
-            fields.append(T.StructField(name, _TYPES[kind]))
-        return T.StructType(fields)
+        """All columns as nullable: rows that lack a value are read and then refused with a reason."""
+        return T.StructType([StructField(c.name, c.dataType) for c in self.columns])
 
     @property
     def required(self) -> list[str]:
-        return [part.split(":")[0] for part in self.columns.split() if part.endswith("!")]
+        return [c.name for c in self.columns if not c.nullable]
 
 
+# --- fixed values: the seven tables -------------------------------------------------------------------
 CONTRACTS = {
     c.name: c
     for c in [
         Contract(
             "bronze_transactions",
-            """bronze_id:s! source_type:s! source_software:s! source_file:s source_file_hash:s source_row_number:i
-            raw_content:s! raw_headers:s ingested_at:t ingestion_batch_id:s processing_status:s error_message:s""",
+            (
+                StructField("bronze_id", TEXT, False),
+                StructField("source_type", TEXT, False),
+                StructField("source_software", TEXT, False),
+                StructField("source_file", TEXT, True),
+                StructField("source_file_hash", TEXT, True),
+                StructField("source_row_number", INTEGER, True),
+                StructField("raw_content", TEXT, False),
+                StructField("raw_headers", TEXT, True),
+                StructField("ingested_at", TIMESTAMP, True),
+                StructField("ingestion_batch_id", TEXT, True),
+                StructField("processing_status", TEXT, True),
+                StructField("error_message", TEXT, True),
+            ),
             {
                 "source_type": SOURCE_TYPES, "source_software": SOURCE_SYSTEMS,
                 "processing_status": PROCESSING_STATUSES,
@@ -82,8 +153,17 @@ CONTRACTS = {
         ),
         Contract(
             "bronze_schema_mappings",
-            """mapping_id:s! source_software:s! original_column:s! standard_field:s! confidence:f
-            confirmed_by_user:b times_seen:i created_at:t updated_at:t""",
+            (
+                StructField("mapping_id", TEXT, False),
+                StructField("source_software", TEXT, False),
+                StructField("original_column", TEXT, False),
+                StructField("standard_field", TEXT, False),
+                StructField("confidence", FLOAT, True),
+                StructField("confirmed_by_user", BOOLEAN, True),
+                StructField("times_seen", INTEGER, True),
+                StructField("created_at", TIMESTAMP, True),
+                StructField("updated_at", TIMESTAMP, True),
+            ),
             {},
             (("mapping_id",), ("source_software", "original_column")),
             {
@@ -93,11 +173,33 @@ CONTRACTS = {
         ),
         Contract(
             "silver_transactions",
-            """silver_id:s! bronze_id:s! source_software:s! source_type:s! transaction_date:d! year_month:s!
-            fiscal_year:s amount_debit:m amount_credit:m currency:s vendor_raw:s description_raw:s account_code:s
-            tx_type:s normalisation_confidence:f date_parse_method:s amount_parse_method:s pii_detected:b
-            pii_masked:b pii_fields_masked:s duplicate_of:s is_duplicate:b dedup_confidence:f language_detected:s
-            silver_created_at:t""",
+            (
+                StructField("silver_id", TEXT, False),
+                StructField("bronze_id", TEXT, False),
+                StructField("source_software", TEXT, False),
+                StructField("source_type", TEXT, False),
+                StructField("transaction_date", DATE, False),
+                StructField("year_month", TEXT, False),
+                StructField("fiscal_year", TEXT, True),
+                StructField("amount_debit", MONEY, True),
+                StructField("amount_credit", MONEY, True),
+                StructField("currency", TEXT, True),
+                StructField("vendor_raw", TEXT, True),
+                StructField("description_raw", TEXT, True),
+                StructField("account_code", TEXT, True),
+                StructField("tx_type", TEXT, True),
+                StructField("normalisation_confidence", FLOAT, True),
+                StructField("date_parse_method", TEXT, True),
+                StructField("amount_parse_method", TEXT, True),
+                StructField("pii_detected", BOOLEAN, True),
+                StructField("pii_masked", BOOLEAN, True),
+                StructField("pii_fields_masked", TEXT, True),
+                StructField("duplicate_of", TEXT, True),
+                StructField("is_duplicate", BOOLEAN, True),
+                StructField("dedup_confidence", FLOAT, True),
+                StructField("language_detected", TEXT, True),
+                StructField("silver_created_at", TIMESTAMP, True),
+            ),
             {"language_detected": LANGUAGES},
             (("silver_id",),),
             {
@@ -109,20 +211,62 @@ CONTRACTS = {
         ),
         Contract(
             "silver_quarantine",
-            """quarantine_id:s! bronze_id:s! quarantine_reason:s! quality_score:f raw_content:s source_software:s
-            source_file:s quarantined_at:t reviewed_by_user:b user_action:s reviewed_at:t""",
+            (
+                StructField("quarantine_id", TEXT, False),
+                StructField("bronze_id", TEXT, False),
+                StructField("quarantine_reason", TEXT, False),
+                StructField("quality_score", FLOAT, True),
+                StructField("raw_content", TEXT, True),
+                StructField("source_software", TEXT, True),
+                StructField("source_file", TEXT, True),
+                StructField("quarantined_at", TIMESTAMP, True),
+                StructField("reviewed_by_user", BOOLEAN, True),
+                StructField("user_action", TEXT, True),
+                StructField("reviewed_at", TIMESTAMP, True),
+            ),
             {"quarantine_reason": QUARANTINE_REASONS},
             (("quarantine_id",),),
             {"quarantined_at": "now", "reviewed_by_user": False},
         ),
         Contract(
             "gold_transactions",
-            """transaction_id:s! silver_id:s! bronze_id:s! source_software:s! source_type:s! transaction_date:d!
-            year_month:s! fiscal_year:s amount_debit:m amount_credit:m currency:s vendor_raw:s vendor_normalised:s
-            description_clean:s category:s subcategory:s category_confidence:f category_method:s fbr_category:s
-            fbr_tax_applicable:b withholding_tax_rate:f account_code:s tx_type:s debit_account:s credit_account:s
-            embedding_text:s! quality_score:f! gold_version:i pii_masked:b language_detected:s qdrant_indexed:b
-            qdrant_indexed_at:t embedding_model:s gold_created_at:t gold_updated_at:t""",
+            (
+                StructField("transaction_id", TEXT, False),
+                StructField("silver_id", TEXT, False),
+                StructField("bronze_id", TEXT, False),
+                StructField("source_software", TEXT, False),
+                StructField("source_type", TEXT, False),
+                StructField("transaction_date", DATE, False),
+                StructField("year_month", TEXT, False),
+                StructField("fiscal_year", TEXT, True),
+                StructField("amount_debit", MONEY, True),
+                StructField("amount_credit", MONEY, True),
+                StructField("currency", TEXT, True),
+                StructField("vendor_raw", TEXT, True),
+                StructField("vendor_normalised", TEXT, True),
+                StructField("description_clean", TEXT, True),
+                StructField("category", TEXT, True),
+                StructField("subcategory", TEXT, True),
+                StructField("category_confidence", FLOAT, True),
+                StructField("category_method", TEXT, True),
+                StructField("fbr_category", TEXT, True),
+                StructField("fbr_tax_applicable", BOOLEAN, True),
+                StructField("withholding_tax_rate", FLOAT, True),
+                StructField("account_code", TEXT, True),
+                StructField("tx_type", TEXT, True),
+                StructField("debit_account", TEXT, True),
+                StructField("credit_account", TEXT, True),
+                StructField("embedding_text", TEXT, False),
+                StructField("quality_score", FLOAT, False),
+                StructField("gold_version", INTEGER, True),
+                StructField("pii_masked", BOOLEAN, True),
+                StructField("language_detected", TEXT, True),
+                StructField("qdrant_indexed", BOOLEAN, True),
+                StructField("qdrant_indexed_at", TIMESTAMP, True),
+                StructField("embedding_model", TEXT, True),
+                StructField("gold_created_at", TIMESTAMP, True),
+                StructField("gold_updated_at", TIMESTAMP, True),
+            ),
             {"category_method": CATEGORY_METHODS},
             (("transaction_id",),),
             {
@@ -135,9 +279,24 @@ CONTRACTS = {
         ),
         Contract(
             "gold_period_summaries",
-            """summary_id:s! period_key:s! period_type:s! fiscal_year:s total_debits:m total_credits:m
-            net_cashflow:m transaction_count:i category_breakdown:s top_vendors:s anomaly_flag:b anomaly_reason:s
-            vs_prior_period_pct:f qdrant_indexed:b summary_text:s computed_at:t""",
+            (
+                StructField("summary_id", TEXT, False),
+                StructField("period_key", TEXT, False),
+                StructField("period_type", TEXT, False),
+                StructField("fiscal_year", TEXT, True),
+                StructField("total_debits", MONEY, True),
+                StructField("total_credits", MONEY, True),
+                StructField("net_cashflow", MONEY, True),
+                StructField("transaction_count", INTEGER, True),
+                StructField("category_breakdown", TEXT, True),
+                StructField("top_vendors", TEXT, True),
+                StructField("anomaly_flag", BOOLEAN, True),
+                StructField("anomaly_reason", TEXT, True),
+                StructField("vs_prior_period_pct", FLOAT, True),
+                StructField("qdrant_indexed", BOOLEAN, True),
+                StructField("summary_text", TEXT, True),
+                StructField("computed_at", TIMESTAMP, True),
+            ),
             {"period_type": PERIOD_TYPES},
             (("summary_id",), ("period_key", "period_type")),
             {
@@ -147,8 +306,17 @@ CONTRACTS = {
         ),
         Contract(
             "pipeline_audit_log",
-            """log_id:s! operation:s! source_id:s source_layer:s status:s! message:s rows_affected:i duration_ms:i
-            logged_at:t""",
+            (
+                StructField("log_id", TEXT, False),
+                StructField("operation", TEXT, False),
+                StructField("source_id", TEXT, True),
+                StructField("source_layer", TEXT, True),
+                StructField("status", TEXT, False),
+                StructField("message", TEXT, True),
+                StructField("rows_affected", INTEGER, True),
+                StructField("duration_ms", INTEGER, True),
+                StructField("logged_at", TIMESTAMP, True),
+            ),
             {"source_layer": LAYERS, "status": STATUSES},
             (("log_id",),),
             {"logged_at": "now"},
@@ -186,6 +354,17 @@ def review_action_check(column: str = "user_action", strict_review: bool = False
     return F.when(~allowed, F.lit(f"{column} is not allowed"))
 
 
+def row_reasons(contract: Contract, names: list[str], strict_review: bool = False, options: Options = DEFAULTS) -> Column:
+    """What speaks against a row by itself: nulls, values outside a list, the quality gate."""
+    checks = [not_null(c) for c in contract.required if c in names]
+    checks += [enum_check(c, allowed) for c, allowed in contract.enums.items() if c in names]
+    if contract.quality_gate and "quality_score" in names:
+        checks.append(quality_gate(options=options))
+    if "user_action" in names:
+        checks.append(review_action_check(strict_review=strict_review))
+    return F.array_compact(F.array(*checks))
+
+
 def apply_defaults(df: DataFrame, contract: Contract, as_of: Column | None = None) -> DataFrame:
     """Missing columns added, nulls of defaulted columns filled, every column cast to its contract type."""
     now = F.current_timestamp() if as_of is None else as_of
@@ -237,13 +416,7 @@ def validate(
     names = df.columns
     if order_by is None and contract.unique:
         df, order_by = materialize(df.withColumn("_row", F.monotonically_increasing_id())), ["_row"]
-    checks = [not_null(c) for c in contract.required if c in names]
-    checks += [enum_check(c, allowed) for c, allowed in contract.enums.items() if c in names]
-    if contract.quality_gate and "quality_score" in names:
-        checks.append(quality_gate(options=options))
-    if "user_action" in names:
-        checks.append(review_action_check(strict_review=strict_review))
-    judged = df.withColumn("reasons", F.array_compact(F.array(*checks)))
+    judged = df.withColumn("reasons", row_reasons(contract, names, strict_review, options))
     for key in contract.unique:
         if not set(key) <= set(names):
             continue

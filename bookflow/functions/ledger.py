@@ -146,7 +146,7 @@ def quality_score(columns: dict[str, tuple[Column, float]]) -> Column:
 def normalize_vendor(vendor: Column, composed: bool = True) -> Column:
     """Grouping key of a vendor: "Shell Clifton" gives shell_clifton; text without letters or digits gives null."""
     name = F.replace(normalize_name(vendor, composed), F.lit(" "), F.lit("_"))
-    return F.when(name != "", F.substring(name, 1, 200))
+    return F.when(name != "", name)
 
 
 def clean_description(text: Column) -> Column:

@@ -106,25 +106,37 @@ def quarantine(standardized: DataFrame, raw: DataFrame | None = None) -> tuple[D
         "quality_score", "source_software",
     )
     if raw is not None:
-        bad = bad.join(raw.select("bronze_id", "raw_content", "source_file"), "bronze_id", "left")
+        # An inner join, so that the few bad rows can be the broadcast side; every bad row has a raw one.
+        bad = raw.select("bronze_id", "raw_content", "source_file").join(bad, "bronze_id")
     bad = bad.withColumn("reviewed_by_user", F.lit(False)).withColumn("user_action", F.lit(None).cast("string"))
     return standardized.filter(F.col("quarantine_reason").isNull()).drop("quarantine_reason"), bad
 
 
-def mark_duplicates(silver: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+def mark_duplicates(silver: DataFrame, options: Options = DEFAULTS, stored: DataFrame | None = None) -> DataFrame:
     """Adds is_duplicate, duplicate_of and dedup_confidence.
 
     Rows of any source with the same date, net amount and normalised vendor are one transaction; the one with the
-    smallest silver_id survives. Confidence 0.95 when the descriptions agree as well, else 0.8. Rows without a
-    vendor are never duplicates. A group may hold any share of the rows: it is reduced map-side to its survivor,
-    and the survivor comes back through a salted join.
+    smallest silver_id survives, a row of ``stored`` (clean rows of earlier loads) before any new one. Confidence 0.95
+    when the descriptions agree as well, else 0.8. Rows without a vendor are never duplicates and take no part. A group
+    may hold any share of the rows: it is reduced map-side to its survivor, and only groups of several rows come back,
+    through a salted join.
     """
+    group = ["transaction_date", "net_amount", "_vendor"]
     keyed = silver.withColumn("_vendor", lx.normalize_vendor(F.col("vendor_raw")))
-    first = F.min(F.struct("silver_id", "description_raw"))
-    marked = attach_totals(
-        keyed, ["transaction_date", "net_amount", "_vendor"], {"_first": first}, ["silver_id"], options
+    named = keyed.filter(F.col("_vendor").isNotNull())
+    entry = [*group, F.struct(F.lit(1).alias("new"), "silver_id", "description_raw").alias("_row")]
+    entries = named.select(*entry)
+    if stored is not None:
+        known = stored.filter(~F.col("is_duplicate")).withColumn("_vendor", lx.normalize_vendor(F.col("vendor_raw")))
+        entries = entries.unionByName(
+            known.filter(F.col("_vendor").isNotNull())
+            .select(*group, F.struct(F.lit(0).alias("new"), "silver_id", "description_raw").alias("_row"))
+        )
+    firsts = entries.groupBy(*group).agg(F.min("_row").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    marked = salted_lookup(named, firsts, group, ["silver_id"], options).unionByName(
+        keyed.filter(F.col("_vendor").isNull()), allowMissingColumns=True
     )
-    is_copy = F.col("_vendor").isNotNull() & (F.col("silver_id") != F.col("_first.silver_id"))
+    is_copy = F.coalesce(F.col("silver_id") != F.col("_first.silver_id"), F.lit(False))
     agree = F.col("description_raw").eqNullSafe(F.col("_first.description_raw"))
     return (
         marked.withColumn("is_duplicate", is_copy)
@@ -143,11 +155,16 @@ def survivors(silver: DataFrame) -> DataFrame:
     return salted_lookup(copies, kept, ["duplicate_of"], ["silver_id"])
 
 
+def row_statuses(silver: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """(bronze_id, processing_status) of the rows that a run has settled."""
+    return silver.select("bronze_id", F.lit("normalised").alias("processing_status")).unionByName(
+        quarantined.select("bronze_id", F.lit("quarantined").alias("processing_status"))
+    )
+
+
 def advance_status(raw: DataFrame, silver: DataFrame, quarantined: DataFrame) -> DataFrame:
     """(bronze_id, processing_status) of every raw row; the raw table itself stays as written."""
-    outcome = silver.select("bronze_id", F.lit("normalised").alias("outcome")).unionByName(
-        quarantined.select("bronze_id", F.lit("quarantined").alias("outcome"))
-    )
+    outcome = row_statuses(silver, quarantined).withColumnRenamed("processing_status", "outcome")
     return raw.select("bronze_id", "processing_status").join(outcome, "bronze_id", "left").select(
         "bronze_id", F.coalesce("outcome", "processing_status").alias("processing_status")
     )

@@ -161,13 +161,26 @@ def top_vendors(gold: DataFrame, n: int = 5) -> DataFrame:
     return ranked_vendors(gold, n).groupBy("period_type", "period_key").agg(F.to_json(slim).alias("top_vendors"))
 
 
+def period_number(kind: str = "period_type", key: str = "period_key") -> Column:
+    """Days, ISO weeks or months counted through, so that neighbours in the calendar differ by one."""
+    key = F.col(key)
+    number = [F.regexp_extract(key, r"^(\d{4})-W?(\d{1,2})", n).cast("int") for n in (1, 2)]
+    # The fourth of January lies in the first ISO week.
+    monday = F.date_trunc("week", F.make_date(number[0], F.lit(1), F.lit(4))).cast("date")
+    return (
+        F.when(F.col(kind) == "daily", F.unix_date(key.try_cast("date")))
+        .when(F.col(kind) == "weekly", F.floor((F.unix_date(monday) + 3) / 7).cast("int") + number[1] - 1)
+        .otherwise(number[0] * 12 + number[1])
+    )
+
+
 def vs_prior_period(totals: DataFrame, measure: str = "net_cashflow", offset: int = 1) -> DataFrame:
-    """Adds vs_prior_period_pct: change against the ``offset``-th period before, in percent of its absolute value.
+    """Adds vs_prior_period_pct: change against the ``offset``-th calendar period before, in percent of its absolute value.
 
-    Null without such a period or when it is 0. The window holds one row per calendar period.
+    Null when that period has no rows or is 0. The window holds one row per calendar period.
     """
-    order = Window.partitionBy("period_type").orderBy("period_key")
-    before = F.lag(measure, offset).over(order).cast("double")
+    place = Window.partitionBy("period_type").orderBy(period_number()).rangeBetween(-offset, -offset)
+    before = F.first(measure).over(place).cast("double")
     change = F.when(before != 0, (F.col(measure).cast("double") - before) / F.abs(before) * 100)
     return totals.withColumn("vs_prior_period_pct", F.round(change, 2).cast("float"))
 

@@ -24,14 +24,16 @@ def load_memory(memory: DataFrame, options: Options = DEFAULTS) -> DataFrame:
 def save_memory(memory: DataFrame, mapped: DataFrame, as_of: Column, options: Options = DEFAULTS) -> DataFrame:
     """The next version of the memory after a batch.
 
-    ``mapped`` has one row per sighting of a header. Headers with a target and at least ``options.suggest`` count;
-    a known one only gains sightings, a new one is stored unconfirmed.
+    ``mapped`` has one row per layout and header; its column ``files``, where there is one, says how many sightings a
+    row stands for. Headers with a target and at least ``options.suggest`` count; a known one only gains sightings,
+    a new one is stored unconfirmed.
     """
+    sightings = F.sum("files") if "files" in mapped.columns else F.count("*")
     seen = (
         mapped.filter(F.col("standard_field").isNotNull() & (F.col("confidence") >= options.suggest))
         .groupBy("source_software", F.col("column").alias("original_column"))
         .agg(
-            F.count("*").cast("int").alias("sightings"),
+            sightings.cast("int").alias("sightings"),
             F.max(F.struct("confidence", "standard_field")).alias("new"),
         )
     )
@@ -119,13 +121,15 @@ def apply_suggestions(mapped: DataFrame, valid: DataFrame, by: list[str], option
     """``mapped`` with the valid suggestions applied by exact header name.
 
     ``by`` identifies the file or layout. Suggestions are asked for only where some header is unmapped or unsure,
-    so a file without such a header keeps its mapping.
+    so a file without such a header keeps its mapping. Answers that contradict each other on a header are not used;
+    ``conflicting_suggestions`` names them.
     """
     weak = F.col("standard_field").isNull() | ((F.col("confidence") < options.auto_accept) & ~F.col("confirmed"))
     asked = mapped.filter(weak).select(*by).distinct()
     offers = (
-        valid.filter(F.col("target").isNotNull()).select(*by, "column", "target")
-        .join(asked, by, "left_semi")
+        valid.filter(F.col("target").isNotNull()).groupBy(*by, "column")
+        .agg(F.min("target").alias("target"), F.max("target").alias("_other"))
+        .filter("target = _other").drop("_other").join(asked, by, "left_semi")
     )
     hit = F.col("target").isNotNull()
     return (
@@ -135,3 +139,12 @@ def apply_suggestions(mapped: DataFrame, valid: DataFrame, by: list[str], option
         .withColumn("match_method", F.when(hit, "llm_assist").otherwise(F.col("match_method")))
         .drop("target")
     )
+
+
+def conflicting_suggestions(valid: DataFrame, by: list[str]) -> DataFrame:
+    """(by, column, reason) of headers for which valid answers name different targets."""
+    answers = valid.filter(F.col("target").isNotNull()).groupBy(*by, "column").agg(
+        F.min("target").alias("one"), F.max("target").alias("other")
+    )
+    reason = F.format_string("'%s': answers name both '%s' and '%s' — none is used", "column", "one", "other")
+    return answers.filter("one <> other").select(*by, "column", reason.alias("reason"))

@@ -26,12 +26,14 @@ def is_balanced(ledger: DataFrame) -> DataFrame:
 
 
 def prior_period_variance(ledger: DataFrame, account: str = "account_code") -> DataFrame:
-    """Net per account and month with the change against the account's previous month."""
+    """Net per account and month with the change against the calendar month before; null where that has no rows."""
     monthly = ledger.groupBy(account, lx.year_month(F.col("transaction_date")).alias("year_month")).agg(
         F.sum(F.col("amount_debit") - F.col("amount_credit")).alias("net")
     )
-    order = Window.partitionBy(account).orderBy("year_month")
-    return monthly.withColumn("prior_net", F.lag("net").over(order)).withColumn(
+    month = F.split("year_month", "-")
+    number = F.get(month, F.lit(0)).cast("int") * 12 + F.get(month, F.lit(1)).cast("int")
+    before = Window.partitionBy(account).orderBy(number).rangeBetween(-1, -1)
+    return monthly.withColumn("prior_net", F.first("net").over(before)).withColumn(
         "variance", F.col("net") - F.col("prior_net")
     )
 

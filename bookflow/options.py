@@ -9,13 +9,14 @@ from dataclasses import dataclass
 class Options:
     """Thresholds and switches. The defaults are the documented constants."""
 
-    # Intake gates.
+    # Gates. Their verdicts are always worked out; files above them are refused only where ``enforce_gates`` says so.
     max_file_mb: int = 50
     max_rows_per_file: int = 100_000
+    enforce_gates: bool = False
     debounce_seconds: float = 2.0
 
     # Delimited-file detection windows.
-    encoding_sample_bytes: int = 50_000
+    encoding_sample_bytes: int | None = None  # None: all bytes
     encoding_min_confidence: float = 0.80
     delimiter_sample_chars: int = 4_096
     delimiter_fallback_lines: int = 5

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from bookflow.functions.keys import uuid_of
 from bookflow.functions.values import headers_to_json, row_to_json
 from bookflow.options import DEFAULTS, Options
 from bookflow.plans.joins import lookup_join
-from bookflow.plans.session import materialize
+from bookflow.plans.session import materialize, stage_folder
 from bookflow.sources import delimited, landing, workbook, xlsx_cells
 from bookflow.tables import Ledger, audit_event
 
@@ -46,26 +49,48 @@ def raw_records(rows: DataFrame, load_id: str) -> DataFrame:
 ROW = ["file_hash", "file_name", "source_type", "source_software", "source_row_number", "headers", "raw", "overflow"]
 
 
-def parse_files(files: DataFrame, fresh: DataFrame, options: Options = DEFAULTS) -> tuple[DataFrame, DataFrame]:
-    """(rows of every readable file in ``fresh``, files that cannot be read with ``error``).
+@dataclass
+class ParsedFiles:
+    """``rows`` of all readable files, ``rejected`` rows (file_hash, file_name, source_row_number, raw_content, error),
+    ``meta`` per file (file_hash, parse_meta as JSON), ``failed`` files (file_hash, error)."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    meta: DataFrame
+    failed: DataFrame
+
+
+def parse_files(files: DataFrame, fresh: DataFrame, folder: str | None = None, options: Options = DEFAULTS) -> ParsedFiles:
+    """Parses the files of ``files`` (a listing with content) that stand in ``fresh`` (manifest rows).
 
-    ``files``: a listing inside the size gate; ``fresh``: manifest rows of the files to parse. Each reader scans the
-    files of its own suffixes only.
+    Each reader scans the files of its own suffixes only, and the hash comes from the manifest. Delimited files are
+    parsed once and written down in ``folder``, workbooks are unpacked once.
     """
-    csv = landing.with_manifest(landing.by_suffix(files, [".csv"]))
-    books = landing.with_manifest(landing.by_suffix(files, [".xlsx", ".xls"]))
-    csv_rows, _ = delimited.explode_records(
-        delimited.parse_delimited(landing.only_files(csv, fresh, options), options)
+    csv = landing.contents(landing.by_suffix(files, [".csv"]), fresh, options)
+    parsed = materialize(delimited.explode_all(delimited.parse_delimited(csv, options)), folder)
+    csv_rows, surplus = delimited.split_surplus(parsed)
+    csv_meta = parsed.groupBy("file_hash").agg(
+        F.first(F.to_json(F.struct(*delimited.META), {"ignoreNullFields": "false"})).alias("parse_meta")
     )
-    cells, damaged = xlsx_cells.read_cells(landing.only_files(books, fresh, options))
+
+    books = landing.contents(landing.by_suffix(files, [".xlsx", ".xls"]), fresh, options)
+    unpacked = materialize(xlsx_cells.unpack(books), folder)
+    cells, damaged = xlsx_cells.split_damaged(unpacked)
+    sheet_rows = materialize(workbook.read_workbooks(cells, "clean", options), folder)
     book_rows = lookup_join(
-        workbook.read_workbooks(materialize(cells), "clean", options),
-        fresh.select("file_hash", "file_name", "source_type", "source_software"),
+        sheet_rows, fresh.select("file_hash", "file_name", "source_type", "source_software"),
         ["file_hash"], ["file_hash", "source_row_number"], options,
     ).withColumn("overflow", F.array().cast("array<string>"))
+    book_meta = workbook.workbook_metadata(sheet_rows, cells, options)
     _, _, other = landing.route_by_type(fresh)
-    return csv_rows.select(*ROW).unionByName(book_rows.select(*ROW)), other.select("file_hash", "error").unionByName(
-        damaged
+    return ParsedFiles(
+        csv_rows.select(*ROW).unionByName(book_rows.select(*ROW)),
+        surplus.select(
+            "file_hash", "file_name", F.col("source_row_number").cast("int").alias("source_row_number"),
+            raw_content(F.col("raw"), F.col("overflow")).alias("raw_content"), "error",
+        ),
+        csv_meta.unionByName(book_meta),
+        other.select("file_hash", "error").unionByName(damaged).distinct(),
     )
 
 
@@ -79,46 +104,67 @@ def ingest(
     """Take in the new files of a listing and return one result row per file.
 
     ``files`` has the columns of Spark's binaryFile source. Results: file_name, file_hash, success, rows_written,
-    batch_id, error. Known files are skipped, a damaged file is reported and stops nothing. A file counts as known
-    once its rows are in the raw table, so a failed one is taken up again by the next run.
+    rows_rejected, batch_id, error, parse_meta (JSON). Known files are skipped, a damaged file is reported and stops
+    nothing. Rows that cannot be stored stand with a reason in the relation ``rejected_rows``, so written and rejected
+    rows are all rows of a file. What is known is looked up in the results of earlier loads, one row per file: a file
+    counts as known once rows of it are stored, so a failed one is taken up again by the next run. With
+    ``options.enforce_gates`` files above the size gate are reported and not read.
     """
-    small, large = landing.split_by_size(landing.drop_empty_files(files), options)
-    manifest = materialize(landing.file_manifest(small, detected_at))
-    known = ledger.read("bronze_transactions").filter(F.col("load_id") != load_id).select(
-        F.col("source_file_hash").alias("file_hash")
-    )
-    fresh, skipped = landing.drop_known_files(manifest, known)
-    fresh = materialize(fresh)
-
-    rows, failed = parse_files(small, fresh, options)
-    ledger.append(raw_records(rows, load_id), "bronze_transactions", load_id)
-
-    written = (
-        ledger.read("bronze_transactions").filter(F.col("load_id") == load_id)
-        .groupBy(F.col("source_file_hash").alias("file_hash"))
-        .agg(F.count("*").alias("rows_written"))
-    )
-    results = materialize(
-        fresh.join(written, "file_hash", "left").join(failed.distinct(), "file_hash", "left").select(
-            "file_name", "file_hash",
-            F.col("error").isNull().alias("success"),
-            F.coalesce("rows_written", F.lit(0)).alias("rows_written"),
-            batch_id(load_id).alias("batch_id"),
-            "error",
-        ).unionByName(
-            large.select(
-                F.element_at(F.split("path", "/"), -1).alias("file_name"), F.lit(None).cast("string").alias("file_hash"),
-                F.lit(False).alias("success"), F.lit(0).cast("bigint").alias("rows_written"),
-                F.lit(None).cast("string").alias("batch_id"), "error",
+    began = time.monotonic()
+    with stage_folder(ledger.spark) as folder:
+        small, large = landing.drop_empty_files(files), None
+        if options.enforce_gates:
+            small, large = landing.split_by_size(small, options)
+        manifest = materialize(landing.file_manifest(small, detected_at), folder)
+        known = ledger.extra("file_results").filter((F.col("load_id") != load_id) & (F.col("rows_written") > 0))
+        fresh, skipped = landing.drop_known_files(manifest, known.select("file_hash"))
+        fresh = materialize(fresh, folder)
+
+        parsed = parse_files(small, fresh, folder, options)
+        ledger.append(raw_records(parsed.rows, load_id), "bronze_transactions", load_id)
+        ledger.append_extra(parsed.rejected, "rejected_rows", load_id)
+
+        written = (
+            ledger.read("bronze_transactions").filter(F.col("load_id") == load_id)
+            .groupBy(F.col("source_file_hash").alias("file_hash")).agg(F.count("*").alias("rows_written"))
+        )
+        refused = (
+            ledger.extra("rejected_rows").filter(F.col("load_id") == load_id)
+            .groupBy("file_hash").agg(F.count("*").alias("rows_rejected"))
+        )
+        results = (
+            fresh.join(written, "file_hash", "left").join(refused, "file_hash", "left")
+            .join(parsed.failed, "file_hash", "left").join(parsed.meta, "file_hash", "left")
+            .select(
+                "file_name", "file_hash",
+                F.col("error").isNull().alias("success"),
+                F.coalesce("rows_written", F.lit(0)).alias("rows_written"),
+                F.coalesce("rows_rejected", F.lit(0)).alias("rows_rejected"),
+                batch_id(load_id).alias("batch_id"),
+                "error", "parse_meta",
             )
         )
-    )
-    ledger.audit(intake_events(fresh, skipped, results), load_id)
+        if large is not None:
+            none = F.lit(None).cast("string")
+            results = results.unionByName(
+                large.select(
+                    F.element_at(F.split("path", "/"), -1).alias("file_name"), none.alias("file_hash"),
+                    F.lit(False).alias("success"), F.lit(0).cast("bigint").alias("rows_written"),
+                    F.lit(0).cast("bigint").alias("rows_rejected"), none.alias("batch_id"), "error", none.alias("parse_meta"),
+                )
+            )
+        ledger.append_extra(results, "file_results", load_id)
+        results = ledger.extra("file_results").filter(F.col("load_id") == load_id).drop("load_id")
+        spent = int((time.monotonic() - began) * 1000)
+        ledger.audit(intake_events(fresh, skipped, results, spent), load_id)
     return results
 
 
-def intake_events(fresh: DataFrame, skipped: DataFrame, results: DataFrame) -> DataFrame:
-    """Audit events of a run: files found, duplicates skipped, and the outcome of every file."""
+def intake_events(fresh: DataFrame, skipped: DataFrame, results: DataFrame, duration_ms: int = 0) -> DataFrame:
+    """Audit events of a run: files found, duplicates skipped, and the outcome of every file.
+
+    ``duration_ms`` is the time of the whole run, whose files are parsed together.
+    """
     found = fresh.select(
         *audit_event(
             "file_detected", "bronze", "success",
@@ -135,17 +181,20 @@ def intake_events(fresh: DataFrame, skipped: DataFrame, results: DataFrame) -> D
         )
     )
     empty = F.col("success") & (F.col("rows_written") == 0)
+    partly = F.col("rows_rejected") > 0
     outcome = results.select(
         *audit_event(
             F.when(~F.col("success"), "bronze_ingest_failed").when(empty, "bronze_ingest_empty")
             .otherwise("bronze_ingest_success"),
             "bronze",
-            F.when(~F.col("success"), "failure").when(empty, "warning").otherwise("success"),
+            F.when(~F.col("success"), "failure").when(empty | partly, "warning").otherwise("success"),
             F.when(~F.col("success"), F.concat_ws(": ", "file_name", "error"))
             .when(empty, F.concat(F.lit("No data rows: "), F.col("file_name")))
+            .when(partly, F.format_string("%s: %s rows written, %s rejected", "file_name", "rows_written", "rows_rejected"))
             .otherwise(F.format_string("%s: %s rows written", "file_name", "rows_written")),
             F.col("rows_written"),
             F.col("batch_id"),
+            duration_ms,
         )
     )
     return found.unionByName(again).unionByName(outcome)

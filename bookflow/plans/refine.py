@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from bookflow.functions import files as fx
 from bookflow.functions.text import map_last_wins, normalize_unicode
-from bookflow.functions.values import neutralize_row, neutralized_count, rename_reserved_keys
-from bookflow.operators.clean import mark_duplicates, quarantine, standardize
+from bookflow.functions.values import neutralize_row, neutralized_count, rename_reserved_keys, row_to_json
+from bookflow.operators.clean import mark_duplicates, quarantine, row_statuses, standardize
 from bookflow.operators.curate import curate, period_summary
 from bookflow.operators.mapping import apply_mapping, attach_mapping, layout_columns, layout_id, layout_records
 from bookflow.operators.matching import map_columns, mapping_summary, triage
-from bookflow.operators.memory import apply_suggestions, load_memory, save_memory
+from bookflow.operators.memory import apply_suggestions, conflicting_suggestions, load_memory, save_memory
 from bookflow.options import DEFAULTS, Options
-from bookflow.plans.joins import fits_broadcast, lookup_join
+from bookflow.plans.joins import lookup_join
 from bookflow.plans.session import materialize
 from bookflow.tables import Ledger, audit_event
 
@@ -24,12 +24,14 @@ from bookflow.tables import Ledger, audit_event
 @dataclass
 class MappedBatch:
     """``results`` one row per file, ``rows`` the cleaned rows, ``columns`` the mapped headers per layout,
-    ``memory`` the next memory version (None when no memory was given)."""
+    ``memory`` the next memory version (None when no memory was given), ``refused`` the rows of files over an enforced
+    gate with the reason in ``error`` (None when gates are not enforced)."""
 
     results: DataFrame
     rows: DataFrame
     columns: DataFrame
     memory: DataFrame | None
+    refused: DataFrame | None = None
 
 
 def secure_rows(rows: DataFrame, column: str = "raw") -> DataFrame:
@@ -39,7 +41,8 @@ def secure_rows(rows: DataFrame, column: str = "raw") -> DataFrame:
 
 
 def file_facts(rows: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """Per file: its layout, row count, neutralised cells and the verdict of the two size gates in ``error``.
+    """Per file: its layout, row count, neutralised cells and the verdict of the two size gates in ``gate``, which is
+    an ``error`` only where the options enforce the gates.
 
     What is the same in all rows of a file is grouped by, so that only numbers are aggregated, by hash and map-side.
     """
@@ -50,8 +53,9 @@ def file_facts(rows: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     )
     size = fx.check_file_size(F.coalesce("file_size_bytes", F.lit(0)), options)
     count = fx.check_row_count(F.col("row_count"), options)
-    error = F.when(~size["passed"], size["message"]).when(~count["passed"], count["message"])
-    return facts.withColumn("layout_id", layout_id()).withColumn("error", error)
+    gate = F.when(~size["passed"], size["message"]).when(~count["passed"], count["message"])
+    error = gate if options.enforce_gates else F.lit(None).cast("string")
+    return facts.withColumn("layout_id", layout_id()).withColumn("gate", gate).withColumn("error", error)
 
 
 def map_batch(
@@ -63,8 +67,9 @@ def map_batch(
 ) -> MappedBatch:
     """Map and clean a batch of raw rows.
 
-    ``rows``: file_hash, batch_id, source_software, headers, source_row_number, raw, file_size_bytes. Files over a
-    gate get a failed result and no rows. ``suggestions``: answers checked by ``validate_suggestions``, with layout_id,
+    ``rows``: file_hash, batch_id, source_software, headers, source_row_number, raw, file_size_bytes. A file over a
+    gate is mapped and gets a warning; with ``options.enforce_gates`` it gets a failed result and its rows are the
+    batch's ``refused``. ``suggestions``: answers checked by ``validate_suggestions``, with layout_id,
     column, target and reason.
     """
     facts = materialize(file_facts(rows, options))
@@ -78,17 +83,17 @@ def map_batch(
         mapped = apply_suggestions(mapped, suggestions, ["layout_id"], options)
     mapped = triage(mapped, options)
 
-    eligible = rows.withColumn("layout_id", layout_id())
-    failed = facts.filter(F.col("error").isNotNull()).select("file_hash")
-    failed = F.broadcast(failed) if fits_broadcast(failed, options) else failed
-    eligible = eligible.join(failed, "file_hash", "left_anti")
+    eligible, refused = rows.withColumn("layout_id", layout_id()), None
+    if options.enforce_gates:
+        failed = facts.filter(F.col("error").isNotNull()).select("file_hash", "error")
+        refused = rows.join(failed, "file_hash")
+        eligible = eligible.join(failed, "file_hash", "left_anti")
     cleaned = apply_mapping(secure_rows(eligible), layout_records(mapped), options)
 
     next_memory = None
     if memory is not None:
-        sightings = mapped.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("files")))).drop("_")
-        next_memory = save_memory(memory, sightings, F.current_timestamp() if as_of is None else as_of, options)
-    return MappedBatch(_results(facts, mapped, suggestions, options), cleaned, mapped, next_memory)
+        next_memory = save_memory(memory, mapped, F.current_timestamp() if as_of is None else as_of, options)
+    return MappedBatch(_results(facts, mapped, suggestions, options), cleaned, mapped, next_memory, refused)
 
 
 def _results(facts: DataFrame, mapped: DataFrame, suggestions: DataFrame | None, options: Options) -> DataFrame:
@@ -122,14 +127,17 @@ def _results(facts: DataFrame, mapped: DataFrame, suggestions: DataFrame | None,
     if suggestions is None:
         described = described.withColumn("llm_rejected", F.array().cast("array<string>"))
     else:
-        refused = suggestions.groupBy("layout_id").agg(F.sort_array(F.collect_list("reason")).alias("llm_rejected"))
+        reasons = suggestions.select("layout_id", "reason").unionByName(
+            conflicting_suggestions(suggestions, ["layout_id"]).select("layout_id", "reason")
+        )
+        refused = reasons.groupBy("layout_id").agg(F.sort_array(F.collect_set("reason")).alias("llm_rejected"))
         described = described.join(refused, "layout_id", "left")
     joined = lookup_join(facts, described, ["layout_id"], ["file_hash"], options)
     failed = F.col("error").isNotNull()
     listed = F.concat(F.lit("['"), F.array_join("renamed", "', '"), F.lit("']"))
     warnings = F.array_compact(
         F.array(
-            F.when(failed, F.col("error")),
+            F.col("gate"),
             F.when(~failed & (F.col("formula_count") > 0), F.format_string("%s formula cells neutralized", "formula_count")),
             F.when(~failed & (F.size("renamed") > 0), F.concat(F.lit("Reserved column names renamed: "), listed)),
         )
@@ -171,29 +179,36 @@ def refine(
     memory: DataFrame | None = None,
     suggestions: DataFrame | None = None,
     prior: DataFrame | None = None,
+    stored: DataFrame | None = None,
     options: Options = DEFAULTS,
 ) -> RefinedBatch:
     """Raw rows to curated transactions.
 
-    ``rows`` as for ``map_batch``, with bronze_id and source_type. Mapped and standardised rows are written down once:
-    the duplicate check reads them twice and must not map them again. ``prior`` (silver_id, gold_version) numbers
-    reprocessed rows.
+    ``rows`` as for ``map_batch``, with bronze_id and source_type, and raw_content and source_file where quarantined rows
+    are to show them (raw_content is else made of ``raw``). Mapped and standardised rows are written down once: the
+    duplicate check reads them twice and must not map them again. ``prior`` (silver_id, gold_version) numbers
+    reprocessed rows. ``stored``: clean rows of earlier loads, whose copies are marked as well.
     """
     mapped = map_batch(rows, memory, suggestions, options=options)
     standard = materialize(standardize(mapped.rows, options))
-    sound, quarantined = quarantine(standard)
-    silver = materialize(mark_duplicates(sound, options))
+    content = F.col("raw_content") if "raw_content" in rows.columns else row_to_json(F.col("raw"))
+    source = F.col("source_file") if "source_file" in rows.columns else F.lit(None).cast("string")
+    originals = rows.select("bronze_id", content.alias("raw_content"), source.alias("source_file"))
+    sound, quarantined = quarantine(standard, originals)
+    silver = materialize(mark_duplicates(sound, options, stored))
     return RefinedBatch(mapped, silver, quarantined, curate(silver, prior, options))
 
 
 def store(ledger: Ledger, batch: RefinedBatch, load_id: str, options: Options = DEFAULTS) -> None:
-    """Append a refined batch to the clean, quarantine, curated and audit tables and version the mapping memory.
+    """Append a refined batch to the clean, quarantine, curated and audit tables, version the mapping memory and hand the
+    status of every raw row over.
 
     Give ``refine`` the memory of ``ledger.version("bronze_schema_mappings", before=load_id)``.
     """
     ledger.append(batch.silver, "silver_transactions", load_id)
     ledger.append(batch.quarantined, "silver_quarantine", load_id)
     ledger.append(batch.gold, "gold_transactions", load_id)
+    ledger.append_extra(row_statuses(batch.silver, batch.quarantined), "processing_status", load_id)
     if batch.mapped.memory is not None:
         ledger.append(batch.mapped.memory, "bronze_schema_mappings", load_id)
     results = batch.mapped.results

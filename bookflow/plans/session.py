@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +34,7 @@ def build_session(app_name: str = "bookflow", options: Options = DEFAULTS, **ext
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a temporary one only on a local master that names none."""
+    """The checkpoint folder the cluster names; on a local master that names none, one in the warehouse folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         if not spark.sparkContext.getCheckpointDir():
@@ -41,20 +42,32 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bookflow-"))
+    spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/shared-{uuid.uuid4().hex}")
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     """``df`` written once as parquet in the shared folder and read back.
 
     Cuts the lineage like a checkpoint, survives the loss of executors, and later steps read only their columns.
+    ``folder`` is a ``stage_folder`` that its user removes; without one the files stay as long as the shared folder.
     """
-    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stage_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder below the shared one for ``materialize``, removed at the end: results must be stored by then."""
+    folder = f"{shared_folder(spark)}/work-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores; an input that has them already is left alone.
 

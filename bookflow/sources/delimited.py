@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from bookflow.functions.text import let, map_last_wins, strip
 from bookflow.options import DEFAULTS, Options
 
-# --- fixed values -------------------------------------------------------------------------------------
+# --- fixed values (the sniffing patterns below are those of Python's csv.Sniffer) -----------------------
 DELIMITERS = [",", "\t", ";", "|"]
 SUMMARY_WORDS = [
     "total", "sub-total", "subtotal", "grand total", "sum", "balance", "closing balance", "opening balance",
@@ -41,11 +41,12 @@ def _has_bom(content: Column) -> Column:
 def detect_encoding(content: Column, options: Options = DEFAULTS) -> Column:
     """struct(encoding, confidence, decoder): what the bytes look like, and the decoder that reads all of them.
 
-    ``encoding`` looks at the first ``options.encoding_sample_bytes``; a guess below
+    ``encoding`` looks at all bytes, or at the first ``options.encoding_sample_bytes``; a guess below
     ``options.encoding_min_confidence`` is reported as utf-8-sig. ``decoder`` is the first of utf-8, cp1252 and
     latin-1 that reads the whole file without error. Guesses rest on strict validity, not on letter statistics.
     """
-    sample = F.substring(content, 1, options.encoding_sample_bytes)
+    limit = options.encoding_sample_bytes
+    sample = content if limit is None else F.substring(content, 1, limit)
     valid = F.is_valid_utf8(content.cast("string"))
     latin = F.decode(content, "ISO-8859-1")
 
@@ -254,30 +255,39 @@ def is_summary_row(record: Column) -> Column:
     return F.coalesce(F.lower(first).isin(SUMMARY_WORDS), F.lit(False))
 
 
-def explode_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejected rows) of parsed files; rows are numbered from 1 over the kept records.
-
-    Rows carry headers, ``raw`` (string map in header order) and ``overflow``. One surplus field is kept as the
-    overflow; a record with two or more is rejected with a reason, its number stays used.
-    """
+def explode_all(parsed: DataFrame) -> DataFrame:
+    """One row per kept record with source_row_number, headers, ``raw`` and ``overflow``, and one without a number for a
+    file that has none, so that every file is there with its metadata."""
     kept = [c for c in parsed.columns if c != "records"]
     # The outer form: the inner one makes the optimizer push "size(records) > 0" below the parser, which would then
     # run twice.
     exploded = parsed.select(*kept, F.posexplode_outer("records").alias("pos", "record"))
-    rows = exploded.filter(F.col("pos").isNotNull()).select(
+    return exploded.select(
         *kept,
         (F.col("pos") + 1).alias("source_row_number"),
         F.col("record.source_record_number"),
-        F.map_from_arrays(F.array_distinct("headers"), "record.values").alias("raw"),
+        F.when(F.col("pos").isNotNull(), F.map_from_arrays(F.array_distinct("headers"), "record.values")).alias("raw"),
         F.col("record.overflow").alias("overflow"),
     )
+
+
+def split_surplus(exploded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected rows): one surplus field is kept as the overflow; a record with two or more is rejected with a
+    reason, its number stays used."""
+    rows = exploded.filter(F.col("source_row_number").isNotNull())
     surplus = F.size("overflow") > 1
     reason = F.concat(F.size("overflow").cast("string"), F.lit(" values past the last header"))
     return rows.filter(~surplus), rows.filter(surplus).withColumn("error", reason)
 
 
+def explode_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected rows) of parsed files; rows are numbered from 1 over the kept records."""
+    return split_surplus(explode_all(parsed))
+
+
+META = ["encoding", "encoding_confidence", "delimiter", "total_rows", "total_cols", "parse_method"]
+
+
 def parse_metadata(parsed: DataFrame) -> DataFrame:
     """Per file: encoding, encoding_confidence, delimiter, total_rows, total_cols, parse_method."""
-    return parsed.select(
-        "file_hash", "encoding", "encoding_confidence", "delimiter", "total_rows", "total_cols", "parse_method"
-    )
+    return parsed.select("file_hash", *META)

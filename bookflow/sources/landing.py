@@ -103,11 +103,10 @@ def drop_known_files(manifest: DataFrame, known: DataFrame) -> tuple[DataFrame,
     return fresh, skipped
 
 
-def only_files(files: DataFrame, manifest: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """``files`` (with content) that stand in ``manifest``; content is shuffled only past the broadcast bounds."""
-    names = manifest.select("file_path")
-    names = F.broadcast(names) if fits_broadcast(names, options) else names
-    return files.join(names, "file_path", "left_semi")
+def contents(files: DataFrame, manifest: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """Manifest rows with the content of their file; content is shuffled only past the broadcast bounds."""
+    rows = F.broadcast(manifest) if fits_broadcast(manifest.select("file_path"), options) else manifest
+    return files.select(F.col("path").alias("file_path"), "content").join(rows, "file_path").select(*manifest.columns, "content")
 
 
 def route_by_type(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

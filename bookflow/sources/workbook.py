@@ -149,8 +149,16 @@ def read_workbooks(cells: DataFrame, mode: str = "clean", options: Options = DEF
     return cells_to_rows(data, headers)
 
 
-def workbook_metadata(rows: DataFrame) -> DataFrame:
-    """Per file: total_rows, total_cols, parse_method."""
-    return rows.groupBy("file_hash").agg(
+def workbook_metadata(rows: DataFrame, cells: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """(file_hash, parse_meta): JSON with sheet_name, header_row, total_rows, total_cols and parse_method."""
+    counted = rows.groupBy("file_hash").agg(
         F.count("*").cast("int").alias("total_rows"), F.max(F.size("headers")).alias("total_cols")
-    ).withColumn("parse_method", F.lit("pandas_openpyxl"))
+    )
+    picked = pick_sheet(cells, options)
+    sheet = cells.join(picked.select("file_hash", "sheet_idx"), ["file_hash", "sheet_idx"], "left_semi")
+    placed = picked.join(detect_header_row(sheet, options), "file_hash").join(counted, "file_hash", "left")
+    meta = F.struct(
+        F.col("sheet").alias("sheet_name"), "header_row", F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
+        F.coalesce("total_cols", F.lit(0)).alias("total_cols"), F.lit("pandas_openpyxl").alias("parse_method"),
+    )
+    return placed.select("file_hash", F.to_json(meta).alias("parse_meta"))

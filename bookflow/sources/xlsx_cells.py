@@ -138,9 +138,18 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 )
 
 
-def read_cells(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cells, failed files with ``error``) of workbooks given as file_hash and content."""
-    unpacked = files.select("file_hash", "content").mapInPandas(_unpack, CELLS)
+def unpack(files: DataFrame) -> DataFrame:
+    """Cells of workbooks given as file_hash and content; a damaged file ends with a row that holds its ``error``."""
+    return files.select("file_hash", "content").mapInPandas(_unpack, CELLS)
+
+
+def split_damaged(unpacked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cells, failed files with ``error``). Write ``unpacked`` down first: both are read from it."""
     return unpacked.filter("error is null").drop("error"), unpacked.filter("error is not null").select(
         "file_hash", "error"
     )
+
+
+def read_cells(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cells, failed files with ``error``) of workbooks given as file_hash and content."""
+    return split_damaged(unpack(files))

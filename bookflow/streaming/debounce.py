@@ -39,7 +39,8 @@ def debounce(events: DataFrame, key: str, ts: str, quiet_seconds: float = QUIET_
 def debounce_stream(
     events: DataFrame, key: str, ts: str, quiet_seconds: float = QUIET_SECONDS, late: str = "10 seconds"
 ) -> DataFrame:
-    """The same over a stream: a burst is emitted once the watermark has passed its quiet period."""
+    """The same over a stream: a burst is emitted once the watermark has passed its quiet period. When a stream has ended
+    for good, ``debounce_rest`` gives the bursts that nothing came after."""
     session = F.session_window(ts, f"{int(quiet_seconds * 1000)} milliseconds")
     return (
         events.withWatermark(ts, late)
@@ -47,3 +48,28 @@ def debounce_stream(
         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count("*").alias("events"))
         .select("key", "first_ts", "last_ts", "events", F.col("burst.end").alias("fires_at"))
     )
+
+
+def debounce_rest(
+    events: DataFrame, emitted: DataFrame, key: str, ts: str, quiet_seconds: float = QUIET_SECONDS
+) -> DataFrame:
+    """Bursts that a finished stream has not emitted: those of the events behind each key's last emitted burst."""
+    last = emitted.groupBy(F.col("key").alias("_key")).agg(F.max("last_ts").alias("_last"))
+    met = events.join(last, F.col(key).eqNullSafe(F.col("_key")), "left")
+    rest = met.filter(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).select(*events.columns)
+    return debounce(rest, key, ts, quiet_seconds)
+
+
+def windowed_totals(
+    events: DataFrame, ts: str, by: list[str], measure: str, size: str = "1 hour", late: str = "10 seconds"
+) -> DataFrame:
+    """(window_start, by, events, total) of tumbling windows, over a stream or a table.
+
+    On a stream a window is emitted once the watermark has passed its end; its state is a row per open window and key,
+    combined before the shuffle.
+    """
+    timed = events.withWatermark(ts, late) if events.isStreaming else events
+    return (
+        timed.groupBy(F.window(ts, size).alias("w"), *by).agg(F.count("*").alias("events"), F.sum(measure).alias("total"))
+        .select(F.col("w.start").alias("window_start"), *by, "events", "total")
+    )

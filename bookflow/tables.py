@@ -9,9 +9,10 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 
 from bookflow import contracts as ct
@@ -28,6 +29,14 @@ PARTITIONED = {
 VERSIONED = ["bronze_schema_mappings", "gold_period_summaries"]
 CREATED = "0-created"
 
+# Relations beside the tables: what became of every file, rows that were not stored, the status of settled rows.
+EXTRAS = {
+    "file_results": """file_name string, file_hash string, success boolean, rows_written bigint, rows_rejected bigint,
+        batch_id string, error string, parse_meta string""",
+    "rejected_rows": """file_hash string, file_name string, source_row_number int, raw_content string, error string""",
+    "processing_status": "bronze_id string, processing_status string",
+}
+
 # --- fixed values: the six tables counted by table_stats, and the operations written to the audit log --
 COUNTED = [t for t in ct.TABLES if t != "bronze_schema_mappings"]
 AUDIT_OPERATIONS = """
@@ -108,9 +117,66 @@ class Ledger:
         """Curated transactions for consumers."""
         return self.read("gold_transactions")
 
-    def append(self, df: DataFrame, table: str, load_id: str, as_of: Column | None = None) -> None:
-        """Write one load, with defaults filled and columns cast to the contract."""
-        ready = ct.apply_defaults(df, ct.CONTRACTS[table], as_of)
+    def append(
+        self, df: DataFrame, table: str, load_id: str, as_of: Column | None = None, strict: bool = False,
+        unique: bool = False,
+    ) -> int:
+        """Write one load, with defaults filled and columns cast to the contract, and return how many rows it refused.
+
+        Every row is checked against NOT NULL, the enumerations and the quality gate while it is written; ``unique``
+        checks the unique keys as well, within the load and against other loads. The library's own ids are hashes of
+        what makes a row unique, so its own appends go without. Refused rows are stored with their ``reasons`` and can
+        be read by ``rejected``; with ``strict`` nothing is written and ValueError is raised.
+        """
+        contract = ct.CONTRACTS[table]
+        ready = ct.apply_defaults(df, contract, as_of)
+        if unique and contract.unique:
+            others = self.read(table).filter(F.col("load_id") != load_id) if self._exists(table) else None
+            accepted, rejected = ct.validate(ready, contract, existing=others, strict=strict)
+            self._write(accepted, table, load_id)
+            refused = rejected.count()
+        else:
+            judged = ready.withColumn("reasons", ct.row_reasons(contract, ready.columns))
+            accepted = judged.filter(F.size("reasons") == 0).drop("reasons")
+            rejected = judged.filter(F.size("reasons") > 0)
+            if strict and not rejected.isEmpty():
+                raise ValueError(f"{table}: rows break the contract: {rejected.first()['reasons']}")
+            # Counted on the way, so that rows are worked out once when none is refused.
+            seen = Observation()
+            counted = judged.observe(seen, F.count_if(F.size("reasons") > 0).alias("refused"))
+            self._write(counted.filter(F.size("reasons") == 0).drop("reasons"), table, load_id)
+            try:
+                refused = seen.get.get("refused") or 0
+            except Py4JJavaError:  # the plan of an input that Spark knows to be empty has nothing to observe
+                refused = rejected.count()
+        if refused:
+            rejected.write.mode("overwrite").parquet(f"{self.path('rejected')}/{table}/load_id={load_id}")
+            log.warning("%s: %s rows break the contract and were set aside", table, refused)
+        return refused
+
+    def rejected(self, table: str) -> DataFrame:
+        """Rows refused by ``append``, with their ``reasons``."""
+        fields = [
+            *ct.CONTRACTS[table].schema.fields, T.StructField("reasons", T.ArrayType(T.StringType())),
+            T.StructField("load_id", T.StringType()),
+        ]
+        return self._folder(f"rejected/{table}", T.StructType(fields))
+
+    def append_extra(self, df: DataFrame, name: str, load_id: str) -> None:
+        """Write one load of a relation beside the tables."""
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/load_id={load_id}")
+
+    def extra(self, name: str) -> DataFrame:
+        """A relation beside the tables, empty before its first load. See EXTRAS."""
+        return self._folder(name, T.StructType.fromDDL(f"{EXTRAS[name]}, load_id string"))
+
+    def _folder(self, name: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema)
+
+    def _write(self, ready: DataFrame, table: str, load_id: str) -> None:
         folder = f"{self.path(table)}/load_id={load_id}"
         if table in PARTITIONED:
             # Rebalancing gathers a partition's rows into few files and splits one that holds too many.
@@ -145,7 +211,7 @@ def with_log_id(events: DataFrame) -> DataFrame:
 
 def audit_event(
     operation: str | Column, layer: str, status: str | Column, message: Column, rows: Column | None = None,
-    source_id: Column | None = None,
+    source_id: Column | None = None, duration_ms: int = 0,
 ) -> list[Column]:
     """The audit columns of one event per row."""
     none = F.lit(None)
@@ -155,7 +221,7 @@ def audit_event(
         (none if source_id is None else source_id).cast("string").alias("source_id"),
         F.lit(layer).alias("source_layer"),
         as_column(status).alias("status"),
-        F.substring(message, 1, 1000).alias("message"),
+        message.alias("message"),
         (F.lit(0) if rows is None else rows).cast("int").alias("rows_affected"),
-        F.lit(0).alias("duration_ms"),
+        F.lit(int(duration_ms)).alias("duration_ms"),
     ]

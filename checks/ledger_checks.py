@@ -393,7 +393,9 @@ spread AS (SELECT 'daily' AS period_type, strftime(transaction_date, '%Y-%m-%d')
   UNION ALL SELECT 'monthly', strftime(transaction_date, '%Y-%m'), * FROM gold),
 totals AS (SELECT period_type, period_key, CAST(sum(debit_cents) AS BIGINT) AS debits, CAST(sum(credit_cents) AS BIGINT) AS credits, CAST(sum(net_cents) AS BIGINT) AS net,
   CAST(count(*) AS INTEGER) AS n, min(transaction_date) AS first_day FROM spread GROUP BY ALL),
-prior AS (SELECT *, lag(net) OVER (PARTITION BY period_type ORDER BY period_key) AS before FROM totals),
+starts AS (SELECT *, CASE period_type WHEN 'daily' THEN first_day WHEN 'weekly' THEN date_trunc('week', first_day) ELSE date_trunc('month', first_day) END::DATE AS day FROM totals),
+prior AS (SELECT t.*, b.net AS before FROM starts t LEFT JOIN starts b ON b.period_type = t.period_type
+  AND b.day = CAST(t.day - CASE t.period_type WHEN 'daily' THEN INTERVAL 1 DAY WHEN 'weekly' THEN INTERVAL 7 DAY ELSE INTERVAL 1 MONTH END AS DATE)),
 moved AS (SELECT *, CASE WHEN before <> 0 THEN round((CAST(net AS DOUBLE) / 100 - CAST(before AS DOUBLE) / 100) / abs(CAST(before AS DOUBLE) / 100) * 100, 2) END AS pct FROM prior)"""
 
 
@@ -422,12 +424,12 @@ def _(spark, sf_dir):
 
 @check(
     "anomaly_flag",
-    f"WITH {SQL_PERIODS} SELECT period_type, period_key, coalesce(abs(CAST(pct AS FLOAT)) >= 200, false) AS anomaly_flag, coalesce(abs(CAST(pct AS FLOAT)) >= 200, false) AS has_reason FROM moved",
+    f"WITH {SQL_PERIODS} SELECT period_type, period_key, coalesce(abs(CAST(pct AS FLOAT)) >= 200, false) AS anomaly_flag, CASE WHEN abs(CAST(pct AS FLOAT)) >= 200 THEN 'Net cashflow moved by ' || format('{{:,.2f}}', CAST(CAST(pct AS FLOAT) AS DOUBLE)) || '% against the prior period' END AS reason FROM moved",
 )
 def _(spark, sf_dir):
     totals = curate.anomaly_flag(curate.vs_prior_period(curate.period_totals(gold_lines(spark, sf_dir))))
     return totals.select(
-        "period_type", "period_key", "anomaly_flag", F.col("anomaly_reason").isNotNull().alias("has_reason")
+        "period_type", "period_key", "anomaly_flag", F.col("anomaly_reason").alias("reason")
     )
 
 
@@ -463,12 +465,22 @@ def _(spark, sf_dir):
 
 @check(
     "period_summary",
-    f"""WITH {SQL_PERIODS} SELECT period_type, period_key, 'In ' || period_key || ', ' || n || ' transactions: PKR ' || format('{{:,}}', debits // 100) || '.' || lpad(CAST(debits % 100 AS VARCHAR), 2, '0') ||
+    f"""WITH {SQL_VENDORS}, b AS (SELECT period_type, period_key, '{{' || string_agg('"' || category || '":' || {SQL_MONEY.format('a')}, ',' ORDER BY category) || '}}' AS category_breakdown
+      FROM (SELECT period_type, period_key, coalesce(category, 'Uncategorised') AS category, CAST(sum(debit_cents + credit_cents) AS BIGINT) AS a FROM spread GROUP BY ALL) GROUP BY 1, 2),
+    top AS (SELECT period_type, period_key, '[' || string_agg('{{"vendor":"' || vendor || '","amount":' || {SQL_MONEY.format('a')} || '}}', ',' ORDER BY rank) || ']' AS top_vendors
+      FROM ranked WHERE rank <= 5 GROUP BY 1, 2)
+    SELECT m.period_type, m.period_key, category_breakdown, top_vendors, CAST(CAST(pct AS FLOAT) AS DOUBLE) + 0.0 AS pct,
+    coalesce(abs(CAST(pct AS FLOAT)) >= 200, false) AS anomaly_flag, debits, credits, net, n, 'In ' || period_key || ', ' || n || ' transactions: PKR ' || format('{{:,}}', debits // 100) || '.' || lpad(CAST(debits % 100 AS VARCHAR), 2, '0') ||
     ' paid, PKR ' || format('{{:,}}', credits // 100) || '.' || lpad(CAST(credits % 100 AS VARCHAR), 2, '0') || ' received, net PKR ' ||
-    CASE WHEN net < 0 THEN '-' ELSE '' END || format('{{:,}}', abs(net) // 100) || '.' || lpad(CAST(abs(net) % 100 AS VARCHAR), 2, '0') || '.' AS summary_text FROM totals""",
+    CASE WHEN net < 0 THEN '-' ELSE '' END || format('{{:,}}', abs(net) // 100) || '.' || lpad(CAST(abs(net) % 100 AS VARCHAR), 2, '0') || '.' AS summary_text
+    FROM moved m LEFT JOIN b USING (period_type, period_key) LEFT JOIN top USING (period_type, period_key)""",
 )
 def _(spark, sf_dir):
-    return curate.period_summary(gold_lines(spark, sf_dir)).select("period_type", "period_key", "summary_text")
+    return curate.period_summary(gold_lines(spark, sf_dir)).select(
+        "period_type", "period_key", "category_breakdown", "top_vendors", F.col("vs_prior_period_pct").cast("double").alias("pct"),
+        "anomaly_flag", as_cents("total_debits").alias("debits"), as_cents("total_credits").alias("credits"),
+        as_cents("net_cashflow").alias("net"), F.col("transaction_count").alias("n"), "summary_text",
+    )
 
 
 # --- the whole way --------------------------------------------------------------------------------------
@@ -481,11 +493,13 @@ once AS (SELECT *, v IS NOT NULL AND sid <> min(sid) OVER (PARTITION BY good_day
 
 @check(
     "ledger_to_period_summary",
-    f"""WITH {SQL_WHOLE} SELECT 'monthly' AS period_type, strftime(good_day, '%Y-%m') AS period_key, CAST(sum(debit) AS BIGINT) AS debits, CAST(sum(credit) AS BIGINT) AS credits,
-    CAST(count(*) AS INTEGER) AS n FROM once WHERE NOT copy GROUP BY 2""",
+    f"""WITH {SQL_WHOLE}, spread AS (SELECT 'daily' AS period_type, strftime(good_day, '%Y-%m-%d') AS period_key, * FROM once
+    UNION ALL SELECT 'weekly', strftime(good_day, '%G-W%V'), * FROM once UNION ALL SELECT 'monthly', strftime(good_day, '%Y-%m'), * FROM once)
+    SELECT period_type, period_key, CAST(sum(debit) AS BIGINT) AS debits, CAST(sum(credit) AS BIGINT) AS credits,
+    CAST(count(*) AS INTEGER) AS n FROM spread WHERE NOT copy GROUP BY 1, 2""",
 )
 def _(spark, sf_dir):
-    totals = curate.period_totals(refine(raw_rows(spark, sf_dir)).gold).filter("period_type = 'monthly'")
+    totals = curate.period_totals(refine(raw_rows(spark, sf_dir)).gold)
     return totals.select(
         "period_type", "period_key", as_cents("total_debits").alias("debits"), as_cents("total_credits").alias("credits"),
         F.col("transaction_count").alias("n"),

@@ -10,6 +10,7 @@ from bookflow.dictionary import (
 )
 from bookflow.functions.values import PII_MASKS, json_to_row, row_to_json
 from bookflow.operators import mapping, matching, memory
+from bookflow.options import Options
 from bookflow.plans.refine import map_batch
 from checks.data import (
     HEADERS, SQL_MAPPED, SQL_ORDER_TEXTS, SYSTEMS, pick, raw_rows, sql_list, sql_values,
@@ -142,11 +143,9 @@ def _(spark, sf_dir):
     SELECT o_orderkey, target FROM h JOIN w USING (header)""",
 )
 def _(spark, sf_dir):
-    listed = spark.createDataFrame(general_rows(), "header string, target string, priority int")
-    merged = listed.groupBy("header").agg(F.max_by("target", "priority").alias("target"))
     key = F.col("o_orderkey")
     names = table(spark, sf_dir, "orders").select(key, pick([r[0] for r in general_rows()], key % len(general_rows())).alias("header"))
-    return names.join(F.broadcast(merged), "header").select("o_orderkey", "target")
+    return names.join(F.broadcast(general_headers(spark)), "header").select("o_orderkey", "target")
 
 
 @check(
@@ -415,7 +414,8 @@ def _(spark, sf_dir):
         F.map_from_arrays(headers, F.array(F.date_format("l_shipdate", "yyyy-MM-dd"), F.col("l_quantity").cast("string"))).alias("raw"),
         F.when(supp % 2 == 0, 60 * 1024 * 1024).otherwise(1024).cast("bigint").alias("file_size_bytes"),
     )
-    return map_batch(rows).results.select("file_hash", "success", "formula_count", "error")
+    results = map_batch(rows, options=Options(enforce_gates=True)).results
+    return results.select("file_hash", "success", "formula_count", "error")
 
 
 @check(

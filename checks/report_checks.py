@@ -39,7 +39,8 @@ def _(spark, sf_dir):
 @check(
     "prior_period_variance",
     f"""WITH {SQL_CLEAN}, m AS (SELECT account_code, year_month, CAST(sum(debit_cents - credit_cents) AS BIGINT) AS net FROM clean_lines GROUP BY ALL),
-    l AS (SELECT *, lag(net) OVER (PARTITION BY account_code ORDER BY year_month) AS before FROM m)
+    l AS (SELECT m.*, b.net AS before FROM m LEFT JOIN m b ON b.account_code = m.account_code
+      AND b.year_month = strftime(strptime(m.year_month || '-01', '%Y-%m-%d') - INTERVAL 1 MONTH, '%Y-%m'))
     SELECT account_code, year_month, net, CAST(before AS VARCHAR) AS prior_net, CAST(net - before AS VARCHAR) AS variance FROM l""",
 )
 def _(spark, sf_dir):

@@ -117,9 +117,80 @@ def test_row_gate(spark):
         F.lit(1).cast("bigint").alias("file_size_bytes"),
     )
     batch = map_batch(rows, options=Options(max_rows_per_file=15))
+    results = {r.file_hash: r for r in batch.results.collect()}
+    assert batch.rows.count() == 30 and all(r.success for r in results.values())
+    assert results["large"].security_warnings[0].startswith("File contains 20 rows, exceeding the 15 row limit.")
+    batch = map_batch(rows, options=Options(max_rows_per_file=15, enforce_gates=True))
     errors = {r.file_hash: r.error for r in batch.results.collect()}
     assert errors["small"] is None and errors["large"].startswith("File contains 20 rows, exceeding the 15 row limit.")
-    assert batch.rows.count() == 10
+    assert batch.rows.count() == 10 and batch.refused.count() == 20
+
+
+def test_contradicting_suggestions_are_not_used(spark):
+    rows = spark.createDataFrame(
+        [("f", "b", "unknown", ["Date", "Zzyx"], 1, {"Date": "2024-01-01", "Zzyx": "Shell"}, 10)],
+        "file_hash string, batch_id string, source_software string, headers array<string>, source_row_number int, "
+        "raw map<string,string>, file_size_bytes bigint",
+    )
+    answers = rows.select(
+        layout_id().alias("layout_id"), F.col("headers").alias("columns"),
+        F.explode(F.array(F.lit('{"mappings": {"Zzyx": "vendor"}}'), F.lit('{"mappings": {"Zzyx": "description"}}'))).alias("response"),
+    )
+    batch = map_batch(rows, suggestions=validate_suggestions(answers))
+    result = batch.results.first()
+    assert batch.rows.count() == 1 and result.column_mapping == '{"Date":"transaction_date"}'
+    assert result.llm_rejected == ["'Zzyx': answers name both 'description' and 'vendor' — none is used"]
+
+
+def test_reserved_names_beside_their_renamed_form(spark):
+    from bookflow.functions.values import rename_reserved_keys
+
+    raw = spark.sql("SELECT map('quality_score', '1', 'raw_quality_score', '2', 'x', '3') AS raw")
+    assert raw.select(rename_reserved_keys(F.col("raw"))).first()[0] == {"raw_quality_score": "2", "x": "3"}
+
+
+def test_append_checks_the_contract(spark, tmp_path):
+    from bookflow.tables import Ledger
+
+    ledger = Ledger(spark, str(tmp_path / "db"))
+    ledger.ensure_tables()
+    good, _ = minimal(spark, "bronze_transactions")
+    bad, _ = minimal(spark, "bronze_transactions", source_type="docx")
+    assert ledger.append(good.unionByName(bad), "bronze_transactions", "one") == 1
+    assert ledger.read("bronze_transactions").count() == 1
+    assert ledger.rejected("bronze_transactions").first().reasons == ["source_type is not allowed"]
+    assert ledger.append(good, "bronze_transactions", "two", unique=True) == 1
+    with pytest.raises(ValueError, match="not allowed"):
+        ledger.append(bad, "bronze_transactions", "three", strict=True)
+    assert ledger.read("bronze_transactions").filter("load_id = 'three'").count() == 0
+
+
+def test_prior_period_across_gaps(spark):
+    from bookflow.operators import curate
+
+    keys = [("monthly", "2024-01"), ("monthly", "2024-02"), ("monthly", "2024-06"), ("weekly", "2020-W53"), ("weekly", "2021-W01"),
+            ("weekly", "2021-W03"), ("daily", "2024-02-29"), ("daily", "2024-03-01"), ("daily", "2024-03-03")]
+    totals = spark.createDataFrame([(*k, 100 * (i + 1)) for i, k in enumerate(keys)], "period_type string, period_key string, net_cashflow int")
+    got = {r.period_key: r.vs_prior_period_pct for r in curate.vs_prior_period(totals).collect()}
+    assert {k for k, v in got.items() if v is not None} == {"2024-02", "2021-W01", "2024-03-01"} and got["2024-02"] == 100
+
+
+def test_duplicates_of_stored_rows(spark):
+    from bookflow.operators.clean import mark_duplicates
+
+    schema = "silver_id string, transaction_date date, net_amount decimal(18,2), vendor_raw string, description_raw string"
+    day = dt.date(2024, 1, 1)
+    from decimal import Decimal as D
+
+    rows = spark.createDataFrame([("a", day, D(5), "Shell", "x"), ("b", day, D(5), "shell", "x"), ("c", day, D(6), None, "x"), ("d", day, D(6), None, "x")], schema)
+    marked = {r.silver_id: r.duplicate_of for r in mark_duplicates(rows).collect()}
+    assert marked == {"a": None, "b": "a", "c": None, "d": None}
+    stored = spark.createDataFrame([("z", day, D(5), "SHELL", "y")], schema).withColumn("is_duplicate", F.lit(False))
+    marked = {r.silver_id: (r.duplicate_of, r.dedup_confidence) for r in mark_duplicates(rows, stored=stored).collect()}
+    assert marked["a"][0] == marked["b"][0] == "z" and round(marked["a"][1], 2) == 0.8 and marked["c"] == (None, None)
+    long = "v" * 300
+    far = spark.createDataFrame([("a", day, D(5), long + "1", "x"), ("b", day, D(5), long + "2", "x")], schema)
+    assert mark_duplicates(far).filter("is_duplicate").count() == 0
 
 
 def test_debounce(spark):
