@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bookflow import contracts as ct
-from bookflow.dictionary import (
-    RESERVED_NAMES, general_rows, header_dictionary, header_rows,
-)
+from bookflow.dictionary import RESERVED_NAMES, general_headers, general_rows, header_dictionary, header_rows
 from bookflow.functions.values import PII_MASKS, json_to_row, row_to_json
 from bookflow.operators import mapping, matching, memory
 from bookflow.options import Options
