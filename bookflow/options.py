@@ -52,7 +52,6 @@ class Options:
     broadcast_bytes: int = 256 * 1024 * 1024
     hot_key_rows: int = 1_000_000
     hot_keys: int = 100_000
-    hot_key_splits: int = 64
 
 
 DEFAULTS = Options()

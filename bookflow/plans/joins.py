@@ -21,26 +21,20 @@ def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _salted(left: DataFrame, right: DataFrame, counts: DataFrame, salt_by: list[str], options: Options) -> DataFrame:
-    """Left join on ``_key``. Rows of hot keys are spread over ``hot_key_splits`` copies of their right row.
+    """Left join on ``_key``. Rows of hot keys are spread over copies of their right row, a copy for every
+    ``hot_key_rows`` rows, so that a task sees about that many however frequent the key is.
 
-    ``counts`` holds (_key, _n) of the left side. At most ``hot_keys`` keys are treated as hot, the most frequent
-    first, which bounds the broadcast; any key past them holds a small share of the rows.
+    ``counts`` holds (_key, _n) of the left side. A key is hot from ``hot_key_rows`` rows on, if these are at least a
+    ``hot_keys``-th of all rows: there can be no more than that many, which bounds the broadcast.
     """
-    hot = (
-        counts.filter(F.col("_n") >= options.hot_key_rows)
-        .orderBy(F.desc("_n"), "_key")
-        .limit(options.hot_keys)
-        .select("_key", F.lit(True).alias("_hot"))
+    enough = F.col("_n") * F.lit(options.hot_keys) >= counts.agg(F.sum("_n")).scalar()
+    hot = counts.filter((F.col("_n") >= options.hot_key_rows) & enough).select(
+        "_key", F.ceil(F.col("_n") / options.hot_key_rows).cast("int").alias("_splits")
     )
-    spread = F.pmod(F.xxhash64(*salt_by), F.lit(options.hot_key_splits)).cast("int")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(options.hot_key_splits - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    left = left.join(F.broadcast(hot), "_key", "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
-    )
-    right = right.join(F.broadcast(hot), "_key", "left").withColumn("_salt", F.explode(copies))
-    joined = left.drop("_hot").join(right.drop("_hot"), ["_key", "_salt"], "left")
+    splits = F.coalesce("_splits", F.lit(1))
+    left = left.join(F.broadcast(hot), "_key", "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), splits).cast("int"))
+    right = right.join(F.broadcast(hot), "_key", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
+    joined = left.drop("_splits").join(right.drop("_splits"), ["_key", "_salt"], "left")
     return joined.drop("_key", "_salt")
 
 

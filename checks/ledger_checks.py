@@ -15,7 +15,7 @@ from checks.data import (
 from checks.registry import check, table
 
 # Thresholds so low that the test tables reach the paths for hot keys and for relations too large to broadcast.
-TIGHT = Options(hot_key_rows=50, broadcast_rows=10, hot_key_splits=8)
+TIGHT = Options(hot_key_rows=50, broadcast_rows=10)
 
 # --- contracts ------------------------------------------------------------------------------------------
 

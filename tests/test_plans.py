@@ -13,7 +13,7 @@ from bookflow.operators.mapping import layout_id
 from bookflow.operators.memory import validate_suggestions
 from bookflow.streaming.debounce import debounce, debounce_stream
 
-TIGHT = Options(hot_key_rows=20, hot_key_splits=4, broadcast_rows=3)
+TIGHT = Options(hot_key_rows=20, broadcast_rows=3)
 
 
 def skewed(spark):
