@@ -11,10 +11,12 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: What separates words for the split below: a superset of what any regex engine takes as white space.
 WHITE = r"\s\x1c-\x1f\x85\u180e\u200b\ufeff"
-# A space that white space or nothing follows; a space that starts a word.
-LOOSE = re.compile(rf" (?:[{WHITE}]|\Z)")
+# A space or line end that white space or nothing follows; a space that starts a word.
+LOOSE = re.compile(rf"[ \n](?:[{WHITE}]|\Z)")
 START = re.compile(rf" (?=[^{WHITE}])")
 LONGEST = 48
+#: Up to here all versions of the Unicode tables agree on what a letter is.
+LATIN = "\u024f"
 
 #: The fixed value that ends every document.
 END = b"\0\0\0\0"
@@ -25,10 +27,11 @@ class WordEncoder:
 
     A byte-level BPE with the usual pattern never joins text across a space that starts a word (" word": a space,
     then no white space): whatever white space stands before that space is a token run of its own, and the space
-    goes with the word. So texts are cut at those spaces; the pieces not met before are encoded together, as one
-    text, and cut apart by their offsets. The caches hold ``bound`` pieces each; when the newer is full it becomes
-    the older. Texts that hold the string of an added token, and tokenizers of any other kind, are encoded as a
-    whole. A lone surrogate is read as '?'.
+    goes with the word. A line end between words is a run of its own as well. So texts are cut before those spaces and
+    line ends; the pieces not met before are encoded together, as one text, and cut apart by their offsets. A comma or
+    full stop behind letters is a token of its own too. The caches hold ``bound`` pieces each; when the newer is
+    full it becomes the older. Texts that hold the string of an added token, and tokenizers of any other kind, are
+    encoded as a whole. A lone surrogate is read as '?'.
     """
 
     def __init__(self, path: str, bound: int = 500_000):
@@ -40,43 +43,60 @@ class WordEncoder:
         plain = "add_prefix_space=False" in kind and "use_regex=True" in kind
         self.cuts = kind.startswith("ByteLevel") and plain and not self.tokenizer.normalizer and not self.tokenizer.post_processor
         self.words, self.older, self.bound = {}, {}, bound
+        self.marks = {mark: self._whole(mark) for mark in ".,"}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Encodes words, each after a space."""
-        starts = np.cumsum([0] + [len(w) + 1 for w in words])
-        found = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
-        ids, offsets = np.array(found.ids, "<u4").tobytes(), np.array([o[0] for o in found.offsets])
-        cuts = (4 * np.searchsorted(offsets, starts)).tolist()
-        self.words.update((w, ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
+    def _learn(self, wanted: list[str]) -> None:
+        """Puts pieces into ``words``: "word" stands for " word", and "\nword" for itself."""
+        plain, marked = {}, []
+        for word in wanted:
+            if (ids := self.older.get(word)) is not None:
+                self.words[word] = ids
+                continue
+            base = word[:-1]
+            letters = base.removeprefix("\n")
+            if word[-1] in ".," and letters.isalpha() and max(letters) <= LATIN:
+                marked.append((word, base))
+                if base not in self.words:
+                    if (ids := self.older.get(base)) is not None:
+                        self.words[base] = ids
+                    else:
+                        plain[base] = None
+            else:
+                plain[word] = None
+        if plain:
+            texts = [w if w[0] == "\n" else " " + w for w in plain]
+            starts = np.cumsum([0] + [len(t) for t in texts])
+            found = self.tokenizer.encode("".join(texts), add_special_tokens=False)
+            ids, offsets = np.array(found.ids, "<u4").tobytes(), np.array([o[0] for o in found.offsets])
+            cuts = (4 * np.searchsorted(offsets, starts)).tolist()
+            self.words.update((w, ids[x:y]) for w, x, y in zip(plain, cuts, cuts[1:]))
+        for word, base in marked:
+            self.words[word] = self.words[base] + self.marks[word[-1]]
 
     def _pieces(self, text: str) -> list[str] | None:
-        """The text cut at spaces that start a word; None if it must stay whole."""
+        """The text cut before spaces that start a word, and before line ends where all stand between words; None if
+        it must stay whole."""
         if not self.cuts or any(a in text for a in self.added):
             return None
-        return START.split(text) if LOOSE.search(text) else text.split(" ")
+        return START.split(text) if LOOSE.search(text) else text.replace("\n", " \n").split(" ")
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         texts = [t.encode("utf-8", "replace").decode() if t else "" for t in texts]
         out = []
         for at in range(0, len(texts), 64):
             cut = [self._pieces(t) for t in texts[at : at + 64]]
-            wanted = set().union(*(p[1:] for p in cut if p))
-            new = []
-            for word in wanted - self.words.keys():
-                if (ids := self.older.get(word)) is None:
-                    new.append(word)
-                else:
-                    self.words[word] = ids
+            words = self.words
+            new = [w for w in set().union(*(p[1:] for p in cut if p)) if w not in words]
             if new:
                 self._learn(new)
             for text, pieces in zip(texts[at : at + 64], cut):
                 if pieces is None:
                     out.append(self._whole(text))
                 else:
-                    out.append((self._whole(pieces[0]) if pieces[0] else b"") + b"".join(map(self.words.__getitem__, pieces[1:])))
+                    out.append((self._whole(pieces[0]) if pieces[0] else b"") + b"".join(map(words.__getitem__, pieces[1:])))
             if len(self.words) > self.bound:
                 self.older = {w: ids for w, ids in self.words.items() if len(w) <= LONGEST}
                 self.words = {}
