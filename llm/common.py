@@ -71,6 +71,47 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_RANDOM = np.random.default_rng(2024)
+_BYTE = _RANDOM.integers(0, 2**64, 256, np.uint64)
+_POWER = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of an odd base and of its inverse, as far as needed so far
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    while len(_POWER[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            _POWER[k] = np.concatenate([_POWER[k], _POWER[k] * np.uint64(pow(base, len(_POWER[k]), 2**64))])
+    return _POWER[0], _POWER[1]
+
+
+def word_hashes(data: bytes, piece: int = 1 << 18) -> np.ndarray:
+    """64-bit hashes of the words of a text, without making the words: a polynomial over random values of the bytes.
+
+    The text is taken in pieces that end between words, so a worker holds powers for the longest piece or word only.
+    """
+    out, at = [], 0
+    whole = np.frombuffer(data, np.uint8)
+    while at < len(whole):
+        end = min(len(whole), at + piece)
+        while end < len(whole):
+            back = np.nonzero(SPACE[whole[at:end]])[0]
+            if len(back):
+                end = at + int(back[-1]) + 1
+                break
+            end = min(len(whole), end + piece)
+        b = whole[at:end]
+        at = end
+        inside = np.concatenate([[False], ~SPACE[b], [False]])
+        edges = np.nonzero(inside[1:] != inside[:-1])[0]
+        starts, ends = edges[::2], edges[1::2]
+        if len(starts):
+            power, inverse = _powers(len(b) + 1)
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[b] * power[: len(b)])])
+            value = (sums[ends] - sums[starts]) * inverse[starts]
+            out.append(mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def words_of(data: bytes) -> list[bytes]:
     """Runs of bytes other than 0x20 and 0x09-0x0D; bytes.split() splits at just these."""
     return data.split()

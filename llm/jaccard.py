@@ -3,9 +3,9 @@
 Two sets with a Jaccard similarity of at least t differ in at most H = (1 - t) / (1 + t) * (|x| + |y|) shingles. If a
 hash deals all shingles to more than H segments, the two agree on some segment exactly; and if a segment also counts
 as agreeing when one deletion makes it equal, it stands for two. Every set is indexed by its segments; as a query it
-looks up segments worth H + 1 in all, the ones that cost least: by the number of texts which hold a segment's rarest
-shingle, as estimated by a sketch of fixed size over all texts. Segments that a frequent passage fills are thus left out
-as long as others do.
+must look up segments worth H + 1 in all. The costs decide which: a set that has more segments leaves out those that
+most others meet it in, by true counts over all texts, so segments that a frequent passage fills cost nothing; a set
+that has fewer takes deletion neighbourhoods as well, those of segments with few shingles first.
 """
 
 from __future__ import annotations
@@ -18,15 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import LOWER, PRIME, WordHashes, as_bytes, mix, shingles, table, words_of, written
+from llm.common import LOWER, PRIME, as_bytes, mix, shingles, small_batches, table, word_hashes, written
 from llm.components import connected_components
-from llm.meeting import BOTH, INDEX, PROBE, compared, meetings, resolved
+from llm.meeting import BOTH, INDEX, PROBE, meetings, parity, resolved, runs_of
 from llm.registry import query
 
-#: Counters of the sketch: 1 MB, whatever the input.
-SLOTS = 1 << 17
-
-
 # --- the partition of the universe ---------------------------------------------------------------------------
 
 
@@ -63,28 +59,32 @@ class Scheme:
 
 
 def _key(band: int, segment: np.ndarray, content: np.ndarray, kind: int) -> np.ndarray:
-    return mix(content * PRIME + segment.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(2 * band + kind))
+    """To be mixed, all keys of a set at once."""
+    return content * PRIME + (segment.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(2 * band + kind))
 
 
 def _cut(tokens: np.ndarray, band: int, scheme: Scheme):
     """The set's tokens by segment: order, starts of the segments that have any, their numbers."""
     m, _ = scheme.segments(band)
-    segment = mix(tokens + np.uint64((band + 1) * int(PRIME) % 2**64)) % np.uint64(m)
+    odd = np.uint64((2 * band + 1) * int(PRIME) % 2**64)  # tokens are well mixed; the upper bits of a product are too
+    segment = (((tokens * odd) >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+    segment = segment.astype(np.uint16 if m < 1 << 16 else np.uint32)
     order = np.argsort(segment, kind="stable")
     ordered = segment[order]
     starts = np.concatenate([[0], np.nonzero(ordered[1:] != ordered[:-1])[0] + 1])
     return order, starts, ordered[starts].astype(np.int64)
 
 
-def signatures(tokens: np.ndarray, sketch: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and roles of a set (sorted distinct hashes). Sets too small to differ in anything have none."""
+def signatures(tokens: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, roles and spares of a set (sorted distinct hashes): ``spare`` is how many of the keys that the set looks up
+    in a band it could do without. Sets too small to differ in anything have none."""
     size, keys, roles = len(tokens), [], []
     own = scheme.band(size)
-    seen = sketch[(tokens >> np.uint64(47)).astype(np.int64)]
 
-    def give(key, role):
-        keys.append(key)
-        roles.append(np.full(len(key), role, np.int8) if np.isscalar(role) else role)
+    def give(key, role, spare):
+        if len(key):
+            keys.append(key)
+            roles.append((len(key), role, spare))
 
     for band in (own, own - 1):
         if band < 0:
@@ -95,126 +95,107 @@ def signatures(tokens: np.ndarray, sketch: np.ndarray, scheme: Scheme) -> tuple[
             continue  # only equal sets could link, and they are one already
         m, flexible = scheme.segments(band)
         order, starts, numbers = _cut(tokens, band, scheme)
-        each = mix(tokens[order] ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+        each = tokens[order] * np.uint64(0xA24BAED4963EE407)
         content = np.add.reduceat(each, starts)
-        counts = np.diff(np.append(starts, size))
-        cost = np.minimum.reduceat(seen[order], starts).astype(float)
+        counts = np.empty(len(starts), np.int64)
+        np.subtract(starts[1:], starts[:-1], counts[:-1])
+        counts[-1] = size - starts[-1]
         full = _key(band, numbers, content, 0)
-        flex = np.nonzero(numbers < flexible)[0]
-        spans = [(starts[f], starts[f] + counts[f]) for f in flex]
-        less = [content[f] - each[a:b] for f, (a, b) in zip(flex, spans)]
-        # What a segment costs as a query; the second unit of a flexible one asks for all its deletions as well.
-        second = np.array([(n + 1.0) * float(np.sort(seen[order][a:b])[min(1, n - 1)]) for n, (a, b) in zip(counts[flex], spans)])
-        offers = np.concatenate([cost, np.maximum(second, cost[flex] + 0.5) if len(flex) else second])
-        if need < len(offers):
-            taken = np.zeros(len(offers), bool)
-            taken[np.argsort(offers, kind="stable")[:need]] = True
-            for k, f in enumerate(flex):  # a second unit comes after the first
-                if taken[len(cost) + k] and not taken[f]:
-                    taken[f], taken[len(cost) + k] = True, False
-        else:
-            taken = np.ones(len(offers), bool)
-        once, twice = taken[: len(cost)], taken[len(cost) :]
-        empty = np.setdiff1d(np.arange(m), numbers, assume_unique=True)
-        void = _key(band, empty, np.zeros(len(empty), np.uint64), 0)
-        short = max(0, need - len(offers))  # only then are empty segments asked for: one unit each, two if flexible
-        asked = np.zeros(len(empty), bool)
-        asked[: min(len(empty), short)] = True
+        # Flexible segments come first in the order of the tokens.
+        n_flex = int(np.searchsorted(numbers, flexible))
+        tail = int(counts[:n_flex].sum())
+        less = np.repeat(content[:n_flex], counts[:n_flex]) - each[:tail]
+        place = np.repeat(numbers[:n_flex], counts[:n_flex])
+        missing = max(0, need - len(full))
+        twice = np.argsort(counts[:n_flex], kind="stable")[:missing]  # a second unit each, for their deletions
+        void = np.zeros(0, np.uint64)
+        if missing > len(twice) or band == own:
+            absent = np.ones(m, bool)
+            absent[numbers] = False
+            absent = np.nonzero(absent)[0]
+            void = _key(band, absent, np.zeros(len(absent), np.uint64), 0)
+        asked = min(len(void), missing - len(twice))  # only then are empty segments looked up
+        spare = max(0, len(full) - need)
         if band == own:
-            give(full, np.where(once, BOTH, INDEX).astype(np.int8))
-            give(void, np.where(asked, BOTH, INDEX).astype(np.int8))
-            for f, values in zip(flex, less):
-                give(_key(band, np.full(len(values), numbers[f]), values, 1), INDEX)
+            give(full, BOTH, spare)
+            give(void[:asked], BOTH, spare)
+            give(void[asked:], INDEX, 0)
+            give(_key(band, place, less, 1), INDEX, 0)
         else:
-            give(full[once], PROBE)
-            give(void[asked], PROBE)
-        for f, values, wanted in zip(flex, less, twice):
-            if wanted:
-                give(_key(band, numbers[f : f + 1], content[f : f + 1], 1), PROBE)
-                give(_key(band, np.full(len(values), numbers[f]), values, 0), PROBE)
+            give(full, PROBE, spare)
+            give(void[:asked], PROBE, spare)
+        if len(twice):
+            wanted = np.isin(place, numbers[twice])
+            give(_key(band, numbers[twice], content[twice], 1), PROBE, 0)
+            give(_key(band, place[wanted], less[wanted], 0), PROBE, 0)
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8)
-    return np.concatenate(keys), np.concatenate(roles)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int32)
+    n, role, spare = np.array(roles).T
+    return mix(np.concatenate(keys)), np.repeat(role.astype(np.int8), n), np.repeat(spare.astype(np.int32), n)
 
 
-def shingle_set(text: str | None, words: WordHashes, n: int) -> np.ndarray:
+def shingle_set(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of the text's n-word shingles, A-Z in lower case."""
-    return shingles(words.of(words_of(as_bytes(text).translate(LOWER))), n)
+    return shingles(word_hashes(as_bytes(text).translate(LOWER)), n)
 
 
 # --- the join --------------------------------------------------------------------------------------------------
 
 
 def _facts(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, size, digest of every row; and, with a null digest, (slot, count) of each task's part of the sketch."""
-    schema = "doc_id bigint, size bigint, digest binary, slot int, count bigint"
+    """doc_id, size, digest of every row."""
 
     def read(batches):
-        words, sketch = WordHashes(), np.zeros(SLOTS, np.int64)
-        names = ["doc_id", "size", "digest", "slot", "count"]
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = shingle_set(text, words, scheme.n)
-                sketch += np.bincount((tokens >> np.uint64(47)).astype(np.int64), minlength=SLOTS) if len(tokens) > 4096 else 0
-                if len(tokens) <= 4096:
-                    np.add.at(sketch, (tokens >> np.uint64(47)).astype(np.int64), 1)
-                rows.append((doc_id, len(tokens), xxhash.xxh3_128_digest(tokens.tobytes()), None, None))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
-        used = np.nonzero(sketch)[0]
-        nothing = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.binary())]
-        yield pa.RecordBatch.from_arrays([*nothing, pa.array(used.astype(np.int32)), pa.array(sketch[used])], names)
-
-    return written(docs.select("doc_id", "text").mapInArrow(read, schema), "jaccard-facts")
-
-
-def _members(docs: DataFrame, sketch: np.ndarray, scheme: Scheme) -> DataFrame:
-    """(run, centre, doc): which documents met in a signature. Two meet as a pair; more meet at a centre, and ``run``
-    names the set of them, so that equal sets from many signatures are one."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+            sets = [shingle_set(t, scheme.n) for piece in small_batches(batch, 500) for t in piece.column(1).to_pylist()]
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            sizes = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "size", "digest"])
+
+    return written(docs.select("doc_id", "text").mapInArrow(read, "doc_id bigint, size bigint, digest binary"), "jaccard-facts")
+
+
+def _signed(docs: DataFrame, scheme: Scheme) -> DataFrame:
+    """sig, doc, role, spare of the documents with words; of equal sets in a task one stands for all."""
 
     def sign(batches):
-        words, counts, known = WordHashes(), shared.value, set()
+        known = set()
         for batch in batches:
-            keys, ids, roles = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = shingle_set(text, words, scheme.n)
-                if not len(tokens) or doc_id is None:
-                    continue
-                digest = xxhash.xxh3_128_digest(tokens.tobytes())
-                if digest in known:  # an equal set of this task stands for it
-                    continue
-                if len(known) > 500_000:
-                    known.clear()
-                known.add(digest)
-                key, role = signatures(tokens, counts, scheme)
-                keys.append(key)
-                roles.append(role)
-                ids.append(np.full(len(key), doc_id, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(roles))],
-                    ["sig", "doc", "role"],
-                )
-
-    return meetings(docs.select("doc_id", "text").mapInArrow(sign, "sig bigint, doc bigint, role tinyint"))
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
-    """Exact similarity of pairs (a, b): a, b, common, size_a, size_b. Sets are made again from the texts."""
-    needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+            for piece in small_batches(batch, 500):
+                parts, ids = [], []
+                for doc_id, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                    tokens = shingle_set(text, scheme.n)
+                    if not len(tokens) or doc_id is None:
+                        continue
+                    digest = xxhash.xxh3_128_digest(tokens.tobytes())
+                    if digest in known:
+                        continue
+                    if len(known) > 500_000:
+                        known.clear()
+                    known.add(digest)
+                    parts.append(signatures(tokens, scheme))
+                    ids.append(np.full(len(parts[-1][0]), doc_id, np.int64))
+                if parts:
+                    key, role, spare = (np.concatenate(p) for p in zip(*parts))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), pa.array(np.concatenate(ids)), pa.array(role), pa.array(spare)], ["sig", "doc", "role", "spare"]
+                    )
+
+    return docs.select("doc_id", "text").mapInArrow(sign, "sig bigint, doc bigint, role tinyint, spare int")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
+    """id, tokens, sketch of the documents in ``ids`` (doc_id), made again from their texts."""
 
     def cut(batches):
-        words = WordHashes()
         for batch in batches:
-            tokens = [shingle_set(t, words, scheme.n).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary())], ["id", "tokens"])
+            for piece in small_batches(batch, 500):
+                sets = [shingle_set(t, scheme.n) for t in piece.column(1).to_pylist()]
+                columns = [piece.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([parity(s) for s in sets], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "tokens", "sketch"])
 
-    texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
-    sets = written(texts.mapInArrow(cut, "id bigint, tokens binary"), "jaccard-sets")
-    return compared(pairs, sets)
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    return written(texts.mapInArrow(cut, "id bigint, tokens binary, sketch array<bigint>"), "jaccard-sets")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -229,22 +210,21 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     equal, else the id joins the links of all of them. An empty table gives no rows. Other columns are not read.
     """
     scheme = Scheme(n, percent)
-    facts = _facts(docs, scheme)
-    sketch = np.zeros(SLOTS, np.int64)
-    for slot, count in facts.filter("slot IS NOT NULL").groupBy("slot").agg(F.sum("count")).collect():
-        sketch[slot] = count  # one row for each counter at most
-    own = facts.filter("slot IS NULL").select("doc_id", "size", "digest")
+    own = _facts(docs, scheme)
     sets = own.filter("size > 0 AND doc_id IS NOT NULL")
     classes = sets.join(sets.groupBy("digest").agg(F.min("doc_id").alias("rep")), "digest").groupBy("doc_id").agg(F.min("rep").alias("rep"))
     classes = written(classes, "jaccard-classes")
 
-    met = _members(docs, sketch, scheme)
-    names = classes.select(F.col("doc_id").alias("doc"), F.col("rep").alias("b"))
-    centres = classes.select(F.col("doc_id").alias("centre"), F.col("rep").alias("a"))
+    met = runs_of(meetings(_signed(docs, scheme)))
+    names = classes.select(F.col("doc_id").alias("b"), F.col("rep").alias("rep_b"))
+    centres = classes.select(F.col("doc_id").alias("a"), F.col("rep").alias("rep_a"))
     runs = written(
-        met.distinct().join(names, "doc").join(centres, "centre").filter("a <> b").select("run", "a", "b").distinct(), "jaccard-runs"
+        met.join(names, "b").join(centres, "a").filter("rep_a <> rep_b")
+        .groupBy("run", F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(F.max("asks").alias("asks")),
+        "jaccard-runs",
     )
-    links = resolved(runs, lambda pairs: _verified(docs, pairs, scheme), percent)
+    ids = runs.select(F.col("a").alias("doc_id")).unionAll(runs.select(F.col("b").alias("doc_id"))).distinct()
+    links = resolved(runs, _sets(docs, ids, scheme), percent)
     same = classes.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     parts = connected_components(links.unionAll(same)).withColumnRenamed("node", "doc_id")
     return own.join(parts, "doc_id", "left").select(

@@ -8,9 +8,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import mix, table, written
+from llm.common import mix, small_batches, table, written
 from llm.components import connected_components
-from llm.meeting import BOTH, compared, meetings, resolved
+from llm.meeting import BOTH, meetings, parity, resolved, runs_of
 from llm.registry import query
 
 #: Characters a shingle; minima a band; bands. Two lines at similarity s meet with 1 - (1 - s^4)^10: 99.5 % at 0.8,
@@ -50,6 +50,11 @@ def _hashes(points: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def line_tokens(data: bytes) -> np.ndarray:
+    """The shingles of a line kept as UTF-8."""
+    return line_shingles(_points(data.decode("utf-8", "surrogatepass")))
+
+
 def line_shingles(points: np.ndarray) -> np.ndarray:
     """Sorted distinct shingle hashes; a line shorter than a shingle is one as a whole."""
     n = min(SHINGLE, len(points))
@@ -82,10 +87,16 @@ def _facts(docs: DataFrame) -> DataFrame:
     def read(batches):
         known = set()
         for batch in batches:
-            rows, keys = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                spans = spans_of(text)
-                digests = [xxhash.xxh3_128_digest(text[a:b].encode("utf-8", "surrogatepass")) for _, a, b in spans]
+            for piece in small_batches(batch, 32):
+                # Some documents at a time as one text: the arithmetic is on long arrays, and they fit the cache.
+                texts = [t or "" for t in piece.column(1).to_pylist()]
+                whole, owners, spans, at = "\n".join(texts), [], [], 0
+                for doc_id, text in zip(piece.column(0).to_pylist(), texts):
+                    for number, a, b in spans_of(text):
+                        owners.append((doc_id, number))
+                        spans.append((number, a + at, b + at))
+                    at += len(text) + 1
+                digests = [xxhash.xxh3_128_digest(whole[a:b].encode("utf-8", "surrogatepass")) for _, a, b in spans]
                 fresh = []
                 for k, digest in enumerate(digests):
                     if digest not in known:
@@ -93,37 +104,37 @@ def _facts(docs: DataFrame) -> DataFrame:
                         if len(known) > 1_000_000:
                             known.clear()
                         known.add(digest)
-                made = dict(zip(fresh, band_keys(text, [spans[k] for k in fresh]).view(np.int64).tolist())) if fresh else {}
-                rows.extend((doc_id, number, digest, made.get(k)) for k, ((number, _, _), digest) in enumerate(zip(spans, digests)))
-            if rows:
-                kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "line_no", "digest", "bands"])
+                made = dict(zip(fresh, band_keys(whole, [spans[k] for k in fresh]).view(np.int64).tolist())) if fresh else {}
+                rows = [(*owner, digest, made.get(k)) for k, (owner, digest) in enumerate(zip(owners, digests))]
+                if rows:
+                    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "line_no", "digest", "bands"])
 
     lines = docs.select("doc_id", "text").mapInArrow(read, "doc_id bigint, line_no int, digest binary, bands array<bigint>")
     return written(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
 
 
 def _line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, tokens of the wanted lines (doc_id, line_no, id), from the texts."""
+    """id, tokens (the line itself, see ``line_tokens``), sketch of the wanted lines (doc_id, line_no, id), from the texts."""
     per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id")).alias("_wanted"))
     own = docs.select(F.col("doc_id").alias("_doc"), "text")
     met = own.join(per_doc, F.col("_doc").eqNullSafe(F.col("doc_id"))).select("text", "_wanted")
 
     def cut(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in small_batches(whole, 500)):
             ids, tokens = [], []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                points, spans = None, {n: (a, b) for n, a, b in spans_of(text)}
+                spans = {n: (a, b) for n, a, b in spans_of(text)}
                 for item in wanted:
                     if item["line_no"] in spans:  # rows that share a doc_id may have other lines
-                        points = _points(text) if points is None else points
                         a, b = spans[item["line_no"]]
                         ids.append(item["id"])
-                        tokens.append(line_shingles(points[a:b]).tobytes())
+                        tokens.append(text[a:b].encode("utf-8", "surrogatepass"))
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tokens, pa.binary())], ["id", "tokens"])
+                sketches = pa.array([parity(line_tokens(t)) for t in tokens], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tokens, pa.binary()), sketches], ["id", "tokens", "sketch"])
 
-    return written(met.mapInArrow(cut, "id bigint, tokens binary"), "line-sets")
+    return written(met.mapInArrow(cut, "id bigint, tokens binary, sketch array<bigint>"), "line-sets")
 
 
 def line_components(docs: DataFrame) -> DataFrame:
@@ -145,23 +156,20 @@ def line_components(docs: DataFrame) -> DataFrame:
         "line-names",
     )
     signed = facts.filter("bands IS NOT NULL").select(
-        F.explode("bands").alias("sig"), F.col("id").alias("doc"), F.lit(BOTH).cast("tinyint").alias("role")
+        F.explode("bands").alias("sig"), F.col("id").alias("doc"), F.lit(BOTH).cast("tinyint").alias("role"), F.lit(0).alias("spare"),
     )
     names = named.select("id", "rep")
     runs = written(
-        meetings(signed).distinct()
-        .join(names.select(F.col("id").alias("centre"), F.col("rep").alias("a")), "centre")
-        .join(names.select(F.col("id").alias("doc"), F.col("rep").alias("b")), "doc")
-        .filter("a <> b").select("run", "a", "b").distinct(),
+        runs_of(meetings(signed))
+        .join(names.select(F.col("id").alias("a"), F.col("rep").alias("rep_a")), "a")
+        .join(names.select(F.col("id").alias("b"), F.col("rep").alias("rep_b")), "b")
+        .filter("rep_a <> rep_b").groupBy("run", F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(F.max("asks").alias("asks")),
         "line-runs",
     )
     reps = named.filter("id = rep").select("doc_id", "line_no", "id", "first")
-
-    def verify(pairs):
-        ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-        return compared(pairs, _line_sets(docs, reps.join(ids, "id", "left_semi").select("doc_id", "line_no", "id")))
-
-    parts = connected_components(resolved(runs, verify, PERCENT)).withColumnRenamed("node", "rep")
+    ids = runs.select(F.col("a").alias("id")).unionAll(runs.select(F.col("b").alias("id"))).distinct()
+    sets = _line_sets(docs, reps.join(ids, "id", "left_semi").select("doc_id", "line_no", "id"))
+    parts = connected_components(resolved(runs, sets, PERCENT, line_tokens)).withColumnRenamed("node", "rep")
     first_of = reps.select(F.col("id").alias("rep"), "first").join(parts, "rep")
     best = first_of.groupBy("component").agg(F.min("first").alias("best"))
     best = first_of.join(best, "component").select("rep", "best")

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import written
+from llm.common import mix, small_batches, written
+from llm.components import connected_components
 
 #: Rows of one centre that are verified in one task.
 UNIT = 2_000
@@ -18,82 +18,151 @@ UNIT = 2_000
 INDEX, PROBE, BOTH = 1, 2, 3
 
 
+MET = "run bigint, centre bigint, doc bigint, role tinyint, spare int, size int, times int"
+
+
 def meetings(signed: DataFrame) -> DataFrame:
-    """(run, centre, doc) from (sig bigint, doc bigint, role tinyint): which documents met in a signature.
+    """Who met in a signature: from (sig bigint, doc bigint, role tinyint, spare int) to rows of three kinds.
+
+    * Two that met alone: run 0, centre, doc.
+    * A member of a larger meeting: run, doc, role, spare, size. ``run`` names the set of members, so that equal sets
+      from many signatures are one meeting.
+    * How often a task saw the meeting: run, times (doc is null).
 
-    Two meet as a pair (run 0); more meet at a centre, the smallest, and ``run`` names the set of them, so that equal
-    sets from many signatures are one. A signature nobody looks up says nothing. Rows stream through in the order of
-    their signatures; a signature with very many is passed on as it comes.
+    A signature nobody looks up says nothing. Rows stream through in the order of their signatures; a signature with
+    very many rows is passed on as it comes.
     """
     ordered = signed.repartition("sig").sortWithinPartitions("sig", F.desc("role"), "doc")
+    names = [part.split()[0] for part in MET.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int8(), pa.int32(), pa.int32(), pa.int32()]
+
+    def out(n, **columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)], names
+        )
+
+    def members(run, doc, role, spare, size):
+        n = len(doc)
+        return out(n, run=np.full(n, run), doc=doc, role=role, spare=spare, size=np.full(n, size, np.int32))
 
     def meet(batches):
-        known, rest = set(), None
-        large = None  # (signature, centre) of a run that is being passed on as it comes
+        known, rest = {}, None
+        large = None  # (signature, run) of a meeting that is being passed on as it comes
 
-        def out(run, centre, doc):
-            return pa.RecordBatch.from_arrays([pa.array(run), pa.array(centre), pa.array(doc)], ["run", "centre", "doc"])
+        def counts():
+            if known:
+                yield out(len(known), run=np.array(list(known), np.int64), times=np.array(list(known.values()), np.int32))
+                known.clear()
 
-        def handle(sig, doc, role):
-            cut = np.nonzero(sig[1:] != sig[:-1])[0] + 1
-            starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(sig)]])
-            size = ends - starts
+        def handle(sig, doc, role, spare):
+            starts = np.concatenate([[0], np.nonzero(sig[1:] != sig[:-1])[0] + 1])
+            size = np.diff(np.append(starts, len(sig)))
             useful = (size > 1) & (role[starts] > INDEX)  # queries come first in a run
             starts, size = starts[useful], size[useful]
             two = starts[size == 2]
             two = two[doc[two] != doc[two + 1]]
-            a, b = np.minimum(doc[two], doc[two + 1]), np.maximum(doc[two], doc[two + 1])
-            pairs = np.unique(np.stack([a, b], 1), axis=0)
-            runs, centres, docs_ = [np.zeros(len(pairs), np.int64)], [pairs[:, 0]], [pairs[:, 1]]
-            for s, n in zip(starts[size > 2].tolist(), size[size > 2].tolist()):
-                ids = np.unique(doc[s : s + n])
-                if len(ids) < 2:
-                    continue
-                name = xxhash.xxh3_64_intdigest(ids.tobytes()) >> 1 or 1
+            if len(two):
+                a, b = np.minimum(doc[two], doc[two + 1]), np.maximum(doc[two], doc[two + 1])
+                pairs = np.unique(np.stack([a, b], 1), axis=0)
+                yield out(len(pairs), run=np.zeros(len(pairs), np.int64), centre=pairs[:, 0], doc=pairs[:, 1])
+            if len(known) > 500_000:
+                yield from counts()
+            more = size > 2
+            starts, ends = starts[more], starts[more] + size[more]
+            # The name is a sum over the members, so that it can be made for all meetings of a batch at once.
+            weight = np.concatenate([[np.uint64(0)], np.cumsum(mix(doc.astype(np.uint64) * np.uint64(8) + role.astype(np.uint64)))])
+            run_names = ((weight[ends] - weight[starts]) >> np.uint64(1)).tolist()
+            for name, s, e in zip(run_names, starts.tolist(), ends.tolist()):
+                name = name or 1
                 if name in known:
+                    known[name] += 1
                     continue
-                if len(known) > 1_000_000:
-                    known.clear()
-                known.add(name)
-                runs.append(np.full(len(ids) - 1, name, np.int64))
-                centres.append(np.full(len(ids) - 1, ids[0]))
-                docs_.append(ids[1:])
-            return out(np.concatenate(runs), np.concatenate(centres), np.concatenate(docs_))
+                known[name] = 1
+                yield members(name, doc[s:e], role[s:e], spare[s:e], e - s)
+
+        def gathered(batches_):
+            held, n = [], 0
+            for batch in batches_:
+                held.append(batch)
+                n += batch.num_rows
+                if n > 20_000:
+                    yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                    held, n = [], 0
+            if held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
         for batch in batches:
-            sig, doc, role = (batch.column(k).to_numpy() for k in range(3))
+            if not batch.num_rows:
+                continue
+            now = [batch.column(k).to_numpy() for k in range(4)]
             if large is not None:
-                n = int(np.searchsorted(sig, large[0], "right"))
+                n = int(np.searchsorted(now[0], large[0], "right"))
                 if n:
-                    yield out(np.full(n, large[2]), np.full(n, large[1]), doc[:n])
-                sig, doc, role = sig[n:], doc[n:], role[n:]
-                if not len(sig):
+                    yield members(large[1], *(x[:n] for x in now[1:]), 2**31 - 1)
+                now = [x[n:] for x in now]
+                if not len(now[0]):
                     continue
+                yield out(1, run=np.array([large[1]]), times=np.array([1], np.int32))
                 large = None
             if rest is not None:
-                sig, doc, role = (np.concatenate(x) for x in zip(rest, (sig, doc, role)))
-            last = int(np.searchsorted(sig, sig[-1], "left"))
+                now = [np.concatenate(x) for x in zip(rest, now)]
+            last = int(np.searchsorted(now[0], now[0][-1], "left"))
             if last:
-                yield handle(sig[:last], doc[:last], role[:last])
-            rest = sig[last:], doc[last:], role[last:]
+                yield from gathered(handle(*(x[:last] for x in now)))
+            rest = [x[last:] for x in now]
             if rest[2][0] == INDEX:  # nobody asks for this signature
-                rest = tuple(x[:1] for x in rest)
+                rest = [x[:1] for x in rest]
             elif len(rest[0]) > 100_000:
-                large = int(rest[0][0]), int(rest[1][0]), (int(rest[0][0]) & (2**62 - 1)) | 1
-                yield out(np.full(len(rest[0]) - 1, large[2]), np.full(len(rest[0]) - 1, large[1]), rest[1][1:])
+                large = int(rest[0][0]), (int(rest[0][0]) & (2**62 - 1)) | 1
+                yield members(large[1], *rest[1:], 2**31 - 1)
                 rest = None
+        if large is not None:
+            yield out(1, run=np.array([large[1]]), times=np.array([1], np.int32))
         if rest is not None and len(rest[0]):
-            yield handle(*rest)
+            yield from gathered(handle(*rest))
+        yield from counts()
+
+    return written(ordered.mapInArrow(meet, MET), "meetings")
 
 
+def runs_of(met: DataFrame) -> DataFrame:
+    """run, a (centre), b, asks: what must be compared, from ``meetings``.
+
+    A document that looked up more signatures than it must leaves out its largest meetings, as many as it can spare:
+    whoever it is linked to meets it in one of the others. Those who are left with nobody asking are not a meeting.
+    ``asks`` says that b, or the centre, still looks this signature up.
+    """
+    pairs = met.filter("run = 0").select("run", F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()
+    times = met.filter("doc IS NULL").groupBy("run").agg(F.sum("times").alias("times"))
+    rows = met.filter("run <> 0 AND doc IS NOT NULL").groupBy("run", "doc", "role").agg(F.max("spare").alias("spare"), F.max("size").alias("size"))
+    # Per document: bounded by its own number of signatures.
+    largest = Window.partitionBy("doc", "role").orderBy(F.desc("size"), "run")
+    used = F.sum("times").over(largest.rowsBetween(Window.unboundedPreceding, 0))
+    asking = rows.filter(F.col("role") > INDEX).join(times, "run").withColumn("used", used)
+    kept = rows.join(
+        asking.filter(F.col("used") > F.col("spare")).select("run", "doc", "role", F.lit(True).alias("asks")), ["run", "doc", "role"], "left"
+    ).groupBy("run", "doc").agg(F.max(F.coalesce("asks", F.lit(False))).alias("asks"))
+    kept = written(kept, "members")
+    centres = kept.filter("asks").groupBy("run").agg(F.min("doc").alias("a"))
+    met_there = kept.join(centres, "run").filter("a <> doc").select("run", "a", F.col("doc").alias("b"), "asks")
+    return pairs.withColumn("asks", F.lit(True)).unionByName(met_there)
 
 
-    return ordered.mapInArrow(meet, "run bigint, centre bigint, doc bigint")
+def parity(tokens: np.ndarray) -> list[int]:
+    """512 bits: of each, whether an odd number of the set's values falls on it. Shared values cancel out, so two sets
+    differ in at least as many values as their bits."""
+    bits = (np.bincount((tokens >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+    return np.packbits(bits).view(np.int64).tolist()
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact overlap of the sets of pairs (a, b): a, b, common, size_a, size_b. ``sets``: id, tokens (sorted distinct
-    uint64 values as bytes). A pair whose id has several sets gives a row for each combination."""
+def stored_tokens(data: bytes) -> np.ndarray:
+    """Sorted distinct values that were stored as they are."""
+    return np.frombuffer(data, np.uint64)
+
+
+def compared(pairs: DataFrame, sets: DataFrame, parse: Callable[[bytes], np.ndarray] = stored_tokens) -> DataFrame:
+    """Exact overlap of the sets of pairs (a, b): a, b, common, size_a, size_b. ``sets``: id, tokens, which ``parse``
+    turns into sorted distinct uint64 values. A pair whose id has several sets gives a row for each combination."""
     # The rows of a centre that has many are dealt over tasks, each with a copy of the centre's set.
     units = pairs.groupBy("a").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("units"))
     unit = F.pmod(F.xxhash64("b"), F.col("units")).cast("int")
@@ -108,48 +177,94 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         centre, own = None, []
         for batch in batches:
             rows = []
-            for a, unit, b, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-                tokens = np.frombuffer(tokens, np.uint64)
-                if b is None:
-                    own = own + [tokens] if centre == (a, unit) else [tokens]
-                    centre = a, unit
-                    continue
-                for mine in own:
-                    at = np.searchsorted(mine, tokens)
-                    at[at == len(mine)] = 0
-                    rows.append((a, b, int((mine[at] == tokens).sum()) if len(mine) else 0, len(mine), len(tokens)))
+            for piece in small_batches(batch, 500):
+                for a, unit, b, tokens in zip(*(c.to_pylist() for c in piece.columns)):
+                    tokens = parse(tokens)
+                    if b is None:
+                        own = own + [tokens] if centre == (a, unit) else [tokens]
+                        centre = a, unit
+                        continue
+                    for mine in own:
+                        at = np.searchsorted(mine, tokens)
+                        at[at == len(mine)] = 0
+                        rows.append((a, b, int((mine[at] == tokens).sum()) if len(mine) else 0, len(mine), len(tokens)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b", "common", "size_a", "size_b"])
 
     return both.mapInArrow(compare, "a bigint, b bigint, common bigint, size_a bigint, size_b bigint")
 
 
-def resolved(runs: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def resolved(
+    runs: DataFrame, sets: DataFrame, percent: int, parse: Callable[[bytes], np.ndarray] = stored_tokens
+) -> DataFrame:
     """Links (a, b) with a similarity of at least ``percent`` / 100 that suffice for the classes.
 
-    ``runs``: run, a (centre), b. Every b is verified with its centre. Two that link to it are in one class. A pair
-    of which one does not is verified too, unless the distances to the centre differ by more than a link allows:
-    1 - similarity is a metric. So no link between classes is lost, and n near copies cost n comparisons a centre.
+    ``runs``: run, a (centre), b, asks. ``sets``: id, tokens (see ``compared``) and sketch (see ``parity``). Only classes are wanted, so a pair within
+    a class that is known by then needs no comparison:
+
+    1. Every member of a meeting is compared with its centre.
+    2. In meetings that still hold several classes, the first member outside the centre's class is a second centre.
+    3. What is left, pairs of different classes, is compared pair by pair.
+
+    Left out in 2 and 3 are pairs of which nobody asks, and pairs whose sizes, sketches, or distances to the centre
+    differ by more than a link allows: 1 - similarity is a metric. So no link between classes is lost, and n near copies cost
+    about n comparisons a centre.
     """
     pairs = runs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = written(verify(pairs), "pairs")
+    first = written(compared(pairs, sets, parse), "pairs")
     union = F.col("size_a") + F.col("size_b") - F.col("common")
     link = (F.col("common") > 0) & (100 * F.col("common") >= percent * union)
     far = F.when(union > 0, 1 - F.col("common") / union).otherwise(1.0)
-    judged = first.groupBy(F.col("a").alias("l"), F.col("b").alias("g")).agg(F.max(link).alias("linked"), F.min(far).alias("far"))
-    held = runs.filter("run <> 0").select("run", "b", F.least("a", "b").alias("l"), F.greatest("a", "b").alias("g"))
-    held = written(held.join(judged, ["l", "g"]).select("run", "b", "linked", "far"), "runs")
-    apart = F.lit((100 - percent) / 100 + 1e-9)
-    left = held.filter("NOT linked").select("run", F.col("b").alias("x"), F.col("far").alias("far_x"))
-    right = held.select("run", F.col("b").alias("y"), F.col("far").alias("far_y"), F.col("linked").alias("in_y"))
-    more = (
-        left.join(right, "run").filter((F.col("x") != F.col("y")) & (F.abs(F.col("far_x") - F.col("far_y")) <= apart))
-        .filter(F.col("in_y") | (F.col("x") < F.col("y")))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        .join(first.select("a", "b"), ["a", "b"], "left_anti")
+    judged = first.groupBy(F.col("a").alias("l"), F.col("b").alias("g")).agg(
+        F.min(far).alias("far"), F.min("size_a").alias("size_l"), F.min("size_b").alias("size_g")
     )
-    more = written(more, "more-pairs")
+    size = F.when(F.col("b") == F.col("l"), F.col("size_l")).otherwise(F.col("size_g"))
+    held = runs.filter("run <> 0").select("run", F.col("a").alias("centre"), "b", "asks", F.least("a", "b").alias("l"), F.greatest("a", "b").alias("g"))
+    held = held.join(judged, ["l", "g"]).select("run", "centre", "b", "asks", "far", size.alias("size"))
+    sketches = sets.select(F.col("id").alias("b"), "sketch")
+    apart = (100 - percent) / 100 + 1e-9
+
+    def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
+        """Members of the meetings that hold several classes, with their class and the centre's."""
+        parts = connected_components(links)
+        own, its = (parts.select(F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("b", "part"), ("centre", "centre_part")))
+        members = members.join(own, "b", "left").join(its, "centre", "left").withColumns(
+            {"part": F.coalesce("part", "b"), "centre_part": F.coalesce("centre_part", "centre")}
+        )
+        several = members.groupBy("run").agg(F.max(F.col("part") != F.col("centre_part")).alias("several")).filter("several")
+        open_ = members.join(several.select("run"), "run", "left_semi")
+        return written(open_ if "sketch" in members.columns else open_.join(sketches, "b"), "held")
+
+    def worth(x: str, y: str):
+        small, large = F.least(f"{x}.size", f"{y}.size"), F.greatest(f"{x}.size", f"{y}.size")
+        differ = sum(F.bit_count(F.col(f"{x}.sketch")[k].bitwiseXOR(F.col(f"{y}.sketch")[k])) for k in range(8))
+        return (
+            (F.col(f"{x}.part") != F.col(f"{y}.part")) & (F.col(f"{x}.asks") | F.col(f"{y}.asks"))
+            & (F.abs(F.col(f"{x}.far") - F.col(f"{y}.far")) <= apart) & (100 * small >= percent * large)
+            & (differ * (100 + percent) <= (100 - percent) * (small + large))
+        )
+
+    def new_pairs(met: DataFrame, seen: list[DataFrame]) -> DataFrame:
+        out = met.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+        for known in seen:
+            out = out.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        return written(out, "more-pairs")
+
     links = first.filter(link).select("a", "b")
+    held = still_open(held, links)
+    if held.isEmpty():
+        return links
+    columns = F.struct("b", "asks", "far", "size", "part", "sketch")
+    second = held.filter("part <> centre_part").groupBy("run").agg(F.min(columns).alias("x"))
+    met = held.select("run", columns.alias("y")).join(second, "run").filter(worth("x", "y"))
+    second = written(compared(new_pairs(met, [first]), sets, parse), "pairs")
+    links = links.unionAll(second.filter(link).select("a", "b"))
+    held = still_open(held.drop("part", "centre_part"), links)
+    # Of two members of different classes one at least is outside the centre's.
+    x = held.filter("part <> centre_part").select("run", columns.alias("x"))
+    y = held.select("run", columns.alias("y"), (F.col("part") == F.col("centre_part")).alias("inside"))
+    met = x.join(y, "run").filter((F.col("inside") | (F.col("x.b") < F.col("y.b"))) & worth("x", "y"))
+    more = new_pairs(met, [first, second])
     if not more.isEmpty():
-        links = links.unionAll(verify(more).filter(link).select("a", "b"))
+        links = links.unionAll(compared(more, sets, parse).filter(link).select("a", "b"))
     return links
