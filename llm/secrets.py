@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import random
 import re
 
 import numpy as np
@@ -40,6 +42,15 @@ ALPHABETS = (
 #: Upper ends of the length bands, and the bins of -log10 of the combined p-value.
 LENGTHS = (24, 28, 32, 40, 48, 64, 96, 128)
 BINS, BIN = 60, 0.1
+#: Bins of p-values over 0.001. A run beyond fails the battery and is never reported.
+PASSING = 30
+#: So many names as people write them, in each length band, tell how often ordinary runs pass where texts have few.
+NAMES = 200
+WORDS = (
+    "user profile settings page final report draft index image assets static build module config service handler request "
+    "response order customer invoice payment archive backup summer winter release notes version update guide tutorial "
+    "install linux windows server client network router switch table column field value"
+).split()
 
 
 def base_spans(data: bytes) -> list[tuple[int, int, int]]:
@@ -104,30 +115,53 @@ def band_of(length: int) -> int:
     return sum(length > end for end in LENGTHS)
 
 
+def level_of(run: bytes) -> int:
+    return min(BINS - 1, int(-math.log10(max(randomness(run), 1e-9)) / BIN))
+
+
 def candidates(data: bytes) -> list[tuple[int, int, bool, int, int]]:
-    """(start, end, target, length band, bin). Runs with digits and letters are targets; letters alone are what
-    ordinary text is made of, and serve as the decoys that tell how often it passes. Digits alone are neither."""
+    """(start, end, target, length band, bin). Runs with digits and letters are targets; those with letters but no digit,
+    with or without separators, are what ordinary text is made of, and serve as the decoys that tell how often it passes.
+    Runs without a letter are neither."""
     out = []
     for m in RUN.finditer(data):
         run = m[0]
         letters, digits = run.translate(None, b"0123456789+/_-"), run.translate(None, ALPHABETS[6] + b"+/_-")
-        if letters and (digits or len(letters) == len(run)):
-            level = min(BINS - 1, int(-math.log10(max(randomness(run), 1e-9)) / BIN))
-            out.append((m.start(), m.end(), bool(digits), band_of(len(run)), level))
+        if letters:
+            out.append((m.start(), m.end(), bool(digits), band_of(len(run)), level_of(run)))
+    return out
+
+
+@functools.cache
+def ordinary() -> dict[tuple[int, int], int]:
+    """(length band, bin): number, of NAMES fixed names in every band, most with a digit."""
+    rng, out = random.Random(1), {}
+    for band, least in enumerate((20, *(end + 1 for end in LENGTHS))):
+        for _ in range(NAMES):
+            length, separator = rng.randint(least, (*LENGTHS, 2 * LENGTHS[-1])[band]), rng.choice(("_", "-", "/", ""))
+            words = [rng.choice(("v2", "2024", "01", "7"))]
+            while len(separator.join(words)) < length:
+                words.insert(rng.randint(0, len(words)), rng.choice(WORDS))
+            name = separator.join(words).encode()[:length]
+            key = band, level_of(name)
+            out[key] = out.get(key, 0) + 1
     return out
 
 
 def cutoffs(histogram: dict[tuple[int, bool, int], int], rate: float) -> dict[int, int]:
-    """For each length band the highest bin up to which the decoys, as an estimate of the ordinary runs among the targets,
-    are at most ``rate`` of the targets. Short runs, where the tests have little power, thus need to look more random,
-    or are not reported at all."""
-    out = {}
+    """For each length band the highest bin up to which the ordinary runs among the targets are estimated at no more
+    than ``rate`` of the targets, and at most PASSING bins. Decoys and fixed names give the share of ordinary runs that
+    pass up to a bin, and the targets that fail the battery, over the share that fails, the number of ordinary ones.
+    Short runs, where the tests have little power, thus need to look more random, or are not reported at all."""
+    out, names = {}, ordinary()
     for band in range(len(LENGTHS) + 1):
-        targets = decoys = 0
-        for level in range(BINS):
-            targets += histogram.get((band, True, level), 0)
-            decoys += histogram.get((band, False, level), 0)
-            if targets and decoys <= rate * targets:
+        targets = [histogram.get((band, True, level), 0) for level in range(BINS)]
+        decoys = [histogram.get((band, False, level), 0) + names.get((band, level), 0) for level in range(BINS)]
+        failing, failed = sum(targets[PASSING:]), sum(decoys[PASSING:])
+        for level in range(PASSING):
+            reported, passed = sum(targets[: level + 1]), sum(decoys[: level + 1]) + 1
+            # failing / (failed / all) ordinary targets, of which passed / all pass
+            if reported and failing * passed <= rate * reported * failed:
                 out[band] = level
     return out
 

@@ -193,6 +193,35 @@ def test_random_keys_are_found_among_words(spark):
     assert not any(s["kind"] == "random" and s["start"] < 60 for r in found for s in r["spans"])
 
 
+@pytest.mark.parametrize("n_keys,n_slugs", [(60, 60), (300, 30), (0, 60), (3, 0)])
+def test_random_keys_are_told_from_names_of_their_length(spark, n_keys, n_slugs):
+    rng = random.Random(6)
+    names = "alpha billing catalog delivery editor finance gallery history inventory journal kitchen library market".split()
+    slugs = ["user_profile_settings_page_v2_final"]
+    while len(slugs) < n_slugs:
+        slug = rng.choice("_-/").join([*rng.sample(names, 4), "v2"])
+        slugs += [slug] * (33 <= len(slug) <= 40)
+    keys = ["".join(rng.choice(secrets.ALPHABETS[7].decode()) for _ in range(36)) + "7" for _ in range(n_keys)]
+    rows = [(i, f"see {run} here") for i, run in enumerate(keys + slugs[:n_slugs])]
+    found = {r["doc_id"] for r in secrets.secret_spans(frame(spark, rows)).collect() if any(s["kind"] == "random" for s in r["spans"])}
+    false = sum(i >= n_keys for i in found)
+    assert len(found) - false >= 0.9 * n_keys
+    assert false <= 0.05 * max(len(found), 20)
+    assert n_keys not in found
+
+
+def test_runs_with_separators_are_decoys():
+    got = secrets.candidates(b"some_long_name_without_digits path/to/the/other-things user_profile_settings_page_v2 12345678901234567890-1")
+    assert [target for _, _, target, _, _ in got] == [False, False, True]
+
+
+def test_failing_runs_are_never_reported():
+    many = {(3, True, level): 1000 for level in range(secrets.BINS)}
+    assert 3 not in secrets.cutoffs(many, 0.05) or secrets.cutoffs(many, 0.05)[3] < secrets.PASSING
+    keys = {(3, True, level): 10 for level in range(5)} | {(3, True, secrets.BINS - 1): 1}
+    assert secrets.cutoffs(keys, 0.05)[3] < secrets.PASSING
+
+
 # --- lines -------------------------------------------------------------------------------------------------------
 
 
