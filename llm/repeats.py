@@ -6,8 +6,9 @@ least hash at the same place, so grams of least hash ("anchors") bring them toge
 1. Every text gives its anchors with a hash of their surroundings, all bytes that a string with the anchor can
    cover. An anchor whose surroundings occur earlier is settled: all its strings are repeats. One whose gram occurs in no
    other surroundings is settled too. What is left are the edges of repeated passages.
-2. Around those the text is cut out. Anchors that lie close together anywhere share a leader, and the leader names the
-   block, so neighbouring cuts are one. An anchor in very many surroundings is instead resolved string by string.
+2. Around those the text is cut out. Anchors that lie close together anywhere share a leader, and leaders are packed into
+   blocks by counted anchors, so neighbouring cuts are one. A leader of more than a block is split by anchor. An anchor
+   in very many surroundings leads no other and is resolved string by string.
 3. In a block the suffixes are sorted, and common prefixes come from the Burrows-Wheeler transform by breadth-first
    backward extension: intervals of strings of length l give those of length l + 1, and a boundary that is new then
    has a common prefix of l. At 100 the expansion stops; boundaries not met by then part no equal strings.
@@ -35,7 +36,7 @@ REACH = MIN_BYTES - GRAM
 HOT = 4096
 #: Distinct surroundings of an anchor in one batch from which its rows are dealt over SALTS partitions.
 HOT_IN_BATCH, SALTS = 64, 64
-#: Anchors cut out for one block: about 0.6 MB of text.
+#: Anchors cut out for one block, on average: about 0.6 MB of text. No block has more than 2 * BLOCK + HOT.
 BLOCK = 8192
 
 _BASE = 0x9E3779B97F4A7C15
@@ -311,23 +312,40 @@ def repeats_in(segments: list[tuple[int, int, bytes]], length: int = MIN_BYTES):
 # --- the whole -----------------------------------------------------------------------------------------------------
 
 
+def blocks_of(edges: DataFrame) -> DataFrame:
+    """key, block for every key of ``edges`` (doc, pos, key): -1 for a key with more than HOT edges.
+
+    Any dealing of keys gives the same repeats, since equal strings share the key. Leaders only save cuts, so they are
+    dropped where they would gather more than BLOCK edges; a key alone has at most HOT. Leaders are dealt over as many
+    bins as there are full blocks, and a running sum parts each bin.
+    """
+    counts = written(edges.groupBy("key").agg(F.count("*").alias("n")), "keys")
+    hot = counts.filter(F.col("n") > HOT).select("key")
+    near = Window.partitionBy("doc").orderBy("pos").rangeBetween(-MIN_BYTES, MIN_BYTES)
+    cold = edges.join(hot, "key", "left_anti").withColumn("least", F.min("key").over(near))
+    led = written(cold.groupBy("key").agg(F.min("least").alias("leader"), F.count("*").alias("n")), "leaders")
+    size = led.groupBy("leader").agg(F.sum("n").alias("size"))
+    lead = F.when(F.col("size") > BLOCK, F.col("key")).otherwise(F.col("leader"))
+    led = written(led.join(size, "leader").select("key", "n", lead.alias("leader")), "leaders")
+    bins = max(1, -(-(led.agg(F.sum("n")).first()[0] or 0) // BLOCK))
+    groups = led.groupBy("leader").agg(F.sum("n").alias("size")).withColumn("bin", F.pmod(F.xxhash64("leader"), F.lit(bins)))
+    before = F.sum("size").over(Window.partitionBy("bin").orderBy("leader")) - F.col("size")
+    blocks = groups.select("leader", (F.col("bin") * (1 << 20) + F.floor(before / BLOCK)).alias("block"))
+    return led.join(blocks, "leader").select("key", "block").unionAll(hot.select("key", F.lit(-1).cast("bigint").alias("block")))
+
+
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """doc, start, end: ranges of bytes covered by strings that also start earlier. Ranges may overlap."""
     found = written(_dealt(docs.mapInArrow(_anchor_rows, ROWS), _stream(REACH, MIN_BYTES, True)), "anchors")
     ranges = found.filter("kind = 1").select("doc", F.col("pos").alias("start"), F.col("ctx").alias("end"))
     edges = found.filter("kind = 0").select("doc", "pos", "key").distinct()
-    near = Window.partitionBy("doc").orderBy("pos").rangeBetween(-MIN_BYTES, MIN_BYTES)
-    leaders = edges.withColumn("least", F.min("key").over(near)).groupBy("key").agg(F.min("least").alias("leader"), F.count("*").alias("n"))
-    count = edges.count()
-    if not count:
+    if edges.isEmpty():
         return ranges
-    blocks = -(-count // BLOCK)
-    block = F.when(F.col("n") > HOT, F.lit(-1)).otherwise(F.pmod(F.xxhash64("leader"), F.lit(blocks)))
     per_doc = (
-        edges.join(leaders, "key").select("doc", F.struct("pos", block.cast("int").alias("block")).alias("edge"))
+        edges.join(blocks_of(edges), "key").select("doc", F.struct("pos", "block").alias("edge"))
         .groupBy("doc").agg(F.collect_list("edge").alias("edges"))  # bounded by the text's length
     )
-    cut_schema = "block int, doc bigint, start bigint, data binary"
+    cut_schema = "block bigint, doc bigint, start bigint, data binary"
 
     def cut(batches):
         for batch in batches:
@@ -341,7 +359,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
                     a, b = merged(np.maximum(at - REACH, 0), np.minimum(at + MIN_BYTES, len(data)))
                     rows += [(number, doc, s, data[s:e]) for s, e in zip(a.tolist(), b.tolist())]
             if rows:
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["block", "doc", "start", "data"])
 
     pieces = written(docs.join(per_doc, F.col("doc_id") == F.col("doc")).select("doc", "text", "edges").mapInArrow(cut, cut_schema), "pieces")
@@ -362,8 +380,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         if held:
             yield work(held)
 
-    blocks_of = pieces.filter("block >= 0").repartition("block").sortWithinPartitions("block", "doc", "start")
-    ranges = ranges.unionAll(blocks_of.mapInArrow(expand, "doc bigint, start bigint, end bigint"))
+    in_blocks = pieces.filter("block >= 0").repartition("block").sortWithinPartitions("block", "doc", "start")
+    ranges = ranges.unionAll(in_blocks.mapInArrow(expand, "doc bigint, start bigint, end bigint"))
 
     def strings(batches):
         for batch in batches:

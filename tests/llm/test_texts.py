@@ -128,6 +128,26 @@ def test_repeats_against_brute_force(spark, monkeypatch, hot):
     assert got == plain_repeats(docs)
 
 
+@pytest.mark.parametrize("hot,block", [(20, 40), (100, 40)])
+def test_neighbours_of_a_common_line_do_not_share_a_block(spark, monkeypatch, hot, block):
+    """A line in all texts, beside passages that few texts share."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "BLOCK", block)
+    kept = {}
+    monkeypatch.setattr(repeats, "written", lambda df, name, write=repeats.written: kept.setdefault(name, []).append(write(df, name)) or kept[name][-1])
+    rng = random.Random(9)
+
+    def noise(n):
+        return "".join(rng.choice("abcdeé \n") for _ in range(n))
+
+    line, passages = noise(40), [noise(60) for _ in range(60)]
+    docs = [(i, noise(60) + passages[i % 60] + line + passages[i * 7 % 60][:50] + noise(60)) for i in range(300)]
+    got = {r[0]: tuple(r[1:5]) for r in repeats.remove_repeats(frame(spark, docs).repartition(5)).collect()}
+    assert got == plain_repeats(docs)
+    sizes = kept["pieces"][0].filter("block >= 0").groupBy("block").count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) <= 2 * block + hot
+
+
 def test_repeats_on_documents(spark, sample):
     docs, texts = sample
     got = {r[0]: tuple(r[1:5]) for r in repeats.remove_repeats(docs).collect()}
