@@ -145,9 +145,12 @@ class Inflated:
                 return True
 
     def head(self) -> bytes | None:
-        """Up to the next empty line, without it; None at the end."""
-        while (at := self.held.find(b"\r\n\r\n")) < 0:
-            if len(self.held) > CHUNK:
+        """Up to the next empty line, without it, at any length; None at the end. What begins unlike a record is not
+        searched further than CHUNK."""
+        seen = 0
+        while (at := self.held.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+            seen = len(self.held)
+            if seen > CHUNK and not self.held[:CHUNK].lstrip(b"\r\n").startswith(b"WARC/"):
                 raise ValueError("no end of the record's header")
             if not self.more():
                 if self.held.strip():
@@ -216,7 +219,8 @@ def _dealt(files: DataFrame) -> DataFrame:
 
 
 def read_records(files: DataFrame) -> DataFrame:
-    """Every record of normalised archives, found through the index and inflated alone."""
+    """Every record of normalised archives, found through the index and inflated alone. An index with more or fewer
+    records than its file's ``records`` fails the job."""
 
     def page(value: str | None):
         text = (value or "").removeprefix("<urn:page:").removesuffix(">")
@@ -225,9 +229,11 @@ def read_records(files: DataFrame) -> DataFrame:
     def read(rows):
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
         for batch in rows:
-            for name, sidecar in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, sidecar, records in zip(*(c.to_pylist() for c in batch.columns)):
                 with reading(sidecar) as stream:
                     index = [json.loads(line) for line in stream.read().splitlines()]
+                if len(index) != records:
+                    raise ValueError(f"{name}: {len(index)} records in the index, {records} written")
                 with reading(name) as stream:
                     for at in range(0, len(index), 4096):
                         out = []
@@ -245,13 +251,26 @@ def read_records(files: DataFrame) -> DataFrame:
                         if out:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
 
-    return _dealt(files.select("file", "index")).mapInArrow(read, RECORDS)
+    return _dealt(files.select("file", "index", "records")).mapInArrow(read, RECORDS)
+
+
+def whole(files: DataFrame, records: int) -> DataFrame:
+    """``files`` of the normaliser; raises if one has an error or they have other than so many records together."""
+    damaged = files.filter("error IS NOT NULL").select("file", "error").first()
+    if damaged:
+        raise ValueError(f"{damaged['file']}: {damaged['error']}")
+    found = files.agg(F.sum("records")).first()[0] or 0
+    if found != records:
+        raise ValueError(f"{found} of {records} records normalised")
+    return files
 
 
 def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Pages to monolithic archives to normalised ones in the shared folder. Returns the normalised files."""
+    """Pages to monolithic archives to normalised ones in the shared folder. Returns the normalised files, or raises if
+    one is damaged or the records are not as many as were written."""
     folder = new_folder(spark, "warc")
-    return normalise(write_monolithic(pages, f"{folder}/monolithic", min_bytes), f"{folder}/normal")
+    files = write_monolithic(pages, f"{folder}/monolithic", min_bytes)
+    return whole(normalise(files, f"{folder}/normal"), files.agg(F.sum("records")).first()[0] or 0)
 
 
 SQL = """

@@ -146,6 +146,36 @@ def test_normaliser_keeps_bytes_and_reports_damage(spark, tmp_path):
             assert zlib.decompress(data[start : start + length], 31) == record
 
 
+def test_long_headers_lose_no_page(spark):
+    long = "http://a/" + "é" * 600_000  # percent-encoded: 3.6 MB
+    rows = [(i, long if i == 2 else f"u{i}", f"page {i}") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    got = {r["page_id"]: len(r["url"]) for r in warc.read_records(warc.archive(spark, pages)).collect()}
+    assert got == {i: 9 + 6 * 600_000 if i == 2 else 2 for i in range(6)}
+
+
+def test_lost_records_fail_the_job(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", "x" * 5000 + str(i)) for i in range(4)], "page_id bigint, url string, html string").coalesce(1)
+    normalise = warc.normalise
+
+    def damaged(written, folder):
+        for i, r in enumerate(written.collect()):
+            with files.reading(r["file"]) as stream:
+                data = stream.read()
+            open(tmp_path / f"{i}", "wb").write(data[:-20])
+        return normalise(spark.createDataFrame([(str(p),) for p in tmp_path.iterdir() if p.is_file()], "file string"), folder)
+
+    monkeypatch.setattr(warc, "normalise", damaged)
+    with pytest.raises(ValueError):
+        warc.archive(spark, pages)
+    monkeypatch.setattr(warc, "normalise", lambda files, folder: normalise(files.limit(0), folder))
+    with pytest.raises(ValueError):
+        warc.archive(spark, pages)
+    monkeypatch.setattr(warc, "normalise", normalise)
+    with pytest.raises(Exception, match="records in the index"):
+        warc.read_records(warc.archive(spark, pages).withColumn("records", F.lit(9).cast("bigint"))).collect()
+
+
 # --- packing -----------------------------------------------------------------------------------------------------
 
 
