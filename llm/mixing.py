@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,10 @@ from llm.registry import query
 
 #: A table of sources is broadcast only if it was counted and has at most this many rows.
 BROADCAST_SOURCES = 10_000
+#: Up to this rate a source's cumulative probabilities are one array; beyond, each document sums its own.
+LARGE = 1000
+#: Copies of a document that are numbered at a time.
+COPIES = 1 << 16
 
 
 def replication_rates(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
@@ -62,6 +68,30 @@ def poisson_steps(rate: Column) -> Column:
     return F.when(rate > 0, steps).otherwise(F.array(F.lit(2.0) - 1.0))
 
 
+def large_draw(rate: Column, draw: Column) -> Column:
+    """How many cumulative Poisson probabilities are at most ``draw``, for rates over LARGE.
+
+    The sum starts 10 standard deviations and 20 below the mean, under which lies less than 1e-20, with Stirling's
+    series for the factorial, and holds no array of sums: the cost grows with the root of the rate.
+    """
+    first = F.floor(rate - 10 * F.sqrt(rate) - 20)
+    last = F.ceil(rate + 10 * F.sqrt(rate) + 20)
+    term = (
+        (first - rate) + first * F.log1p((rate - first) / first) - F.log(2 * math.pi * first) / 2
+        - 1 / (12 * first) + 1 / (360 * F.pow(first.cast("double"), F.lit(3.0)))
+    )
+
+    def state(log_term: Column, total: Column, count: Column) -> Column:
+        met = F.when(total <= draw, count + 1).otherwise(count)
+        return F.struct(log_term.alias("log_term"), total.alias("sum"), met.alias("count"))
+
+    def step(now: Column, i: Column) -> Column:
+        log_term = now["log_term"] + F.log(rate / i)
+        return state(log_term, now["sum"] + F.exp(log_term), now["count"])
+
+    return F.aggregate(F.sequence(first + 1, last), state(term, F.exp(term), first), step, lambda s: s["count"])
+
+
 def mix_sources(
     docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = 17
 ) -> DataFrame:
@@ -78,19 +108,22 @@ def mix_sources(
     """
     rates = replication_rates(docs, weights)
     few = rates.count() <= BROADCAST_SOURCES
-    rates = rates.select(F.col("source").alias("_source"), poisson_steps(F.col("rate")).alias("_steps"))
+    steps = F.when(F.col("rate") <= LARGE, poisson_steps(F.col("rate")))
+    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), steps.alias("_steps"))
     draw = uniform(F.lit(seed), F.col("doc_id"))
     # A source that holds a third of all rows meets one row: broadcast after counting, else an inner join, whose
     # skewed partitions the adaptive plan splits.
     joined = docs.withColumn("_draw", draw).join(
         F.broadcast(rates) if few else rates, F.col("source").eqNullSafe(F.col("_source"))
     )
-    copies = F.size(F.filter("_steps", lambda c: c <= F.col("_draw")))
+    few_copies = F.size(F.filter("_steps", lambda c: c <= F.col("_draw"))).cast("bigint")
+    copies = F.when(F.col("_rate") <= LARGE, few_copies).otherwise(large_draw(F.col("_rate"), F.col("_draw")))
     order = F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_copy")))
     names = docs.columns + ([] if "copy_no" in docs.columns else ["copy_no"])
     return (
         joined.withColumn("_copies", copies).filter("_copies > 0")
-        .withColumn("_copy", F.explode(F.expr("sequence(1, _copies)")))
+        .withColumn("_from", F.explode(F.expr(f"sequence(1, greatest(1, int(_copies)), {COPIES})")))
+        .withColumn("_copy", F.explode(F.expr(f"sequence(_from, least(int(_copies), _from + {COPIES - 1}))")))
         .withColumns({"_order": order} | ({} if "copy_no" in docs.columns else {"copy_no": F.col("_copy")}))
         .orderBy("_order").select(*names)
     )

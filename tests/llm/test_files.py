@@ -61,6 +61,23 @@ def test_large_rates_do_not_underflow(spark):
     assert abs(np.searchsorted(steps, 0.5) - 2000) < 3 and steps[-1] == pytest.approx(1)
 
 
+def test_large_draws_equal_the_steps(spark):
+    for rate in (1001.5, 2000.0):
+        draws = spark.range(200).select((F.col("id") / 200 + 0.00123).alias("u"))
+        steps = spark.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first()["s"]
+        got = draws.select("u", mixing.large_draw(F.lit(rate), F.col("u")).alias("n")).collect()
+        assert [r["n"] for r in got] == [int(np.searchsorted(steps, r["u"], "right")) for r in got]
+
+
+@pytest.mark.parametrize("length", [1, 20])
+def test_a_rare_source_is_drawn_at_a_large_rate(spark, length):
+    rate = 4_000_000 // 2 / length
+    rows = [(1, "r" * length, "rare"), (2, "x" * (4_000_000 - length), "big")]
+    out = mixing.mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    n, low, high, different = out.filter("doc_id = 1").agg(F.count("*"), F.min("copy_no"), F.max("copy_no"), F.count_distinct("copy_no")).first()
+    assert abs(n - rate) < 6 * rate**0.5 and (low, high, different) == (1, n, n)
+
+
 # --- tokens ------------------------------------------------------------------------------------------------------
 
 
