@@ -53,7 +53,8 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-#: SQL can express neither the trained classifier nor the tokenizer; tests/llm holds run() against a plain version.
+#: SQL can express neither the trained classifier nor the tokenizer; tests/llm holds the stages after the classifier, and
+#: run() from what the classifier keeps, against plain versions on sf0.001.
 ORACLE_SQL = None
 
 

@@ -1,13 +1,20 @@
 """The pipeline's stages against what each must do to its own input, and the registry."""
 
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
 import __spark_entry__ as entry
 import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm import jaccard, lines, quality
+from llm import jaccard, lines, quality, tokens
 from llm.common import table
+from test_groups import plain_join
+from test_texts import plain_lines
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,3 +60,77 @@ def test_each_stage_on_its_input(spark, stages):
 def test_run_is_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == stages[5].columns and got.count() == stages[5].count()
+
+
+# --- against plain code ------------------------------------------------------------------------------------------
+
+
+def plain_mix(docs):
+    """The copies in order, by Poisson counts with the same mean number of characters for every source."""
+    chars = Counter()
+    for r in docs:
+        chars[r[3]] += len(r[1])
+    out = []
+    for r in docs:
+        rate = round(sum(chars.values()) / len(chars) / chars[r[3]], 9) if chars[r[3]] else 1.0
+        draw = int(hashlib.md5(f"17|{r[0]}".encode()).hexdigest()[:13], 16) / 2**52
+        copies, term = 0, math.exp(-rate)
+        total = term
+        while total <= draw:
+            copies += 1
+            term *= rate / copies
+            total += term
+            out.append((hashlib.md5(f"order 17|{r[0]}|{copies}".encode()).hexdigest(), r))
+    return [r for _, r in sorted(out)]
+
+
+def plain_pieces(docs, capacity=2048):
+    """Full pieces, but for the first."""
+    own, out = tokens.encoder(tokens.default_vocabulary()).tokenizer, Counter()
+    for r in docs:
+        ids = np.array(own.encode(r[1], add_special_tokens=False).ids + [0], "<u4")
+        ends = range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)
+        for piece, end in enumerate(ends):
+            start = max(0, end - capacity)
+            out[r[0], piece, start, end - start, zlib.crc32(ids[start:end].tobytes())] += 1
+    return out
+
+
+def pieces(packed):
+    return Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packed)
+
+
+def places(packed):
+    """Every sequence is filled from 0 without gaps and holds no more than it may."""
+    by = defaultdict(list)
+    for r in packed:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for row in by.values():
+        at = 0
+        for offset, length in sorted(row):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_stages_and_run_against_plain_code(spark, stages):
+    """All stages after the classifier, each from what plain code makes of the one before."""
+    start, good, lined, single, mixed, packed = ([*s.collect()] for s in stages)
+    assert {tuple(r) for r in good} <= {tuple(r) for r in start} and len(good) > len(start) / 2
+    first = plain_lines([(r["doc_id"], r["text"]) for r in good])
+    want = []
+    for d, text, lang, source, _ in good:
+        text = "\n".join(x for n, x in enumerate(text.split("\n")) if first.get((d, n), (d, n)) == (d, n))
+        want.append((d, text, lang, source, len(text)))
+    assert sorted(tuple(r) for r in lined) == sorted(want)
+    parts = plain_join([r[:2] for r in want])
+    want = [r for r in want if parts[r[0]][1] == r[0]]
+    assert sorted(tuple(r) for r in single) == sorted(want)
+    want = plain_mix(want)
+    assert [tuple(r) for r in mixed] == want
+    want = plain_pieces(want)
+    assert pieces(packed) == want
+    places(packed)
+    whole = corpus_pipeline.run(spark, SF).collect()
+    assert pieces(whole) == want
+    places(whole)
