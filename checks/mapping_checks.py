@@ -421,7 +421,11 @@ def _(spark, sf_dir):
     f"""WITH {SQL_ORDER_TEXTS} SELECT md5(CAST(o_orderkey AS VARCHAR)) AS bronze_id, memo AS cell FROM order_texts WHERE sys IN (1, 2, 3, 4, 5)""",
 )
 def _(spark, sf_dir):
-    stored = raw_rows(spark, sf_dir).select("bronze_id", row_to_json(F.col("raw")).alias("raw_content"))
-    cells = stored.select("bronze_id", F.explode(json_to_row(F.col("raw_content"))).alias("column", "cell"))
+    stored = raw_rows(spark, sf_dir).select("bronze_id", "raw", row_to_json(F.col("raw")).alias("raw_content"))
+    # The result has a cell a row; here all cells of all systems must have come back.
+    back = json_to_row(F.col("raw_content"))
+    same = F.map_entries(back).eqNullSafe(F.map_entries("raw"))
+    back = F.when(same, back).otherwise(F.raise_error(F.concat(F.lit("cells changed: "), "raw_content")).cast("map<string,string>"))
+    cells = stored.select("bronze_id", F.explode(back).alias("column", "cell"))
     return cells.filter(F.col("column").isin("Memo", "Narration", "Tafseelat", "Narrations") | (
         (F.col("column") == "Particulars") & F.col("cell").contains(" order "))).select("bronze_id", "cell")

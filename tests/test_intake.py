@@ -179,3 +179,13 @@ def test_stream_restart(spark, vault, tmp_path):
     query = watch(ledger, str(vault), str(tmp_path / "ck2"))
     query.awaitTermination()
     assert ledger.read("bronze_transactions").count() == 5
+
+
+@pytest.mark.parametrize("lost", ["Vch Type", "Branch Code", "Date"])
+def test_raw_json_round_trip_compares_all_cells(spark, monkeypatch, lost):
+    from checks import mapping_checks
+    from checks.registry import QUERIES
+
+    monkeypatch.setattr(mapping_checks, "json_to_row", lambda c: F.map_filter(json_to_row(c), lambda k, _: k != lost))
+    with pytest.raises(Exception, match="cells changed"):
+        QUERIES["raw_json_round_trip"](spark, "/root/testdata/sf0.001").collect()
