@@ -21,10 +21,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` written as parquet to the shared folder and read again: its lineage ends there, so a lost executor
-    costs a read, and later steps read only the columns they use."""
-    path = new_folder(df.sparkSession, name)
+    costs a read, and later steps read only the columns they use. ``folder`` is a ``stage_folder`` below the shared one,
+    which its user removes when no DataFrame that reads it is left."""
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from llm import embeddings, jaccard, lines, mixing, packing, quality, repeats, secrets, tokenfile, warc  # noqa: F401
+from llm import embeddings, history, jaccard, lines, mixing, negatives, packing, phrases, quality, repeats, secrets, tokenfile, warc  # noqa: F401
 from llm.registry import ORACLES, QUERIES  # noqa: F401
