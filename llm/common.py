@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,23 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` written as parquet to the shared folder and read again: its lineage ends there, so a lost executor
     costs a read, and later steps read only the columns they use. ``folder`` is a ``stage_folder`` below the shared one,
     which its user removes when no DataFrame that reads it is left."""
-    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_folder(spark, name)
+    with _shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Spark removes the shuffle files of what is written here at its end: nothing reads them again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def shuffle_tasks(spark: SparkSession) -> int:

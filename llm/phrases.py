@@ -146,6 +146,16 @@ def _extended(batches, length: int):
             )
 
 
+def _frequent(groups: DataFrame, least: int) -> DataFrame:
+    """The groups (chunk, code, head, tail, count) whose pair of head and tail is frequent in all, with its id and f.
+
+    The rows of a pair, one a chunk, meet once for the count and the reduction; the id is the number of the first.
+    """
+    pair = Window.partitionBy("head", "tail")
+    rows = groups.withColumn("row", F.monotonically_increasing_id())
+    return rows.withColumns({"f": F.sum("count").over(pair), "id": F.min("row").over(pair)}).filter(F.col("f") >= least).drop("count")
+
+
 def _semi(groups: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
     """chunk, code, id of the groups of each chunk that are frequent. A frequent group stands once a chunk, whatever its
     count; Spark splits the rows of one that stands in very many."""
@@ -182,8 +192,8 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, folder: str, siz
         relation = written(met.mapInArrow(lambda batches, n=length: _extended(batches, n), schema), "occurrences", folder)
         groups = relation.select("chunk", F.posexplode(F.arrays_zip("heads", "tails", "counts")).alias("code", "g"))
         groups = groups.select("chunk", "code", F.col("g.heads").alias("head"), F.col("g.tails").alias("tail"), F.col("g.counts").alias("count"))
-        counted = groups.groupBy("head", "tail").agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
-        counted = written(counted.withColumn("id", F.monotonically_increasing_id()), "frequent", folder)
+        kept = written(_frequent(groups, least), "frequent", folder)
+        counted = kept.filter("row = id").select("id", "head", "tail", "f")
         before = levels[-1]
         head = before.select(F.col("id").alias("head"), "lang", F.col("words").alias("first"), "heads")
         tail = before.select(F.col("id").alias("tail"), F.element_at("words", -1).alias("last"), "tails")
@@ -193,8 +203,6 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, folder: str, siz
                 F.concat("tails", F.array("f")).alias("tails"), "head", "tail",
             ), "phrases", folder,
         ))
-        if length + 1 < longest:
-            kept = _semi(groups, counted.select("head", "tail", "id"), ["head", "tail"])
     return levels, totals
 
 
