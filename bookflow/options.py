@@ -14,6 +14,8 @@ class Options:
     max_rows_per_file: int = 100_000
     enforce_gates: bool = False
     debounce_seconds: float = 2.0
+    # Delimited files of a listing above this are read over many tasks; below, a file is one row of one task.
+    split_above_bytes: int = 256 * 1024 * 1024
 
     # Delimited-file detection windows.
     encoding_sample_bytes: int | None = None  # None: all bytes

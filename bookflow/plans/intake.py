@@ -14,6 +14,7 @@ from bookflow.options import DEFAULTS, Options
 from bookflow.plans.joins import lookup_join
 from bookflow.plans.session import materialize, stage_folder
 from bookflow.sources import delimited, landing, workbook, xlsx_cells
+from bookflow.sources.large_delimited import parse_large
 from bookflow.tables import Ledger, audit_event
 
 
@@ -60,15 +61,39 @@ class ParsedFiles:
     failed: DataFrame
 
 
-def parse_files(files: DataFrame, fresh: DataFrame, folder: str | None = None, options: Options = DEFAULTS) -> ParsedFiles:
+def _large_parts(fresh: DataFrame, folder: str | None, options: Options) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """(rows as of ``explode_all``, meta, failed) of the fresh delimited files that are read over many tasks, None
+    without such files. Their paths go through the driver as for any scan; each stands for a large file."""
+    large = fresh.filter((F.col("source_type") == "csv") & (F.col("file_size_bytes") > options.split_above_bytes))
+    paths = [r["file_path"] for r in large.select("file_path").toLocalIterator()]
+    if not paths:
+        return None
+    parsed = parse_large(fresh.sparkSession, paths, folder, options)
+    known = large.select("file_path", "file_hash", "file_name", "source_type", "source_software")
+    meta = F.to_json(F.struct(*delimited.META), {"ignoreNullFields": "false"}).alias("parse_meta")
+    return (
+        parsed.rows.join(known, "file_path"),
+        parsed.meta.join(known, "file_path").select("file_hash", meta),
+        parsed.failed.join(known, "file_path").select("file_hash", "error"),
+    )
+
+
+def parse_files(
+    files: DataFrame, fresh: DataFrame, folder: str | None = None, options: Options = DEFAULTS, split: bool = False
+) -> ParsedFiles:
     """Parses the files of ``files`` (a listing with content) that stand in ``fresh`` (manifest rows).
 
     Each reader scans the files of its own suffixes only, and the hash comes from the manifest. Delimited files are
-    parsed once and written down in ``folder``, workbooks are unpacked once.
+    parsed once and written down in ``folder``, workbooks are unpacked once. With ``split`` the large delimited files of
+    ``fresh`` are not in ``files``: each is read by its path over many tasks.
     """
     csv = landing.contents(landing.by_suffix(files, [".csv"]), fresh, options)
     parsed = materialize(delimited.explode_all(delimited.parse_delimited(csv, options)), folder)
-    csv_rows, surplus = delimited.split_surplus(parsed)
+    every = parsed.select(*ROW)
+    large = _large_parts(fresh, folder, options) if split else None
+    if large is not None:
+        every = every.unionByName(large[0].select(*ROW))
+    csv_rows, surplus = delimited.split_surplus(every)
     csv_meta = parsed.groupBy("file_hash").agg(
         F.first(F.to_json(F.struct(*delimited.META), {"ignoreNullFields": "false"})).alias("parse_meta")
     )
@@ -83,6 +108,9 @@ def parse_files(files: DataFrame, fresh: DataFrame, folder: str | None = None, o
     ).withColumn("overflow", F.array().cast("array<string>"))
     book_meta = workbook.workbook_metadata(sheet_rows, cells, options)
     _, _, other = landing.route_by_type(fresh)
+    failed = other.select("file_hash", "error").unionByName(damaged)
+    if large is not None:
+        csv_meta, failed = csv_meta.unionByName(large[1]), failed.unionByName(large[2])
     return ParsedFiles(
         csv_rows.select(*ROW).unionByName(book_rows.select(*ROW)),
         surplus.select(
@@ -90,7 +118,7 @@ def parse_files(files: DataFrame, fresh: DataFrame, folder: str | None = None, o
             raw_content(F.col("raw"), F.col("overflow")).alias("raw_content"), "error",
         ),
         csv_meta.unionByName(book_meta),
-        other.select("file_hash", "error").unionByName(damaged).distinct(),
+        failed.distinct(),
     )
 
 
@@ -107,20 +135,25 @@ def ingest(
     rows_rejected, batch_id, error, parse_meta (JSON). Known files are skipped, a damaged file is reported and stops
     nothing. Rows that cannot be stored stand with a reason in the relation ``rejected_rows``, so written and rejected
     rows are all rows of a file. What is known is looked up in the results of earlier loads, one row per file: a file
-    counts as known once rows of it are stored, so a failed one is taken up again by the next run. With
-    ``options.enforce_gates`` files above the size gate are reported and not read.
+    counts as known once it succeeded and rows of it are stored, so a failed one is taken up again by the next run. With
+    ``options.enforce_gates`` files above the size gate are reported and not read. Delimited files of a listing that pass
+    ``options.split_above_bytes`` are read over many tasks.
     """
     began = time.monotonic()
     with stage_folder(ledger.spark) as folder:
         small, large = landing.drop_empty_files(files), None
         if options.enforce_gates:
             small, large = landing.split_by_size(small, options)
-        manifest = materialize(landing.file_manifest(small, detected_at), folder)
-        known = ledger.extra("file_results").filter((F.col("load_id") != load_id) & (F.col("rows_written") > 0))
+        whole, large_csv = landing.split_large(small, options)
+        manifest = landing.file_manifest(whole, detected_at)
+        if large_csv is not None:
+            manifest = manifest.unionByName(landing.large_manifest(large_csv, detected_at))
+        manifest = materialize(manifest, folder)
+        known = ledger.extra("file_results").filter((F.col("load_id") != load_id) & F.col("success") & (F.col("rows_written") > 0))
         fresh, skipped = landing.drop_known_files(manifest, known.select("file_hash"))
         fresh = materialize(fresh, folder)
 
-        parsed = parse_files(small, fresh, folder, options)
+        parsed = parse_files(whole, fresh, folder, options, split=large_csv is not None)
         ledger.append(raw_records(parsed.rows, load_id), "bronze_transactions", load_id)
         ledger.append_extra(parsed.rejected, "rejected_rows", load_id)
 

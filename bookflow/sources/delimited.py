@@ -1,6 +1,6 @@
 """Delimited files: bytes to rows in one narrow pass.
 
-A file is one input row (its size is bounded by the size gate), everything up to the exploded records is a
+A file is one input row (larger ones go through ``large_delimited``), everything up to the exploded records is a
 column expression on that row, and nothing is shuffled: files parse in parallel and keep their row order.
 """
 

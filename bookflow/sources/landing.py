@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +42,21 @@ def list_files(files: DataFrame) -> DataFrame:
     ).orderBy("file_name")
 
 
-def by_suffix(files: DataFrame, suffixes: list[str]) -> DataFrame:
-    """Files with one of the suffixes. On a file scan the condition is on file metadata, so Spark skips the bytes of
-    all other files."""
+def _listed_name(files: DataFrame) -> Column | None:
+    """The file name from the metadata of a binary file scan; None for any other relation."""
     try:
         name = files["_metadata.file_name"]
     except AnalysisException:
-        name = fx.file_name(F.col("path"))
-    return files.filter(fx.suffix(name).isin(suffixes))
+        return None
+    # A relation of paths and bytes that stands in files itself has metadata too, those of its own files.
+    return name if "] binaryFile" in files._jdf.queryExecution().analyzed().toString() else None
+
+
+def by_suffix(files: DataFrame, suffixes: list[str]) -> DataFrame:
+    """Files with one of the suffixes. On a file scan the condition is on file metadata, so Spark skips the bytes of
+    all other files."""
+    name = _listed_name(files)
+    return files.filter(fx.suffix(fx.file_name(F.col("path")) if name is None else name).isin(suffixes))
 
 
 def drop_empty_files(files: DataFrame) -> DataFrame:
@@ -73,22 +85,51 @@ def file_manifest(files: DataFrame, detected_at: Column | None = None) -> DataFr
 
 def with_manifest(files: DataFrame, detected_at: Column | None = None) -> DataFrame:
     """The manifest columns plus ``content``."""
-    name = fx.file_name(F.col("path"))
+    named = files.select("path", "length", "content", fx.fingerprint(F.col("content")).alias("file_hash"))
+    return _described(named, detected_at).select(*MANIFEST, "content")
+
+
+def large_manifest(files: DataFrame, detected_at: Column | None = None) -> DataFrame:
+    """The manifest of files whose bytes fit no row: a task reads its file as a stream and keeps one piece at a time."""
+
+    def read(batches):
+        for batch in batches:
+            hashes = []
+            for path in batch.column(0).to_pylist():
+                store, name = fs.FileSystem.from_uri(quote(path, safe="/:"))
+                digest = hashlib.sha256()
+                with store.open_input_stream(name, compression=None) as stream:
+                    while piece := stream.read(1 << 22):
+                        digest.update(piece)
+                hashes.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.string())], ["path", "length", "file_hash"])
+
+    named = files.select("path", "length").mapInArrow(read, "path string, length bigint, file_hash string")
+    return _described(named, detected_at).select(*MANIFEST)
+
+
+def _described(named: DataFrame, detected_at: Column | None) -> DataFrame:
+    """Manifest columns for rows of path, length and file_hash, beside what else they hold."""
     when = F.current_timestamp() if detected_at is None else detected_at
-    verdict = fx.classify_file(F.col("file_name"))
     return (
-        files.select(F.col("path").alias("file_path"), name.alias("file_name"), "length", "content")
-        .withColumn("verdict", verdict)
-        .select(
-            "file_path", "file_name", "verdict.*",
-            fx.fingerprint(F.col("content")).alias("file_hash"),
-            F.col("length").alias("file_size_bytes"),
-            F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("detected_at"),
-            "content",
-        )
+        named.withColumnRenamed("path", "file_path").withColumn("file_name", fx.file_name(F.col("file_path")))
+        .withColumn("verdict", fx.classify_file(F.col("file_name"))).select("*", "verdict.*")
+        .withColumn("file_size_bytes", F.col("length"))
+        .withColumn("detected_at", F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     )
 
 
+def split_large(files: DataFrame, options: Options = DEFAULTS) -> tuple[DataFrame, DataFrame | None]:
+    """(files taken in one row each, delimited files above ``options.split_above_bytes``, which are read by their paths).
+
+    Only a real listing can be split; a relation of contents has none of the second kind (None)."""
+    name = _listed_name(files)
+    if name is None:
+        return files, None
+    large = fx.suffix(name).isin([".csv"]) & (F.col("length") > options.split_above_bytes)
+    return files.filter(~large), files.filter(large).select("path", "length")
+
+
 def first_of_each_hash(manifest: DataFrame) -> DataFrame:
     """One file per hash, the first by path. Combined map-side: a third of all files may be copies of one."""
     record = F.struct(*manifest.columns)

@@ -144,10 +144,11 @@ def unpack(files: DataFrame) -> DataFrame:
 
 
 def split_damaged(unpacked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cells, failed files with ``error``). Write ``unpacked`` down first: both are read from it."""
-    return unpacked.filter("error is null").drop("error"), unpacked.filter("error is not null").select(
-        "file_hash", "error"
-    )
+    """(cells of whole files, failed files with ``error``). What was read of a damaged file before its damage is left
+    out: a file is taken in as a whole or not at all. Write ``unpacked`` down first: both are read from it."""
+    failed = unpacked.filter("error is not null").select("file_hash", "error")
+    cells = unpacked.filter("error is null").drop("error")
+    return cells.join(failed.select("file_hash"), "file_hash", "left_anti").select(*cells.columns), failed
 
 
 def read_cells(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -113,9 +113,23 @@ class Ledger:
             log.error("SQL failed: %s", problem)
             raise
 
+    def current(self, table: str, key: str, *newest: str) -> DataFrame:
+        """One row per ``key``: of rows stored several times, as by a second run over the same raw rows, the greatest by
+        ``newest`` and then by load. Only the key and these columns are grouped; whole rows meet the few keys that
+        stand more than once."""
+        stored, order = self.read(table), F.struct(*newest, "load_id")
+        several = (
+            stored.groupBy(key).agg(F.count("*").alias("_n"), F.max(order).alias("_newest")).filter("_n > 1").drop("_n")
+        )
+        return stored.join(several, key, "left").filter(F.col("_newest").isNull() | (order == F.col("_newest"))).drop("_newest")
+
     def read_curated(self) -> DataFrame:
-        """Curated transactions for consumers."""
-        return self.read("gold_transactions")
+        """Curated transactions for consumers, each in its highest version."""
+        return self.current("gold_transactions", "transaction_id", "gold_version")
+
+    def read_clean(self) -> DataFrame:
+        """Clean rows, each as its last load left it."""
+        return self.current("silver_transactions", "silver_id")
 
     def append(
         self, df: DataFrame, table: str, load_id: str, as_of: Column | None = None, strict: bool = False,
@@ -188,7 +202,7 @@ class Ledger:
     def audit(self, events: DataFrame, load_id: str) -> None:
         """Append audit events; a failing write is logged, never raised."""
         try:
-            self.append(with_log_id(events), "pipeline_audit_log", load_id)
+            self.append(with_log_id(events, load_id), "pipeline_audit_log", load_id)
         except PySparkException as problem:
             log.warning("Audit log write failed (non-fatal): %s", problem)
 
@@ -204,9 +218,9 @@ class Ledger:
         return reduce(DataFrame.unionByName, counts)
 
 
-def with_log_id(events: DataFrame) -> DataFrame:
-    """Adds a deterministic log_id to audit events."""
-    return events.withColumn("log_id", uuid_of("operation", "source_id", "message"))
+def with_log_id(events: DataFrame, load_id: str = "") -> DataFrame:
+    """Adds a deterministic log_id to audit events; the same event of another load has another one."""
+    return events.withColumn("log_id", uuid_of(F.lit(load_id), "operation", "source_id", "message"))
 
 
 def audit_event(
