@@ -153,7 +153,8 @@ def train_quality(
 
     ``labels``: doc_id, quality (1 good, 0 bad). Rows with nulls are left out; a document labelled both ways counts as
     bad. A quarter of the sample is held out for the calibration, weighted so that classes have the shares of all
-    labels. Only hashed counts of the bounded sample reach the driver. Without texts of both classes: None.
+    labels. One task fits the hashed counts of the bounded sample; only the model reaches the driver. Without texts of both
+    classes: None.
     """
     known = (
         labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna()
@@ -188,14 +189,31 @@ def train_quality(
         .select("text", "q", "h", "doc_id")
     )
     schema = "doc_id bigint, quality int, held boolean, keys binary, shares binary"
-    rows = sorted(texts.mapInArrow(measure, schema).collect(), key=lambda r: r["doc_id"])
-    parsed = [(r["quality"], np.frombuffer(r["keys"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in rows]
-    held = np.array([r["held"] for r in rows], bool)
+
+    def fit(batches):
+        rows = sorted((r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))), key=lambda r: r[0])
+        model = _trained(rows, n)
+        if model is not None:
+            numbers = [pa.array([x]) for x in (model.bias, model.slope, model.offset)]
+            yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), *numbers], ["weights", "bias", "slope", "offset"])
+
+    # The bounded sample is measured where it lies and fitted in one task; the driver gets the model alone.
+    found = texts.mapInArrow(measure, schema).repartition(1).mapInArrow(fit, "weights binary, bias double, slope double, offset double").collect()
+    if not found:
+        return None
+    weights = np.frombuffer(found[0]["weights"], np.float32).reshape(FAMILIES, -1)
+    return QualityModel(weights, found[0]["bias"], found[0]["slope"], found[0]["offset"])
+
+
+def _trained(rows: list[tuple], n: dict[int, int]) -> QualityModel | None:
+    """The model of measured rows (doc_id, quality, held, keys, shares); ``n`` counts the labels of each class."""
+    parsed = [(r[1], np.frombuffer(r[3], np.int32), np.frombuffer(r[4], np.float32)) for r in rows]
+    held = np.array([r[2] for r in rows], bool)
     y = np.array([r[0] for r in parsed])
-    if not all(((y == q) & (held == h)).any() for q in (0, 1) for h in (False, True)):
-        held = np.zeros(len(rows), bool)
     if len(set(y.tolist())) < 2:
         return None
+    if not all(((y == q) & (held == h)).any() for q in (0, 1) for h in (False, True)):
+        held = np.zeros(len(rows), bool)
     train = [p for p, h in zip(parsed, held) if not h]
     ty = np.array([p[0] for p in train])
     weights, bias = _fit(train, np.where(ty == 1, 0.5 / max(1, (ty == 1).sum()), 0.5 / max(1, (ty == 0).sum())))
