@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 from array import array
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bookflow.plans.session import stage_folder
-from llm.common import as_bytes, table, written
+from llm.common import as_bytes, mix, shuffle_tasks, table, written
 from llm.registry import query
 
 #: Words a chunk of the occurrence relation, about; the pieces of a longer run of words are read so many bytes at once.
 CHUNK, STEP = 1_500_000, 1 << 20
-#: Frequent groups are broadcast up to these many rows and bytes, counted first; beyond, the semi-join shuffles.
-SMALL_ROWS, SMALL_BYTES = 100_000, 8 << 20
+#: Groups of chunks that are counted in one task, about: words, and pairs of phrases.
+WORDS, PAIRS = 400_000, 2_000_000
+#: Totals are broadcast up to this many langs, counted first.
+LANGS = 10_000
 
 #: A-Z lower-cased, tabs as blanks, what ends a piece as line feeds.
 READ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 10)
@@ -55,17 +59,51 @@ class _Chunk:
         ends = np.array(self.ends, np.int64)
         steps[ends[ends < len(codes)]] = 2
         steps[0] = 0
-        counts = np.bincount(codes[self.skip :], minlength=len(self.names))
-        langs = pa.array([lang for lang, _ in self.names], pa.string())
-        words = pa.array([word for _, word in self.names], pa.binary()).cast(pa.string())
-        one = np.array([0, len(self.names)], np.int32)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([number]), pa.array([self.skip], pa.int32()), pa.array([steps.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary()),
-                pa.ListArray.from_arrays(one, langs), pa.ListArray.from_arrays(one, words), pa.ListArray.from_arrays(one, pa.array(counts, pa.int64())),
-            ],
-            ["chunk", "skip", "steps", "codes", "langs", "words", "counts"],
-        )
+        # Codes are handed out anew in the order of the words' hashes, so that a bucket is a stretch of them.
+        keys = [lang.encode() + SEAM + word for lang, word in self.names]
+        order = np.argsort(_word_hashes(keys), kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        codes = place[codes]
+        counts = np.bincount(codes[self.skip :], minlength=len(keys)).astype(np.int32)
+        one = np.array([0, len(keys)], np.int32)
+        words = pa.ListArray.from_arrays(one, pa.array([keys[k] for k in order.tolist()], pa.binary()))
+        return _batch(RELATION_1, number, self.skip, steps.tobytes(), codes.tobytes(), words, counts.tobytes())
+
+
+#: Between lang and word in a key: a byte that UTF-8 never has.
+SEAM = b"\xff"
+RELATION_1 = pa.schema([
+    ("chunk", pa.int64()), ("skip", pa.int32()), ("steps", pa.binary()), ("codes", pa.binary()), ("keys", pa.list_(pa.binary())), ("counts", pa.binary()),
+])
+RELATION = pa.schema([
+    ("chunk", pa.int64()), ("skip", pa.int32()), ("steps", pa.binary()), ("codes", pa.binary()), ("heads", pa.binary()), ("tails", pa.binary()),
+    ("counts", pa.binary()),
+])
+SQL_RELATION_1 = "chunk bigint, skip int, steps binary, codes binary, keys array<binary>, counts binary"
+SQL_RELATION = "chunk bigint, skip int, steps binary, codes binary, heads binary, tails binary, counts binary"
+
+
+def _batch(schema: pa.Schema, *values) -> pa.RecordBatch:
+    """One row."""
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array([v], t) for v, t in zip(values, schema.types)], schema=schema)
+
+
+def _word_hashes(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(k) >> 32 for k in keys), np.uint64, len(keys))
+
+
+def _pair_hashes(heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    return mix(heads.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tails.astype(np.uint64)) >> np.uint64(32)
+
+
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in four bytes each where they fit."""
+    return (ids.astype(np.uint32) if not len(ids) or ids.max() < 1 << 32 else ids.astype(np.int64)).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if len(data) == 4 * n else np.int64).astype(np.int64)
 
 
 def _runs(piece: bytes):
@@ -107,9 +145,7 @@ def _occurrences(docs: DataFrame, longest: int, size: int) -> DataFrame:
         if len(chunk.codes) > chunk.skip:
             yield chunk.row(number)
 
-    return docs.select("lang", "text").mapInArrow(
-        read, "chunk bigint, skip int, steps binary, codes binary, langs array<string>, words array<string>, counts array<bigint>"
-    )
+    return docs.select("lang", "text").mapInArrow(read, SQL_RELATION_1)
 
 
 def _extended(batches, length: int):
@@ -117,53 +153,151 @@ def _extended(batches, length: int):
     more: the semi-join drops what is not frequent, then neighbours in the sorted relation are joined where their places
     follow each other. Counts are per chunk."""
     for batch in batches:
-        found = batch.column("found")
-        offsets = found.offsets.to_numpy()
-        known, ids = (found.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-        for k in range(batch.num_rows):
-            codes = np.frombuffer(batch.column("codes")[k].as_buffer(), np.int32)
-            places = np.cumsum(np.frombuffer(batch.column("steps")[k].as_buffer(), np.int32), dtype=np.int32)
-            skip = batch.column("skip")[k].as_py()
+        for chunk, skip, steps, codes, found in zip(*(batch.column(c) for c in ("chunk", "skip", "steps", "codes", "found"))):
+            codes = np.frombuffer(codes.as_buffer(), np.int32)
+            places = np.cumsum(np.frombuffer(steps.as_buffer(), np.int32), dtype=np.int32)
             id_of = np.full(int(codes.max()) + 1, -1, np.int64)
-            id_of[known[offsets[k] : offsets[k + 1]]] = ids[offsets[k] : offsets[k + 1]]
+            for part in found.as_py():
+                at = np.frombuffer(part["codes"], np.int32)
+                ids = _unpacked(part["ids"], len(at))
+                inside = at < len(id_of)
+                id_of[at[inside]] = ids[inside]
             frequent = id_of[codes] >= 0
             codes, places = codes[frequent], places[frequent]
             joined = np.nonzero(places[1:] == places[:-1] + 1)[0]
             if not len(joined):
                 continue
             pairs, new = np.unique(codes[joined].astype(np.int64) * len(id_of) + codes[joined + 1], return_inverse=True)
-            places = places[joined]
-            counts = np.bincount(new[places + length >= skip], minlength=len(pairs))
-            one = np.array([0, len(pairs)], np.int32)
+            heads, tails = id_of[pairs // len(id_of)], id_of[pairs % len(id_of)]
+            order = np.argsort(_pair_hashes(heads, tails), kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            new, heads, tails, places = rank[new], heads[order], tails[order], places[joined]
+            counts = np.bincount(new[places + length >= skip.as_py()], minlength=len(heads)).astype(np.int32)
             steps = np.diff(places, prepend=np.int32(0)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("chunk").slice(k, 1), batch.column("skip").slice(k, 1), pa.array([steps.tobytes()], pa.binary()),
-                    pa.array([new.astype(np.int32).tobytes()], pa.binary()), pa.ListArray.from_arrays(one, pa.array(id_of[pairs // len(id_of)])),
-                    pa.ListArray.from_arrays(one, pa.array(id_of[pairs % len(id_of)])), pa.ListArray.from_arrays(one, pa.array(counts, pa.int64())),
-                ],
-                ["chunk", "skip", "steps", "codes", "heads", "tails", "counts"],
-            )
+            yield _batch(RELATION, chunk.as_py(), skip.as_py(), steps.tobytes(), new.tobytes(), _packed(heads), _packed(tails), counts.tobytes())
 
 
-def _frequent(groups: DataFrame, least: int) -> DataFrame:
-    """The groups (chunk, code, head, tail, count) whose pair of head and tail is frequent in all, with its id and f.
+COUNTED = pa.schema([
+    ("kind", pa.int8()), ("chunk", pa.int64()), ("codes", pa.binary()), ("ids", pa.binary()), ("id", pa.int64()), ("lang", pa.string()),
+    ("word", pa.string()), ("head", pa.int64()), ("tail", pa.int64()), ("f", pa.int64()),
+])
+SQL_COUNTED = "kind tinyint, chunk bigint, codes binary, ids binary, id bigint, lang string, word string, head bigint, tail bigint, f bigint"
+GROUP, BACK, TOTAL = 0, 1, 2
 
-    The rows of a pair, one a chunk, meet once for the count and the reduction; the id is the number of the first.
-    """
-    pair = Window.partitionBy("head", "tail")
-    rows = groups.withColumn("row", F.monotonically_increasing_id())
-    return rows.withColumns({"f": F.sum("count").over(pair), "id": F.min("row").over(pair)}).filter(F.col("f") >= least).drop("count")
+
+def _columns(**columns) -> pa.RecordBatch:
+    n = max(len(v) for v in columns.values())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in COUNTED], schema=COUNTED
+    )
 
 
-def _semi(groups: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
-    """chunk, code, id of the groups of each chunk that are frequent. A frequent group stands once a chunk, whatever its
-    count; Spark splits the rows of one that stands in very many."""
-    texts = [F.octet_length(c) for c, t in frequent.dtypes if t == "string"]
-    size = frequent.agg(F.count("*").alias("n"), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("bytes")).first()
-    if size["n"] <= SMALL_ROWS and size["bytes"] <= SMALL_BYTES:
-        frequent = F.broadcast(frequent)
-    return groups.join(frequent, keys).select("chunk", "code", "id")
+def _counted_words(rows: list, bucket: int, buckets: int, least: int):
+    """Frequent words of a bucket with ids, the codes of each chunk that they have, and the words of every lang."""
+    totals: dict[bytes, int] = {}
+    for _, _, keys, counts in rows:
+        for key, n in zip(keys, counts.tolist()):
+            totals[key] = totals.get(key, 0) + n
+    langs: dict[bytes, int] = {}
+    for key, n in totals.items():
+        lang = key.partition(SEAM)[0]
+        langs[lang] = langs.get(lang, 0) + n
+    frequent = {key: k * buckets + bucket for k, key in enumerate(key for key, n in totals.items() if n >= least)}
+    yield _columns(kind=[TOTAL] * len(langs), lang=[x.decode() for x in langs], f=list(langs.values()))
+    if frequent:
+        parts = [key.partition(SEAM) for key in frequent]
+        yield _columns(
+            kind=[GROUP] * len(parts), id=list(frequent.values()), lang=[p[0].decode() for p in parts], word=[p[2].decode() for p in parts],
+            f=[totals[key] for key in frequent],
+        )
+    for chunk, base, keys, _ in rows:
+        ids = np.array([frequent.get(key, -1) for key in keys], np.int64)
+        at = np.nonzero(ids >= 0)[0]
+        if len(at):
+            yield _columns(kind=[BACK], chunk=[chunk], codes=[(at + base).astype(np.int32).tobytes()], ids=[_packed(ids[at])])
+
+
+def _counted_pairs(rows: list, bucket: int, buckets: int, least: int):
+    """Frequent pairs of head and tail of a bucket with ids, and the codes of each chunk that they have."""
+    heads, tails, counts = (np.concatenate([r[k] for r in rows]) for k in (2, 3, 4))
+    order = np.lexsort((tails, heads))
+    first = np.ones(len(order), bool)
+    first[1:] = (heads[order[1:]] != heads[order[:-1]]) | (tails[order[1:]] != tails[order[:-1]])
+    group = np.cumsum(first) - 1
+    f = np.bincount(group, counts[order]).astype(np.int64)
+    frequent = f >= least
+    if not frequent.any():
+        return
+    id_of = np.where(frequent, (np.cumsum(frequent) - 1) * buckets + bucket, -1)
+    at = order[first][frequent]
+    yield _columns(kind=np.full(len(at), GROUP), id=id_of[frequent], head=heads[at], tail=tails[at], f=f[frequent])
+    ids = np.empty(len(order), np.int64)
+    ids[order] = id_of[group]
+    start = 0
+    for chunk, base, own, *_ in rows:
+        mine = ids[start : start + len(own)]
+        start += len(own)
+        kept = np.nonzero(mine >= 0)[0]
+        if len(kept):
+            yield _columns(kind=[BACK], chunk=[chunk], codes=[(kept + base).astype(np.int32).tobytes()], ids=[_packed(mine[kept])])
+
+
+def _grouped(relation: DataFrame, least: int, folder: str) -> DataFrame:
+    """The groups of all chunks counted: rows of kind GROUP (id and f of every frequent one), BACK (for a chunk: which of its
+    codes are frequent, and their ids) and, for words, TOTAL (n of a lang).
+
+    The groups of a chunk go, packed by the hash of their key, to buckets, so many that a bucket gets a bounded number
+    of groups; a group stands once a chunk, however often it occurs there. Keys are compared whole.
+    """
+    words = "keys" in relation.columns
+    size = F.coalesce(F.sum((F.octet_length("counts") / 4).cast("bigint")), F.lit(0))
+    buckets = max(1, -(-relation.agg(size).first()[0] // (WORDS if words else PAIRS)))
+    edges = -(-(np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
+
+    def deal(batches):
+        for batch in batches:
+            chunks, packed = batch.column(0).to_pylist(), batch.column(batch.num_columns - 1)
+            for k, chunk in enumerate(chunks):
+                counts = np.frombuffer(packed[k].as_buffer(), np.int32)
+                if words:
+                    keys = batch.column(1)[k].as_py()
+                    cuts = [0, *np.searchsorted(_word_hashes(keys), edges).tolist(), len(counts)]
+                else:
+                    heads, tails = (_unpacked(batch.column(c)[k].as_py(), len(counts)) for c in (1, 2))
+                    cuts = [0, *np.searchsorted(_pair_hashes(heads, tails), edges).tolist(), len(counts)]
+                for bucket, (start, end) in enumerate(zip(cuts, cuts[1:])):
+                    if start == end:
+                        continue
+                    own = [[keys[start:end]]] if words else [[_packed(heads[start:end])], [_packed(tails[start:end])]]
+                    kinds = [pa.list_(pa.binary())] if words else [pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([bucket], pa.int32()), pa.array([chunk]), pa.array([start], pa.int32()),
+                            *[pa.array(c, t) for c, t in zip(own, kinds)], pa.array([counts[start:end].tobytes()], pa.binary()),
+                        ],
+                        ["bucket", "chunk", "base", *(["keys"] if words else ["heads", "tails"]), "counts"],
+                    )
+
+    def count(batches):
+        work = _counted_words if words else _counted_pairs
+        bucket, rows = None, []
+        for batch in batches:
+            for now, chunk, base, *own, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != bucket:
+                    if rows:
+                        yield from work(rows, bucket, buckets, least)
+                    bucket, rows = now, []
+                counts = np.frombuffer(counts, np.int32)
+                rows.append((chunk, base, *(own if words else (_unpacked(x, len(counts)) for x in own)), counts))
+        if rows:
+            yield from work(rows, bucket, buckets, least)
+
+    keys, types = (["keys"], "keys array<binary>") if words else (["heads", "tails"], "heads binary, tails binary")
+    dealt = relation.select("chunk", *keys, "counts").mapInArrow(deal, f"bucket int, chunk bigint, base int, {types}, counts binary")
+    tasks = min(buckets, 4 * shuffle_tasks(relation.sparkSession))
+    dealt = dealt.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket", "chunk")
+    return written(dealt.mapInArrow(count, SQL_COUNTED), "groups", folder)
 
 
 def frequent_phrases(docs: DataFrame, least: int, longest: int, folder: str, size: int = CHUNK) -> tuple[list[DataFrame], DataFrame]:
@@ -172,37 +306,37 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, folder: str, siz
 
     The relation of a length is stored sorted by piece and place. It is extended by a merge-join with itself where two
     frequent phrases overlap but for a word, grouped and counted (chunks bring counts, which are added up), and
-    reduced to the frequent groups before the next length. Groups are keyed by ids, not by hashes, so counts are exact.
+    reduced to the frequent groups before the next length. Groups are keyed by words and ids, not by hashes, so counts
+    are exact. A relation is removed when the next is stored.
     """
-    relation = written(_occurrences(docs, longest, size), "occurrences", folder)
-    groups = relation.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("code", "g"))
-    groups = groups.select("chunk", "code", F.col("g.langs").alias("lang"), F.col("g.words").alias("word"), F.col("g.counts").alias("count"))
-    words = written(groups.groupBy("lang", "word").agg(F.sum("count").alias("f")), "words", folder)
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = written(words.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "frequent", folder)
     none = F.lit(None).cast("bigint")
-    levels = [
-        frequent.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
-    ]
-    kept = _semi(groups, frequent.select("lang", "word", "id"), ["lang", "word"])
-    schema = "chunk bigint, skip int, steps binary, codes binary, heads array<bigint>, tails array<bigint>, counts array<bigint>"
-    for length in range(1, longest):
-        found = kept.groupBy("chunk").agg(F.collect_list(F.struct("code", "id")).alias("found"))
-        met = relation.select("chunk", "skip", "steps", "codes").join(found, "chunk")
-        relation = written(met.mapInArrow(lambda batches, n=length: _extended(batches, n), schema), "occurrences", folder)
-        groups = relation.select("chunk", F.posexplode(F.arrays_zip("heads", "tails", "counts")).alias("code", "g"))
-        groups = groups.select("chunk", "code", F.col("g.heads").alias("head"), F.col("g.tails").alias("tail"), F.col("g.counts").alias("count"))
-        kept = written(_frequent(groups, least), "frequent", folder)
-        counted = kept.filter("row = id").select("id", "head", "tail", "f")
-        before = levels[-1]
-        head = before.select(F.col("id").alias("head"), "lang", F.col("words").alias("first"), "heads")
-        tail = before.select(F.col("id").alias("tail"), F.element_at("words", -1).alias("last"), "tails")
-        levels.append(written(
-            counted.join(head, "head").join(tail, "tail").select(
-                "id", "lang", F.concat("first", F.array("last")).alias("words"), "f", F.concat("heads", F.array("f")).alias("heads"),
-                F.concat("tails", F.array("f")).alias("tails"), "head", "tail",
-            ), "phrases", folder,
-        ))
+    with ExitStack() as held:
+        here = held.enter_context(stage_folder(docs.sparkSession))
+        relation = written(_occurrences(docs, longest, size), "occurrences", here)
+        groups = _grouped(relation, least, folder)
+        totals = groups.filter(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("f").alias("n"))
+        frequent = groups.filter(F.col("kind") == GROUP)
+        levels = [
+            frequent.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
+        ]
+        for length in range(1, longest):
+            found = groups.filter(F.col("kind") == BACK).groupBy("chunk").agg(F.collect_list(F.struct("codes", "ids")).alias("found"))
+            met = relation.select("chunk", "skip", "steps", "codes").join(found, "chunk")
+            before = held.pop_all()
+            here = held.enter_context(stage_folder(docs.sparkSession))
+            with before:
+                relation = written(met.mapInArrow(lambda batches, n=length: _extended(batches, n), SQL_RELATION), "occurrences", here)
+            groups = _grouped(relation, least, folder)
+            counted = groups.filter(F.col("kind") == GROUP).select("id", "head", "tail", "f")
+            last = levels[-1]
+            head = last.select(F.col("id").alias("head"), "lang", F.col("words").alias("first"), "heads")
+            tail = last.select(F.col("id").alias("tail"), F.element_at("words", -1).alias("last"), "tails")
+            levels.append(written(
+                counted.join(head, "head").join(tail, "tail").select(
+                    "id", "lang", F.concat("first", F.array("last")).alias("words"), "f", F.concat("heads", F.array("f")).alias("heads"),
+                    F.concat("tails", F.array("f")).alias("tails"), "head", "tail",
+                ), "phrases", folder,
+            ))
     return levels, totals
 
 
@@ -241,7 +375,7 @@ def phrase_collocations(
             f"(cast(element_at(heads, k) as {wide}) * cast(element_at(tails, size(words) - k) as {wide})) as score, k as k, "
             "element_at(heads, k) as l, element_at(tails, size(words) - k) as r)))"
         )
-        found = found.join(F.broadcast(totals) if totals.count() <= SMALL_ROWS else totals, "lang").withColumn("best", scored)
+        found = found.join(F.broadcast(totals) if totals.count() <= LANGS else totals, "lang").withColumn("best", scored)
         found = found.select("lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"), "best.l", "best.r", "n", "best.score")
         order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
         ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
