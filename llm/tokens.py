@@ -13,6 +13,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 WHITE = r"\s\x1c-\x1f\x85\u180e\u200b\ufeff"
 # A space or line end that white space or nothing follows; a space that starts a word.
 LOOSE = re.compile(rf"[ \n](?:[{WHITE}]|\Z)")
+SPACED = re.compile(rf"[{WHITE}]")
 START = re.compile(rf" (?=[^{WHITE}])")
 LONGEST = 48
 #: Up to here all versions of the Unicode tables agree on what a letter is.
@@ -28,7 +29,7 @@ class WordEncoder:
     A byte-level BPE with the usual pattern never joins text across a space that starts a word (" word": a space,
     then no white space): whatever white space stands before that space is a token run of its own, and the space
     goes with the word. A line end between words is a run of its own as well. So texts are cut before those spaces and
-    line ends; the pieces not met before are encoded together, as one text, and cut apart by their offsets. A comma or
+    line ends; the pieces not met before are encoded together, as one text of lines, and cut apart at the line ends. A comma or
     full stop behind letters is a token of its own too. The caches hold ``bound`` pieces each; when the newer is
     full it becomes the older. Texts that hold the string of an added token, and tokenizers of any other kind, are
     encoded as a whole. A lone surrogate is read as '?'.
@@ -43,7 +44,9 @@ class WordEncoder:
         plain = "add_prefix_space=False" in kind and "use_regex=True" in kind
         self.cuts = kind.startswith("ByteLevel") and plain and not self.tokenizer.normalizer and not self.tokenizer.post_processor
         self.words, self.older, self.bound = {}, {}, bound
-        self.marks = {mark: self._whole(mark) for mark in ".,"}
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.marks = {mark: self._whole(mark) for mark in ".,\n"}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -67,12 +70,21 @@ class WordEncoder:
             else:
                 plain[word] = None
         if plain:
-            texts = [w if w[0] == "\n" else " " + w for w in plain]
-            starts = np.cumsum([0] + [len(t) for t in texts])
-            found = self.tokenizer.encode("".join(texts), add_special_tokens=False)
-            ids, offsets = np.array(found.ids, "<u4").tobytes(), np.array([o[0] for o in found.offsets])
-            cuts = (4 * np.searchsorted(offsets, starts)).tolist()
-            self.words.update((w, ids[x:y]) for w, x, y in zip(plain, cuts, cuts[1:]))
+            # Between words without white space a line end is a run of its own, whose single id parts their ids.
+            for opening in ("", "\n"):
+                own = [w for w in plain if w.startswith("\n") == bool(opening)]
+                bare = [w[1:] for w in own] if opening else own
+                if self.line is None or SPACED.search("".join(bare)):
+                    spaced = {w for w, b in zip(own, bare) if self.line is None or SPACED.search(b) or not b}
+                    self.words.update((w, self._whole(w if opening else " " + w)) for w in spaced)
+                    own = [w for w in own if w not in spaced]
+                    bare = [w[1:] for w in own] if opening else own
+                if own:
+                    text = "\n".join(bare) if opening else "\n".join(" " + w for w in bare)
+                    ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                    ends = [-1, *np.nonzero(ids == self.line)[0].tolist(), len(ids)]
+                    data, head = ids.tobytes(), self.marks["\n"] if opening else b""
+                    self.words.update((w, head + data[4 * x + 4 : 4 * y]) for w, x, y in zip(own, ends, ends[1:]))
         for word, base in marked:
             self.words[word] = self.words[base] + self.marks[word[-1]]
 
