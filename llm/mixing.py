@@ -109,23 +109,24 @@ def mix_sources(
     rates = replication_rates(docs, weights)
     few = rates.count() <= BROADCAST_SOURCES
     steps = F.when(F.col("rate") <= LARGE, poisson_steps(F.col("rate")))
-    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), steps.alias("_steps"))
-    draw = uniform(F.lit(seed), F.col("doc_id"))
+    rates = rates.select("source", "rate", steps.alias("steps"))
+    # A row travels as one value, so the columns of docs may have any names.
+    rows = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").cast("string").alias("id"),
+        F.col("source").alias("own"), uniform(F.lit(seed), F.col("doc_id")).alias("draw"),
+    )
     # A source that holds a third of all rows meets one row: broadcast after counting, else an inner join, whose
     # skewed partitions the adaptive plan splits.
-    joined = docs.withColumn("_draw", draw).join(
-        F.broadcast(rates) if few else rates, F.col("source").eqNullSafe(F.col("_source"))
-    )
-    few_copies = F.size(F.filter("_steps", lambda c: c <= F.col("_draw"))).cast("bigint")
-    copies = F.when(F.col("_rate") <= LARGE, few_copies).otherwise(large_draw(F.col("_rate"), F.col("_draw")))
-    order = F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_copy")))
-    names = docs.columns + ([] if "copy_no" in docs.columns else ["copy_no"])
+    joined = rows.join(F.broadcast(rates) if few else rates, F.col("own").eqNullSafe(F.col("source")))
+    few_copies = F.size(F.filter("steps", lambda c: c <= F.col("draw"))).cast("bigint")
+    copies = F.when(F.col("rate") <= LARGE, few_copies).otherwise(large_draw(F.col("rate"), F.col("draw")))
+    order = F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.coalesce("id", F.lit("")), F.col("copy")))
     return (
-        joined.withColumn("_copies", copies).filter("_copies > 0")
-        .withColumn("_from", F.explode(F.expr(f"sequence(1, greatest(1, int(_copies)), {COPIES})")))
-        .withColumn("_copy", F.explode(F.expr(f"sequence(_from, least(int(_copies), _from + {COPIES - 1}))")))
-        .withColumns({"_order": order} | ({} if "copy_no" in docs.columns else {"copy_no": F.col("_copy")}))
-        .orderBy("_order").select(*names)
+        joined.withColumn("copies", copies).filter("copies > 0")
+        .withColumn("from", F.explode(F.expr(f"sequence(1, greatest(1, int(copies)), {COPIES})")))
+        .withColumn("copy", F.explode(F.expr(f"sequence(`from`, least(int(copies), `from` + {COPIES - 1}))")))
+        .select("row", F.col("copy").alias("copy"), order.alias("order")).orderBy("order")
+        .select("row.*", *([] if "copy_no" in docs.columns else [F.col("copy").alias("copy_no")]))
     )
 
 
