@@ -43,6 +43,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     )
 
 
+def extended_components(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``connected_components`` of the links that made ``parts`` (node, component) and of more ``links`` (a, b): only what
+    the new links join is worked out anew, on components instead of nodes."""
+    of = lambda end, name: parts.select(F.col("node").alias(end), F.col("component").alias(name))
+    ends = links.join(of("a", "pa"), "a", "left").join(of("b", "pb"), "b", "left")
+    ends = ends.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
+    more = written(connected_components(ends), "components")
+    moved = more.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    known = parts.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return known.unionAll(more.join(parts.select("node"), "node", "left_anti").select("node", "component"))
+
+
 class Forest:
     """Union-find over 0..n-1 inside one bounded task."""
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import LOWER, PRIME, as_bytes, mix, shingles, small_batches, table, word_hashes, written
-from llm.components import connected_components
+from llm.components import extended_components
 from llm.meeting import BOTH, INDEX, PROBE, meetings, parity, resolved, runs_of
 from llm.registry import query
 
@@ -224,9 +224,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         "jaccard-runs",
     )
     ids = runs.select(F.col("a").alias("doc_id")).unionAll(runs.select(F.col("b").alias("doc_id"))).distinct()
-    links = resolved(runs, _sets(docs, ids, scheme), percent)
+    parts = resolved(runs, _sets(docs, ids, scheme), percent)
     same = classes.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    parts = connected_components(links.unionAll(same)).withColumnRenamed("node", "doc_id")
+    parts = extended_components(parts, same).withColumnRenamed("node", "doc_id")
     return own.join(parts, "doc_id", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

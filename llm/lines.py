@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import mix, small_batches, table, written
-from llm.components import connected_components
 from llm.meeting import BOTH, meetings, parity, resolved, runs_of
 from llm.registry import query
 
@@ -169,7 +168,7 @@ def line_components(docs: DataFrame) -> DataFrame:
     reps = named.filter("id = rep").select("doc_id", "line_no", "id", "first")
     ids = runs.select(F.col("a").alias("id")).unionAll(runs.select(F.col("b").alias("id"))).distinct()
     sets = _line_sets(docs, reps.join(ids, "id", "left_semi").select("doc_id", "line_no", "id"))
-    parts = connected_components(resolved(runs, sets, PERCENT, line_tokens)).withColumnRenamed("node", "rep")
+    parts = resolved(runs, sets, PERCENT, line_tokens).withColumnRenamed("node", "rep")
     first_of = reps.select(F.col("id").alias("rep"), "first").join(parts, "rep")
     best = first_of.groupBy("component").agg(F.min("first").alias("best"))
     best = first_of.join(best, "component").select("rep", "best")
@@ -183,12 +182,13 @@ def line_components(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with every line removed that is not the kept one of its class; blank lines stay. Same rows, same columns;
     n_chars, where there is one, is counted anew. A text that loses all its lines is empty; null stays null."""
-    gone = (
-        line_components(docs).filter("NOT kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-        .withColumnRenamed("doc_id", "_doc")
-    )
+    gone = line_components(docs).filter("NOT kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
     columns = docs.columns
-    met = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").select(*columns, "_gone")
+    # A row travels as one value and its cells by number, so its columns may have any names.
+    rows = docs.select(F.col("doc_id").alias("own_id"), F.struct(*[docs[f"`{c}`"] for c in columns]).alias("row"))
+    met = rows.join(gone, F.col("own_id").eqNullSafe(F.col("doc_id")), "left").select(
+        *[F.col("row").getField(c).alias(f"cell{k}") for k, c in enumerate(columns)], "gone"
+    )
     at = columns.index("text")
 
     def rewrite(batches):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import mix, small_batches, written
-from llm.components import connected_components
+from llm.components import connected_components, extended_components
 
 #: Rows of one centre that are verified in one task.
 UNIT = 2_000
@@ -197,7 +197,7 @@ def compared(pairs: DataFrame, sets: DataFrame, parse: Callable[[bytes], np.ndar
 def resolved(
     runs: DataFrame, sets: DataFrame, percent: int, parse: Callable[[bytes], np.ndarray] = stored_tokens
 ) -> DataFrame:
-    """Links (a, b) with a similarity of at least ``percent`` / 100 that suffice for the classes.
+    """node, component: the classes of links with a similarity of at least ``percent`` / 100, without members alone.
 
     ``runs``: run, a (centre), b, asks. ``sets``: id, tokens (see ``compared``) and sketch (see ``parity``). Only classes are wanted, so a pair within
     a class that is known by then needs no comparison:
@@ -224,9 +224,8 @@ def resolved(
     sketches = sets.select(F.col("id").alias("b"), "sketch")
     apart = (100 - percent) / 100 + 1e-9
 
-    def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
+    def still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
         """Members of the meetings that hold several classes, with their class and the centre's."""
-        parts = connected_components(links)
         own, its = (parts.select(F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("b", "part"), ("centre", "centre_part")))
         members = members.join(own, "b", "left").join(its, "centre", "left").withColumns(
             {"part": F.coalesce("part", "b"), "centre_part": F.coalesce("centre_part", "centre")}
@@ -250,21 +249,21 @@ def resolved(
             out = out.join(known.select("a", "b"), ["a", "b"], "left_anti")
         return written(out, "more-pairs")
 
-    links = first.filter(link).select("a", "b")
-    held = still_open(held, links)
+    parts = written(connected_components(first.filter(link).select("a", "b")), "parts")
+    held = still_open(held, parts)
     if held.isEmpty():
-        return links
+        return parts
     columns = F.struct("b", "asks", "far", "size", "part", "sketch")
     second = held.filter("part <> centre_part").groupBy("run").agg(F.min(columns).alias("x"))
     met = held.select("run", columns.alias("y")).join(second, "run").filter(worth("x", "y"))
     second = written(compared(new_pairs(met, [first]), sets, parse), "pairs")
-    links = links.unionAll(second.filter(link).select("a", "b"))
-    held = still_open(held.drop("part", "centre_part"), links)
+    parts = written(extended_components(parts, second.filter(link).select("a", "b")), "parts")
+    held = still_open(held.drop("part", "centre_part"), parts)
     # Of two members of different classes one at least is outside the centre's.
     x = held.filter("part <> centre_part").select("run", columns.alias("x"))
     y = held.select("run", columns.alias("y"), (F.col("part") == F.col("centre_part")).alias("inside"))
     met = x.join(y, "run").filter((F.col("inside") | (F.col("x.b") < F.col("y.b"))) & worth("x", "y"))
     more = new_pairs(met, [first, second])
     if not more.isEmpty():
-        links = links.unionAll(compared(more, sets, parse).filter(link).select("a", "b"))
-    return links
+        parts = written(extended_components(parts, compared(more, sets, parse).filter(link).select("a", "b")), "parts")
+    return parts

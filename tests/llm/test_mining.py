@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm import history, negatives, phrases
+from llm import history, lines, mixing, negatives, phrases
 from llm.common import written
+from llm.components import connected_components, extended_components
 from llm.residues import Residues, primes_for
 
 
@@ -165,3 +166,26 @@ def test_phrase_collocations(spark, size, percent):
     got = phrases.phrase_collocations(df, least=6, top=40, percent=percent, size=size)
     assert sorted(tuple(r) for r in got.collect()) == plain_phrases(docs, 6, 5, 40, percent)
     assert phrases.phrase_collocations(df.limit(0)).count() == 0
+
+
+def test_extended_components(spark):
+    rng = random.Random(2)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)]
+    df = lambda rows: spark.createDataFrame(rows, "a bigint, b bigint")
+    parts = connected_components(df(links[:60]))
+    got = sorted(map(tuple, extended_components(parts, df(links[60:])).collect()))
+    assert got == sorted(map(tuple, connected_components(df(links)).collect()))
+    assert sorted(map(tuple, extended_components(parts, df([])).collect())) == sorted(map(tuple, parts.collect()))
+
+
+def test_mixing_and_lines_keep_columns_of_any_name(spark):
+    names = ["_draw", "_copies", "_order", "_rate", "_steps", "_source", "_from", "_copy", "_doc", "_gone", "gone", "row", "id", "draw", "rate", "order", "copy", "own", "own_id", "a.b"]
+    text = "a line that stands in many texts and is long enough to be compared with others"
+    docs = [(i, f"{text}\nown words of text {i} {'x' * i}", "en", f"s{i % 2}", 0) for i in range(12)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df = df.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for out in (mixing.mix_sources(df), lines.dedup_lines(df)):
+        rows = out.collect()
+        assert rows and [c for c in out.columns if c != "copy_no"] == df.columns
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+    assert lines.dedup_lines(df).count() == 12
