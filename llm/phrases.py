@@ -17,9 +17,9 @@ from llm.common import as_bytes, mix, shuffle_tasks, table, written
 from llm.registry import query
 
 #: Words a chunk of the occurrence relation, about; the pieces of a longer run of words are read so many bytes at once.
-CHUNK, STEP = 1_500_000, 1 << 20
+CHUNK, STEP = 750_000, 1 << 20
 #: Groups of chunks that are counted in one task, about: words, and pairs of phrases.
-WORDS, PAIRS = 400_000, 2_000_000
+WORDS, PAIRS = 200_000, 1_000_000
 #: Totals are broadcast up to this many langs, counted first.
 LANGS = 10_000
 
