@@ -253,7 +253,7 @@ def _grouped(relation: DataFrame, least: int, folder: str) -> DataFrame:
     words = "keys" in relation.columns
     size = F.coalesce(F.sum((F.octet_length("counts") / 4).cast("bigint")), F.lit(0))
     buckets = max(1, -(-relation.agg(size).first()[0] // (WORDS if words else PAIRS)))
-    edges = -(-(np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
+    edges = np.array([-(-(k << 32) // buckets) for k in range(1, buckets)], np.uint64)
 
     def deal(batches):
         for batch in batches:

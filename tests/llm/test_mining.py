@@ -150,8 +150,11 @@ def plain_phrases(docs, least, longest, top, percent):
 
 
 @pytest.mark.parametrize("size,percent", [(40, 100), (100_000, 60)])
-def test_phrase_collocations(spark, size, percent):
+def test_phrase_collocations(spark, monkeypatch, size, percent):
     rng = random.Random(size)
+    if size == 40:  # many buckets
+        monkeypatch.setattr(phrases, "WORDS", 100)
+        monkeypatch.setattr(phrases, "PAIRS", 300)
     base = ["the", "The", "quick", "fox", "of", "straße", "Ä", "a-b", "x"]
     fixed = "New York city hall is old"
     docs = []
