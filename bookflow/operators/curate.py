@@ -10,6 +10,7 @@ from bookflow.dictionary import tax_heads
 from bookflow.functions import ledger as lx
 from bookflow.functions.keys import uuid_of
 from bookflow.options import DEFAULTS, Options
+from bookflow.plans.session import materialize
 
 
 def tax_info(rows: DataFrame, category: str = "tax_category") -> DataFrame:
@@ -88,7 +89,7 @@ def pending_index_scan(curated: DataFrame) -> DataFrame:
     return curated.filter(~F.col("qdrant_indexed"))
 
 
-def _periods(day: Column) -> Column:
+def periods_of(day: Column) -> Column:
     """Array of (period_type, period_key) of a day."""
     return F.array(
         *[F.struct(F.lit(p).alias("period_type"), lx.period_key(day, p).alias("period_key")) for p in PERIOD_TYPES]
@@ -103,7 +104,7 @@ def daily_totals(gold: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _by_period(daily: DataFrame, by: list[str]) -> DataFrame:
-    spread = daily.withColumn("p", F.explode(_periods(F.col("transaction_date"))))
+    spread = daily.withColumn("p", F.explode(periods_of(F.col("transaction_date"))))
     return spread.groupBy("p.period_type", "p.period_key", *by).agg(
         F.sum("debits").cast(lx.MONEY).alias("total_debits"),
         F.sum("credits").cast(lx.MONEY).alias("total_credits"),
@@ -114,7 +115,11 @@ def _by_period(daily: DataFrame, by: list[str]) -> DataFrame:
 
 def period_totals(gold: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """Debits, credits, net and count by day, ISO week and month."""
-    totals = _by_period(daily_totals(gold, []), [])
+    return _totals(daily_totals(gold, []), options)
+
+
+def _totals(daily: DataFrame, options: Options) -> DataFrame:
+    totals = _by_period(daily, [])
     return totals.select(
         "period_type", "period_key", lx.fiscal_year(F.col("first_day"), options).alias("fiscal_year"),
         "total_debits", "total_credits",
@@ -127,10 +132,11 @@ def category_breakdown(gold: DataFrame) -> DataFrame:
 
     Categories come from the fixed rule tables, which bounds the list of a period.
     """
-    per = _by_period(
-        daily_totals(gold.withColumn("category", F.coalesce("category", F.lit("Uncategorised"))), ["category"]),
-        ["category"],
-    )
+    return _breakdown(daily_totals(gold, ["category"]))
+
+
+def _breakdown(daily: DataFrame) -> DataFrame:
+    per = _by_period(daily.withColumn("category", F.coalesce("category", F.lit("Uncategorised"))), ["category"])
     entry = F.struct("category", (F.col("total_debits") + F.col("total_credits")).cast(lx.MONEY).alias("amount"))
     return per.groupBy("period_type", "period_key").agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("category_breakdown")
@@ -143,8 +149,11 @@ def ranked_vendors(gold: DataFrame, n: int = 5) -> DataFrame:
     The rank limit is applied before the shuffle as well, so a period with very many vendors sends each task's
     best ``n`` only.
     """
-    vendors = gold.filter(F.col("vendor_normalised").isNotNull())
-    per = _by_period(daily_totals(vendors, ["vendor_normalised"]), ["vendor_normalised"])
+    return _ranked(daily_totals(gold, ["vendor_normalised"]), n)
+
+
+def _ranked(daily: DataFrame, n: int) -> DataFrame:
+    per = _by_period(daily.filter(F.col("vendor_normalised").isNotNull()), ["vendor_normalised"])
     amount = (F.col("total_debits") + F.col("total_credits")).cast(lx.MONEY)
     order = Window.partitionBy("period_type", "period_key").orderBy(F.desc("amount"), "vendor")
     return (
@@ -156,9 +165,13 @@ def ranked_vendors(gold: DataFrame, n: int = 5) -> DataFrame:
 
 def top_vendors(gold: DataFrame, n: int = 5) -> DataFrame:
     """(period_type, period_key, top_vendors): JSON array, largest first."""
+    return _listed(ranked_vendors(gold, n))
+
+
+def _listed(ranked: DataFrame) -> DataFrame:
     listed = F.array_sort(F.collect_list(F.struct("rank", "vendor", "amount")))
     slim = F.transform(listed, lambda e: F.struct(e["vendor"].alias("vendor"), e["amount"].alias("amount")))
-    return ranked_vendors(gold, n).groupBy("period_type", "period_key").agg(F.to_json(slim).alias("top_vendors"))
+    return ranked.groupBy("period_type", "period_key").agg(F.to_json(slim).alias("top_vendors"))
 
 
 def period_number(kind: str = "period_type", key: str = "period_key") -> Column:
@@ -205,13 +218,27 @@ def summary_text(currency: str = "PKR") -> Column:
     )
 
 
+#: What the summaries of all periods start from.
+PARTIAL_KEYS = ["category", "vendor_normalised"]
+
+
 def period_summary(gold: DataFrame, n: int = 5, offset: int = 1, options: Options = DEFAULTS) -> DataFrame:
-    """All columns of the period-summary contract but the time stamp."""
+    """All columns of the period-summary contract but the time stamp. The curated rows are read once."""
+    return summary_of_daily(materialize(daily_totals(gold, PARTIAL_KEYS)), n, offset, options)
+
+
+def summary_of_daily(
+    daily: DataFrame, n: int = 5, offset: int = 1, options: Options = DEFAULTS, wanted: DataFrame | None = None
+) -> DataFrame:
+    """``period_summary`` from ``daily_totals`` by PARTIAL_KEYS; with ``wanted`` (period_type, number; see
+    ``period_number``) of these periods alone, compared with the totals of all."""
     keys = ["period_type", "period_key"]
-    totals = anomaly_flag(vs_prior_period(period_totals(gold, options), offset=offset))
+    totals = anomaly_flag(vs_prior_period(_totals(daily, options), offset=offset))
+    if wanted is not None:
+        totals = totals.withColumn("number", period_number()).join(wanted, ["period_type", "number"], "left_semi").drop("number")
     return (
-        totals.join(category_breakdown(gold), keys, "left")
-        .join(top_vendors(gold, n), keys, "left")
+        totals.join(_breakdown(daily), keys, "left")
+        .join(_listed(_ranked(daily, n)), keys, "left")
         .withColumn("summary_text", summary_text(options.currency))
         .withColumn("summary_id", uuid_of(F.lit("summary"), *keys))
         .withColumn("qdrant_indexed", F.lit(False))

@@ -15,6 +15,7 @@ from bookflow.operators.curate import curate, period_summary
 from bookflow.operators.mapping import apply_mapping, attach_mapping, layout_columns, layout_id, layout_records
 from bookflow.operators.matching import map_columns, mapping_summary, triage
 from bookflow.operators.memory import apply_suggestions, conflicting_suggestions, load_memory, save_memory
+from bookflow.operators.status import settled_steps
 from bookflow.options import DEFAULTS, Options
 from bookflow.plans.joins import lookup_join
 from bookflow.plans.session import materialize
@@ -209,6 +210,7 @@ def store(ledger: Ledger, batch: RefinedBatch, load_id: str, options: Options =
     ledger.append(batch.quarantined, "silver_quarantine", load_id)
     ledger.append(batch.gold, "gold_transactions", load_id)
     ledger.append_extra(row_statuses(batch.silver, batch.quarantined), "processing_status", load_id)
+    ledger.append_extra(settled_steps(batch.silver, batch.quarantined), "status_events", load_id)
     if batch.mapped.memory is not None:
         ledger.append(batch.mapped.memory, "bronze_schema_mappings", load_id)
     results = batch.mapped.results

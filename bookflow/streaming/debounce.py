@@ -73,3 +73,12 @@ def windowed_totals(
         timed.groupBy(F.window(ts, size).alias("w"), *by).agg(F.count("*").alias("events"), F.sum(measure).alias("total"))
         .select(F.col("w.start").alias("window_start"), *by, "events", "total")
     )
+
+
+def windowed_rest(
+    events: DataFrame, emitted: DataFrame, ts: str, by: list[str], measure: str, size: str = "1 hour"
+) -> DataFrame:
+    """Windows that a finished stream has not emitted. Windows close in the order of time, so these are the ones behind the
+    last emitted window, and only events from there on are read."""
+    closed = emitted.agg((F.max("window_start") + F.expr(f"INTERVAL {size}")).alias("at")).first()["at"]
+    return windowed_totals(events if closed is None else events.filter(F.col(ts) >= F.lit(closed)), ts, by, measure, size)

@@ -29,12 +29,21 @@ PARTITIONED = {
 VERSIONED = ["bronze_schema_mappings", "gold_period_summaries"]
 CREATED = "0-created"
 
-# Relations beside the tables: what became of every file, rows that were not stored, the status of settled rows.
+# Relations beside the tables: what became of every file, rows that were not stored, the status of settled rows, the
+# steps of all rows, curated rows that a later load replaced, totals by day, and summaries of the periods a load touched.
 EXTRAS = {
     "file_results": """file_name string, file_hash string, success boolean, rows_written bigint, rows_rejected bigint,
         batch_id string, error string, parse_meta string""",
     "rejected_rows": """file_hash string, file_name string, source_row_number int, raw_content string, error string""",
     "processing_status": "bronze_id string, processing_status string",
+    "status_events": "bronze_id string, status string, at timestamp, place int",
+    "superseded": "transaction_id string, gold_version int, stored_in string, transaction_date date",
+    "daily_partials": """transaction_date date, category string, vendor_normalised string, debits decimal(38,2),
+        credits decimal(38,2), n bigint""",
+    "period_refreshes": """period_type string, period_key string, fiscal_year string, total_debits decimal(18,2),
+        total_credits decimal(18,2), net_cashflow decimal(18,2), transaction_count int, vs_prior_period_pct float,
+        anomaly_flag boolean, anomaly_reason string, category_breakdown string, top_vendors string, summary_text string,
+        summary_id string""",
 }
 
 # --- fixed values: the six tables counted by table_stats, and the operations written to the audit log --
