@@ -68,7 +68,7 @@ class _Chunk:
         counts = np.bincount(codes[self.skip :], minlength=len(keys)).astype(np.int32)
         one = np.array([0, len(keys)], np.int32)
         words = pa.ListArray.from_arrays(one, pa.array([keys[k] for k in order.tolist()], pa.binary()))
-        return _batch(RELATION_1, number, self.skip, steps.tobytes(), codes.tobytes(), words, counts.tobytes())
+        return _batch(RELATION_1, number, self.skip, _planes(steps), _planes(codes), words, _planes(counts))
 
 
 #: Between lang and word in a key: a byte that UTF-8 never has.
@@ -97,13 +97,24 @@ def _pair_hashes(heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
     return mix(heads.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tails.astype(np.uint64)) >> np.uint64(32)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The lowest bytes of all values, then the next ones, and so on: equal and empty bytes stand together, which the
+    compression of files and shuffles makes small."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _from_planes(data, kind=np.int32) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
 def _packed(ids: np.ndarray) -> bytes:
     """Ids in four bytes each where they fit."""
-    return (ids.astype(np.uint32) if not len(ids) or ids.max() < 1 << 32 else ids.astype(np.int64)).tobytes()
+    return _planes(ids.astype(np.uint32) if not len(ids) or ids.max() < 1 << 32 else ids.astype(np.int64))
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint32 if len(data) == 4 * n else np.int64).astype(np.int64)
+    return _from_planes(data, np.uint32 if len(data) == 4 * n else np.int64).astype(np.int64)
 
 
 def _runs(piece: bytes):
@@ -154,11 +165,11 @@ def _extended(batches, length: int):
     follow each other. Counts are per chunk."""
     for batch in batches:
         for chunk, skip, steps, codes, found in zip(*(batch.column(c) for c in ("chunk", "skip", "steps", "codes", "found"))):
-            codes = np.frombuffer(codes.as_buffer(), np.int32)
-            places = np.cumsum(np.frombuffer(steps.as_buffer(), np.int32), dtype=np.int32)
+            codes = _from_planes(codes.as_buffer())
+            places = np.cumsum(_from_planes(steps.as_buffer()), dtype=np.int32)
             id_of = np.full(int(codes.max()) + 1, -1, np.int64)
             for part in found.as_py():
-                at = np.frombuffer(part["codes"], np.int32)
+                at = _from_planes(part["codes"])
                 ids = _unpacked(part["ids"], len(at))
                 inside = at < len(id_of)
                 id_of[at[inside]] = ids[inside]
@@ -175,7 +186,7 @@ def _extended(batches, length: int):
             new, heads, tails, places = rank[new], heads[order], tails[order], places[joined]
             counts = np.bincount(new[places + length >= skip.as_py()], minlength=len(heads)).astype(np.int32)
             steps = np.diff(places, prepend=np.int32(0)).astype(np.int32)
-            yield _batch(RELATION, chunk.as_py(), skip.as_py(), steps.tobytes(), new.tobytes(), _packed(heads), _packed(tails), counts.tobytes())
+            yield _batch(RELATION, chunk.as_py(), skip.as_py(), _planes(steps), _planes(new), _packed(heads), _packed(tails), _planes(counts))
 
 
 COUNTED = pa.schema([
@@ -215,7 +226,7 @@ def _counted_words(rows: list, bucket: int, buckets: int, least: int):
         ids = np.array([frequent.get(key, -1) for key in keys], np.int64)
         at = np.nonzero(ids >= 0)[0]
         if len(at):
-            yield _columns(kind=[BACK], chunk=[chunk], codes=[(at + base).astype(np.int32).tobytes()], ids=[_packed(ids[at])])
+            yield _columns(kind=[BACK], chunk=[chunk], codes=[_planes((at + base).astype(np.int32))], ids=[_packed(ids[at])])
 
 
 def _counted_pairs(rows: list, bucket: int, buckets: int, least: int):
@@ -240,7 +251,7 @@ def _counted_pairs(rows: list, bucket: int, buckets: int, least: int):
         start += len(own)
         kept = np.nonzero(mine >= 0)[0]
         if len(kept):
-            yield _columns(kind=[BACK], chunk=[chunk], codes=[(kept + base).astype(np.int32).tobytes()], ids=[_packed(mine[kept])])
+            yield _columns(kind=[BACK], chunk=[chunk], codes=[_planes((kept + base).astype(np.int32))], ids=[_packed(mine[kept])])
 
 
 def _grouped(relation: DataFrame, least: int, folder: str) -> DataFrame:
@@ -259,7 +270,7 @@ def _grouped(relation: DataFrame, least: int, folder: str) -> DataFrame:
         for batch in batches:
             chunks, packed = batch.column(0).to_pylist(), batch.column(batch.num_columns - 1)
             for k, chunk in enumerate(chunks):
-                counts = np.frombuffer(packed[k].as_buffer(), np.int32)
+                counts = _from_planes(packed[k].as_buffer())
                 if words:
                     keys = batch.column(1)[k].as_py()
                     cuts = [0, *np.searchsorted(_word_hashes(keys), edges).tolist(), len(counts)]
@@ -274,7 +285,7 @@ def _grouped(relation: DataFrame, least: int, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([bucket], pa.int32()), pa.array([chunk]), pa.array([start], pa.int32()),
-                            *[pa.array(c, t) for c, t in zip(own, kinds)], pa.array([counts[start:end].tobytes()], pa.binary()),
+                            *[pa.array(c, t) for c, t in zip(own, kinds)], pa.array([_planes(counts[start:end])], pa.binary()),
                         ],
                         ["bucket", "chunk", "base", *(["keys"] if words else ["heads", "tails"]), "counts"],
                     )
@@ -288,7 +299,7 @@ def _grouped(relation: DataFrame, least: int, folder: str) -> DataFrame:
                     if rows:
                         yield from work(rows, bucket, buckets, least)
                     bucket, rows = now, []
-                counts = np.frombuffer(counts, np.int32)
+                counts = _from_planes(counts)
                 rows.append((chunk, base, *(own if words else (_unpacked(x, len(counts)) for x in own)), counts))
         if rows:
             yield from work(rows, bucket, buckets, least)
@@ -307,18 +318,19 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, folder: str, siz
     The relation of a length is stored sorted by piece and place. It is extended by a merge-join with itself where two
     frequent phrases overlap but for a word, grouped and counted (chunks bring counts, which are added up), and
     reduced to the frequent groups before the next length. Groups are keyed by words and ids, not by hashes, so counts
-    are exact. A relation is removed when the next is stored.
+    are exact. A relation and its groups are removed when the next relation is stored.
     """
     none = F.lit(None).cast("bigint")
     with ExitStack() as held:
         here = held.enter_context(stage_folder(docs.sparkSession))
         relation = written(_occurrences(docs, longest, size), "occurrences", here)
-        groups = _grouped(relation, least, folder)
-        totals = groups.filter(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("f").alias("n"))
+        groups = _grouped(relation, least, here)
+        totals = written(groups.filter(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("f").alias("n")), "totals", folder)
         frequent = groups.filter(F.col("kind") == GROUP)
-        levels = [
-            frequent.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
-        ]
+        levels = [written(
+            frequent.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail")),
+            "phrases", folder,
+        )]
         for length in range(1, longest):
             found = groups.filter(F.col("kind") == BACK).groupBy("chunk").agg(F.collect_list(F.struct("codes", "ids")).alias("found"))
             met = relation.select("chunk", "skip", "steps", "codes").join(found, "chunk")
@@ -326,7 +338,7 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, folder: str, siz
             here = held.enter_context(stage_folder(docs.sparkSession))
             with before:
                 relation = written(met.mapInArrow(lambda batches, n=length: _extended(batches, n), SQL_RELATION), "occurrences", here)
-            groups = _grouped(relation, least, folder)
+            groups = _grouped(relation, least, here)
             counted = groups.filter(F.col("kind") == GROUP).select("id", "head", "tail", "f")
             last = levels[-1]
             head = last.select(F.col("id").alias("head"), "lang", F.col("words").alias("first"), "heads")
