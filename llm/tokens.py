@@ -16,8 +16,10 @@ LOOSE = re.compile(rf"[ \n](?:[{WHITE}]|\Z)")
 SPACED = re.compile(rf"[{WHITE}]")
 START = re.compile(rf" (?=[^{WHITE}])")
 LONGEST = 48
-#: Up to here all versions of the Unicode tables agree on what a letter is.
-LATIN = "\u024f"
+# Letters up to U+024F, where all versions of the Unicode tables agree on what a letter is; a line end may stand before
+# them and a short run of ASCII marks behind. No apostrophe: the usual pattern knows it as the start of a contraction.
+LATIN = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
+LETTERED = re.compile(rf"(\n?[{LATIN}]+)([!-&(-/:-@\[-`{{-~]{{0,8}})")
 
 #: The fixed value that ends every document.
 END = b"\0\0\0\0"
@@ -29,10 +31,11 @@ class WordEncoder:
     A byte-level BPE with the usual pattern never joins text across a space that starts a word (" word": a space,
     then no white space): whatever white space stands before that space is a token run of its own, and the space
     goes with the word. A line end between words is a run of its own as well. So texts are cut before those spaces and
-    line ends; the pieces not met before are encoded together, as one text of lines, and cut apart at the line ends. A comma or
-    full stop behind letters is a token of its own too. The caches hold ``bound`` pieces each; when the newer is
-    full it becomes the older. Texts that hold the string of an added token, and tokenizers of any other kind, are
-    encoded as a whole. A lone surrogate is read as '?'.
+    line ends; the pieces not met before are encoded together, as one text of lines, and cut apart at the line ends.
+    Marks behind letters are a run of their own too, so letters are encoded without them. As letters are a single run,
+    they need no pattern: they go as byte characters to the same model behind a plain split at line ends. The caches
+    hold ``bound`` pieces each; when the newer is full it becomes the older. Texts that hold the string of an added
+    token, and tokenizers of any other kind, are encoded as a whole. A lone surrogate is read as '?'.
     """
 
     def __init__(self, path: str, bound: int = 500_000):
@@ -46,47 +49,81 @@ class WordEncoder:
         self.words, self.older, self.bound = {}, {}, bound
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
-        self.marks = {mark: self._whole(mark) for mark in ".,\n"}
+        self.marks = {"\n": self._whole("\n")}
+        self.runs = None
+        if self.cuts and self.line is not None:
+            from tokenizers import pre_tokenizers
+
+            # Characters that stand for bytes: those below 256 for themselves, the others in order for what is left.
+            signs = sorted(pre_tokenizers.ByteLevel.alphabet())
+            left = [b for b in range(256) if chr(b) not in signs]
+            self.signs = np.arange(256, dtype="<u2")
+            self.signs[left] = [ord(s) for s in signs if ord(s) > 255]
+            self.runs = Tokenizer.from_file(path)
+            self.runs.pre_tokenizer = pre_tokenizers.Split(chr(self.signs[10]), "isolated")
+            if hasattr(self.runs.model, "_resize_cache"):
+                self.runs.model._resize_cache(0)  # every word comes once
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _parted(self, tokenizer, text: str) -> list[bytes]:
+        """Ids of the lines of a text without other white space at line ends, whose single id parts them."""
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends, data = [-1, *np.nonzero(ids == self.line)[0].tolist(), len(ids)], ids.tobytes()
+        return [data[4 * x + 4 : 4 * y] for x, y in zip(ends, ends[1:])]
+
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks = {"\n": self.marks["\n"]}
+            self.marks[marks] = self._whole(marks)
+        return self.marks[marks]
+
     def _learn(self, wanted: list[str]) -> None:
         """Puts pieces into ``words``: "word" stands for " word", and "\nword" for itself."""
-        plain, marked = {}, []
+        letters, tailed, others = {}, [], []
         for word in wanted:
             if (ids := self.older.get(word)) is not None:
                 self.words[word] = ids
-                continue
-            base = word[:-1]
-            letters = base.removeprefix("\n")
-            if word[-1] in ".," and letters.isalpha() and max(letters) <= LATIN:
-                marked.append((word, base))
+            elif self.runs is not None and (found := LETTERED.fullmatch(word)):
+                base, tail = found.groups()
+                if tail:
+                    tailed.append((word, base, tail))
                 if base not in self.words:
                     if (ids := self.older.get(base)) is not None:
                         self.words[base] = ids
                     else:
-                        plain[base] = None
+                        letters[base] = None
             else:
-                plain[word] = None
-        if plain:
-            # Between words without white space a line end is a run of its own, whose single id parts their ids.
-            for opening in ("", "\n"):
-                own = [w for w in plain if w.startswith("\n") == bool(opening)]
-                bare = [w[1:] for w in own] if opening else own
-                if self.line is None or SPACED.search("".join(bare)):
-                    spaced = {w for w, b in zip(own, bare) if self.line is None or SPACED.search(b) or not b}
-                    self.words.update((w, self._whole(w if opening else " " + w)) for w in spaced)
-                    own = [w for w in own if w not in spaced]
-                    bare = [w[1:] for w in own] if opening else own
-                if own:
-                    text = "\n".join(bare) if opening else "\n".join(" " + w for w in bare)
-                    ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-                    ends = [-1, *np.nonzero(ids == self.line)[0].tolist(), len(ids)]
-                    data, head = ids.tobytes(), self.marks["\n"] if opening else b""
-                    self.words.update((w, head + data[4 * x + 4 : 4 * y]) for w, x, y in zip(own, ends, ends[1:]))
-        for word, base in marked:
-            self.words[word] = self.words[base] + self.marks[word[-1]]
+                others.append(word)
+        for lined in (False, True):
+            self._learn_letters([w for w in letters if w.startswith("\n") == lined], lined)
+            self._learn_others([w for w in others if w.startswith("\n") == lined], lined)
+        for word, base, tail in tailed:
+            self.words[word] = self.words[base] + self._tail(tail)
+
+    def _learn_letters(self, own: list[str], lined: bool) -> None:
+        if own:
+            text = "".join(own)[1:] if lined else " " + "\n ".join(own)
+            signs = self.signs[np.frombuffer(text.encode(), "u1")].tobytes().decode("utf-16-le")
+            if any(a in signs for a in self.added):
+                self._learn_others(own, lined)
+                return
+            head = self.marks["\n"] if lined else b""
+            self.words.update(zip(own, (head + ids for ids in self._parted(self.runs, signs))))
+
+    def _learn_others(self, own: list[str], lined: bool) -> None:
+        bare = [w[1:] for w in own] if lined else own
+        if self.line is None or SPACED.search("".join(bare)) or not all(bare):
+            spaced = {w for w, b in zip(own, bare) if self.line is None or SPACED.search(b) or not b}
+            self.words.update((w, self._whole(w if lined else " " + w)) for w in spaced)
+            own = [w for w in own if w not in spaced]
+            bare = [w[1:] for w in own] if lined else own
+        if own:
+            text = "\n".join(bare) if lined else "\n".join(" " + w for w in bare)
+            head = self.marks["\n"] if lined else b""
+            self.words.update(zip(own, (head + ids for ids in self._parted(self.tokenizer, text))))
 
     def _pieces(self, text: str) -> list[str] | None:
         """The text cut before spaces that start a word, and before line ends where all stand between words; None if
