@@ -31,12 +31,41 @@ def stream_files(spark: SparkSession, folder: str, max_files_per_trigger: int =
     return files.filter(landing.wanted(fx.file_name(F.col("path"))))
 
 
-def manifest_stream(files: DataFrame) -> DataFrame:
-    """Manifest of a file stream with one row per hash, over the life of the checkpoint.
+def manifest_stream(files: DataFrame, keep_for: str | None = None) -> DataFrame:
+    """Manifest of a file stream with one row per hash.
 
-    The state holds one hash per distinct file ever seen.
+    With ``keep_for`` ("1 day") the state holds a hash for that long after its file arrived and no longer, so it is
+    bounded by what arrives in that time; a copy that comes later is let through, see ``record_files``. Time is that of
+    arrival, so no file is ever late. Without it the rule holds over the life of the checkpoint, and the state keeps
+    every hash ever seen.
     """
-    return landing.file_manifest(files).dropDuplicates(["file_hash"])
+    manifest = landing.file_manifest(files)
+    if keep_for is None:
+        return manifest.dropDuplicates(["file_hash"])
+    arrived = manifest.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", keep_for)
+    return arrived.dropDuplicatesWithinWatermark(["file_hash"]).drop("arrived")
+
+
+def record_files(
+    ledger: Ledger, files: DataFrame, checkpoint: str, keep_for: str = "1 day", processing_time: str | None = None
+) -> StreamingQuery:
+    """Append the manifest of a file stream to the relation ``known_files``, each hash once for ever.
+
+    The stream's state answers for copies within ``keep_for``; what passes it is looked up among the stored hashes.
+    A micro-batch that is run again replaces its own load and is compared with the other loads only.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        here = Ledger(batch.sparkSession, ledger.root)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_id = f"{query_id}-{batch_id:012d}"
+        known = here.extra("known_files").filter(F.col("load_id") != load_id)
+        fresh, _ = landing.drop_known_files(batch, known)
+        here.append_extra(fresh, "known_files", load_id)
+
+    writer = manifest_stream(files, keep_for).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
+    return writer.trigger(**trigger).start()
 
 
 def watch(

@@ -25,13 +25,23 @@ PARTITIONED = {
     "silver_transactions": "year_month", "gold_transactions": "year_month", "gold_period_summaries": "period_type",
 }
 
+# Columns looked up by single values that sort into no range. Their Bloom filters (or the dictionaries of columns with few
+# values) let such a look-up skip row groups.
+LOOKED_UP = {
+    "bronze_transactions": ["source_file_hash", "ingestion_batch_id"], "file_results": ["file_hash"],
+    "rejected_rows": ["file_hash"], "known_files": ["file_hash"],
+}
+
 # Tables of which every load is a whole new version, and the load id of a newly made table, which sorts first.
 VERSIONED = ["bronze_schema_mappings", "gold_period_summaries"]
 CREATED = "0-created"
 
 # Relations beside the tables: what became of every file, rows that were not stored, the status of settled rows, the
-# steps of all rows, curated rows that a later load replaced, totals by day, and summaries of the periods a load touched.
+# steps of all rows, curated rows that a later load replaced, totals by day, summaries of the periods a load touched, and
+# the manifest of files a stream took up.
 EXTRAS = {
+    "known_files": """file_name string, file_path string, file_hash string, source_type string, source_software string,
+        detection_conf double, file_size_bytes bigint, detected_at string""",
     "file_results": """file_name string, file_hash string, success boolean, rows_written bigint, rows_rejected bigint,
         batch_id string, error string, parse_meta string""",
     "rejected_rows": """file_hash string, file_name string, source_row_number int, raw_content string, error string""",
@@ -187,7 +197,7 @@ class Ledger:
 
     def append_extra(self, df: DataFrame, name: str, load_id: str) -> None:
         """Write one load of a relation beside the tables."""
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/load_id={load_id}")
+        df.write.mode("overwrite").options(**bloom_filters(name)).parquet(f"{self.path(name)}/load_id={load_id}")
 
     def extra(self, name: str) -> DataFrame:
         """A relation beside the tables, empty before its first load. See EXTRAS."""
@@ -206,7 +216,7 @@ class Ledger:
             column = PARTITIONED[table]
             ready.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(folder)
         else:
-            ready.write.mode("overwrite").parquet(folder)
+            ready.write.mode("overwrite").options(**bloom_filters(table)).parquet(folder)
 
     def audit(self, events: DataFrame, load_id: str) -> None:
         """Append audit events; a failing write is logged, never raised."""
@@ -227,6 +237,12 @@ class Ledger:
         return reduce(DataFrame.unionByName, counts)
 
 
+def bloom_filters(table: str) -> dict[str, str]:
+    """Write options for the columns of LOOKED_UP; a filter is as large as its row group's values need."""
+    enabled = {f"parquet.bloom.filter.enabled#{c}": "true" for c in LOOKED_UP.get(table, [])}
+    return {**enabled, "parquet.bloom.filter.adaptive.enabled": "true"} if enabled else {}
+
+
 def with_log_id(events: DataFrame, load_id: str = "") -> DataFrame:
     """Adds a deterministic log_id to audit events; the same event of another load has another one."""
     return events.withColumn("log_id", uuid_of(F.lit(load_id), "operation", "source_id", "message"))

@@ -1,6 +1,8 @@
 """Real files: landing rules, one ingest run after another, streaming with a restart, workbooks."""
 
+import hashlib
 import io
+import time
 import zipfile
 
 import pytest
@@ -11,7 +13,7 @@ from bookflow.plans.intake import ingest
 from bookflow.plans.refine import refine, store, summarize
 from bookflow.functions.values import json_to_row
 from bookflow.sources import landing, workbook, xlsx_cells
-from bookflow.streaming.watch import stop, watch
+from bookflow.streaming.watch import record_files, stop, stream_files, watch
 from bookflow.tables import Ledger
 
 
@@ -181,6 +183,42 @@ def test_stream_restart(spark, vault, tmp_path):
     assert ledger.read("bronze_transactions").count() == 5
 
 
+def test_recorded_files_with_bounded_state(spark, tmp_path):
+    ledger, folder = Ledger(spark, str(tmp_path / "db")), tmp_path / "in"
+    folder.mkdir()
+
+    def run(name: str, content: bytes) -> int:
+        (folder / name).write_bytes(content)
+        query = record_files(ledger, stream_files(spark, str(folder)), str(tmp_path / "ck"), keep_for="1 second")
+        query.awaitTermination()
+        return max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+
+    held = []
+    for n in range(3):
+        held.append(run(f"f{n}.csv", b"Date,Amount\n%d,1\n" % n))
+        time.sleep(2)
+    # The hash of the first file has left the state long ago; the stored hashes still know it.
+    held.append(run("late copy.csv", b"Date,Amount\n0,1\n"))
+    assert max(held) <= 2
+    names = [r.file_name for r in ledger.extra("known_files").orderBy("file_name").collect()]
+    assert names == ["f0.csv", "f1.csv", "f2.csv"]
+
+
+def test_hash_look_up_skips_row_groups(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "db"))
+    for load in range(3):
+        hashes = spark.range(60_000).select(F.sha2(F.concat_ws("-", F.lit(load), "id"), 256).alias("file_hash"))
+        ledger.append_extra(hashes.coalesce(1), "file_results", str(load))
+    wanted = hashlib.sha256(b"1-4711").hexdigest()
+    found = ledger.extra("file_results").filter(F.col("file_hash") == wanted)
+    assert [r.load_id for r in found.collect()] == ["1"]
+    plan = found._jdf.queryExecution().executedPlan()  # the one that was just run
+    leaves = plan.collectLeaves()
+    rows = [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+    # All ranges of the three files hold the hash; Bloom filters leave one file to read.
+    assert sum(rows) <= 60_000
+
+
 @pytest.mark.parametrize("lost", ["Vch Type", "Branch Code", "Date"])
 def test_raw_json_round_trip_compares_all_cells(spark, monkeypatch, lost):
     from checks import mapping_checks
