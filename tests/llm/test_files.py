@@ -88,6 +88,16 @@ def test_pieces_encode_like_whole_texts():
     assert own.cuts and [x + b"\0\0\0\0" for x in own.encode_all(texts)] == [ids_of(t) for t in texts]
 
 
+def test_runs_of_letters_and_marks_encode_like_whole_texts():
+    own = tokens.WordEncoder(tokens.default_vocabulary(), bound=300)
+    assert own.runs is not None
+    rng = random.Random(2)
+    parts = ["Stra\u00dfe", "\u00e9t\u00e9", "\u00f1", "word", "A", "\u00aa", "\u00b2", "\u00bc", "\u0250", "\u01c5", "\u0130", "\u03a9", "\u010a", "\u0120",
+             ".", ",", "$$$", "&&&&&&&&&&", "'s", "'t", "'", "-", "_", "12", "\n", " ", "  ", "\r\n", "\xa0", "\x85", "\u200b", "\0", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(6000)]
+    assert own.encode_all(texts) == [ids_of(t)[:-4] for t in texts]
+
+
 def test_token_files_round_trip(spark):
     rows = [(i * 3 % 41, t) for i, t in enumerate(ODD + ["some words " * k for k in range(30)])] + [(None, "null id"), (7, "again")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("start", F.lit("x")).repartition(4)
