@@ -1,15 +1,16 @@
 """Workbook reading over the long cells table.
 
-``cells``: file_hash, sheet_idx, sheet, row_idx, col_idx, value, is_string (0-based places). Groups are files and
-rows of files, both bounded by the size gate, and per-row grouping spreads a large file over many tasks.
+``cells``: file_hash, sheet_idx, sheet, row_idx, col_idx, value, is_string (0-based places). Cells are shuffled once, by
+file; a file's rows pass one task in their order, as numbering them needs anyway, and windows over them go to disk
+beyond some thousand rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from bookflow.functions.text import is_blank, map_last_wins, strip
+from bookflow.functions.text import is_blank, let, map_last_wins, strip
 from bookflow.functions.values import looks_like_date
 from bookflow.options import DEFAULTS, Options
 
@@ -24,35 +25,35 @@ BLANK_ROW_TEXTS = ["", "nan", "NaN", "None"]
 
 def pick_sheet(cells: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """(file_hash, sheet_idx, sheet): the sheet with most non-empty rows at its top, the earliest on a tie."""
-    rows = (
-        cells.filter(F.col("row_idx") < options.sheet_scan_rows)
-        .groupBy("file_hash", "sheet_idx", "sheet")
-        .agg(F.count_distinct("row_idx").alias("filled"))
-    )
-    first = cells.groupBy("file_hash").agg(F.min(F.struct("sheet_idx", "sheet")).alias("s"))
-    best = rows.groupBy("file_hash").agg(
-        F.max_by(F.struct("sheet_idx", "sheet"), F.struct("filled", -F.col("sheet_idx"))).alias("b")
-    )
-    return first.join(best, "file_hash", "left").select("file_hash", F.coalesce("b", "s").alias("p")).select(
-        "file_hash", "p.*"
-    )
+    top = F.when(F.col("row_idx") < options.sheet_scan_rows, F.col("row_idx"))
+    sheets = cells.groupBy("file_hash", "sheet_idx", "sheet").agg(F.count_distinct(top).alias("filled"))
+    place = F.struct("sheet_idx", "sheet")
+    # Cells without a file are judged by nothing but their place.
+    judged = (F.col("filled") > 0) & F.col("file_hash").isNotNull()
+    best = F.max_by(place, F.when(judged, F.struct("filled", -F.col("sheet_idx"))))
+    picked = sheets.groupBy("file_hash").agg(best.alias("b"), F.min(place).alias("s"))
+    return picked.select("file_hash", F.coalesce("b", "s").alias("p")).select("file_hash", "p.*")
+
+
+def _header_signs(options: Options) -> list[Column]:
+    """Aggregates over the cells of a row: ``filled`` cells and ``texts`` among them, in the rows a header may stand in."""
+    filled = (F.col("row_idx") < options.header_scan_rows) & ~is_blank(F.col("value"))
+    texts = filled & F.col("is_string") & ~looks_like_date(F.col("value"))
+    return [F.count_if(filled).alias("filled"), F.count_if(texts).alias("texts")]
+
+
+def _may_be_header(options: Options) -> Column:
+    return (F.col("filled") >= options.header_min_cells) & (F.col("texts") * 2 >= F.col("filled"))
 
 
 def detect_header_row(sheet: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """(file_hash, header_row): the first top row with enough filled cells, half of them text that is no date."""
-    filled = ~is_blank(F.col("value"))
-    texts = filled & F.col("is_string") & ~looks_like_date(F.col("value"))
-    rows = (
-        sheet.filter(F.col("row_idx") < options.header_scan_rows)
-        .groupBy("file_hash", "row_idx")
-        .agg(F.count_if(filled).alias("filled"), F.count_if(texts).alias("texts"))
-    )
-    fits = (F.col("filled") >= options.header_min_cells) & (F.col("texts") * 2 >= F.col("filled"))
-    found = rows.groupBy("file_hash").agg(F.min(F.when(fits, F.col("row_idx"))).alias("found"))
-    return (
-        sheet.select("file_hash").distinct().join(found, "file_hash", "left")
-        .select("file_hash", F.coalesce("found", F.lit(0)).alias("header_row"))
-    )
+    top = F.when(F.col("row_idx") < options.header_scan_rows, F.col("row_idx"))
+    # The rows below the top are one group.
+    rows = sheet.withColumn("top", top).groupBy("file_hash", "top").agg(*_header_signs(options))
+    fits = _may_be_header(options) & F.col("file_hash").isNotNull()
+    found = F.min(F.when(fits, F.col("top")))
+    return rows.groupBy("file_hash").agg(F.coalesce(found, F.lit(0)).alias("header_row"))
 
 
 def null_tokens(value: Column) -> Column:
@@ -60,6 +61,44 @@ def null_tokens(value: Column) -> Column:
     return F.when(~value.isin(READER_NULLS + EXTRA_NULLS), value)
 
 
+def _earlier(entries: Column, place: Column, field: str, value: Column) -> Column:
+    """How many entries before ``place`` have ``value`` in ``field``."""
+    return F.size(F.filter(F.slice(entries, 1, place), lambda e: e[field].eqNullSafe(value)))
+
+
+def _numbered(text: Column, sign: str, copy: Column) -> Column:
+    return F.when(copy > 0, F.concat(text, F.lit(sign), copy.cast("string"))).otherwise(text)
+
+
+def _clean_names(entries: Column) -> Column:
+    """Header names of a file's columns: structs of col_idx and value in order to structs of col_idx and header."""
+
+    def named(e: Column, i: Column) -> Column:
+        read = _numbered(e["value"], ".", _earlier(entries, i, "value", e["value"]))
+        position = F.concat(F.lit("Column_"), e["col_idx"].cast("string"))
+        name = let(read, lambda r: F.when(is_blank(r) | r.startswith("Unnamed:"), position).otherwise(strip(r)))
+        return F.struct(e["col_idx"].alias("col_idx"), name.alias("header"))
+
+    def told_apart(names: Column) -> Column:
+        def header(e: Column, i: Column) -> Column:
+            text = _numbered(e["header"], "_", _earlier(names, i, "header", e["header"]))
+            return F.struct(e["col_idx"].alias("col_idx"), text.alias("header"))
+
+        return F.transform(names, header)
+
+    return let(F.transform(entries, named), told_apart)
+
+
+def _positional_names(entries: Column) -> Column:
+    """The names of the tolerant reader: stripped text, Column_<i> for an empty cell."""
+
+    def header(e: Column) -> Column:
+        text = F.coalesce(strip(e["value"]), F.concat(F.lit("Column_"), e["col_idx"].cast("string")))
+        return F.struct(e["col_idx"].alias("col_idx"), text.alias("header"))
+
+    return F.transform(entries, header)
+
+
 def clean_headers(header_cells: DataFrame) -> DataFrame:
     """(file_hash, col_idx, header): one name per column of the header row.
 
@@ -67,33 +106,42 @@ def clean_headers(header_cells: DataFrame) -> DataFrame:
     the reader numbers them; then names are stripped, empty ones become Column_<i> and names equal after stripping get
     _1, _2.
     """
-    by_cell = Window.partitionBy("file_hash", "value").orderBy("col_idx")
-    by_name = Window.partitionBy("file_hash", "name").orderBy("col_idx")
-    value, read, name = F.col("value"), F.col("read"), F.col("name")
-    copy, again = F.col("copy").cast("string"), F.col("again").cast("string")
-    unnamed = is_blank(read) | read.startswith("Unnamed:")
-    position = F.concat(F.lit("Column_"), F.col("col_idx").cast("string"))
-    return (
-        header_cells.withColumn("copy", F.row_number().over(by_cell) - 1)
-        .withColumn("read", F.when(F.col("copy") > 0, F.concat(value, F.lit("."), copy)).otherwise(value))
-        .withColumn("name", F.when(unnamed, position).otherwise(strip(read)))
-        .withColumn("again", F.row_number().over(by_name) - 1)
-        .withColumn("header", F.when(F.col("again") > 0, F.concat(name, F.lit("_"), again)).otherwise(name))
-        .select("file_hash", "col_idx", "header")
+    listed = header_cells.groupBy("file_hash").agg(F.array_sort(F.collect_list(F.struct("col_idx", "value"))).alias("es"))
+    return listed.select("file_hash", F.inline(_clean_names(F.col("es"))))
+
+
+def sheet_rows(cells: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """A row per row of every sheet: file_hash, sheet_idx, row_idx, ``cells`` (col_idx, value) and the header signs.
+
+    The cells are shuffled once, by file: all that follows for the rows of a workbook finds them sorted in one task,
+    which holds a row at a time and a file's header list.
+    """
+    placed = cells.filter("file_hash IS NOT NULL AND sheet_idx IS NOT NULL AND row_idx IS NOT NULL").repartition("file_hash")
+    return placed.groupBy("file_hash", "sheet_idx", "row_idx").agg(
+        F.collect_list(F.struct("col_idx", "value")).alias("cells"), *_header_signs(options)
     )
 
 
-def positional_headers(header_cells: DataFrame) -> DataFrame:
-    """(file_hash, col_idx, header) of the tolerant reader: stripped text, Column_<i> for an empty cell."""
-    name = F.coalesce(strip(F.col("value")), F.concat(F.lit("Column_"), F.col("col_idx").cast("string")))
-    return header_cells.select("file_hash", "col_idx", name.alias("header"))
+def _of(*keys: str) -> WindowSpec:
+    """All rows with the same ``keys`` (file_hash, or file_hash and sheet_idx), in the order of the file."""
+    order = [c for c in ("sheet_idx", "row_idx") if c not in keys]
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def chosen_sheet(cells: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """Cells of the picked sheet with the file's ``header_row``."""
-    picked = pick_sheet(cells, options).select("file_hash", "sheet_idx")
-    sheet = cells.join(picked, ["file_hash", "sheet_idx"], "left_semi")
-    return sheet.join(detect_header_row(sheet, options), "file_hash")
+    """``sheet_rows`` of the sheet that ``pick_sheet`` picks, with the file's ``header_row`` as of ``detect_header_row``."""
+    sheet, file = _of("file_hash", "sheet_idx"), _of("file_hash")
+    found = F.min(F.when((F.col("row_idx") < options.header_scan_rows) & _may_be_header(options), F.col("row_idx")))
+    order = F.when(F.col("top_rows") > 0, F.struct("top_rows", -F.col("sheet_idx")))
+    return (
+        sheet_rows(cells, options)
+        .withColumn("top_rows", F.count_if(F.col("row_idx") < options.sheet_scan_rows).over(sheet))
+        .withColumn("header_row", F.coalesce(found.over(sheet), F.lit(0)))
+        .withColumn("best", F.max_by("sheet_idx", order).over(file))
+        .withColumn("first", F.min("sheet_idx").over(file))
+        .filter(F.col("sheet_idx") == F.coalesce("best", "first"))
+        .select("file_hash", "sheet_idx", "row_idx", "cells", "header_row")
+    )
 
 
 def header_cells(sheet: DataFrame) -> DataFrame:
@@ -106,27 +154,53 @@ def header_cells(sheet: DataFrame) -> DataFrame:
     return places.join(named, ["file_hash", "col_idx"], "left")
 
 
-def drop_empty_rows_cols(data: DataFrame, headers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(data cells with a value, headers of columns with a value): empty rows and columns vanish."""
-    filled = data.filter(F.col("value").isNotNull())
-    used = filled.select("file_hash", "col_idx").distinct()
-    return filled, headers.join(used, ["file_hash", "col_idx"], "left_semi")
+def _header_entries(last: Column, cells: Column) -> Column:
+    """``header_cells`` of one file as a sorted array: an entry per column up to ``last``, from the header row's ``cells``."""
+    known = F.filter(F.coalesce(cells, F.array().cast("array<struct<col_idx:int,value:string>>")), lambda c: c["col_idx"].between(0, last))
+    empty = F.transform(
+        F.array_except(F.sequence(F.lit(0), last), F.transform(known, lambda c: c["col_idx"])),
+        lambda i: F.struct(i.alias("col_idx"), F.lit(None).cast("string").alias("value")),
+    )
+    return F.array_sort(F.concat(known, empty))
 
 
-def cells_to_rows(data: DataFrame, headers: DataFrame) -> DataFrame:
-    """Rows with ``headers``, ``raw`` (string map in header order) and source_row_number from 1.
+def with_headers(sheet: DataFrame, mode: str = "clean") -> DataFrame:
+    """Rows below the header row of ``chosen_sheet`` with ``hs`` (col_idx, header) and ``values``, their cells.
 
-    Cells are grouped per row; the header list of a file is joined to its rows.
+    ``mode="clean"`` takes null texts for empty cells, and empty columns and rows vanish. What is the same in all rows of
+    a file is worked out in its first row and handed on.
     """
-    listed = headers.groupBy("file_hash").agg(
-        F.array_sort(F.collect_list(F.struct("col_idx", "header"))).alias("hs")
-    )
-    by_row = data.groupBy("file_hash", "row_idx").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("cells")
+    file, clean = _of("file_hash"), mode == "clean"
+    below = F.col("row_idx") > F.col("header_row")
+    values = F.col("cells")
+    if clean:
+        values = F.filter(
+            F.transform(values, lambda c: F.struct(c["col_idx"].alias("col_idx"), null_tokens(c["value"]).alias("value"))),
+            lambda c: c["value"].isNotNull(),
+        )
+    last = F.max(F.when(F.col("row_idx") >= F.col("header_row"), F.array_max(F.transform("cells", lambda c: c["col_idx"]))))
+    places = F.array_sort(F.transform("values", lambda c: c["col_idx"]))
+    placed = (
+        sheet.withColumn("values", F.when(below, values))
+        .withColumn("last", last.over(file))
+        .withColumn("head", F.first(F.when(F.col("row_idx") == F.col("header_row"), F.col("cells")), ignorenulls=True).over(file))
+        .withColumn("number", F.row_number().over(Window.partitionBy("file_hash").orderBy("sheet_idx", "row_idx")))
     )
-    number = F.row_number().over(Window.partitionBy("file_hash").orderBy("row_idx"))
+    names = (_clean_names if clean else _positional_names)(_header_entries(F.col("last"), F.col("head")))
+    if clean:
+        # Rows use few different sets of columns.
+        placed = placed.withColumn("used", F.collect_set(places).over(file))
+        names = let(F.flatten("used"), lambda used: F.filter(names, lambda h: F.array_contains(used, h["col_idx"])))
+    once = F.when((F.col("number") == 1) & F.col("last").isNotNull(), names)
+    listed = placed.withColumn("hs", once).withColumn("hs", F.first("hs", ignorenulls=True).over(file))
+    return listed.filter(below & (F.size("values") > 0)).select("file_hash", "sheet_idx", "row_idx", "values", "hs")
+
+
+def cells_to_rows(data: DataFrame) -> DataFrame:
+    """Rows of ``with_headers`` with ``headers``, ``raw`` (string map in header order) and source_row_number from 1."""
+    number = F.row_number().over(Window.partitionBy("file_hash").orderBy("sheet_idx", "row_idx"))
     return (
-        by_row.join(listed, "file_hash")
+        data.withColumn("cells", F.map_from_entries("values"))
         .withColumn("headers", F.transform("hs", lambda h: h["header"]))
         .withColumn("vs", F.transform("hs", lambda h: F.try_element_at("cells", h["col_idx"])))
         .filter(F.exists("vs", lambda v: ~is_blank(v) & ~strip(v).isin(BLANK_ROW_TEXTS)))
@@ -139,14 +213,7 @@ def cells_to_rows(data: DataFrame, headers: DataFrame) -> DataFrame:
 
 def read_workbooks(cells: DataFrame, mode: str = "clean", options: Options = DEFAULTS) -> DataFrame:
     """Rows of workbooks given as cells. ``mode="raw"`` is the tolerant reader: no null texts, no empty-column drop."""
-    sheet = chosen_sheet(cells, options)
-    below = sheet.filter(F.col("row_idx") > F.col("header_row")).select("file_hash", "row_idx", "col_idx", "value")
-    if mode == "raw":
-        return cells_to_rows(below, positional_headers(header_cells(sheet)))
-    data, headers = drop_empty_rows_cols(
-        below.withColumn("value", null_tokens(F.col("value"))), clean_headers(header_cells(sheet))
-    )
-    return cells_to_rows(data, headers)
+    return cells_to_rows(with_headers(chosen_sheet(cells, options), mode))
 
 
 def workbook_metadata(rows: DataFrame, cells: DataFrame, options: Options = DEFAULTS) -> DataFrame:
