@@ -72,7 +72,7 @@ def _large_parts(fresh: DataFrame, folder: str | None, options: Options) -> tupl
     known = large.select("file_path", "file_hash", "file_name", "source_type", "source_software")
     meta = F.to_json(F.struct(*delimited.META), {"ignoreNullFields": "false"}).alias("parse_meta")
     return (
-        parsed.rows.join(known, "file_path"),
+        parsed.rows.join(F.broadcast(known), "file_path"),
         parsed.meta.join(known, "file_path").select("file_hash", meta),
         parsed.failed.join(known, "file_path").select("file_hash", "error"),
     )

@@ -126,7 +126,8 @@ def split_large(files: DataFrame, options: Options = DEFAULTS) -> tuple[DataFram
     name = _listed_name(files)
     if name is None:
         return files, None
-    large = fx.suffix(name).isin([".csv"]) & (F.col("length") > options.split_above_bytes)
+    # The size is that of the listing: a condition on ``length`` would be judged after the bytes are read.
+    large = fx.suffix(name).isin([".csv"]) & (files["_metadata.file_size"] > options.split_above_bytes)
     return files.filter(~large), files.filter(large).select("path", "length")
 
 

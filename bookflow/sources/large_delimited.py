@@ -297,7 +297,7 @@ def _records(cut: DataFrame, facts: DataFrame) -> DataFrame:
         ),
     )
     sound = facts.filter("error IS NULL").select("file_path", "decoder", "delimiter", "headers", "places")
-    return cut.join(sound, "file_path").withColumn("record", F.when(F.col("kind") == WHOLE, fields))
+    return cut.join(F.broadcast(sound), "file_path").withColumn("record", F.when(F.col("kind") == WHOLE, fields))
 
 
 def _is_kept(number: Column, record: Column) -> Column:
@@ -309,18 +309,22 @@ def parse_large(spark: SparkSession, paths: list[str], folder: str | None = None
 
     Records, numbers, header rules, encodings and delimiters are those of ``delimited``; the encoding looks at all bytes.
     A file whose header record does not end in its first split is reported as failed. Lines end with \\n, \\r\\n or \\r.
+
+    Lines and records never leave the order in which their split is read: they meet only relations with a row per file
+    or per split, which are broadcast, so nothing is sorted and no task holds the rows of a split.
     """
     blocks = materialize(scan_blocks(spark, paths, options), folder)
     facts = materialize(_file_facts(blocks, _files(blocks), options), folder)
     states = materialize(block_states(blocks, facts), folder)
-    lines = _lines(spark, paths).select("file_path", "block", F.col("value").cast("binary").alias("line"), F.monotonically_increasing_id().alias("at"))
-    met = lines.join(states, ["file_path", "block"]).sortWithinPartitions("file_path", "block", "at").drop("at")
+    lines = _lines(spark, paths).select("file_path", "block", F.col("value").cast("binary").alias("line"))
+    met = lines.join(F.broadcast(states), ["file_path", "block"])
     cut = met.select("file_path", "block", "line", "d", "start_in", "begun").mapInArrow(
         _cut, "file_path string, block bigint, kind tinyint, number bigint, text binary"
     )
     parsed = _records(cut, facts).filter((F.col("kind") == PIECE) | _is_kept(F.col("number"), F.col("record")))
-    # Numbers within a task follow the order of the file: what is kept of a block is counted through by their difference.
-    parsed = parsed.sortWithinPartitions("file_path", "block", "kind", "number").withColumn("at", F.monotonically_increasing_id())
+    # Numbers within a task follow the order of the file, and pieces are the first and the last of a block: what is kept
+    # of a block is counted through by their difference.
+    parsed = parsed.withColumn("at", F.monotonically_increasing_id())
     parsed = materialize(
         parsed.select("file_path", "block", "kind", "number", "at", "record", F.when(F.col("kind") == PIECE, F.col("text")).alias("text")), folder
     )
@@ -345,10 +349,10 @@ def parse_large(spark: SparkSession, paths: list[str], folder: str | None = None
         F.col("path").alias("file_path"), "encoding", "encoding_confidence", "delimiter", F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
         F.size("headers").alias("total_cols"), F.lit(dx.PARSE_METHOD).alias("parse_method"), "headers",
     )
-    numbered = rows.join(counted, place).withColumn("source_row_number", F.col("base") + F.col("at") - F.col("first") + 1)
+    numbered = rows.join(F.broadcast(counted), place).withColumn("source_row_number", F.col("base") + F.col("at") - F.col("first") + 1)
     named = known.select("file_path", "path")
-    numbered = numbered.select("file_path", "number", "record", "source_row_number").join(named, "file_path").drop("file_path")
-    exploded = numbered.withColumnRenamed("path", "file_path").join(meta, "file_path").select(
+    numbered = numbered.select("file_path", "number", "record", "source_row_number").join(F.broadcast(named), "file_path").drop("file_path")
+    exploded = numbered.withColumnRenamed("path", "file_path").join(F.broadcast(meta), "file_path").select(
         *meta.columns, "source_row_number", F.col("number").alias("source_record_number"),
         F.map_from_arrays(F.array_distinct("headers"), "record.values").alias("raw"), F.col("record.overflow").alias("overflow"),
     )
