@@ -22,10 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.common import new_folder, small_batches, table, written
+from llm.common import new_folder, table, written
 from llm.files import create, reading
 from llm.registry import query
-from llm.tokens import END, default_vocabulary, encoder
+from llm.tokens import END, default_vocabulary, encoder, texts_of
 
 SKIP, SEEK, TABLE = 0x184D2A50, 0x8F92EAB1, 0x184D2A5E
 MANIFEST = "part int, file string, documents bigint, tokens bigint"
@@ -116,9 +116,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
                     held = create(folder, ".tok.zst")
                     name, stream = held.__enter__()
                     out = FrameWriter(stream)
-                for rows in small_batches(batch, 256):
-                    for doc_id, ids in zip(rows.column(0).to_pylist(), own.encode_all(rows.column(1).to_pylist())):
-                        out.add(doc_id, ids + END)
+                for doc_id, ids in own.encode_rows(texts_of(batch)):
+                    out.add(doc_id, ids + END)
             if out is not None:
                 out.close()
         finally:

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from llm.common import small_batches
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -21,21 +27,75 @@ LONGEST = 48
 LATIN = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
 LETTERED = re.compile(rf"(\n?[{LATIN}]+)([!-&(-/:-@\[-`{{-~]{{0,8}})")
 
+#: Characters of text that are encoded at once, and new words of letters that the model gets as one run.
+SPAN, JOINED = 2_000_000, 64
+
 #: The fixed value that ends every document.
 END = b"\0\0\0\0"
 
 
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all elements of runs that begin at ``starts``, run after run."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    out = np.repeat(starts - ends + sizes, sizes)
+    out += np.arange(len(out))
+    return out
+
+
+class Runs:
+    """The ids of strings in one array, and a slot for each string that says where its ids stand."""
+
+    def __init__(self):
+        self.slots: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.used = 0
+
+    def _room(self, name: str, used: int, wanted: int) -> None:
+        held = getattr(self, name)
+        if wanted > len(held):
+            setattr(self, name, larger := np.zeros(max(wanted, 2 * len(held), 1024), held.dtype))
+            larger[:used] = held[:used]
+
+    def add(self, names: list[str], ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """New strings, with places in ``ids``."""
+        n = len(self.slots)
+        self._room("ids", self.used, self.used + len(ids))
+        self._room("starts", n, n + len(names))
+        self._room("sizes", n, n + len(names))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.starts[n : n + len(names)] = starts + self.used
+        self.sizes[n : n + len(names)] = sizes
+        self.slots.update(zip(names, range(n, n + len(names))))
+        self.used += len(ids)
+
+    def of(self, names: list[str]) -> np.ndarray:
+        """The slot of each string, -1 for one that is not held."""
+        return np.fromiter(map(self.slots.get, names, repeat(-1)), np.int64, len(names))
+
+    def take(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these slots one after the other, and their numbers."""
+        sizes = self.sizes[slots]
+        return self.ids[_places(self.starts[slots], sizes)], sizes
+
+    def copy_from(self, other: Runs, names: list[str]) -> None:
+        if names:
+            ids, sizes = other.take(other.of(names))
+            self.add(names, ids, np.cumsum(sizes) - sizes, sizes)
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian uint32 bytes, equal to encode(text, add_special_tokens=False).
 
     A byte-level BPE with the usual pattern never joins text across a space that starts a word (" word": a space,
     then no white space): whatever white space stands before that space is a token run of its own, and the space
     goes with the word. A line end between words is a run of its own as well. So texts are cut before those spaces and
-    line ends; the pieces not met before are encoded together, as one text of lines, and cut apart at the line ends.
-    Marks behind letters are a run of their own too, so letters are encoded without them. As letters are a single run,
-    they need no pattern: they go as byte characters to the same model behind a plain split at line ends. The caches
-    hold ``bound`` pieces each; when the newer is full it becomes the older. Texts that hold the string of an added
-    token, and tokenizers of any other kind, are encoded as a whole. A lone surrogate is read as '?'.
+    line ends; the distinct pieces of a span of texts that were not met before are encoded together, as one text of
+    lines, and cut apart at the line ends. Marks behind letters are a run of their own too, so letters are encoded
+    without them. As letters are a single run, they need no pattern: they go as byte characters to the same model, many
+    words a call. Between them stands a control character that no longer entry of the vocabulary holds, so that no merge
+    crosses it; if there is none, a line end and a plain split at it. The caches hold ``bound`` pieces and 16 ids
+    for each of them; when the newer is full it becomes the older. Texts that hold the string of an added token, and tokenizers of any other kind, are encoded as a
+    whole. A lone surrogate is read as '?'.
     """
 
     def __init__(self, path: str, bound: int = 500_000):
@@ -46,10 +106,9 @@ class WordEncoder:
         kind = str(self.tokenizer.pre_tokenizer)
         plain = "add_prefix_space=False" in kind and "use_regex=True" in kind
         self.cuts = kind.startswith("ByteLevel") and plain and not self.tokenizer.normalizer and not self.tokenizer.post_processor
-        self.words, self.older, self.bound = {}, {}, bound
+        self.words, self.older, self.marks, self.bound = Runs(), Runs(), Runs(), bound
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
-        self.marks = {"\n": self._whole("\n")}
         self.runs = None
         if self.cuts and self.line is not None:
             from tokenizers import pre_tokenizers
@@ -60,96 +119,160 @@ class WordEncoder:
             self.signs = np.arange(256, dtype="<u2")
             self.signs[left] = [ord(s) for s in signs if ord(s) > 255]
             self.runs = Tokenizer.from_file(path)
-            self.runs.pre_tokenizer = pre_tokenizers.Split(chr(self.signs[10]), "isolated")
-            if hasattr(self.runs.model, "_resize_cache"):
-                self.runs.model._resize_cache(0)  # every word comes once
+            model, vocab = self.runs.model, self.runs.get_vocab(with_added_tokens=False)
+            odd = ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")
+            joined = set().union(*(t for t in vocab if len(t) > 1))
+            lone = [b for b in range(32) if (sign := chr(self.signs[b])) in vocab and sign not in joined]
+            if lone and not any(getattr(model, x, None) for x in odd):
+                self.part, self.runs.pre_tokenizer = lone[0], None
+            else:
+                self.part, self.runs.pre_tokenizer = 10, pre_tokenizers.Split(chr(self.signs[10]), "isolated")
+            self.part_id = vocab[chr(self.signs[self.part])]
+            if hasattr(model, "_resize_cache"):
+                model._resize_cache(0)  # every word comes once
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _parted(self, tokenizer, text: str) -> list[bytes]:
-        """Ids of the lines of a text without other white space at line ends, whose single id parts them."""
-        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends, data = [-1, *np.nonzero(ids == self.line)[0].tolist(), len(ids)], ids.tobytes()
-        return [data[4 * x + 4 : 4 * y] for x, y in zip(ends, ends[1:])]
+    def _add_alone(self, held: Runs, name: str, text: str) -> None:
+        ids = np.frombuffer(self._whole(text), "<u4")
+        held.add([name], ids, np.zeros(1, np.int64), np.array([len(ids)]))
 
-    def _tail(self, marks: str) -> bytes:
-        if marks not in self.marks:
-            if len(self.marks) > 10_000:
-                self.marks = {"\n": self.marks["\n"]}
-            self.marks[marks] = self._whole(marks)
-        return self.marks[marks]
+    def _add_parts(self, tokenizer, part: int, names: list[str], texts: list[str], lined: bool) -> None:
+        """Adds pieces from texts in which the single id ``part`` stands between them. A ``lined`` piece begins with the
+        id of a line end instead."""
+        ids = [part]
+        for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids += found.ids
+            ids.append(part)
+        ids = np.array(ids, "<u4")
+        ends = np.nonzero(ids == part)[0]
+        ids[ends] = self.line
+        self.words.add(names, ids, ends[:-1] + (not lined), np.diff(ends) - (not lined))
 
     def _learn(self, wanted: list[str]) -> None:
-        """Puts pieces into ``words``: "word" stands for " word", and "\nword" for itself."""
-        letters, tailed, others = {}, [], []
-        for word in wanted:
-            if (ids := self.older.get(word)) is not None:
-                self.words[word] = ids
-            elif self.runs is not None and (found := LETTERED.fullmatch(word)):
+        """Adds pieces that ``words`` does not hold: "word" stands for " word", and "\nword" for itself."""
+        held, older = self.words.slots, self.older.slots
+        known = [w for w in wanted if w in older] if older else []
+        self.words.copy_from(self.older, known)
+        if known:
+            wanted = [w for w in wanted if w not in held]
+        letters, others, tailed, bases, tails = {}, [], [], [], []
+        for word, found in zip(wanted, map(LETTERED.fullmatch, wanted) if self.runs is not None else repeat(None)):
+            if found:
                 base, tail = found.groups()
                 if tail:
-                    tailed.append((word, base, tail))
-                if base not in self.words:
-                    if (ids := self.older.get(base)) is not None:
-                        self.words[base] = ids
-                    else:
-                        letters[base] = None
+                    tailed.append(word)
+                    bases.append(base)
+                    tails.append(tail)
+                letters[base] = None
             else:
                 others.append(word)
-        for lined in (False, True):
-            self._learn_letters([w for w in letters if w.startswith("\n") == lined], lined)
-            self._learn_others([w for w in others if w.startswith("\n") == lined], lined)
-        for word, base, tail in tailed:
-            self.words[word] = self.words[base] + self._tail(tail)
+        letters = [w for w in letters if w not in held]
+        if older:
+            self.words.copy_from(self.older, [w for w in letters if w in older])
+            letters = [w for w in letters if w not in held]
+        for own, learn in ((letters, self._learn_letters), (others, self._learn_others)):
+            lined = [w for w in own if w[:1] == "\n"]
+            learn([w for w in own if w[:1] != "\n"] if lined else own, False)
+            learn(lined, True)
+        if tailed:
+            self._learn_tailed(tailed, bases, tails)
 
     def _learn_letters(self, own: list[str], lined: bool) -> None:
         if own:
-            text = "".join(own)[1:] if lined else " " + "\n ".join(own)
-            signs = self.signs[np.frombuffer(text.encode(), "u1")].tobytes().decode("utf-16-le")
+            size = len(own) if self.part == 10 else JOINED
+            groups, mark = [own[k : k + size] for k in range(0, len(own), size)], chr(self.part)
+            texts = ["".join(g)[1:].replace("\n", mark) if lined else " " + f"{mark} ".join(g) for g in groups]
+            signs = self.signs[np.frombuffer("\n".join(texts).encode(), "u1")].tobytes().decode("utf-16-le")
             if any(a in signs for a in self.added):
                 self._learn_others(own, lined)
-                return
-            head = self.marks["\n"] if lined else b""
-            self.words.update(zip(own, (head + ids for ids in self._parted(self.runs, signs))))
+            else:
+                self._add_parts(self.runs, self.part_id, own, signs.split(chr(self.signs[10])) if len(texts) > 1 else [signs], lined)
 
     def _learn_others(self, own: list[str], lined: bool) -> None:
         bare = [w[1:] for w in own] if lined else own
         if self.line is None or SPACED.search("".join(bare)) or not all(bare):
             spaced = {w for w, b in zip(own, bare) if self.line is None or SPACED.search(b) or not b}
-            self.words.update((w, self._whole(w if lined else " " + w)) for w in spaced)
+            for w in spaced:
+                self._add_alone(self.words, w, w if lined else " " + w)
             own = [w for w in own if w not in spaced]
             bare = [w[1:] for w in own] if lined else own
         if own:
-            text = "\n".join(bare) if lined else "\n".join(" " + w for w in bare)
-            head = self.marks["\n"] if lined else b""
-            self.words.update(zip(own, (head + ids for ids in self._parted(self.tokenizer, text))))
+            self._add_parts(self.tokenizer, self.line, own, ["\n".join(bare) if lined else "\n".join(" " + w for w in bare)], lined)
+
+    def _learn_tailed(self, own: list[str], bases: list[str], tails: list[str]) -> None:
+        if len(self.marks.slots) > 10_000:
+            self.marks = Runs()
+        for tail in set(tails):
+            if tail not in self.marks.slots:
+                self._add_alone(self.marks, tail, tail)
+        (front, before), (back, behind) = self.words.take(self.words.of(bases)), self.marks.take(self.marks.of(tails))
+        sizes = before + behind
+        starts = np.cumsum(sizes) - sizes
+        ids = np.empty(len(front) + len(back), "<u4")
+        ids[_places(starts, before)] = front
+        ids[_places(starts + before, behind)] = back
+        self.words.add(own, ids, starts, sizes)
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """The text cut before spaces that start a word, and before line ends where all stand between words; None if
-        it must stay whole."""
-        if not self.cuts or any(a in text for a in self.added):
-            return None
-        return START.split(text) if LOOSE.search(text) else text.replace("\n", " \n").split(" ")
+    def _cut(self, texts: list[str]) -> pa.ListArray:
+        """The texts cut before spaces that start a word, and before line ends where all stand between words."""
+        loose = [bool(LOOSE.search(t)) for t in texts]
+        cut = pa.array([START.split(t) for t, x in zip(texts, loose) if x], pa.list_(pa.string()))
+        if len(cut) == len(texts):
+            return cut
+        plain = pa.array([t for t, x in zip(texts, loose) if not x], pa.string())
+        plain = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        if not len(cut):
+            return plain
+        behind = np.cumsum(loose)
+        order = np.where(loose, behind - 1 + len(plain), np.arange(len(texts)) - behind)
+        return pa.concat_arrays([plain, cut]).take(pa.array(order))
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without added tokens, each distinct piece of which is looked up once."""
+        cut = self._cut(texts)
+        pieces, counts = cut.flatten(), cut.value_lengths().to_numpy()
+        ends = np.cumsum(counts, dtype=np.int64)
+        first = ends - counts
+        rest = np.ones(len(pieces), bool)
+        rest[first] = False
+        coded = pieces.filter(pa.array(rest)).dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        slots = self.words.of(names)
+        if len(new := np.nonzero(slots < 0)[0]):
+            wanted = [names[k] for k in new]
+            self._learn(wanted)
+            slots[new] = self.words.of(wanted)
+        ids, sizes = self.words.take(slots[coded.indices.to_numpy()])
+        edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.concatenate([[0], ends - np.arange(1, len(ends) + 1)])]
+        data, edges = memoryview(ids.tobytes()), (4 * edges).tolist()
+        heads = (self._whole(h) if h else b"" for h in pieces.take(pa.array(first)).to_pylist())
+        if len(self.words.slots) > self.bound or self.words.used > 16 * self.bound:
+            self.older, self.words = self.words, Runs()
+            self.older.slots = {w: k for w, k in self.older.slots.items() if len(w) <= LONGEST}
+        return [head + data[a:b] for head, a, b in zip(heads, edges, edges[1:])]
+
+    def _encode_span(self, texts: list[str]) -> list[bytes]:
+        whole = [not self.cuts or any(a in t for a in self.added) for t in texts]
+        rest = [t for t, w in zip(texts, whole) if not w]
+        found = iter(self._encode(rest) if rest else ())
+        return [self._whole(t) if w else next(found) for t, w in zip(texts, whole)]
+
+    def encode_rows(self, rows: Iterable[tuple]) -> Iterator[tuple]:
+        """(key, ids) of (key, text) in the given order, with a span of texts held at a time."""
+        keys, texts, size = [], [], 0
+        for key, text in rows:
+            keys.append(key)
+            texts.append(text.encode("utf-8", "replace").decode() if text else "")
+            size += len(texts[-1])
+            if size >= SPAN:
+                yield from zip(keys, self._encode_span(texts))
+                keys, texts, size = [], [], 0
+        yield from zip(keys, self._encode_span(texts))
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t.encode("utf-8", "replace").decode() if t else "" for t in texts]
-        out = []
-        for at in range(0, len(texts), 64):
-            cut = [self._pieces(t) for t in texts[at : at + 64]]
-            words = self.words
-            new = [w for w in set().union(*(p[1:] for p in cut if p)) if w not in words]
-            if new:
-                self._learn(new)
-            for text, pieces in zip(texts[at : at + 64], cut):
-                if pieces is None:
-                    out.append(self._whole(text))
-                else:
-                    out.append((self._whole(pieces[0]) if pieces[0] else b"") + b"".join(map(words.__getitem__, pieces[1:])))
-            if len(self.words) > self.bound:
-                self.older = {w: ids for w, ids in self.words.items() if len(w) <= LONGEST}
-                self.words = {}
-        return out
+        return [ids for _, ids in self.encode_rows((None, t) for t in texts)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -162,6 +285,12 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def texts_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(first column, second column) of every row."""
+    for part in small_batches(batch, 256):
+        yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 

@@ -1,6 +1,7 @@
 """Mixing, token files, archives and packing: round trips and plain versions."""
 
 import gzip
+import json
 import random
 import zlib
 
@@ -98,6 +99,46 @@ def test_runs_of_letters_and_marks_encode_like_whole_texts():
     assert own.encode_all(texts) == [ids_of(t)[:-4] for t in texts]
 
 
+def test_new_words_of_many_texts_are_encoded_in_one_call(monkeypatch):
+    own = tokens.WordEncoder(tokens.default_vocabulary())
+    calls = []
+
+    class Counted:
+        def __init__(self, kept):
+            self.kept = kept
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return self.kept.encode_batch_fast(texts, **options)
+
+    own.runs = Counted(own.runs)
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcd\u00e9", k=7)) + rng.choice(["", ".", ",,"]) for _ in range(20)) for _ in range(640)]
+    assert own.encode_all(texts) == [ids_of(t)[:-4] for t in texts] and len(calls) == 1
+    monkeypatch.setattr(tokens, "SPAN", 300)
+    again = tokens.WordEncoder(tokens.default_vocabulary(), bound=200)
+    assert list(again.encode_rows(enumerate(texts))) == [(k, ids_of(t)[:-4]) for k, t in enumerate(texts)]
+    assert len(again.words.slots) <= 400 and list(again.encode_rows([])) == []
+
+
+def test_vocabulary_that_joins_control_characters_to_letters(tmp_path):
+    with open(tokens.default_vocabulary()) as stream:
+        spec = json.load(stream)
+    usual = tokens.WordEncoder(tokens.default_vocabulary())
+    assert usual.runs.pre_tokenizer is None and usual.part != 10
+    entries = [(chr(c) + "\u0120", [chr(c), "\u0120"]) for c in range(0x100, 0x120)] + [("z\u010a", ["z", "\u010a"])]
+    for entry, pair in entries:
+        spec["model"]["vocab"][entry] = max(spec["model"]["vocab"].values()) + 1
+        spec["model"]["merges"].insert(0, pair if isinstance(spec["model"]["merges"][0], list) else " ".join(pair))
+    path = str(tmp_path / "joining.json")
+    with open(path, "w") as stream:
+        json.dump(spec, stream)
+    own = tokens.WordEncoder(path)
+    assert own.runs.pre_tokenizer is not None
+    texts = ["a jazz\nbuzz fizz", "fizz\n fuzz\n\nz buzz\nz\nz"]
+    assert own.encode_all(texts) == [own._whole(t) for t in texts]
+
+
 def test_token_files_round_trip(spark):
     rows = [(i * 3 % 41, t) for i, t in enumerate(ODD + ["some words " * k for k in range(30)])] + [(None, "null id"), (7, "again")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("start", F.lit("x")).repartition(4)
