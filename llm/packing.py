@@ -5,15 +5,16 @@ from __future__ import annotations
 import bisect
 import random
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import small_batches, table, written
+from llm.common import table, written
 from llm.registry import query
-from llm.tokens import END, default_vocabulary, encoder
+from llm.tokens import END, default_vocabulary, encoder, texts_of
 
 CAPACITY = 2048
 #: Pieces that are packed together; islands that pack the same ones; rounds with a migration between them.
@@ -58,30 +59,31 @@ def best_fit(order: list[int], lengths: list[int], capacity: int) -> list[list[i
     return bins.items
 
 
+def total(items: list[int], lengths: list[int]) -> int:
+    return sum(map(lengths.__getitem__, items))
+
+
 def fitness(bins: list[list[int]], lengths: list[int], capacity: int) -> tuple[int, float]:
     """Fewer sequences first, then uneven filling: full ones beside one with room left for more."""
-    return -len(bins), sum((sum(lengths[i] for i in b) / capacity) ** 2 for b in bins)
+    return -len(bins), sum([(total(b, lengths) / capacity) ** 2 for b in bins])
 
 
 def crossover(giver, taker, lengths: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
     """The giver's well-filled sequences are injected whole; the taker's that share a document with them go; documents
     displaced by that are placed by best fit, long ones first."""
-    fill = [sum(lengths[i] for i in b) for b in giver]
+    fill = [total(b, lengths) for b in giver]
     bar = sorted(fill)[int(len(fill) * rng.uniform(0.3, 0.7))]
-    injected = [b for b, f in zip(giver, fill) if f >= bar and (f == capacity or rng.random() < 0.8)]
-    inside = bytearray(len(lengths))
-    for b in injected:
-        for i in b:
-            inside[i] = 1
+    injected = [(b, f) for b, f in zip(giver, fill) if f >= bar and (f == capacity or rng.random() < 0.8)]
+    inside = set().union(*(b for b, _ in injected))
     out, loose = Bins(capacity), []
-    for b in injected:
-        out.take(b, sum(lengths[i] for i in b))
+    for b, f in injected:
+        out.take(b, f)
     for b in taker:
-        if any(inside[i] for i in b):
-            loose += [i for i in b if not inside[i]]
+        if inside.isdisjoint(b):
+            out.take(b, total(b, lengths))
         else:
-            out.take(b, sum(lengths[i] for i in b))
-    for i in sorted(loose, key=lambda i: -lengths[i]):
+            loose += [i for i in b if i not in inside]
+    for i in sorted(loose, key=lengths.__getitem__, reverse=True):
         out.place(i, lengths[i])
     return out.items
 
@@ -90,7 +92,7 @@ def evolve(lengths: list[int], population: list[list[list[int]]], seed: int, cap
     """The population after a round, best first. A packing that reaches the bound of the sum ends the round."""
     rng, n = random.Random(seed), len(lengths)
     if not population:
-        falling = sorted(range(n), key=lambda i: -lengths[i])
+        falling = sorted(range(n), key=lengths.__getitem__, reverse=True)
         population = [best_fit(falling, lengths, capacity)]
         for k in range(1, POPULATION):
             noisy = sorted(range(n), key=lambda i: -lengths[i] * rng.uniform(1 - 0.1 * k, 1))
@@ -135,17 +137,18 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None
 
     def cut(batches):
         own = encoder(path)
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            for part in small_batches(batch, 256):
+            encoded = own.encode_rows(texts_of(batch))
+            while some := list(islice(encoded, 256)):
                 rows = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), own.encode_all(part.column(1).to_pylist())):
+                for doc_id, ids in some:
                     ids += END
                     n = len(ids) // 4
                     edges = [0, *range(n % capacity or capacity, n + 1, capacity)]
                     for piece, (a, b) in enumerate(zip(edges, edges[1:])):
                         data = ids[4 * a : 4 * b]
                         rows.append((doc_id, piece, a, b - a, zlib.crc32(data), data)[: len(names)])
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     pieces = docs.select("doc_id", "text").mapInArrow(cut, schema)

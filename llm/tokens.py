@@ -28,7 +28,7 @@ LATIN = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
 LETTERED = re.compile(rf"(\n?[{LATIN}]+)([!-&(-/:-@\[-`{{-~]{{0,8}})")
 
 #: Characters of text that are encoded at once, and new words of letters that the model gets as one run.
-SPAN, JOINED = 2_000_000, 64
+SPAN, JOINED = 3_000_000, 64
 
 #: The fixed value that ends every document.
 END = b"\0\0\0\0"
@@ -77,10 +77,14 @@ class Runs:
         sizes = self.sizes[slots]
         return self.ids[_places(self.starts[slots], sizes)], sizes
 
-    def copy_from(self, other: Runs, names: list[str]) -> None:
-        if names:
-            ids, sizes = other.take(other.of(names))
-            self.add(names, ids, np.cumsum(sizes) - sizes, sizes)
+    def copy_from(self, other: Runs, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Adds those that the other one holds. Returns their places in ``names``, and those of the rest."""
+        found = other.of(names) if other.slots else np.full(len(names), -1)
+        here = np.nonzero(found >= 0)[0]
+        if len(here):
+            ids, sizes = other.take(found[here])
+            self.add([names[k] for k in here.tolist()], ids, np.cumsum(sizes) - sizes, sizes)
+        return here, np.nonzero(found < 0)[0]
 
 
 class WordEncoder:
@@ -150,13 +154,20 @@ class WordEncoder:
         ids[ends] = self.line
         self.words.add(names, ids, ends[:-1] + (not lined), np.diff(ends) - (not lined))
 
-    def _learn(self, wanted: list[str]) -> None:
-        """Adds pieces that ``words`` does not hold: "word" stands for " word", and "\nword" for itself."""
-        held, older = self.words.slots, self.older.slots
-        known = [w for w in wanted if w in older] if older else []
-        self.words.copy_from(self.older, known)
-        if known:
-            wanted = [w for w in wanted if w not in held]
+    def _learn(self, wanted: list[str]) -> np.ndarray:
+        """Adds pieces that ``words`` does not hold and returns their slots: "word" stands for " word", and "\nword" for
+        itself."""
+        slots, n = np.empty(len(wanted), np.int64), len(self.words.slots)
+        known, rest = self.words.copy_from(self.older, wanted)
+        slots[known] = n + np.arange(len(known))
+        if len(rest):
+            new = [wanted[k] for k in rest.tolist()]
+            self._learn_new(new)
+            slots[rest] = self.words.of(new)
+        return slots
+
+    def _learn_new(self, wanted: list[str]) -> None:
+        held = self.words.slots
         letters, others, tailed, bases, tails = {}, [], [], [], []
         for word, found in zip(wanted, map(LETTERED.fullmatch, wanted) if self.runs is not None else repeat(None)):
             if found:
@@ -169,9 +180,8 @@ class WordEncoder:
             else:
                 others.append(word)
         letters = [w for w in letters if w not in held]
-        if older:
-            self.words.copy_from(self.older, [w for w in letters if w in older])
-            letters = [w for w in letters if w not in held]
+        if self.older.slots:
+            letters = [letters[k] for k in self.words.copy_from(self.older, letters)[1].tolist()]
         for own, learn in ((letters, self._learn_letters), (others, self._learn_others)):
             lined = [w for w in own if w[:1] == "\n"]
             learn([w for w in own if w[:1] != "\n"] if lined else own, False)
@@ -241,9 +251,7 @@ class WordEncoder:
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         slots = self.words.of(names)
         if len(new := np.nonzero(slots < 0)[0]):
-            wanted = [names[k] for k in new]
-            self._learn(wanted)
-            slots[new] = self.words.of(wanted)
+            slots[new] = self._learn([names[k] for k in new.tolist()])
         ids, sizes = self.words.take(slots[coded.indices.to_numpy()])
         edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.concatenate([[0], ends - np.arange(1, len(ends) + 1)])]
         data, edges = memoryview(ids.tobytes()), (4 * edges).tolist()
