@@ -8,8 +8,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import mix, small_batches, table, written
-from llm.meeting import BOTH, meetings, parity, resolved, runs_of
+from llm.common import mix, shuffle_tasks, small_batches, table, written
+from llm.meeting import packed, packed_runs, parities, resolved
 from llm.registry import query
 
 #: Characters a shingle; minima a band; bands. Two lines at similarity s meet with 1 - (1 - s^4)^10: 99.5 % at 0.8,
@@ -49,9 +49,24 @@ def _hashes(points: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def line_tokens(data: bytes) -> np.ndarray:
-    """The shingles of a line kept as UTF-8."""
-    return line_shingles(_points(data.decode("utf-8", "surrogatepass")))
+def line_tokens(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of lines kept as UTF-8: of each sorted and distinct, one line behind the other; how many each has."""
+    texts = [line.decode("utf-8", "surrogatepass") for line in lines]
+    points = _points("\n".join(texts))
+    length = np.array([len(t) for t in texts], np.int64)
+    start = np.cumsum(length + 1) - length - 1
+    hashes = _hashes(points, SHINGLE)
+    sets = []
+    for s, n in zip(start.tolist(), length.tolist()):
+        if n < SHINGLE:
+            sets.append(line_shingles(points[s : s + n]))
+        else:
+            sets.append(np.sort(hashes[s : s + n - SHINGLE + 1]))
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    keep = np.ones(len(values), bool)
+    keep[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return values[keep], np.bincount(owner[keep], minlength=len(sets))
 
 
 def line_shingles(points: np.ndarray) -> np.ndarray:
@@ -81,21 +96,39 @@ def band_keys(text: str, spans: list[tuple[int, int, int]]) -> np.ndarray:
 
 
 def _facts(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, digest, bands, id of every line that is not blank. Of equal lines in a task one has bands."""
+    """Rows of two kinds: doc_id, line_no, id, more of every line that is not blank, and the bands of lines as ``packed``.
+
+    id and more are the digest of a line, so equal lines have the same id in all tasks; of those in one task one has bands.
+    """
+    buckets = 8 * shuffle_tasks(docs.sparkSession)
+    kinds = {"doc_id": pa.int64(), "line_no": pa.int32(), "id": pa.int64(), "more": pa.int64(), "bucket": pa.int32(), "sigs": pa.binary(), "docs": pa.binary()}
+
+    def made(columns: dict):
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in kinds.items()], list(kinds))
 
     def read(batches):
-        known = set()
+        known, sigs, owners, n = set(), [], [], 0
+
+        def bands():
+            if n:
+                yield made(dict(zip(("bucket", "sigs", "docs"), zip(*packed(np.concatenate(sigs), np.concatenate(owners), buckets)))))
+
         for batch in batches:
             for piece in small_batches(batch, 32):
                 # Some documents at a time as one text: the arithmetic is on long arrays, and they fit the cache.
                 texts = [t or "" for t in piece.column(1).to_pylist()]
-                whole, owners, spans, at = "\n".join(texts), [], [], 0
+                whole, docs, numbers, spans, at = "\n".join(texts), [], [], [], 0
                 for doc_id, text in zip(piece.column(0).to_pylist(), texts):
                     for number, a, b in spans_of(text):
-                        owners.append((doc_id, number))
+                        docs.append(doc_id)
+                        numbers.append(number)
                         spans.append((number, a + at, b + at))
                     at += len(text) + 1
+                if not spans:
+                    continue
                 digests = [xxhash.xxh3_128_digest(whole[a:b].encode("utf-8", "surrogatepass")) for _, a, b in spans]
+                ids = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 fresh = []
                 for k, digest in enumerate(digests):
                     if digest not in known:
@@ -103,14 +136,19 @@ def _facts(docs: DataFrame) -> DataFrame:
                         if len(known) > 1_000_000:
                             known.clear()
                         known.add(digest)
-                made = dict(zip(fresh, band_keys(whole, [spans[k] for k in fresh]).view(np.int64).tolist())) if fresh else {}
-                rows = [(*owner, digest, made.get(k)) for k, (owner, digest) in enumerate(zip(owners, digests))]
-                if rows:
-                    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "line_no", "digest", "bands"])
+                if fresh:
+                    keys = band_keys(whole, [spans[k] for k in fresh])
+                    sigs.append(keys.reshape(-1))
+                    owners.append(np.repeat(ids[fresh, 0], BANDS))
+                    n += keys.size
+                yield made({"doc_id": docs, "line_no": numbers, "id": ids[:, 0], "more": ids[:, 1] | 1})
+                if n > 1_000_000:
+                    yield from bands()
+                    sigs, owners, n = [], [], 0
+        yield from bands()
 
-    lines = docs.select("doc_id", "text").mapInArrow(read, "doc_id bigint, line_no int, digest binary, bands array<bigint>")
-    return written(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
+    schema = "doc_id bigint, line_no int, id bigint, more bigint, bucket int, sigs binary, docs binary"
+    return written(docs.select("doc_id", "text").mapInArrow(read, schema), "lines")
 
 
 def _line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -123,15 +161,17 @@ def _line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in (piece for whole in batches for piece in small_batches(whole, 500)):
             ids, tokens = [], []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                spans = {n: (a, b) for n, a, b in spans_of(text)}
+                lines = text.split("\n") if text else []
                 for item in wanted:
-                    if item["line_no"] in spans:  # rows that share a doc_id may have other lines
-                        a, b = spans[item["line_no"]]
+                    # Rows that share a doc_id may have other lines.
+                    body = lines[item["line_no"]].strip(BLANK) if item["line_no"] < len(lines) else ""
+                    if body:
                         ids.append(item["id"])
-                        tokens.append(text[a:b].encode("utf-8", "surrogatepass"))
-            if ids:
-                sketches = pa.array([parity(line_tokens(t)) for t in tokens], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tokens, pa.binary()), sketches], ["id", "tokens", "sketch"])
+                        tokens.append(body.encode("utf-8", "surrogatepass"))
+            for at in range(0, len(ids), 500):
+                sketches = pa.array(parities(*line_tokens(tokens[at : at + 500])).tolist(), pa.list_(pa.int64()))
+                columns = [pa.array(ids[at : at + 500], pa.int64()), pa.array(tokens[at : at + 500], pa.binary()), sketches]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "tokens", "sketch"])
 
     return written(met.mapInArrow(cut, "id bigint, tokens binary, sketch array<bigint>"), "line-sets")
 
@@ -148,32 +188,23 @@ def line_components(docs: DataFrame) -> DataFrame:
     or removed alike. Null, empty and blank texts have no lines. Other columns are not read.
     """
     facts = _facts(docs)
-    groups = facts.groupBy("digest").agg(F.min(F.struct("doc_id", "line_no", "id")).alias("first"))
-    named = written(
-        facts.select("digest", "doc_id", "line_no", "id").join(groups, "digest")
-        .select("doc_id", "line_no", "id", F.col("first.id").alias("rep"), F.struct("first.doc_id", "first.line_no").alias("first")),
-        "line-names",
-    )
-    signed = facts.filter("bands IS NOT NULL").select(
-        F.explode("bands").alias("sig"), F.col("id").alias("doc"), F.lit(BOTH).cast("tinyint").alias("role"), F.lit(0).alias("spare"),
-    )
-    names = named.select("id", "rep")
-    runs = written(
-        runs_of(meetings(signed))
-        .join(names.select(F.col("id").alias("a"), F.col("rep").alias("rep_a")), "a")
-        .join(names.select(F.col("id").alias("b"), F.col("rep").alias("rep_b")), "b")
-        .filter("rep_a <> rep_b").groupBy("run", F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(F.max("asks").alias("asks")),
-        "line-runs",
-    )
-    reps = named.filter("id = rep").select("doc_id", "line_no", "id", "first")
+    lines = facts.filter("bucket IS NULL").select("doc_id", "line_no", "id", "more")
+    runs = written(packed_runs(facts.filter("bucket IS NOT NULL")), "line-runs")
     ids = runs.select(F.col("a").alias("id")).unionAll(runs.select(F.col("b").alias("id"))).distinct()
-    sets = _line_sets(docs, reps.join(ids, "id", "left_semi").select("doc_id", "line_no", "id"))
-    parts = resolved(runs, sets, PERCENT, line_tokens).withColumnRenamed("node", "rep")
-    first_of = reps.select(F.col("id").alias("rep"), "first").join(parts, "rep")
-    best = first_of.groupBy("component").agg(F.min("first").alias("best"))
-    best = first_of.join(best, "component").select("rep", "best")
-    kept = F.coalesce("best", "first")
-    return named.join(best, "rep", "left").select(
+    # Should lines share an id without being equal, one of them stands for it and the others have no class.
+    reps = lines.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("more", "doc_id", "line_no")).alias("rep"))
+    reps = written(reps.select("id", "rep.*"), "line-reps")
+    parts = resolved(runs, _line_sets(docs, reps.select("doc_id", "line_no", "id")), PERCENT, line_tokens)
+    classed = reps.select("id", "more").join(parts.withColumnRenamed("node", "id"), "id")
+    # A class is named by a component and 0, other equal lines by their digest, whose second half is odd.
+    named = written(lines.join(classed, ["id", "more"], "left").select(
+        "doc_id", "line_no", F.coalesce("component", "id").alias("id"),
+        F.when(F.col("component").isNull(), F.col("more")).otherwise(0).alias("more"),
+    ), "line-names")
+    own = F.struct("doc_id", "line_no")
+    best = named.groupBy("id", "more").agg(F.min(own).alias("best"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    kept = F.coalesce("best", own)
+    return named.join(best, ["id", "more"], "left").select(
         "doc_id", "line_no", kept["doc_id"].alias("first_doc_id"), kept["line_no"].alias("first_line_no"),
         (F.col("doc_id").eqNullSafe(kept["doc_id"]) & (F.col("line_no") == kept["line_no"])).alias("kept"),
     )

@@ -14,6 +14,8 @@ from llm.components import connected_components, extended_components
 
 #: Rows of one centre that are verified in one task.
 UNIT = 2_000
+#: Members of a block of a large meeting, and values in their sets.
+BLOCK, BLOCK_VALUES = 400, 1_000_000
 #: Roles of a document in a signature: found there, looking there, or both.
 INDEX, PROBE, BOTH = 1, 2, 3
 
@@ -148,21 +150,141 @@ def runs_of(met: DataFrame) -> DataFrame:
     return pairs.withColumn("asks", F.lit(True)).unionByName(met_there)
 
 
+def packed(sigs: np.ndarray, docs: np.ndarray, buckets: int) -> list[tuple[int, bytes, bytes]]:
+    """(bucket, sigs, docs) of the buckets that signatures (uint64) and their documents (int64) fall into."""
+    bucket = ((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, sigs, docs = bucket[order], sigs[order], docs[order]
+    edges = np.concatenate([[0], np.nonzero(np.diff(bucket))[0] + 1, [len(bucket)]]).tolist()
+    return [(int(bucket[s]), sigs[s:e].tobytes(), docs[s:e].tobytes()) for s, e in zip(edges, edges[1:]) if s < e]
+
+
+def packed_runs(rows: DataFrame, held: int = 2_000_000, large: int = 100_000) -> DataFrame:
+    """run, a (centre), b, asks as from ``runs_of``, where everyone asks for all signatures and these come ``packed``:
+    bucket int, sigs binary, docs binary. Most signatures have one document, and sorting those in a task as numbers
+    costs far less than a row for each of them.
+
+    A task holds one bucket. In one of more than ``held`` entries, signatures of more than ``large`` documents are
+    passed on as they come.
+    """
+    ordered = rows.select("bucket", "sigs", "docs").repartition("bucket").sortWithinPartitions("bucket")
+
+    def found(run, a, b):
+        columns = [pa.array(x, pa.int64()) for x in (run, a, b)]
+        return pa.RecordBatch.from_arrays(columns, ["run", "a", "b"])
+
+    def meet(batches):
+        seen = set()
+        bucket, sigs, docs, n, most, hot = None, [], [], 0, held, {}
+
+        def gathered():
+            """The held entries in order, each once; of signatures known to be large they are passed on."""
+            sig, doc = np.concatenate(sigs), np.concatenate(docs)
+            order = np.lexsort((doc, sig))
+            sig, doc = sig[order], doc[order]
+            keep = np.concatenate([[True], (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])])
+            sig, doc = sig[keep], doc[keep]
+            out = []
+            for s, (run, centre) in hot.items():
+                at, to = np.searchsorted(sig, np.uint64(s)), np.searchsorted(sig, np.uint64(s), "right")
+                others = doc[at:to][doc[at:to] != centre]
+                if len(others):
+                    out.append(found(np.full(len(others), run), np.full(len(others), centre), others))
+                sig, doc = np.delete(sig, slice(at, to)), np.delete(doc, slice(at, to))
+            return sig, doc, out
+
+        def meetings_of(sig, doc):
+            starts = np.concatenate([[0], np.nonzero(sig[1:] != sig[:-1])[0] + 1])
+            size = np.diff(np.append(starts, len(sig)))
+            two = starts[size == 2]
+            if len(two):
+                pairs = np.unique(np.stack([doc[two], doc[two + 1]], 1), axis=0)
+                yield found(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
+            starts, size = starts[size > 2], size[size > 2]
+            # The name of a meeting is a sum over its members, so equal sets from many signatures are one.
+            weight = np.concatenate([[np.uint64(0)], np.cumsum(mix(doc.astype(np.uint64) * np.uint64(8) + np.uint64(BOTH)))])
+            names = np.maximum((weight[starts + size] - weight[starts]) >> np.uint64(1), np.uint64(1)).astype(np.int64)
+            if len(seen) > 500_000:
+                seen.clear()
+            new = np.unique(names, return_index=True)[1]
+            new = new[[name not in seen for name in names[new].tolist()]] if len(new) else new
+            if len(new):
+                seen.update(names[new].tolist())
+                many = size[new] - 1
+                at = np.repeat(starts[new] + 1 - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                yield found(np.repeat(names[new], many), np.repeat(doc[starts[new]], many), doc[at])
+
+        def ended():
+            if sigs:
+                sig, doc, out = gathered()
+                yield from out
+                if len(sig):
+                    yield from meetings_of(sig, doc)
+
+        for batch in batches:
+            for k, s, d in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if k != bucket:
+                    yield from ended()
+                    bucket, sigs, docs, n, most, hot = k, [], [], 0, held, {}
+                sigs.append(np.frombuffer(s, np.uint64))
+                docs.append(np.frombuffer(d, np.int64))
+                n += len(sigs[-1])
+                if n <= most:
+                    continue
+                sig, doc, out = gathered()
+                yield from out
+                values, at, many = np.unique(sig, return_index=True, return_counts=True)
+                rest = np.ones(len(sig), bool)
+                for v, s, m in zip(values[many > large].tolist(), at[many > large].tolist(), many[many > large].tolist()):
+                    hot[v] = run, centre = (v & (2**62 - 1)) | 1, int(doc[s])
+                    yield found(np.full(m - 1, run), np.full(m - 1, centre), doc[s + 1 : s + m])
+                    rest[s : s + m] = False
+                sigs, docs = [sig[rest]], [doc[rest]]
+                n = len(sigs[0])
+                most = max(held, 2 * n)
+        yield from ended()
+
+    met = ordered.mapInArrow(meet, "run bigint, a bigint, b bigint").distinct()
+    return met.withColumn("asks", F.lit(True))
+
+
 def parity(tokens: np.ndarray) -> list[int]:
     """512 bits: of each, whether an odd number of the set's values falls on it. Shared values cancel out, so two sets
     differ in at least as many values as their bits."""
-    bits = (np.bincount((tokens >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
-    return np.packbits(bits).view(np.int64).tolist()
+    return parities(tokens, np.array([len(tokens)]))[0].tolist()
+
+
+def parities(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``parity`` of many sets, a row each; ``values``: theirs one behind the other, ``counts``: how many each has."""
+    at = np.repeat(np.arange(len(counts)) * 512, counts) + (values >> np.uint64(55)).astype(np.int64)
+    bits = (np.bincount(at, minlength=512 * len(counts)) & 1).astype(np.uint8)
+    return np.packbits(bits.reshape(-1, 512), axis=1).view(np.int64)
+
 
+def stored_tokens(sets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Values that were stored as they are, one set behind the other, and how many each set has."""
+    return np.frombuffer(b"".join(sets), np.uint64), np.array([len(x) // 8 for x in sets], np.int64)
 
-def stored_tokens(data: bytes) -> np.ndarray:
-    """Sorted distinct values that were stored as they are."""
-    return np.frombuffer(data, np.uint64)
 
+def _pieces(batch, column: int, rows: int = 500, size: int = 1 << 22):
+    """An Arrow batch in slices of at most ``rows`` rows, and of not much more than ``size`` bytes in a binary column."""
+    for piece in small_batches(batch, rows):
+        ends = np.cumsum([len(x) if x is not None else 0 for x in piece.column(column).to_pylist()])
+        at = 0
+        while at < piece.num_rows:
+            start = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, start + size, "right")))
+            yield piece.slice(at, to - at)
+            at = to
 
-def compared(pairs: DataFrame, sets: DataFrame, parse: Callable[[bytes], np.ndarray] = stored_tokens) -> DataFrame:
-    """Exact overlap of the sets of pairs (a, b): a, b, common, size_a, size_b. ``sets``: id, tokens, which ``parse``
-    turns into sorted distinct uint64 values. A pair whose id has several sets gives a row for each combination."""
+
+#: Many sets as they are stored to their sorted distinct uint64 values, one set behind the other, and how many each has.
+Parse = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+
+
+def compared(pairs: DataFrame, sets: DataFrame, parse: Parse = stored_tokens) -> DataFrame:
+    """Exact overlap of the sets of pairs (a, b): a, b, common, size_a, size_b. ``sets``: id, tokens (see ``Parse``). A
+    pair whose id has several sets gives a row for each combination."""
     # The rows of a centre that has many are dealt over tasks, each with a copy of the centre's set.
     units = pairs.groupBy("a").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("units"))
     unit = F.pmod(F.xxhash64("b"), F.col("units")).cast("int")
@@ -175,19 +297,20 @@ def compared(pairs: DataFrame, sets: DataFrame, parse: Callable[[bytes], np.ndar
 
     def compare(batches):
         centre, own = None, []
-        for batch in batches:
+        for piece in (x for batch in batches for x in _pieces(batch, 3)):
+            values, counts = parse(piece.column(3).to_pylist())
+            ends = np.cumsum(counts)
             rows = []
-            for piece in small_batches(batch, 500):
-                for a, unit, b, tokens in zip(*(c.to_pylist() for c in piece.columns)):
-                    tokens = parse(tokens)
-                    if b is None:
-                        own = own + [tokens] if centre == (a, unit) else [tokens]
-                        centre = a, unit
-                        continue
-                    for mine in own:
-                        at = np.searchsorted(mine, tokens)
-                        at[at == len(mine)] = 0
-                        rows.append((a, b, int((mine[at] == tokens).sum()) if len(mine) else 0, len(mine), len(tokens)))
+            for k, (a, unit, b) in enumerate(zip(*(piece.column(c).to_pylist() for c in range(3)))):
+                tokens = values[ends[k] - counts[k] : ends[k]]
+                if b is None:
+                    own = [*own, tokens] if centre == (a, unit) else [tokens]
+                    centre = a, unit
+                    continue
+                for mine in own:
+                    both = np.concatenate((mine, tokens))
+                    both.sort()  # a value of both sets stands twice
+                    rows.append((a, b, int(np.count_nonzero(both[1:] == both[:-1])), len(mine), len(tokens)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b", "common", "size_a", "size_b"])
 
@@ -195,7 +318,7 @@ def compared(pairs: DataFrame, sets: DataFrame, parse: Callable[[bytes], np.ndar
 
 
 def resolved(
-    runs: DataFrame, sets: DataFrame, percent: int, parse: Callable[[bytes], np.ndarray] = stored_tokens
+    runs: DataFrame, sets: DataFrame, percent: int, parse: Parse = stored_tokens
 ) -> DataFrame:
     """node, component: the classes of links with a similarity of at least ``percent`` / 100, without members alone.
 
@@ -204,7 +327,7 @@ def resolved(
 
     1. Every member of a meeting is compared with its centre.
     2. In meetings that still hold several classes, the first member outside the centre's class is a second centre.
-    3. What is left, pairs of different classes, is compared pair by pair.
+    3. What is left, pairs of different classes, is compared pair by pair, in tasks that hold two blocks of a meeting.
 
     Left out in 2 and 3 are pairs of which nobody asks, and pairs whose sizes, sketches, or distances to the centre
     differ by more than a link allows: 1 - similarity is a metric. So no link between classes is lost, and n near copies cost
@@ -259,11 +382,67 @@ def resolved(
     second = written(compared(new_pairs(met, [first]), sets, parse), "pairs")
     parts = written(extended_components(parts, second.filter(link).select("a", "b")), "parts")
     held = still_open(held.drop("part", "centre_part"), parts)
-    # Of two members of different classes one at least is outside the centre's.
-    x = held.filter("part <> centre_part").select("run", columns.alias("x"))
-    y = held.select("run", columns.alias("y"), (F.col("part") == F.col("centre_part")).alias("inside"))
-    met = x.join(y, "run").filter((F.col("inside") | (F.col("x.b") < F.col("y.b"))) & worth("x", "y"))
-    more = new_pairs(met, [first, second])
-    if not more.isEmpty():
-        parts = written(extended_components(parts, compared(more, sets, parse).filter(link).select("a", "b")), "parts")
+    links = written(_links_between(held.drop("sketch"), sets, percent, parse), "more-links")
+    if not links.isEmpty():
+        parts = written(extended_components(parts, links), "parts")
     return parts
+
+
+def _links_between(held: DataFrame, sets: DataFrame, percent: int, parse: Parse) -> DataFrame:
+    """Links (a, b) that join classes of the same meeting, of members (run, b, asks, far, size, part): exact, every pair of
+    classes that a link may join. A large meeting is dealt into blocks, and any two of them meet in a task, so a task
+    holds two blocks of bounded size and gives at most a link for each member."""
+    blocks = held.groupBy("run").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_VALUES)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    dealt = held.join(blocks, "run").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.join(sets.withColumnRenamed("id", "b"), "b").select(
+        "run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "asks", "far", "part", "tokens", "sketch"
+    )
+    dealt = dealt.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j", "b")
+    apart = (100 - percent) / 100 + 1e-9
+
+    def links_of(rows):
+        own, ids, asks, far, parts, tokens, sketches = zip(*rows)
+        if len(set(parts)) == 1:
+            return
+        values, counts = parse(list(tokens))
+        ends = np.cumsum(counts)
+        own, asks, far, sketches = np.array(own), np.array(asks), np.array(far), np.array(sketches).view(np.uint64)
+        classes, part = np.unique(np.array(parts), return_inverse=True)
+        across = own.min() != own.max()
+        for x in range(len(ids) - 1):
+            y = slice(x + 1, None)
+            small, large = np.minimum(counts[x], counts[y]), np.maximum(counts[x], counts[y])
+            worth = (
+                (part[y] != part[x]) & (asks[y] | asks[x]) & (np.abs(far[y] - far[x]) <= apart) & (100 * small >= percent * large)
+                & (np.bitwise_count(sketches[y] ^ sketches[x]).sum(1, np.int64) * (100 + percent) <= (100 - percent) * (small + large))
+            )
+            if across:
+                worth &= own[y] != own[x]
+            for k in (np.nonzero(worth)[0] + x + 1).tolist():
+                if part[k] == part[x]:  # by now
+                    continue
+                both = np.concatenate([values[ends[n] - counts[n] : ends[n]] for n in (x, k)])
+                both.sort()  # a value of both sets stands twice
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
+                if common and 100 * common >= percent * (len(both) - common):
+                    part[part == part[k]] = part[x]
+                    yield ids[x], ids[k]
+
+    def link(batches):
+        group, rows = None, []
+
+        def found(rows):
+            links = list(links_of(rows)) if rows else []
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+
+        for piece in (x for batch in batches for x in small_batches(batch, 500)):
+            for run, i, j, *row in zip(*(c.to_pylist() for c in piece.columns)):
+                if group != (run, i, j):
+                    yield from found(rows)
+                    group, rows = (run, i, j), []
+                rows.append(row)
+        yield from found(rows)
+
+    return dealt.mapInArrow(link, "a bigint, b bigint")

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from llm import lines, quality, repeats, secrets
+from llm import lines, meeting, quality, repeats, secrets
 from llm.common import WordHashes, as_bytes, words_of
 
 SF = "/root/testdata/sf0.001"
@@ -285,6 +285,63 @@ def test_lines_against_brute_force(spark):
     assert all(sum(1 for x, y in got.items() if x == y and y == first) == 1 for first in set(got.values()))
 
 
+def test_packed_signatures_meet_as_brute_force_says(spark):
+    rng, buckets = np.random.default_rng(3), 4
+    sigs = np.concatenate([rng.integers(0, 2**64, 300, np.uint64)[rng.integers(0, 300, 900)], np.full(500, 2**63 + 5, np.uint64)])
+    docs = np.concatenate([rng.integers(0, 200, 900), rng.integers(0, 200, 500)])
+    rows = [row for at in range(0, 1400, 100) for row in meeting.packed(sigs[at : at + 100], docs[at : at + 100], buckets)]
+    df = spark.createDataFrame(rows, "bucket int, sigs binary, docs binary")
+    wanted = {frozenset(docs[sigs == s].tolist()) for s in set(sigs.tolist())}
+    pairs = {m for m in wanted if len(m) == 2}
+    for held, large in ((2_000_000, 100_000), (150, 20)):  # the second passes the common signature on as it comes
+        found = {}
+        for r in meeting.packed_runs(df, held, large).collect():
+            assert r["asks"]
+            found.setdefault(r["run"], []).append((r["a"], r["b"]))
+        assert {frozenset(p) for p in found.pop(0)} == pairs
+        assert {frozenset(x for p in run for x in p) for run in found.values()} == {m for m in wanted if len(m) > 2}
+        assert all(len({a for a, _ in run}) == 1 and len(set(run)) == len(run) for run in found.values())
+
+
+def test_a_meeting_of_many_classes_is_compared_in_blocks(spark, monkeypatch):
+    # Near copies that all meet but are linked to few: no join makes a row for a pair of them.
+    monkeypatch.setattr(meeting, "BLOCK", 8)
+    rng = np.random.default_rng(4)
+    sets = {}
+    for k in range(60):
+        shared = rng.choice(200, rng.integers(60, 200), replace=False)
+        sets[k] = np.sort(np.concatenate([shared, 1000 * (k // 2) + np.arange(1000, 1010 + k % 2)]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        sets[k].sort()
+    sets |= {60 + k: np.sort(np.append(sets[k][:-1], np.uint64(k))) for k in range(0, 60, 5)}
+    rows = [(k, s.tobytes(), meeting.parity(s)) for k, s in sets.items()]
+    stored = spark.createDataFrame(rows, "id bigint, tokens binary, sketch array<bigint>")
+    held = [(1, k, True, 0.1, len(s), k) for k, s in sets.items()]
+    held = spark.createDataFrame(held, "run bigint, b bigint, asks boolean, far double, size bigint, part bigint")
+    found = meeting._links_between(held, stored, 80, meeting.stored_tokens)
+    links = [(r["a"], r["b"]) for r in found.collect()]
+    near = {(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert near and {tuple(sorted(p)) for p in links} <= near
+
+    def classes(pairs):
+        part = {k: k for k in sets}
+        for a, b in pairs:
+            part = {k: min(part[a], part[b]) if p in (part[a], part[b]) else p for k, p in part.items()}
+        return part
+
+    assert classes(links) == classes(near)
+
+
+def test_sets_of_many_lines_are_those_of_each(spark):
+    texts = ["a", "abcdefg", "abcabcabcabcabc", "\u00e9\U0001f600 ein paar Zeichen", "short", "x" * 40]
+    values, counts = lines.line_tokens([t.encode() for t in texts])
+    at = 0
+    for text, n in zip(texts, counts.tolist()):
+        own = lines.line_shingles(lines._points(text))
+        assert values[at : at + n].tolist() == own.tolist()
+        assert meeting.parities(values[at : at + n], np.array([n])).tolist() == [meeting.parity(own)]
+        at += n
+
+
 def test_dedup_lines_keeps_rows_and_columns(spark):
     a, b = "the first line of several words here", "another line that nobody else has at all"
     rows = [(1, f"{a}\n\n{b}", "x", 9), (2, f"  {a}\nown {b} twice", "y", 9), (None, a, "z", 9), (3, None, "n", 9), (3, None, "n", 9)]
