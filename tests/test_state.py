@@ -103,3 +103,12 @@ def test_windowed_rest_adds_what_is_open(spark):
     rest = windowed_rest(events, emitted, "ts", ["kind"], "v", "1 day")
     assert sorted(emitted.unionAll(rest).collect()) == sorted(whole.collect())
     assert sorted(windowed_rest(events, emitted.limit(0), "ts", ["kind"], "v", "1 day").collect()) == sorted(whole.collect())
+
+
+def test_ledger_files_are_written_small(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path))
+    rows = spark.createDataFrame([("a", 1, "1", None)], "transaction_id string, gold_version int, stored_in string, transaction_date date")
+    ledger.append_extra(rows, "superseded", "2")
+    files = [f.name for f in (tmp_path / "superseded" / "load_id=2").glob("*.parquet")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert [tuple(r) for r in ledger.extra("superseded").collect()] == [("a", 1, "1", None, "2")]
