@@ -185,17 +185,20 @@ def _signed(docs: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
-    """id, tokens, sketch of the documents in ``ids`` (doc_id), made again from their texts."""
+    """id, tokens, size, sketch of the documents in ``ids`` (doc_id), made again from their texts."""
 
     def cut(batches):
         for batch in batches:
             for piece in small_batches(batch, 500):
                 sets = [shingle_set(t, scheme.n) for t in piece.column(1).to_pylist()]
-                columns = [piece.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([parity(s) for s in sets], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "tokens", "sketch"])
+                columns = [
+                    piece.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "tokens", "size", "sketch"])
 
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    return written(texts.mapInArrow(cut, "id bigint, tokens binary, sketch array<bigint>"), "jaccard-sets")
+    return written(texts.mapInArrow(cut, "id bigint, tokens binary, size bigint, sketch array<bigint>"), "jaccard-sets")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -152,7 +152,7 @@ def _facts(docs: DataFrame) -> DataFrame:
 
 
 def _line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, tokens (the line itself, see ``line_tokens``), sketch of the wanted lines (doc_id, line_no, id), from the texts."""
+    """id, tokens (the line itself, see ``line_tokens``), size, sketch of the wanted lines (doc_id, line_no, id), from the texts."""
     per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id")).alias("_wanted"))
     own = docs.select(F.col("doc_id").alias("_doc"), "text")
     met = own.join(per_doc, F.col("_doc").eqNullSafe(F.col("doc_id"))).select("text", "_wanted")
@@ -169,11 +169,12 @@ def _line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         ids.append(item["id"])
                         tokens.append(body.encode("utf-8", "surrogatepass"))
             for at in range(0, len(ids), 500):
-                sketches = pa.array(parities(*line_tokens(tokens[at : at + 500])).tolist(), pa.list_(pa.int64()))
-                columns = [pa.array(ids[at : at + 500], pa.int64()), pa.array(tokens[at : at + 500], pa.binary()), sketches]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "tokens", "sketch"])
+                values, counts = line_tokens(tokens[at : at + 500])
+                sketches = pa.array(parities(values, counts).tolist(), pa.list_(pa.int64()))
+                columns = [pa.array(ids[at : at + 500], pa.int64()), pa.array(tokens[at : at + 500], pa.binary()), pa.array(counts, pa.int64()), sketches]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "tokens", "size", "sketch"])
 
-    return written(met.mapInArrow(cut, "id bigint, tokens binary, sketch array<bigint>"), "line-sets")
+    return written(met.mapInArrow(cut, "id bigint, tokens binary, size bigint, sketch array<bigint>"), "line-sets")
 
 
 def line_components(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import mix, small_batches, written
@@ -16,6 +16,9 @@ from llm.components import connected_components, extended_components
 UNIT = 2_000
 #: Members of a block of a large meeting, and values in their sets.
 BLOCK, BLOCK_VALUES = 400, 1_000_000
+#: Pairs a member of two blocks that are compared one by one, however many meetings they have in common. Of more, the
+#: blocks are.
+FEW = 4
 #: Roles of a document in a signature: found there, looking there, or both.
 INDEX, PROBE, BOTH = 1, 2, 3
 
@@ -317,17 +320,31 @@ def compared(pairs: DataFrame, sets: DataFrame, parse: Parse = stored_tokens) ->
     return both.mapInArrow(compare, "a bigint, b bigint, common bigint, size_a bigint, size_b bigint")
 
 
+def _linked(percent: int) -> Column:
+    """Whether a pair that was ``compared`` is a link."""
+    return (F.col("common") > 0) & (100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common")))
+
+
+def _unseen(pairs: DataFrame, seen: list[DataFrame]) -> DataFrame:
+    """The distinct pairs (a, b) that are in none of ``seen``."""
+    pairs = pairs.distinct()
+    for known in seen:
+        pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    return written(pairs, "more-pairs")
+
+
 def resolved(
     runs: DataFrame, sets: DataFrame, percent: int, parse: Parse = stored_tokens
 ) -> DataFrame:
     """node, component: the classes of links with a similarity of at least ``percent`` / 100, without members alone.
 
-    ``runs``: run, a (centre), b, asks. ``sets``: id, tokens (see ``compared``) and sketch (see ``parity``). Only classes are wanted, so a pair within
-    a class that is known by then needs no comparison:
+    ``runs``: run, a (centre), b, asks. ``sets``: id, tokens (see ``compared``), size and sketch (see ``parity``).
+    Only classes are wanted, so a pair within a class that is known by then needs no comparison:
 
     1. Every member of a meeting is compared with its centre.
     2. In meetings that still hold several classes, the first member outside the centre's class is a second centre.
-    3. What is left, pairs of different classes, is compared pair by pair, in tasks that hold two blocks of a meeting.
+    3. What is left, pairs of different classes, is found by sketches in tasks that hold two blocks of a meeting. Few pairs
+       are compared one by one, each once for all its meetings; of many, the two blocks are, with their sets.
 
     Left out in 2 and 3 are pairs of which nobody asks, and pairs whose sizes, sketches, or distances to the centre
     differ by more than a link allows: 1 - similarity is a metric. So no link between classes is lost, and n near copies cost
@@ -335,16 +352,12 @@ def resolved(
     """
     pairs = runs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = written(compared(pairs, sets, parse), "pairs")
-    union = F.col("size_a") + F.col("size_b") - F.col("common")
-    link = (F.col("common") > 0) & (100 * F.col("common") >= percent * union)
+    link, union = _linked(percent), F.col("size_a") + F.col("size_b") - F.col("common")
     far = F.when(union > 0, 1 - F.col("common") / union).otherwise(1.0)
-    judged = first.groupBy(F.col("a").alias("l"), F.col("b").alias("g")).agg(
-        F.min(far).alias("far"), F.min("size_a").alias("size_l"), F.min("size_b").alias("size_g")
-    )
-    size = F.when(F.col("b") == F.col("l"), F.col("size_l")).otherwise(F.col("size_g"))
+    judged = first.groupBy(F.col("a").alias("l"), F.col("b").alias("g")).agg(F.min(far).alias("far"))
     held = runs.filter("run <> 0").select("run", F.col("a").alias("centre"), "b", "asks", F.least("a", "b").alias("l"), F.greatest("a", "b").alias("g"))
-    held = held.join(judged, ["l", "g"]).select("run", "centre", "b", "asks", "far", size.alias("size"))
-    sketches = sets.select(F.col("id").alias("b"), "sketch")
+    held = held.join(judged, ["l", "g"]).select("run", "centre", "b", "asks", "far")
+    sketches = sets.select(F.col("id").alias("b"), "size", "sketch")
     apart = (100 - percent) / 100 + 1e-9
 
     def still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -366,12 +379,6 @@ def resolved(
             & (differ * (100 + percent) <= (100 - percent) * (small + large))
         )
 
-    def new_pairs(met: DataFrame, seen: list[DataFrame]) -> DataFrame:
-        out = met.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
-        for known in seen:
-            out = out.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        return written(out, "more-pairs")
-
     parts = written(connected_components(first.filter(link).select("a", "b")), "parts")
     held = still_open(held, parts)
     if held.isEmpty():
@@ -379,27 +386,105 @@ def resolved(
     columns = F.struct("b", "asks", "far", "size", "part", "sketch")
     second = held.filter("part <> centre_part").groupBy("run").agg(F.min(columns).alias("x"))
     met = held.select("run", columns.alias("y")).join(second, "run").filter(worth("x", "y"))
-    second = written(compared(new_pairs(met, [first]), sets, parse), "pairs")
+    met = met.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
+    second = written(compared(_unseen(met, [first]), sets, parse), "pairs")
     parts = written(extended_components(parts, second.filter(link).select("a", "b")), "parts")
     held = still_open(held.drop("part", "centre_part"), parts)
-    links = written(_links_between(held.drop("sketch"), sets, percent, parse), "more-links")
+    links = written(_links_between(held, sets, percent, parse, [first, second]), "more-links")
     if not links.isEmpty():
         parts = written(extended_components(parts, links), "parts")
     return parts
 
 
-def _links_between(held: DataFrame, sets: DataFrame, percent: int, parse: Parse) -> DataFrame:
-    """Links (a, b) that join classes of the same meeting, of members (run, b, asks, far, size, part): exact, every pair of
-    classes that a link may join. A large meeting is dealt into blocks, and any two of them meet in a task, so a task
-    holds two blocks of bounded size and gives at most a link for each member."""
+def _worthwhile(held: DataFrame, percent: int) -> DataFrame:
+    """What is left to compare of open meetings, from members (run, b, asks, far, size, part, sketch), told by sizes and
+    sketches alone, without sets. Rows of two kinds:
+
+    * A pair of members of different classes that a link may join: a, b (run is null).
+    * A member that has such a partner, of two blocks with more than ``FEW`` such pairs a member: run, i, j, own, b, asks,
+      far, part (a is null).
+
+    A large meeting is dealt into blocks, and any two of them meet in a task.
+    """
     blocks = held.groupBy("run").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_VALUES)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
-    dealt = held.join(blocks, "run").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.join(sets.withColumnRenamed("id", "b"), "b").select(
-        "run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "asks", "far", "part", "tokens", "sketch"
+    dealt = held.join(blocks, "run").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "run", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "b", "asks", "far", "part", "size", "sketch"
     )
     dealt = dealt.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j", "b")
     apart = (100 - percent) / 100 + 1e-9
+    kinds = {"run": pa.int64(), "i": pa.int32(), "j": pa.int32(), "own": pa.int32(), "a": pa.int64(), "b": pa.int64(), "asks": pa.bool_(), "far": pa.float64(), "part": pa.int64()}
+
+    def made(columns: dict):
+        n = len(columns["b"])
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in kinds.items()], list(kinds))
+
+    def partners(own, asks, far, part, size, sketch):
+        """Places of the pairs, some members at a time against those behind them."""
+        n, across = len(own), own.min() != own.max()
+        step = max(1, 100_000 // n)
+        for at in range(0, n - 1, step):
+            x, y = slice(at, at + step), slice(at, None)
+            small, large = np.minimum.outer(size[x], size[y]), np.maximum.outer(size[x], size[y])
+            worth = (
+                np.not_equal.outer(part[x], part[y]) & np.logical_or.outer(asks[x], asks[y])
+                & (np.abs(np.subtract.outer(far[x], far[y])) <= apart) & (100 * small >= percent * large)
+            )
+            if across:
+                worth &= np.not_equal.outer(own[x], own[y])
+            one, other = np.nonzero(np.triu(worth, 1))
+            differ = np.bitwise_count(sketch[x][one] ^ sketch[y][other]).sum(1, np.int64)
+            near = differ * (100 + percent) <= (100 - percent) * (small + large)[one, other]
+            yield one[near] + at, other[near] + at
+
+    def choose(batches):
+        rest = None
+
+        def chosen(now, starts, ends):
+            pairs, members = [], []
+            for s, e in zip(starts, ends):
+                _, _, _, own, b, asks, far, part, size, sketch = (c[s:e] for c in now)
+                if (part == part[0]).all():
+                    continue
+                one, other = (np.concatenate(p) for p in zip(*partners(own, asks, far, part, size, sketch)))
+                if len(one) <= FEW * len(b):
+                    pairs.append(np.stack([np.minimum(b[one], b[other]), np.maximum(b[one], b[other])], 1))
+                else:
+                    members.append(s + np.unique(np.concatenate([one, other])))
+            if pairs:
+                a, b = np.unique(np.concatenate(pairs), axis=0).T
+                yield made({"a": a, "b": b})
+            if members:
+                yield made(dict(zip(("run", "i", "j", "own", "b", "asks", "far", "part"), (c[np.concatenate(members)] for c in now))))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(9)]
+            now.append(batch.column(9).flatten().to_numpy().view(np.uint64).reshape(-1, 8))
+            if rest is not None:
+                now = [np.concatenate(x) for x in zip(rest, now)]
+            starts = [0, *(np.nonzero(np.any([c[1:] != c[:-1] for c in now[:3]], axis=0))[0] + 1).tolist()]
+            yield from chosen(now, starts[:-1], starts[1:])
+            rest = [c[starts[-1] :] for c in now]
+        if rest is not None:
+            yield from chosen(rest, [0], [len(rest[0])])
+
+    return dealt.mapInArrow(choose, "run bigint, i int, j int, own int, a bigint, b bigint, asks boolean, far double, part bigint")
+
+
+def _links_between(held: DataFrame, sets: DataFrame, percent: int, parse: Parse, seen: list[DataFrame] = []) -> DataFrame:
+    """Links (a, b) that join classes of the same meeting, of members (run, b, asks, far, size, part): exact, every pair of
+    classes that a link may join, but for pairs in ``seen`` (a, b). Sets travel with the few pairs of a meeting, once for
+    all its meetings, and with the members of two blocks that have many: a task holds two blocks of bounded size and
+    gives at most a link for each member."""
+    if "sketch" not in held.columns:
+        held = held.join(sets.select(F.col("id").alias("b"), "sketch"), "b")
+    left = written(_worthwhile(held, percent), "left")
+    few = compared(_unseen(left.filter("run IS NULL").select("a", "b"), seen), sets, parse).filter(_linked(percent)).select("a", "b")
+    dealt = left.filter("run IS NOT NULL").drop("a").join(sets.withColumnRenamed("id", "b"), "b").select("run", "i", "j", "own", "b", "asks", "far", "part", "tokens", "sketch")
+    dealt = dealt.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j", "b")
+    apart = (100 - percent) / 100 + 1e-9
 
     def links_of(rows):
         own, ids, asks, far, parts, tokens, sketches = zip(*rows)
@@ -445,4 +530,4 @@ def _links_between(held: DataFrame, sets: DataFrame, percent: int, parse: Parse)
                 rows.append(row)
         yield from found(rows)
 
-    return dealt.mapInArrow(link, "a bigint, b bigint")
+    return few.unionAll(dealt.mapInArrow(link, "a bigint, b bigint"))

@@ -331,6 +331,51 @@ def test_a_meeting_of_many_classes_is_compared_in_blocks(spark, monkeypatch):
     assert classes(links) == classes(near)
 
 
+def test_sets_travel_once_for_all_their_meetings(spark):
+    # The same documents meet in forty signatures; two pairs of them may be linked.
+    rng, read = np.random.default_rng(6), spark.sparkContext.accumulator(0)
+    sets = {k: np.unique(rng.integers(0, 2**64, 100, np.uint64)) for k in range(20)}
+    sets |= {20 + k: np.append(sets[k][1:], np.uint64(2**64 - 1)) for k in (3, 11)}
+    rows = [(k, s.tobytes(), meeting.parity(s)) for k, s in sets.items()]
+    stored = spark.createDataFrame(rows, "id bigint, tokens binary, sketch array<bigint>")
+    held = [(run, k, True, 0.9, len(s), k) for run in range(1, 41) for k, s in sets.items()]
+    held = spark.createDataFrame(held, "run bigint, b bigint, asks boolean, far double, size bigint, part bigint")
+
+    def counted(sets):
+        read.add(len(sets))
+        return meeting.stored_tokens(sets)
+
+    found = meeting._links_between(held, stored, 80, counted).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == [(3, 23), (11, 31)]
+    assert 0 < read.value < 40
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_few_and_many_pairs_of_blocks_give_the_same_classes(spark, monkeypatch, few):
+    monkeypatch.setattr(meeting, "FEW", few)
+    monkeypatch.setattr(meeting, "BLOCK", 6)
+    sets = {k: np.arange(k, k + 40 + k % 3).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for k in range(0, 120, 3)}
+    sets = {k: np.sort(s) for k, s in sets.items()}
+    rows = [(k, s.tobytes(), meeting.parity(s)) for k, s in sets.items()]
+    stored = spark.createDataFrame(rows, "id bigint, tokens binary, sketch array<bigint>")
+    held = [(run, k, k % 2 == 0, 0.5, len(s), k) for run in (1, 2) for k, s in sets.items() if run == 1 or k < 30]
+    held = spark.createDataFrame(held, "run bigint, b bigint, asks boolean, far double, size bigint, part bigint")
+    links = [(r["a"], r["b"]) for r in meeting._links_between(held, stored, 80, meeting.stored_tokens).collect()]
+    near = {
+        (a, b) for a in sets for b in sets
+        if a < b and (a % 2 == 0 or b % 2 == 0) and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert near and {tuple(sorted(p)) for p in links} <= near
+
+    def classes(pairs):
+        part = {k: k for k in sets}
+        for a, b in pairs:
+            part = {k: min(part[a], part[b]) if p in (part[a], part[b]) else p for k, p in part.items()}
+        return part
+
+    assert classes(links) == classes(near)
+
+
 def test_sets_of_many_lines_are_those_of_each(spark):
     texts = ["a", "abcdefg", "abcabcabcabcabc", "\u00e9\U0001f600 ein paar Zeichen", "short", "x" * 40]
     values, counts = lines.line_tokens([t.encode() for t in texts])
