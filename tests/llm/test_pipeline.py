@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import __spark_entry__ as entry
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +135,20 @@ def test_stages_and_run_against_plain_code(spark, stages):
     whole = corpus_pipeline.run(spark, SF).collect()
     assert pieces(whole) == want
     places(whole)
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    # 12 MB of texts in one partition: by Spark's own bounds one batch.
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "rows"])
+
+    monkeypatch.setattr(corpus_pipeline, "dedup_lines", lambda docs: docs.mapInArrow(sizes, "bytes bigint, rows bigint"))
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 400).alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"), F.lit(4400).cast("bigint").alias("n_chars")
+    ).coalesce(1)
+    found = corpus_pipeline.line_dedup(spark, docs, SF).collect()
+    assert sum(r["rows"] for r in found) == 3000
+    assert max(r["bytes"] for r in found) < 6 << 20
