@@ -121,9 +121,8 @@ def detect_language(text: Column) -> Column:
     """ur when at least 80 % of the letters are Arabic script, en when none is, else mixed."""
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
     arabic = F.length(F.regexp_replace(text, r"[^\p{IsArabic}]|[^\p{L}]", ""))
-    return (
-        F.when(F.coalesce(arabic, F.lit(0)) == 0, "en").when(arabic * 10 >= letters * 8, "ur").otherwise("mixed")
-    )
+    found = F.coalesce(text.rlike(r"[\p{IsArabic}&&\p{L}]"), F.lit(False))
+    return F.when(~found, "en").when(arabic * 10 >= letters * 8, "ur").otherwise("mixed")
 
 
 def detect_and_mask_pii(columns: dict[str, Column]) -> Column:

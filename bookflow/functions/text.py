@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -49,8 +50,10 @@ def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _nfc_array(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """NFC on the texts of a JSON array. Rows travel as text: Spark measures a batch at every row, and for a column of
+    arrays it walks over all nulls before that row."""
     def compose(texts):
-        return None if texts is None else [t and unicodedata.normalize("NFC", t) for t in texts]
+        return None if texts is None else [t and unicodedata.normalize("NFC", t) for t in json.loads(texts)]
 
     for batch in batches:
         yield batch.map(compose)
@@ -65,7 +68,10 @@ def normalize_unicode(rows: DataFrame, column: str = "raw") -> DataFrame:
     """NFC on every key and value of a string-map column; only maps with something to compose travel to Python."""
     raw, texts = F.col(column), F.col("_texts")
     both = F.concat(F.map_keys(raw), F.map_values(raw))
-    composed = rows.withColumn("_texts", _nfc_array(F.when(F.array_join(both, " ").rlike(COMPOSABLE), both)))
+    joined = F.array_join(both, " ")
+    # Pure ASCII, which has as many characters as bytes, holds nothing to compose.
+    composable = (F.octet_length(joined) != F.length(joined)) & joined.rlike(COMPOSABLE)
+    composed = rows.withColumn("_texts", _nfc_array(F.when(composable, F.to_json(both))))
     width = F.size(raw)
     normal = map_last_wins(F.slice(texts, F.lit(1), width), F.slice(texts, width + 1, width))
     return composed.withColumn(column, F.when(texts.isNull(), raw).otherwise(normal)).drop("_texts")

@@ -13,6 +13,8 @@ from bookflow.options import DEFAULTS, Options
 FORMULA_PREFIX = "[=+\\-@]"
 FORMULA_MARK = "FORMULA_REMOVED:"
 DANGEROUS = r"(?i)<script|javascript:|data:text|HYPERLINK|=CMD\(|=SHELL\(|=EXEC\(|\.\./|\x00"
+# What such content begins with; spares the list above at every other character.
+DANGEROUS_AT = r"(?=[<=.\x00JjDdHh])"
 DANGEROUS_MARK = "DANGEROUS_CONTENT_REMOVED"
 NULL_TEXTS = ["", "nan", "NaN", "None", "N/A"]
 CURRENCY_LABEL = r"(?i)^(pkr|rs\.?|rupees?)\s*"
@@ -133,7 +135,7 @@ def neutralize_cell(text: Column) -> Column:
     formula = f"^[{WHITESPACE}]*{FORMULA_PREFIX}"
     return (
         F.when(text.rlike(formula), F.concat(F.lit(FORMULA_MARK), strip(text)))
-        .when(text.rlike(DANGEROUS), F.lit(DANGEROUS_MARK))
+        .when(text.rlike(f"{DANGEROUS_AT}(?:{DANGEROUS})"), F.lit(DANGEROUS_MARK))
         .otherwise(text)
     )
 
@@ -177,10 +179,11 @@ def normalize_tx_type(text: Column) -> Column:
 
 
 def mask_pii(text: Column, legacy_order: bool = False) -> Column:
-    """Phone, tax, identity-card and account numbers replaced by their mask."""
+    """Phone, tax, identity-card and account numbers replaced by their mask. All of them have seven digits in a row."""
+    masked = text
     for pattern, mask in PII_MASKS_LEGACY if legacy_order else PII_MASKS:
-        text = F.regexp_replace(text, pattern, mask)
-    return text
+        masked = F.regexp_replace(masked, pattern, mask)
+    return F.when(text.rlike(r"(?U)\d{7}"), masked).otherwise(text)
 
 
 def looks_like_date(text: Column) -> Column:

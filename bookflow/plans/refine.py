@@ -37,7 +37,8 @@ class MappedBatch:
 
 def secure_rows(rows: DataFrame, column: str = "raw") -> DataFrame:
     """Gates 3 to 5 on a string map: formulas neutralised, reserved keys renamed, text in NFC."""
-    safe = rows.withColumn(column, rename_reserved_keys(neutralize_row(F.col(column))))
+    # Renaming uses its map several times over, so it goes first, on the plain column: cells are then looked at once.
+    safe = rows.withColumn(column, neutralize_row(rename_reserved_keys(F.col(column))))
     return normalize_unicode(safe, column)
 
 

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from bookflow.options import DEFAULTS, Options
 
 
+# The JVM never compiles a method of over 8,000 bytes. Spark puts all columns of a stage into one method up to this limit, and
+# over it evaluates them operator by operator in methods that it splits.
+HUGE_METHOD, COMPILED_BYTES = "spark.sql.codegen.hugeMethodLimit", "8000"
+
+
 def session_settings(options: Options = DEFAULTS) -> dict[str, str]:
     """Settings a session for this package should carry. Sizes are per task, so they hold at any data volume."""
     return {
@@ -22,6 +27,7 @@ def session_settings(options: Options = DEFAULTS) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "128m",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+        HUGE_METHOD: COMPILED_BYTES,
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
 
@@ -54,10 +60,24 @@ def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     ``folder`` is a ``stage_folder`` that its user removes; without one the files stay as long as the shared folder.
     """
     path = f"{folder or shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with compiled_methods(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Jobs begun inside run in methods that the JVM compiles, unless the session has a limit of its own."""
+    default = spark.conf.get(HUGE_METHOD, None) in (None, "65535")
+    try:
+        if default:
+            spark.conf.set(HUGE_METHOD, COMPILED_BYTES)
+        yield
+    finally:
+        if default:
+            spark.conf.unset(HUGE_METHOD)
+
+
 @contextmanager
 def stage_folder(spark: SparkSession) -> Iterator[str]:
     """A folder below the shared one for ``materialize``, removed at the end: results must be stored by then."""

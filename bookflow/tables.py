@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException, PySparkException
 
 from bookflow import contracts as ct
 from bookflow.functions.keys import uuid_of
+from bookflow.plans.session import compiled_methods
 
 log = logging.getLogger(__name__)
 
@@ -200,7 +201,8 @@ class Ledger:
 
     def append_extra(self, df: DataFrame, name: str, load_id: str) -> None:
         """Write one load of a relation beside the tables."""
-        df.write.mode("overwrite").options(**CODEC, **bloom_filters(name)).parquet(f"{self.path(name)}/load_id={load_id}")
+        with compiled_methods(self.spark):
+            df.write.mode("overwrite").options(**CODEC, **bloom_filters(name)).parquet(f"{self.path(name)}/load_id={load_id}")
 
     def extra(self, name: str) -> DataFrame:
         """A relation beside the tables, empty before its first load. See EXTRAS."""
@@ -214,12 +216,13 @@ class Ledger:
 
     def _write(self, ready: DataFrame, table: str, load_id: str) -> None:
         folder = f"{self.path(table)}/load_id={load_id}"
-        if table in PARTITIONED:
-            # Rebalancing gathers a partition's rows into few files and splits one that holds too many.
-            column = PARTITIONED[table]
-            ready.hint("rebalance", column).write.mode("overwrite").options(**CODEC).partitionBy(column).parquet(folder)
-        else:
-            ready.write.mode("overwrite").options(**CODEC, **bloom_filters(table)).parquet(folder)
+        with compiled_methods(self.spark):
+            if table in PARTITIONED:
+                # Rebalancing gathers a partition's rows into few files and splits one that holds too many.
+                column = PARTITIONED[table]
+                ready.hint("rebalance", column).write.mode("overwrite").options(**CODEC).partitionBy(column).parquet(folder)
+            else:
+                ready.write.mode("overwrite").options(**CODEC, **bloom_filters(table)).parquet(folder)
 
     def audit(self, events: DataFrame, load_id: str) -> None:
         """Append audit events; a failing write is logged, never raised."""
